@@ -53,10 +53,22 @@ def with_bucket(df: DataFrame, time: str, pattern: str = BUCKET_FORMAT) -> DataF
 
 
 def write_bucketed(
-    df: DataFrame, path: str, time: str, value: str = "value", rows_per_file: int = 0, compression: str = "none"
+    df: DataFrame,
+    path: str,
+    time: str,
+    value: str = "value",
+    tasks: int | None = None,
+    rows_per_file: int = 0,
+    compression: str = "none",
 ) -> None:
-    """Text files in one folder per bucket; a bucket's rows stay with the tasks that hold them."""
-    out = with_bucket(df, time).select("bucket", value)
+    """Text files in one folder per bucket.
+
+    Rows are first ranged by time, so a task writes few buckets, a bucket gets few
+    files, and a bucket holding much of the data is still written by many tasks.
+    """
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.select(time, value).repartitionByRange(tasks, time, value)
+    out = with_bucket(ranged, time).select("bucket", value)
     writer = out.write.mode("append").partitionBy("bucket").option("compression", compression)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
