@@ -41,7 +41,13 @@ def sensors(spark):
 
 @pytest.fixture
 def stream_of(spark, tmp_path):
-    """A file stream with one file, and so one micro-batch, per group of rows."""
+    """A file stream with one file, and so one micro-batch, per group of rows.
+
+    State lives in one partition here: starting a Python worker per partition and
+    micro-batch is what these tests spend their time on.
+    """
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
 
     def make(schema, *groups, name="in"):
         folder = tmp_path / name
@@ -58,7 +64,8 @@ def stream_of(spark, tmp_path):
 
         return file_stream(spark, str(folder), T._parse_datatype_string(schema), files=1)
 
-    return make
+    yield make
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def rows(df, *columns):

@@ -101,13 +101,34 @@ def test_event_timer(spark, stream_of):
         assert rows(fired) == expected
 
 
-def test_ttl(pair):
+def settled(df, tmp_path, name):
+    """Processing-time state asks for batch after batch without end, so the stream is stopped by hand."""
+    out = str(tmp_path / name)
+    writer = df.writeStream.format("parquet").option("path", out + "/out")
+    query = writer.option("checkpointLocation", out + "/check").trigger(processingTime="1 second").start()
+    try:
+        for _ in range(60):
+            if sum(p["numInputRows"] for p in query.recentProgress) >= len(ALL):
+                break
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    return df.sparkSession.read.schema(df.schema).parquet(out + "/out")
+
+
+def test_ttl(pair, tmp_path):
     batch, stream = pair
-    kept = drained(keyed.ttl_last_value(stream, ["id"], "vc", ["arr"], ttl_ms=3_600_000))
+    kept = settled(keyed.ttl_last_value(stream, ["id"], "vc", ["arr"], ttl_ms=3_600_000), tmp_path, "kept")
     endless = state.ttl_last_value(batch, ["id"], "vc", "ts", ["arr"], ttl=10_000)
     assert rows(kept) == rows(endless)
+
+
+def test_ttl_refreshed_by_reads(pair, tmp_path):
+    batch, stream = pair
     marked = stream.withColumn("write", F.col("vc") > 10)
-    refreshed = drained(keyed.ttl_read_refresh(marked, ["id"], "vc", ["arr"], "write", ttl_ms=3_600_000))
+    refreshed = settled(
+        keyed.ttl_read_refresh(marked, ["id"], "vc", ["arr"], "write", ttl_ms=3_600_000), tmp_path, "refreshed"
+    )
     endless = state.ttl_read_refresh(batch, ["id"], "vc", "ts", ["arr"], F.col("vc") > 10, ttl=10_000)
     assert rows(refreshed, *endless.columns) == rows(endless)
 
