@@ -47,6 +47,11 @@ def window_join(
     _distinct_names(left, right, on)
     l = left.withColumn("__window", F.window(left_time, size))
     r = right.withColumn("__window", F.window(right_time, size))
+    if left.isStreaming or right.isStreaming:
+        # A joined stream may have one event-time column: the window. Recomputed from
+        # its microseconds, the row's own time is an ordinary column.
+        l = l.withColumn(left_time, F.timestamp_micros(F.unix_micros(left_time)))
+        r = r.withColumn(right_time, F.timestamp_micros(F.unix_micros(right_time)))
     joined = l.join(r, [*on, "__window"], "inner")
     return joined.select(
         *on,
