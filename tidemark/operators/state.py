@@ -95,11 +95,9 @@ def running_top_n(
     rows = df.withColumn("__segment", segment).withColumn("__value", F.col(value))
 
     strongest = Window.partitionBy(*keys, "__segment").orderBy(F.col("__value").desc())
-    partials = (
-        rows.where(F.col("__value").isNotNull())
-        .select(*keys, "__segment", "__value", F.row_number().over(strongest).alias("__r"))
-        .where(F.col("__r") <= n)
-    )
+    # Nulls sort last here; they keep a segment without values in the sequence.
+    partials = rows.select(*keys, "__segment", "__value", F.row_number().over(strongest).alias("__r"))
+    partials = partials.where(F.col("__r") <= n)
     along = Window.partitionBy(*keys).orderBy("__segment", "__r")
     prefix = _insert(partials, along, F.col("__value"), n, names)
     before = [F.lag(name).over(along).alias(name) for name in names]
