@@ -9,6 +9,7 @@ from tests.conftest import rows
 from tidemark.functions import time
 from tidemark.operators import lateness, state, windows
 from tidemark.operators.scan import (
+    balanced_segment,
     first_value,
     last_known,
     last_value,
@@ -86,9 +87,12 @@ def test_order_is_required(skewed):
 def test_default_segments_never_decrease(spark):
     df = spark.createDataFrame([(i * 700_000 - 3_000_000,) for i in range(12)], "n bigint")
     df = df.withColumn("t", F.timestamp_seconds("n")).withColumn("d", F.to_date("t")).withColumn("z", F.col("t").cast("timestamp_ntz"))
-    for column in df.columns:
-        cut = [r[0] for r in df.orderBy("n").select(segment_of(df, column)).collect()]
+    cuts = [segment_of(df, "n"), segment_of(df, "d"), *(balanced_segment(df, c, rows=3) for c in ("n", "t", "z"))]
+    for segment in cuts:
+        cut = [r[0] for r in df.orderBy("n").select(segment).collect()]
         assert cut == sorted(cut) and len(set(cut)) > 1
+    assert {r[0] for r in df.select(segment_of(df, "t")).collect()} == {0}
+    assert df.limit(0).select(segment_of(df.limit(0), "t")).collect() == []
     with pytest.raises(ValueError):
         segment_of(df.withColumn("s", F.col("n").cast("string")), "s")
 

@@ -11,7 +11,7 @@ from tidemark.functions.schema import SENSOR
 
 def tokens(line: Column) -> Column:
     """Words between single spaces: empty tokens stay, except at the end of the line."""
-    trimmed = F.regexp_replace(line, " +$", "")
+    trimmed = F.rtrim(line)  # blanks only, not tabs or line ends
     return F.when((line != "") & (trimmed == ""), F.array().cast("array<string>")).otherwise(F.split(trimmed, " "))
 
 

@@ -18,6 +18,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tidemark.functions.time import epoch_seconds
+
 # A segment of a unique integer order holds at most this many rows.
 SEGMENT_ROWS = 1 << 20
 
@@ -85,9 +87,10 @@ def check_order(df: DataFrame, order: Sequence[str]) -> list[str]:
 
 
 def segment_of(df: DataFrame, column: str, rows: int = SEGMENT_ROWS) -> Column:
-    """A segment number that never decreases along ``column``.
+    """The default segment number; it never decreases along ``column``.
 
-    Integers are cut every ``rows`` values, dates per day and timestamps per hour.
+    Integers are cut every ``rows`` values and dates per day. Timestamps are cut by
+    ``balanced_segment``.
     """
     kind = df.schema[column].dataType
     c = F.col(column)
@@ -96,10 +99,24 @@ def segment_of(df: DataFrame, column: str, rows: int = SEGMENT_ROWS) -> Column:
     if isinstance(kind, T.DateType):
         return F.unix_date(c)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.datediff(F.to_date(c), F.lit("1970-01-01")) * 24 + F.hour(c)
+        return balanced_segment(df, column)
     raise ValueError(f"give a segment column for an order of type {kind.simpleString()}")
 
 
+def balanced_segment(df: DataFrame, column: str, rows: int = SEGMENT_ROWS // 4) -> Column:
+    """Segments of equal width in time (or integer value) with ``rows`` rows on average.
+
+    Reads ``column`` once, for its count and range, when called. Use it also for
+    sparse integer orders, where a fixed width would make too many segments.
+    """
+    place = epoch_seconds(df, column)
+    stats = df.agg(F.count(place).alias("n"), F.min(place).alias("low"), F.max(place).alias("high")).first()
+    if not stats["n"]:
+        return F.lit(0).cast("bigint")
+    width = max(1, (stats["high"] - stats["low"] + 1) * rows // stats["n"])
+    return F.floor((place - F.lit(stats["low"])) / F.lit(width))
+
+
 def _combine(fold: Fold, column: Column) -> Column:
     """The aggregate that folds lifted values (or partial folds) given in order."""
     if fold.kind == "last_known":
@@ -131,8 +148,9 @@ def running(
     ``order`` must be a total order within a key. ``segment`` may replace the
     default cut; it must never decrease along ``order`` and should hold no more
     rows of one key than a task can sort. ``keep_segment`` names an output column
-    for it: the result is hash-partitioned by (keys, segment), so further windows
-    and groupings on those columns need no exchange.
+    for it, and adds a constant column ``<name>_row``: the result is partitioned by
+    (keys, segment) and sorted by those, ``<name>_row`` and ``order``, so further
+    windows and groupings along them need neither an exchange nor a sort.
     """
     if df.isStreaming:
         raise ValueError("running folds take a batch; streams use tidemark.streaming")
@@ -168,6 +186,7 @@ def running(
 
     kept = [c for c in df.columns if c not in folds]
     carried = [_SEG] if keep_segment else []
+    markers = [F.col(_SEG).alias(keep_segment), F.col(_ROW).alias(f"{keep_segment}_row")] if keep_segment else []
     folded = both.select(
         *kept, *carried, _ROW, *(
             _combine(f, F.col(lifted_names[n])).over(exclusive if f.before else inclusive).alias(lifted_names[n])
@@ -177,6 +196,6 @@ def running(
 
     return folded.select(
         *kept,
-        *(F.col(_SEG).alias(keep_segment) for _ in carried),
+        *markers,
         *(F.col(lifted_names[n]).alias(n) for n in folds),
     )

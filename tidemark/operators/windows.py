@@ -72,33 +72,33 @@ def session(
     reach = running_max(F.col("__end")).excluding_current()
     rows = running(rows, keys, [time], {"__reach": reach}, segment, keep_segment="__seg")
     opens = F.when(F.col("__reach").isNull() | (F.col(time) > F.col("__reach")), 1).otherwise(0)
-    along = Window.partitionBy(*keys, "__seg").orderBy(time)
-    rows = rows.withColumn("__opens", opens).withColumn(
-        "__no", F.sum("__opens").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    fragments = rows.groupBy(*keys, "__seg", "__no").agg(
+    along = Window.partitionBy(*keys, "__seg").orderBy("__seg_row", time)
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_all = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("__opens", opens)
+    rows = rows.withColumns({"__no": F.sum("__opens").over(so_far), "__last": F.sum("__opens").over(in_all)})
+    fragments = rows.groupBy(*keys, "__seg", "__no", "__last").agg(
         F.min(time).alias(START),
         F.max("__end").alias(END),
         *(_PARTIAL[kind](c).alias(n) for n, (kind, c) in aggs.items()),
     )
-    fragments = fragments.withColumn("__last", F.max("__no").over(Window.partitionBy(*keys, "__seg")))
+    # A fragment inside its segment is a group of its own; those at the borders of a
+    # key's segments form one group, numbered along the order.
     inner = (F.col("__no") > 0) & (F.col("__no") < F.col("__last"))
-    whole = fragments.where(inner).select(*keys, START, END, *aggs)
-
-    borders = fragments.where(~inner)
-    across = Window.partitionBy(*keys).orderBy("__seg", "__no")
-    numbered = borders.withColumn(
-        "__session",
-        F.sum((F.col("__no") > 0).cast("bigint")).over(
-            across.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ),
+    fragments = fragments.withColumn("__own_seg", F.when(inner, F.col("__seg"))).withColumn(
+        "__own_no", F.when(inner, F.col("__no"))
+    )
+    group = [*keys, "__own_seg", "__own_no"]
+    across = Window.partitionBy(*group).orderBy("__seg", "__no")
+    opened = F.sum((F.col("__no") > 0).cast("bigint")).over(
+        across.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    merged = numbered.groupBy(*keys, "__session").agg(
+    merged = fragments.withColumn("__session", opened).groupBy(*group, "__session")
+    return merged.agg(
         F.min(START).alias(START),
         F.max(END).alias(END),
         *(_MERGE[kind](n).alias(n) for n, (kind, _) in aggs.items()),
-    )
-    return whole.unionByName(merged.drop("__session"))
+    ).select(*keys, START, END, *aggs)
 
 
 def count_tumble(

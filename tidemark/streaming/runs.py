@@ -11,9 +11,14 @@ from tidemark.operators.joins import broadcast_threshold
 from tidemark.session import scratch_path
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files: int = 0) -> DataFrame:
-    """A stream of the files below ``path``, at most ``files`` of them per trigger (0: no limit)."""
+def file_stream(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files: int = 0, glob: str | None = None
+) -> DataFrame:
+    """A stream of the files in folder ``path`` (those named like ``glob``), at most
+    ``files`` of them per trigger (0: no limit)."""
     reader = spark.readStream.format(fmt).schema(schema)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if files:
         reader = reader.option("maxFilesPerTrigger", files)
     return reader.load(path)
