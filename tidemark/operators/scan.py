@@ -103,7 +103,7 @@ def segment_of(df: DataFrame, column: str, rows: int = SEGMENT_ROWS) -> Column:
     raise ValueError(f"give a segment column for an order of type {kind.simpleString()}")
 
 
-def balanced_segment(df: DataFrame, column: str, rows: int = SEGMENT_ROWS // 4) -> Column:
+def balanced_segment(df: DataFrame, column: str, rows: int = 4 * SEGMENT_ROWS) -> Column:
     """Segments of equal width in time (or integer value) with ``rows`` rows on average.
 
     Reads ``column`` once, for its count and range, when called. Use it also for

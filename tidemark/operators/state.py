@@ -64,20 +64,18 @@ def top_n_per_key(df: DataFrame, keys: Sequence[str], value: str, order: Sequenc
     return df.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
 
 
-def _insert(df: DataFrame, spec, value: Column, n: int, names: list[str]) -> DataFrame:
-    """Add the running n highest values of ``value`` in the order of ``spec``.
+def _insert(df: DataFrame, spec, value: Column, names: list[str]) -> DataFrame:
+    """Add the running highest values of ``value`` in the order of ``spec``, one per name.
 
-    A running maximum keeps the highest; whatever it displaces (the smaller of the
-    new value and the old maximum) is the input of the next place.
+    The first place holds the running maximum. Whatever a row displaces from a place,
+    the smaller of the new value and the one held, competes for the next place.
     """
-    upto = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = spec.rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumn("__in", value)
-    for name in names[:n]:
-        df = df.withColumn(name, F.max("__in").over(upto))
-        held = F.lag(name).over(spec)
-        df = df.withColumn("__held", held).withColumn(
-            "__in", F.when(F.col("__held").isNotNull() & F.col("__in").isNotNull(), F.least("__held", "__in"))
-        )
+    for name in names:
+        df = df.withColumn("__held", F.max("__in").over(before))
+        displaced = F.when(F.col("__held").isNotNull() & F.col("__in").isNotNull(), F.least("__held", "__in"))
+        df = df.withColumns({name: F.greatest("__held", "__in"), "__in": displaced})
     return df.drop("__in", "__held")
 
 
@@ -94,12 +92,15 @@ def running_top_n(
     names = [f"__top{i}" for i in range(n)]
     rows = df.withColumn("__segment", segment).withColumn("__value", F.col(value))
 
+    # Equal values are counted together first; n copies of one are enough. Nulls sort
+    # last, and keep a segment without values in the sequence.
     strongest = Window.partitionBy(*keys, "__segment").orderBy(F.col("__value").desc())
-    # Nulls sort last here; they keep a segment without values in the sequence.
-    partials = rows.select(*keys, "__segment", "__value", F.row_number().over(strongest).alias("__r"))
+    counted = rows.groupBy(*keys, "__segment", "__value").agg(F.least(F.count(F.lit(1)), F.lit(n)).alias("__n"))
+    copies = counted.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n"))))
+    partials = copies.select(*keys, "__segment", "__value", F.row_number().over(strongest).alias("__r"))
     partials = partials.where(F.col("__r") <= n)
     along = Window.partitionBy(*keys).orderBy("__segment", "__r")
-    prefix = _insert(partials, along, F.col("__value"), n, names)
+    prefix = _insert(partials, along, F.col("__value"), names)
     before = [F.lag(name).over(along).alias(name) for name in names]
     seeds = (
         prefix.select(*keys, "__segment", "__r", *before)
@@ -112,7 +113,7 @@ def running_top_n(
         seeds.withColumn("__row", F.lit(False)), allowMissingColumns=True
     )
     within = Window.partitionBy(*keys, "__segment").orderBy("__row", *order)
-    folded = _insert(both, within, F.col("__value"), n, names).where("__row")
+    folded = _insert(both, within, F.col("__value"), names).where("__row")
     return folded.select(*df.columns, F.array_compact(F.array(*names)).alias("top"))
 
 
