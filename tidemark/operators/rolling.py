@@ -6,8 +6,11 @@ import pickle
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.scan import (
     Fold,
@@ -164,41 +167,71 @@ def custom_fold(
     """
     keys = list(keys)
     key_fields = [df.schema[k] for k in keys]
-    state = T.StructType(
-        [*key_fields, T.StructField("__salt", T.IntegerType()), T.StructField("__acc", T.BinaryType())]
-    )
+    state = T.StructType([*key_fields, T.StructField("__acc", T.BinaryType())])
     final = T.StructType([*key_fields, *T._parse_datatype_string(f"`{name}` {result_type}").fields])
+    state_arrow, final_arrow = to_arrow_schema(state), to_arrow_schema(final)
+
+    def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in rows], schema=schema)
 
-    def add_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def gathered_rows(batches: Iterator[pa.RecordBatch], enough: int = 100_000) -> Iterator[pa.Table]:
+        """Several batches at a time, so that ``add`` is called with more rows and less often."""
+        some: list[pa.RecordBatch] = []
+        for batch in batches:
+            some.append(batch)
+            if sum(b.num_rows for b in some) >= enough:
+                yield pa.Table.from_batches(some)
+                some = []
+        if some:
+            yield pa.Table.from_batches(some)
+
+    def add_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, Any] = {}
 
-        def emit() -> pd.DataFrame:
-            out = [(*key, 0, pickle.dumps(acc)) for key, acc in held.items()]
+        def emit() -> pa.RecordBatch:
+            rows = [(*key, pickle.dumps(acc)) for key, acc in held.items()]
             held.clear()
-            return pd.DataFrame(out, columns=state.names)
-
-        for batch in batches:
-            for key, rows in batch.groupby(keys, dropna=False, sort=False):
-                held[key] = add(held[key] if key in held else create(), rows)
+            return batch_of(rows, state_arrow)
+
+        for rows in gathered_rows(batches):
+            number: dict[tuple, int] = {}
+            # Keys as Python values: pandas would turn integers beside nulls into floats.
+            found = zip(*(rows.column(k).to_pylist() for k in keys))
+            group = np.fromiter((number.setdefault(key, len(number)) for key in found), np.int64, rows.num_rows)
+            frame = rows.to_pandas().iloc[np.argsort(group, kind="stable")]
+            ends = np.cumsum(np.bincount(group, minlength=len(number)))
+            for key, start, end in zip(number, [0, *ends[:-1]], ends):
+                held[key] = add(held[key] if key in held else create(), frame.iloc[start:end])
             if len(held) >= max_held:
                 yield emit()
         if held:
             yield emit()
 
-    def merged(blobs: pd.Series) -> Any:
-        acc = create()
-        for blob in blobs:
-            acc = merge(acc, pickle.loads(blob))
-        return acc
-
-    def merge_some(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(*key, pickle.dumps(merged(rows["__acc"])))], columns=state.names)
-
-    def finish(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(*key, result(merged(rows["__acc"])))], columns=final.names)
-
-    partials = df.mapInPandas(add_batches, state)
+    def merge_sorted(schema: pa.Schema, finish: Callable[[Any], Any]):
+        """Merge runs of equal keys; the input is sorted, so one accumulator is held at a time."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at, acc, done = None, None, []
+            for batch in batches:
+                *key_columns, blobs = (batch.column(batch.schema.get_field_index(c)) for c in state_arrow.names)
+                for key, blob in zip(zip(*(c.to_pylist() for c in key_columns)), blobs.to_pylist()):
+                    if key != at:
+                        if at is not None:
+                            done.append((*at, finish(acc)))
+                        at, acc = key, create()
+                    acc = merge(acc, pickle.loads(blob))
+                if len(done) >= 10_000:
+                    yield batch_of(done, schema)
+                    done = []
+            if at is not None:
+                yield batch_of([*done, (*at, finish(acc))], schema)
+
+        return run
+
+    partials = df.mapInArrow(add_batches, state)
     # Salted by input task: the accumulators of one key spread over the groups.
-    spread = partials.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
-    fewer = spread.groupBy(*keys, "__salt").applyInPandas(merge_some, state)
-    return fewer.groupBy(*keys).applyInPandas(finish, final)
+    salted = partials.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
+    salted = salted.repartition(*keys, "__salt").sortWithinPartitions(*keys, "__salt").select(*state.names)
+    fewer = salted.mapInArrow(merge_sorted(state_arrow, pickle.dumps), state)
+    gathered = fewer.repartition(*keys).sortWithinPartitions(*keys)
+    return gathered.mapInArrow(merge_sorted(final_arrow, result), final)
