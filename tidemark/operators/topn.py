@@ -19,16 +19,23 @@ def window_top_n(df: DataFrame, time: str, value: str, size: str, step: str, n:
     return counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
 
 
-def window_top_n_stream(df: DataFrame, time: str, value: str, size: str, step: str, n: int = 2) -> DataFrame:
-    """The same over a watermarked stream, in append mode: two chained aggregations.
+def window_top_n_stream(
+    df: DataFrame, time: str, value: str, size: str, step: str, n: int = 2, spread: int = 32
+) -> DataFrame:
+    """The same over a watermarked stream, in append mode, by chained aggregations.
 
-    Streams cannot rank, so the second aggregation keeps the counts of a window as a
-    list; a window's list is as long as it has distinct values.
+    Streams cannot rank, so counts are gathered in lists: the values of a window are
+    spread over ``spread`` lists, each cut to its n best before those are gathered.
     """
     counts = df.groupBy(F.window(time, size, step).alias("w"), F.col(value)).agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = counts.groupBy("w").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct("cnt", (-F.col(value)).alias("neg"))), False), 1, n).alias("top")
-    )
+    salted = counts.withColumn("__salt", F.pmod(F.hash(value), F.lit(spread)))
+
+    def best(entries):
+        return F.slice(F.sort_array(entries, False), 1, n).alias("top")
+
+    entry = F.struct("cnt", (-F.col(value)).alias("neg"))
+    some = salted.groupBy("w", "__salt").agg(best(F.collect_list(entry)))
+    ranked = some.groupBy("w").agg(best(F.flatten(F.collect_list("top"))))
     rows = ranked.select("w", F.posexplode("top").alias("pos", "t"))
     return rows.select(
         F.col("w.start").alias(START),

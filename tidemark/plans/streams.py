@@ -6,7 +6,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import time as TM
+from tidemark.functions import text
+from tidemark.functions.schema import SENSOR
 from tidemark.operators import changelog, joins, project, rolling, topn, windows
 from tidemark.plans.inputs import SENSORS, bucket, table
 from tidemark.plans.keyed import SOFAR
@@ -14,6 +15,8 @@ from tidemark.plans.registry import query
 from tidemark.plans.rows import TOKENS
 from tidemark.plans.timed import SQL_AGGS, _pair
 from tidemark.session import scratch_path
+from tidemark.sources import log
+from tidemark.sources.tables import typed_table_stream
 from tidemark.streaming import keyed, runs
 
 
@@ -247,3 +250,63 @@ def stream_threshold(spark, sf):
     )
     found = spark.read.schema("event_id bigint, id bigint, vc int, threshold int").parquet(f"{root}/out/rows")
     return found.select("event_id", "id", "vc", "threshold")
+
+
+@query(
+    "stream_slide",
+    SENSORS
+    + f""", p AS (SELECT event_type, vc, {bucket('5 HOUR')} AS w FROM s),
+w AS (SELECT event_type, vc, w AS window_start FROM p UNION ALL SELECT event_type, vc, w - INTERVAL 5 HOUR FROM p)
+SELECT event_type, window_start, window_start + INTERVAL 10 HOUR AS window_end, {SQL_AGGS}
+FROM w GROUP BY 1, 2 HAVING window_end <= {CLOSED}""",
+)
+def stream_slide(spark, sf):
+    rows = _sensor_stream(spark, sf).withWatermark("ts", "1 hour")
+    return _drained(spark, windows.slide(rows, ["event_type"], "ts", "10 hours", "5 hours", _aggs()), "slid", *WINDOW)
+
+
+@query(
+    "stream_wm_monotonic",
+    SENSORS
+    + f"""SELECT event_type, {bucket('1 DAY')} AS window_start, {bucket('1 DAY')} + INTERVAL 1 DAY AS window_end,
+  arg_max(ts, event_id) AS ts, CAST(sum(vc) AS BIGINT) AS vc
+FROM s GROUP BY 1, 2, 3 HAVING window_end <= (SELECT max(ts) FROM s)""",
+)
+def stream_wm_monotonic(spark, sf):
+    """Ascending timestamps: the watermark follows without delay."""
+    rows = _sensor_stream(spark, sf).withWatermark("ts", "0 seconds")
+    reduced = windows.window_reduce(rows, ["event_type"], "ts", "1 day", "vc", "event_id")
+    return _drained(spark, reduced, "monotonic", *WINDOW, "ts")
+
+
+@query("stream_tumble_proc", SENSORS + "SELECT event_type, count(*) AS cnt FROM s GROUP BY 1")
+def stream_tumble_proc(spark, sf):
+    """Windows over the processing time; which windows depends on the clock, so only their sum is compared."""
+    rows = _sensor_stream(spark, sf)
+    counted = windows.tumble_proc(rows, ["event_type"], "10 minutes", {"cnt": F.count(F.lit(1))})
+    with _state_partitions(spark):
+        updates = runs.drain_updates(counted, "proc", ["event_type", *WINDOW])
+    return updates.groupBy("event_type").agg(F.sum("cnt").alias("cnt"))
+
+
+@query(
+    "stream_running_value_counts",
+    SENSORS
+    + """SELECT event_id, id, vc, count(*) OVER (PARTITION BY id, vc ORDER BY event_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt FROM s""",
+)
+def stream_running_value_counts(spark, sf):
+    rows = _sensor_stream(spark, sf).select("event_id", "id", "vc")
+    return _drained(spark, keyed.running_value_counts(rows, ["id"], "vc", ["event_id"]), "values")
+
+
+@query("stream_log_to_table", SENSORS + "SELECT CAST(id AS VARCHAR) AS id, event_id AS ts, vc FROM s")
+def stream_log_to_table(spark, sf):
+    """Log records decoded, parsed and appended to a table."""
+    records = log.encode_keyed(
+        _sensor_stream(spark, sf).select(F.concat_ws(",", "id", "event_id", "vc").alias("value"))
+    )
+    parsed = text.parse_delimited(log.decode(records))
+    root = scratch_path(spark, "logtable")
+    runs.drain(typed_table_stream(parsed, SENSOR, f"{root}/table", f"{root}/checkpoint", every=None))
+    return spark.read.schema(SENSOR).parquet(f"{root}/table")
