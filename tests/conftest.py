@@ -13,7 +13,10 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="3",
+        # Inputs are tiny: compiling a stage would take longer than running it.
+        spark__sql__codegen__wholeStage="false",
+        spark__sql__codegen__factoryMode="NO_CODEGEN",
         spark__driver__memory="4g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoint")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
