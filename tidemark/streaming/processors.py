@@ -94,11 +94,16 @@ class ValueCountProcessor(Ordered):
         self.counts = handle.getMapState("counts", f"v {self.value_type}", "n bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # Each value is read from and written to the store once per micro-batch.
+        counts: dict = {}
         for row in self.in_order(rows):
-            entry = (row[self.value],)
-            n = (self.counts.getValue(entry)[0] if self.counts.containsKey(entry) else 0) + 1
-            self.counts.updateValue(entry, (n,))
-            yield Row(**dict(zip([*self.columns, "cnt"], [*self.keep(row), n])))
+            value = row[self.value]
+            if value not in counts:
+                counts[value] = self.counts.getValue((value,))[0] if self.counts.containsKey((value,)) else 0
+            counts[value] += 1
+            yield Row(**dict(zip([*self.columns, "cnt"], [*self.keep(row), counts[value]])))
+        for value, n in counts.items():
+            self.counts.updateValue((value,), (n,))
 
 
 class CountWindowProcessor(Ordered):
