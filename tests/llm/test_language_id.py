@@ -1,0 +1,65 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import language_id
+
+SCHEMA = "doc_id bigint, text string, lang string"
+SYLLABLES = {
+    "en": "th he an in er on re ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve",
+    "de": "sch ung ein ich der die und den ver ge be ch st te en er zu au ß ä ü ö pf tz keit heit",
+    "fr": "é è le la les ez eau oux que ion ment tre ai ou oi ç ê par pour une des qui eux ch vi an",
+    "es": "ción ado os as la el que rr ll ñ ó í mente ar ez ue ie ja bo ta do es en de lo con por ga",
+    "xx": "zz qq xk jq wv kk vv xq zj jj",
+}
+
+
+def text(r, lang):
+    return " ".join("".join(r.choices(SYLLABLES[lang].split(), k=r.randint(1, 4))) for _ in range(r.randint(8, 60)))
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    r = random.Random(0)
+    rows = [(i, text(r, lang), lang) for i, lang in enumerate(r.choices(list(SYLLABLES), k=700))]
+    return spark.createDataFrame(rows, SCHEMA).repartition(4).cache()
+
+
+def test_held_out_accuracy(spark, corpus):
+    model = language_id.train(corpus.where("doc_id % 3 != 0"), per_language=60)
+    assert model.pairs == [("de", "en"), ("es", "fr")] and len(model.families) == 3
+    found = corpus.where("doc_id % 3 = 0").select("lang", language_id.identify(F.col("text"), model).alias("p")).select("lang", "p.*").collect()
+    assert np.mean([r.lang == r.lang_pred for r in found]) > 0.97
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_svm_meets_its_optimum():
+    r = np.random.default_rng(0)
+    x = r.normal(size=(200, 5)).astype(np.float32)
+    sign = x @ np.array([1, -2, 0.5, 0, 0]) + 0.3 * r.normal(size=200) > 0.2
+    w = language_id.fit_svm(x, sign, cost=1.0, rounds=300).astype(float)
+    y, full = np.where(sign, 1, -1), np.hstack([x, np.ones((200, 1))])
+    own = 200 / (2.0 * np.where(sign, sign.sum(), (~sign).sum()))
+
+    def loss(v):
+        return 0.5 * v @ v + (own * np.maximum(0, 1 - y * (full @ v)) ** 2).sum()
+
+    assert all(loss(w) <= loss(w + d) + 1e-6 for d in 0.01 * r.normal(size=(200, 6)))
+
+
+def test_edges(spark, corpus):
+    model = language_id.train(corpus)
+    rows = [(1, None, "en"), (2, "", "en"), (3, "12 !? \n", None), (4, "x", None), (None, text(random.Random(1), "fr"), None), (5, text(random.Random(2), "es") * 500, "de")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: (r.p.lang_pred, r.p.score) for r in df.select("doc_id", language_id.identify(F.col("text"), model).alias("p")).collect()}
+    assert [got[i] for i in (1, 2, 3)] == [("und", 0.0)] * 3
+    assert got[None][0] == "fr" and got[5][0] == "es" and got[4][0] in SYLLABLES
+    assert language_id.train(spark.createDataFrame([], SCHEMA)) is None
+    assert language_id.train(spark.createDataFrame([(1, "a", None), (2, None, "en"), (None, "a", "en"), (3, "12", "en")], SCHEMA)) is None
+    none = df.select(language_id.identify(F.col("text"), None).alias("p")).collect()
+    assert {r.p.lang_pred for r in none} == {"und"}
+    single = language_id.train(spark.createDataFrame([(1, "abc", "en"), (1, "abc", "en")], SCHEMA))
+    assert {r.p.lang_pred for r in df.where("doc_id = 4").select(language_id.identify(F.col("text"), single).alias("p")).collect()} == {"en"}
+    assert df.where("1 = 0").select(language_id.identify(F.col("text"), model)).count() == 0

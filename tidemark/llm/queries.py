@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import simhash, substring_dedup
+from tidemark.llm import decontamination, language_id, packing, simhash, substring_dedup, token_counts
 from tidemark.session import apply_defaults
 
+
+# The most tokens a document may have before ``over_limit``, and the vocabulary file of both token queries.
+TOKEN_LIMIT = 512
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = VOCABULARY) -> str:
+    """Where the public tokenizers package keeps a vocabulary file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -54,3 +67,31 @@ def substring(docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(docs)
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@_query("op9_token_counts", "documents")
+def tokens(docs: DataFrame, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(docs, tokenizer_path()).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@_query("op10_best_fit_packing", "documents")
+def packed(docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, tokenizer_path())
+
+
+def held_out(doc_id: Column) -> Column:
+    """The documents that language identification must not learn from."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+
+
+@_query("op7_language_id", "documents")
+def languages(docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = language_id.train(docs.where(~held_out(F.col("doc_id"))))
+    found = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), language_id.identify(F.col("text"), model).alias("found"))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+@_query("op3_benchmark_decontamination", "documents")
+def leaks(docs: DataFrame, sf_dir: str) -> DataFrame:
+    items = docs.sparkSession.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contaminated(docs, items)
