@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontamination, language_id, packing, simhash, substring_dedup, token_counts
+from tidemark.llm import decontamination, fingerprints, html_extract, language_id, lm_scoring, packing, simhash, substring_dedup, token_counts, url_filters
 from tidemark.session import apply_defaults
 
 
@@ -95,3 +95,41 @@ def languages(docs: DataFrame, sf_dir: str) -> DataFrame:
 def leaks(docs: DataFrame, sf_dir: str) -> DataFrame:
     items = docs.sparkSession.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.contaminated(docs, items)
+
+
+# The rules that the contract of the url query names.
+URL_RULES = ["allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/"]
+
+
+@_query("op1_url_filters", "pages")
+def urls(pages: DataFrame, sf_dir: str) -> DataFrame:
+    weights = url_filters.fit(url_filters.labelled_urls(pages.sparkSession))
+    found = url_filters.judge(pages, [url_filters.parse_rule(r) for r in URL_RULES], weights)
+    return found.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict", "judged.share")
+
+
+@_query("op4_document_fingerprints", "documents")
+def prints(docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = fingerprints.edited_fingerprints(docs)
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("fingerprint")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_print")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+@_query("op8_html_extraction", "pages")
+def texts(pages: DataFrame, sf_dir: str) -> DataFrame:
+    site = url_filters.host_and_path(F.col("url"))[0]
+    found = html_extract.main_texts(pages.withColumn("page", F.struct("page_id", "url")), site, "page")
+    return found.select("page.page_id", "page.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@_query("op5_lm_scoring", "documents")
+def likelihoods(docs: DataFrame, sf_dir: str) -> DataFrame:
+    known = lm_scoring.vocabulary(docs)
+    return lm_scoring.score(docs, known, lm_scoring.train(docs, known))
