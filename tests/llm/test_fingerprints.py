@@ -1,0 +1,82 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import fingerprints as fp
+
+SCHEMA = "doc_id bigint, text string"
+
+
+def shingles(text):
+    words = (text or "").encode().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def edited(rows):
+    ids = sorted({i for i, _ in rows if i is not None}, reverse=True)
+    start = {}
+    for i, t in rows:
+        start[i] = min(start.get(i, t or ""), t or "")
+    after = dict(zip(ids, ids[1:] + ids[:1]))
+    out = []
+    for i, t in rows:
+        t = t or ""
+        third = len(t) // 3
+        out.append((i, t[: len(t) - third] + (start[after[i]][:third] if i is not None else ""), start[after[i]] if i is not None else ""))
+    return out
+
+
+def corpus(seed, n):
+    r = random.Random(seed)
+    words = [f"w{i}é" for i in range(300)]
+    return [(i * i + 1, r.choice(["", " ", "\n"]) + r.choice([" ", "  \t"]).join(r.choices(words, k=r.choice([0, 1, 3, 4, 5, 20, 60, 100])))) for i in range(n)]
+
+
+def test_edited_texts_and_exact_likeness_of_short_texts(spark):
+    rows = corpus(0, 60)
+    found = {r.doc_id: r for r in fp.edited_fingerprints(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
+    assert len(found) == len(rows)
+    for (i, text), (_, changed, other) in zip(rows, edited(rows)):
+        row = found[i]
+        assert (row.n_chars, row.edited) == (len(text), changed)
+        for got, a, b in ((row.near_edited, text, changed), (row.near_next, text, other)):
+            # Exact where the fingerprint of both holds all their shingles.
+            assert got == pytest.approx(jaccard(a, b), abs=1e-9 if len(shingles(a) | shingles(b)) <= fp.K else 0.1)
+        assert len(row.fingerprint) == len(shingles(text))
+
+
+def test_estimates_and_merging(spark):
+    r = random.Random(1)
+    words = [f"v{i}" for i in range(5000)]
+    long = [r.choice(words) for _ in range(9000)]
+    rows = [(1, " ".join(long[:6000])), (2, " ".join(long[3000:])), (3, " ".join(long)), (4, " ".join(long[:3000]))]
+    df = spark.createDataFrame(rows, SCHEMA).select("doc_id", fp.word_hashes(F.col("text")).alias("h")).select("doc_id", fp.fingerprint(F.col("h"), 512).alias("fingerprint"))
+    p = {x.doc_id: x.fingerprint for x in df.collect()}
+    pair = spark.createDataFrame([(p[1], p[2], p[3], p[4])], "a array<bigint>, b array<bigint>, c array<bigint>, d array<bigint>")
+    a, b, c, d = map(F.col, "abcd")
+    got = pair.select(fp.resemblance(a, b, 512), fp.containment(d, a, 512), fp.distinct(c, 512), fp.merged(a, b, 512)).first()
+    assert got[0] == pytest.approx(1 / 3, abs=0.08) and got[1] > 0.85 and got[2] == pytest.approx(8996, rel=0.15)
+    whole = fp.merge_by(df.where("doc_id < 3").withColumn("g", F.lit("x")), ["g"], k=512).first().fingerprint
+    assert whole == got[3]
+    assert len(set(whole) & set(p[3])) >= 508  # but for shingles over the joints
+
+
+def test_equal_texts_edges_and_empty_tables(spark):
+    rows = [(1, None), (2, ""), (3, "a b"), (4, "a  b"), (5, "x " * 30_000), (6, "x " * 30_000), (6, "x " * 30_000), (None, "a b c d e f g h i"), (9, "only é")]
+    found = fp.edited_fingerprints(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    want = sorted(repr((i, t)) for i, t, _ in edited(rows))
+    assert sorted(repr((r.doc_id, r.edited)) for r in found) == want
+    by = {r.doc_id: r for r in found}
+    assert by[3].fingerprint == by[4].fingerprint and by[5].fingerprint == by[6].fingerprint
+    assert by[2].near_next == 1.0 and by[1].near_edited == 1.0 and by[3].near_next == 0.0 and by[6].near_next == 1.0
+    assert fp.edited_fingerprints(spark.createDataFrame([], SCHEMA)).count() == 0
+    single = fp.edited_fingerprints(spark.createDataFrame([(1, "abcdef", 2, "n")], "doc_id bigint, text string, part int, next string")).collect()
+    assert [r.edited for r in single] == ["abcdab"]
+    empty = spark.createDataFrame([("g", []), ("h", [3, 1]), ("h", [1])], "g string, fingerprint array<bigint>")
+    assert {r.g: r.fingerprint for r in fp.merge_by(empty, ["g"]).collect()} == {"g": [], "h": [1, 3]}
