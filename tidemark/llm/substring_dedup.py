@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidemark.llm.shared import Rolling, lists_of, mixed, numbers_in, text_slices, words
 
@@ -154,7 +154,7 @@ def _cut(width: int, joined: bool):
                     total.append(n)
                     if not places[k].is_valid or not len(places[k]):
                         removed.append(0), firsts.append([]), lasts.append([])
-                        texts.append(b" ".join(parts) if joined else text)
+                        texts.append(b" ".join(parts) if joined else text if rows.column(1)[k].is_valid else None)
                         continue
                     begin = places[k].values.to_numpy()
                     change = np.zeros(n + 1, dtype=np.int64)
@@ -174,13 +174,14 @@ def _cut(width: int, joined: bool):
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0),
+                        rows.column(4),
                         pa.array(texts, type=pa.binary()).cast(pa.string()),
                         pa.array(total, type=pa.int64()),
                         pa.array(removed, type=pa.int64()),
                         pa.array(firsts, type=pa.list_(pa.int32())),
                         pa.array(lasts, type=pa.list_(pa.int32())),
                     ],
-                    names=["id", "kept", "n_words", "n_removed", "first_word", "end_word"],
+                    names=["id", "rest", "kept", "n_words", "n_removed", "first_word", "end_word"],
                 )
 
     return run
@@ -188,11 +189,12 @@ def _cut(width: int, joined: bool):
 
 def _repeated(texts: DataFrame, kind: str, window: int) -> DataFrame:
     """(id, place, length): runs of window starts, numbered by their first word, whose words also start earlier."""
-    anchors = texts.mapInArrow(_anchor_rows(window), f"low bigint, salt bigint, id {kind}, n int")
+    anchors = texts.select("id", "text").mapInArrow(_anchor_rows(window), f"low bigint, salt bigint, id {kind}, n int")
     total = F.sum("n").over(Window.partitionBy("low", "salt"))
     again = anchors.select("low", "id", total.alias("total")).where("total > 1")
     wanted = again.groupBy(F.col("id").alias("own")).agg(F.collect_list("low").alias("lows"))
-    near = texts.join(wanted, F.col("id").eqNullSafe(F.col("own"))).select("id", "text", "lows")
+    # ``rest`` goes along unread: the exchange of the texts is then the one that the last join needs, and made once.
+    near = texts.join(wanted, F.col("id").eqNullSafe(F.col("own"))).select("id", "text", "lows", "rest")
     schema = f"key bigint, done boolean, id {kind}, hash array<bigint>, place array<int>"
     each = near.mapInArrow(_window_rows(window), schema).repartition("key")
     each = each.select("key", "done", "id", F.inline(F.arrays_zip("hash", "place")))
@@ -205,20 +207,24 @@ def _repeated(texts: DataFrame, kind: str, window: int) -> DataFrame:
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, joined: bool = True
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``kept``, ``n_words``, ``n_removed`` and the removed intervals of words.
+    """One row per row of ``docs``: id, ``kept``, ``n_words``, ``n_removed``, the removed intervals of words and ``rest``.
 
     A word goes if a window of ``window`` consecutive words covers it whose words also start at a smaller id, or earlier
     in the same document; all windows are judged on the input. Words are runs of bytes other than space and tab to
     carriage return. ``kept`` has the other words joined by one space, or, without ``joined``, the text as it was outside
-    the removed intervals (``first_word`` up to before ``end_word``, maximal and in order).
+    the removed intervals (``first_word`` up to before ``end_word``, maximal and in order). ``rest`` is a struct of the
+    other columns of ``docs`` (null if there are none).
 
-    A null text has no words and ``kept`` is empty; texts shorter than a window stay whole. A null id comes before all
+    A null text has no words and ``kept`` is empty (null without ``joined``); texts shorter than a window stay whole. A null id comes before all
     others. Rows that share an id count as one document: repeats of a row get the same result and don't cut each other.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    runs = _repeated(texts, kind, window).groupBy(F.col("id").alias("own"))
+    kind = docs.schema[id_col].dataType
+    others = [docs[c] for c in docs.columns if c not in (id_col, text_col)]
+    rest = F.struct(*others) if others else F.lit(None).cast("boolean")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), rest.alias("rest"))
+    runs = _repeated(texts, kind.simpleString(), window).groupBy(F.col("id").alias("own"))
     runs = runs.agg(F.collect_list("place").alias("places"), F.collect_list("length").alias("lengths"))
-    found = texts.join(runs, F.col("id").eqNullSafe(F.col("own")), "left").select("id", "text", "places", "lengths")
-    schema = f"id {kind}, kept string, n_words bigint, n_removed bigint, first_word array<int>, end_word array<int>"
+    found = texts.join(runs, F.col("id").eqNullSafe(F.col("own")), "left").select("id", "text", "places", "lengths", "rest")
+    new = T.StructType.fromDDL("kept string, n_words bigint, n_removed bigint, first_word array<int>, end_word array<int>")
+    schema = T.StructType([T.StructField("id", kind), T.StructField("rest", texts.schema["rest"].dataType), *new])
     return found.mapInArrow(_cut(window, joined), schema).withColumnRenamed("id", id_col)
