@@ -6,17 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontamination, language_id, packing, simhash, substring_dedup
 from tidemark.llm.queries import held_out, tokenizer_path
+from tidemark.llm.shared import settled
 from tidemark.session import apply_defaults, scratch_path
 
 # Language identification, the benchmark alignment and the packing have no SQL.
 ORACLE_SQL = None
 
 
-def _of(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined to rows with their ids under ``own_id``."""
-    return docs.join(decisions, F.col("doc_id").eqNullSafe(F.col("own_id")), how)
-
-
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without text or letters go. The model learns from the rows not held out."""
     model = language_id.train(docs.where(~held_out(F.col("doc_id"))))
@@ -28,22 +24,25 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; rows that repeat it become one."""
-    found = simhash.near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("own_id")).distinct()
-    return _of(docs, kept, "left_semi").dropDuplicates(["doc_id"])
+    """The document with the smallest id of each group of near copies; rows that repeat an id become one."""
+    found = settled(simhash.near_duplicates(docs))
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
+    # Texts are exchanged again only where there are rows to merge.
+    repeats = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    return kept if repeats.isEmpty() else kept.dropDuplicates(["doc_id"])
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the word sequences that an earlier document has; a document of which nothing is left goes."""
-    found = substring_dedup.remove_repeats(docs, joined=False).where("n_removed > 0")
-    found = found.select(F.col("doc_id").alias("own_id"), "kept", F.col("n_words").alias("words_before"), F.col("n_removed").alias("words_gone"))
-    joined = _of(docs, found, "left").where(F.col("own_id").isNull() | (F.col("words_gone") < F.col("words_before")))
-    cut = F.col("own_id").isNotNull()
-    new = {"text": F.when(cut, F.col("kept")).otherwise(docs["text"])}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(cut, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(docs["n_chars"])
-    return joined.select(*(new[c].alias(c) if c in new else docs[c] for c in docs.columns))
+    found = substring_dedup.remove_repeats(docs, joined=False).where("n_removed = 0 OR n_removed < n_words")
+    columns = []
+    for c in docs.columns:
+        own = F.col("doc_id") if c == "doc_id" else F.col("kept") if c == "text" else F.col("rest")[c]
+        if c == "n_chars":
+            own = F.when(F.col("n_removed") > 0, F.length("kept").cast(docs.schema[c].dataType)).otherwise(own)
+        columns.append(own.alias(c))
+    return found.select(*columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
