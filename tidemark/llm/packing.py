@@ -23,7 +23,9 @@ from tidemark.llm.shared import Rolling, numbers_in, settled, text_slices
 
 CAPACITY = 1024
 END_ID = 2
-_KNOWN = 1 << 19
+_KNOWN = 1 << 20
+_LINES = 256
+_SLICE = 1 << 20
 
 
 class _Encoder:
@@ -36,44 +38,70 @@ class _Encoder:
         added = self.library.get_added_tokens_decoder()
         self.special = {t.content.encode(): i for i, t in added.items()}
         self.rolling = Rolling(5)
+        self.line = self.library.encode("\n", add_special_tokens=False).ids
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known, self.place = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self.flat, self.begin, self.size = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
+    def _look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens, one after another, and the number of each one's ids.
+
+        A line break is a pre-token of its own before a word or a space and a word, so that such are given to the library
+        many to a text, with line breaks between them; the others one by one.
+        """
+        plain = [len(self.line) == 1 and w.removeprefix(" ").isalnum() for w in words]
+        many = [w for w, p in zip(words, plain) if p]
+        lines = ["\n".join(many[i : i + _LINES]) + "\n" for i in range(0, len(many), _LINES)]
+        single = [w for w, p in zip(words, plain) if not p]
+        found = self.library.encode_batch_fast(lines + single, add_special_tokens=False)
+        joined = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in found[: len(lines)]] or [np.zeros(0, dtype=np.uint32)])
+        others = [np.array(e.ids, dtype=np.uint32) for e in found[len(lines) :]]
+        breaks = np.flatnonzero(joined == self.line[0])
+        if len(breaks) != len(many):
+            raise RuntimeError("the vocabulary doesn't keep line breaks apart")
+        sizes = np.concatenate([np.diff(breaks, prepend=-1) - 1, [len(x) for x in others]]).astype(np.int64)
+        flat = np.concatenate([np.delete(joined, breaks), *others])
+        # Back to the order of ``words``.
+        order = np.empty(len(words), dtype=np.int64)
+        plain = np.array(plain, dtype=bool)
+        order[plain], order[~plain] = np.arange(len(many)), len(many) + np.arange(len(single))
+        begin = (np.cumsum(sizes) - sizes)[order]
+        sizes = sizes[order]
+        return flat[np.repeat(begin, sizes) + numbers_in(sizes)], sizes
+
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice, and for each row the number of its ids."""
         starts, ends, row, at, until, signs = pretokens(data, bounds, tuple(self.special))
-        _, first, each = np.unique(self.rolling.spans(data, starts, ends), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        words = [raw[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())]
+        distinct, first, each = np.unique(self.rolling.spans(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.known) > _KNOWN:
             self.forget()
-        new = [w for w in words if w not in self.known]
-        if new:
-            found = [e.ids for e in self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
-            size = np.array([len(x) for x in found], dtype=np.int64)
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        there = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), dtype=bool)
+        new[there < len(self.known)] = self.known[there[there < len(self.known)]] != distinct[there < len(self.known)]
+        raw = data.tobytes()
+        if new.any():
+            fresh = first[new]
+            flat, size = self._look_up([raw[i:j].decode() for i, j in zip(starts[fresh].tolist(), ends[fresh].tolist())])
+            self.known = np.insert(self.known, there[new], distinct[new])
+            self.place = np.insert(self.place, there[new], len(self.begin) + np.arange(len(size)))
             self.begin = np.append(self.begin, len(self.flat) + np.cumsum(size) - size)
-            self.size = np.append(self.size, size)
-            self.flat = np.append(self.flat, np.fromiter((i for x in found for i in x), dtype=np.uint32))
-        numbers = np.array([self.known[w] for w in words], dtype=np.int64)[each] if words else np.zeros(0, dtype=np.int64)
+            self.size, self.flat = np.append(self.size, size), np.append(self.flat, flat)
+            there = np.searchsorted(self.known, distinct)
+        numbers = self.place[there][each] if len(distinct) else np.zeros(0, dtype=np.int64)
+        begin, size, flat = self.begin, self.size, self.flat
         if len(signs):
             # Special strings stand between pre-tokens, as words of one id.
             ids = np.array([self.special[raw[i:j]] for i, j in zip(at.tolist(), until.tolist())], dtype=np.uint32)
-            begin, size = np.append(self.begin, len(self.flat) + np.arange(len(ids))), np.append(self.size, np.ones(len(ids), dtype=np.int64))
-            flat = np.append(self.flat, ids)
+            begin, size = np.append(begin, len(flat) + np.arange(len(ids))), np.append(size, np.ones(len(ids), dtype=np.int64))
+            flat = np.append(flat, ids)
             order = np.argsort(np.append(starts, at), kind="stable")
             numbers = np.append(numbers, len(self.begin) + np.arange(len(ids)))[order]
             row = np.append(row, signs)[order]
-        else:
-            begin, size, flat = self.begin, self.size, self.flat
         lengths = size[numbers]
         ids = flat[np.repeat(begin[numbers], lengths) + numbers_in(lengths)]
-        total = np.zeros(len(bounds) - 1, dtype=np.int64)
-        np.add.at(total, row, lengths)
-        return ids, total
+        return ids, np.bincount(row, weights=lengths, minlength=len(bounds) - 1).astype(np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -87,7 +115,7 @@ def _piece_rows(tokenizer: str, capacity: int, end_id: int):
         encoder, seen = _encoder(tokenizer), np.zeros(capacity + 1, dtype=np.int64)
         part, tail = TaskContext.get().partitionId(), np.uint32(end_id).tobytes()
         for batch in batches:
-            for rows, data, bounds in text_slices(batch, "text"):
+            for rows, data, bounds in text_slices(batch, "text", _SLICE):
                 ids, total = encoder.encode(data, bounds)
                 ends = np.cumsum(total)
                 raw = ids.astype("<u4").tobytes()

@@ -83,8 +83,19 @@ def run(kinds: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
     padded[: len(kinds)] = kinds
     columns = np.ascontiguousarray(padded.reshape(chunks, chunk).T)
     maps = np.repeat(np.arange(12, dtype=np.uint8)[None], chunks, axis=0)
-    for column in columns:
-        maps = nexts[maps * np.uint8(12) + column[:, None]]
+    # Most signs lead to one state from any: soon a chunk's map is constant, and one state stands for all.
+    alike, apart = np.zeros(chunks, dtype=np.uint8), np.arange(chunks)
+    for k, column in enumerate(columns):
+        alike = nexts[alike * np.uint8(12) + column]
+        if len(apart):
+            maps[apart] = now = nexts[maps[apart] * np.uint8(12) + column[apart][:, None]]
+            if k % 4 == 3:
+                one = (now == now[:, :1]).all(axis=1)
+                alike[apart[one]] = now[one, 0]
+                apart = apart[~one]
+    done = np.ones(chunks, dtype=bool)
+    done[apart] = False
+    maps[done] = alike[done][:, None]
     state = _scan(maps) if chunks else np.zeros(0, dtype=np.uint8)
     out = np.empty_like(columns)
     for column, cut in zip(columns, out):

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 
 from tidemark.session import scratch_root
 
-# A task looks at about this many bytes of text at a time, or at one text where that is longer.
+# A task looks at about this many bytes of text at a time, in no more rows than that, or at one text where it is longer.
 SLICE_BYTES = 1 << 21
+SLICE_ROWS = 1024
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -33,7 +34,7 @@ def text_slices(batch: pa.RecordBatch, name: str, size: int = SLICE_BYTES) -> It
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + size, side="right")) - 1)
-        last = min(last, len(column))
+        last = min(last, first + SLICE_ROWS, len(column))
         yield batch.slice(first, last - first), whole[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
         first = last
 
