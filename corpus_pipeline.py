@@ -15,6 +15,7 @@ ORACLE_SQL = None
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without text or letters go. The model learns from the rows not held out."""
+    apply_defaults(spark)
     model = language_id.train(docs.where(~held_out(F.col("doc_id"))))
     found = language_id.identify(F.col("text"), model)["lang_pred"]
     if model is None:
@@ -25,6 +26,7 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies; rows that repeat an id become one."""
+    apply_defaults(spark)
     found = settled(simhash.near_duplicates(docs))
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     kept = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
@@ -35,6 +37,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the word sequences that an earlier document has; a document of which nothing is left goes."""
+    apply_defaults(spark)
     found = substring_dedup.remove_repeats(docs, joined=False).where("n_removed = 0 OR n_removed < n_words")
     columns = []
     for c in docs.columns:
@@ -47,12 +50,13 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark, copied or edited."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    items = apply_defaults(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
     return docs.where(F.size(decontamination.contaminations(docs, items)) == 0)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces in sequences of 1024 tokens at most."""
+    apply_defaults(spark)
     return packing.pack(docs, tokenizer_path())
 
 
@@ -67,7 +71,6 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other; between two of them the documents are a Parquet table in the shared folder."""
-    apply_defaults(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name)
