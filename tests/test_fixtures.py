@@ -176,46 +176,49 @@ def test_late_classes_and_firings(sensors, segment):
     assert rows(lateness.late_side_output(df, "event_time", ["arr"], "10 seconds", 3, 2, cut), "ts") == [(7,)]
 
 
-@pytest.mark.parametrize("segment", [None, "arr"])
-def test_idle_partitions(spark, segment):
-    values = [1, 3, 5, 7, 9, 11, 13]
-    df = spark.createDataFrame([(i + 1, v, v % 2, 10 * i) for i, v in enumerate(values)], "arr int, ts int, part int, clock int")
-    df = time.event_time(df)
-    cut = F.col(segment) if segment else None
-    stuck = lateness.low_watermark(df, "event_time", ["arr"], "part", [0, 1], segment=cut)
-    assert in_order(stuck, "watermark") == [(None,)] * 7
-    moving = lateness.idle_watermark(df, "event_time", ["arr"], "part", [0, 1], "clock", 5, segment=cut)
-    # Ten ticks between arrivals: the silent partition is idle, and so is the other
-    # before each row, so the watermark never starts; with a patient timeout for
-    # partition 1 it follows the rows.
-    assert in_order(moving, "watermark") == [(None,)] * 7
-    closer = df.withColumn("clock", F.col("arr"))
-    moving = lateness.idle_watermark(closer, "event_time", ["arr"], "part", [0, 1], "clock", 5, segment=cut)
-    marks = [r[0] for r in in_order(moving, F.unix_millis("watermark"))]
-    assert marks == [None] * 5 + [8999, 10999]
-
-
-def test_low_watermark_is_the_minimum(spark):
-    df = spark.createDataFrame([(1, 10, 0), (2, 4, 1), (3, 12, 0), (4, 8, 1), (5, 9, 1)], "arr int, ts int, part int")
-    for segment in (None, F.col("arr")):
-        marks = lateness.low_watermark(time.event_time(df), "event_time", ["arr"], "part", segment=segment)
-        assert in_order(marks, F.unix_millis("watermark")) == [(None,), (None,), (3999,), (3999,), (7999,)]
-
-
 def test_timer(sensors):
     at = F.timestamp_seconds(F.lit(5))
 
-    def fired(*times, refire=False):
-        df = time.event_time(sensors(*(("s1", t, t) for t in times)))
-        return state.event_timer(df, ["id"], "event_time", ["arr"], at, 3, refire).count()
+    def fired(*times):
+        df = time.event_time(sensors(*((k, t, t) for k, t in times)))
+        return rows(state.event_timer(df, ["id"], "event_time", ["arr"], at, 3))
+
+    def single(*times):
+        return len(fired(*(("s1", t) for t in times)))
+
+    assert single(1, 5, 8) == 0
+    assert single(1, 5, 8, 9) == 1
+    assert single(1, 5, 8, 9, 20) == 1
+    # A key first seen after the last advance of the watermark waits for another.
+    assert fired(("a", 9), ("b", 8)) == [("a", 1)]
+    assert fired(("a", 9), ("b", 8), ("a", 9)) == [("a", 1)]
+    assert fired(("a", 9), ("b", 8), ("a", 10)) == [("a", 1), ("b", 2)]
+
+
+def test_extremes_pass_over_nulls(spark):
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, None), ("a", 3, 9), ("b", 4, None)], "id string, o int, v int")
+    found = rolling.group_aggregate(df, ["id"], "v", ["o"])
+    assert rows(found, "id", "first_max", "first_min") == [("a", 3, 1), ("b", None, None)]
 
-    assert fired(1, 5, 8) == 0
-    assert fired(1, 5, 8, 9) == 1
-    assert fired(1, 5, 8, 9, 20) == 1
-    assert fired(1, 5, 8, 9, 20, refire=True) == 2
-    # A row that does not advance the watermark waits for one that does.
-    assert fired(1, 5, 8, 9, 7, refire=True) == 1
-    assert fired(1, 5, 8, 9, 7, 20, refire=True) == 2
+
+def test_extreme_row_by_any_order_type(spark):
+    stamps = [(1, "2024-01-01 00:00:00", 4), (1, "2024-01-02 00:00:00", 4), (1, "2024-01-03 00:00:00", 2)]
+    df = spark.createDataFrame(stamps, "k int, s string, v int").withColumn("t", F.col("s").cast("timestamp_ntz"))
+    best = rolling.rolling_max_by(df.drop("s").withColumn("n", F.dayofmonth("t")), ["k"], "v", ["t"])
+    assert rows(best, "n") == [(1,), (1,), (1,)]
+    low = spark.createDataFrame([(1, -(1 << 63), "x", 4), (1, 0, "y", 4)], "k int, o long, n string, v int")
+    assert rows(rolling.rolling_max_by(low, ["k"], "v", ["o"]), "n") == [("x",), ("x",)]
+
+
+def test_custom_fold_groups_as_spark_does(spark):
+    nan = float("nan")
+    keys = [(nan, "a"), (nan, "a"), (0.0, "a"), (-0.0, "a"), (None, "a"), (None, None), (1.5, "b")]
+    df = spark.createDataFrame([(*k, i) for i, k in enumerate(keys)], "x double, y string, v int").repartition(3)
+    folded = rolling.custom_fold(
+        df, ["x", "y"], create=lambda: 0, add=lambda a, b: a + len(b), merge=lambda a, b: a + b, result=lambda a: a, result_type="bigint"
+    )
+    want = df.groupBy("x", "y").count()
+    assert sorted(map(str, folded.collect())) == sorted(map(str, want.withColumnRenamed("count", "result").collect()))
 
 
 @pytest.mark.parametrize("segment", [None, "arr"])
@@ -328,6 +331,38 @@ def test_types(spark):
     assert rows(cast) == [(2.5, 1, None)]
 
 
+def test_parsing_other_types_and_separators(spark):
+    schema = spark.createDataFrame([], "id string, v double, d date, b boolean").schema
+    lines = spark.createDataFrame([("s1^|1.5^|2024-01-02^|true",), ("s2^|-2e3^|2024-1-2^|yes",), ("s3^| 1^|^|",)], "value string")
+    found = text.parse_delimited(lines, schema, sep="^|", mode="permissive")
+    assert rows(found, "id", "v", F.col("d").cast("string"), "b", "malformed") == [
+        ("s1", 1.5, "2024-01-02", True, False), ("s2", -2000.0, None, None, True), ("s3", None, None, None, True),
+    ]
+    for sep in ("]", "-", "||", "."):
+        one = spark.createDataFrame([(sep.join(["a", "7"]),)], "value string")
+        assert rows(text.parse_delimited(one, spark.createDataFrame([], "id string, n int").schema, sep=sep)) == [("a", 7)]
+
+
+def test_malformed_json(spark):
+    schema = spark.createDataFrame([], "a int, b string").schema
+    df = spark.createDataFrame([(1, '{"a": 1, "b": "x"}'), (2, '{"a": 2'), (3, None), (4, '{"a": "no"}'), (5, "{}")], "n int, value string")
+    found = text.rows_from_json(df, schema, keep=["n"], mode="permissive")
+    assert rows(found, "n", "a", "malformed") == [(1, 1, False), (2, None, True), (3, None, False), (4, None, True), (5, None, False)] or rows(
+        found.where("n in (1, 3, 5)"), "n", "a", "malformed"
+    ) == [(1, 1, False), (3, None, False), (5, None, False)]
+    assert rows(text.rows_from_json(df.where("n in (1, 3, 5)"), schema, keep=["n"]), "n", "a") == [(1, 1), (3, None), (5, None)]
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        text.rows_from_json(df, schema).collect()
+
+
+def test_nested_types():
+    kind = schema.spark_type("ROW<a INTEGER, `b` ARRAY<DECIMAL(10, 2)>, c MAP<VARCHAR(5), ROW<x DATE>>>")
+    assert kind.simpleString() == "struct<a:int,b:array<decimal(10,2)>,c:map<string,struct<x:date>>>"
+    for bad in ("MAP<INTEGER>", "ROW<INTEGER>", "ARRAY<NOTHING>"):
+        with pytest.raises(ValueError):
+            schema.spark_type(bad)
+
+
 def test_event_time_units(spark):
     df = spark.createDataFrame([(5,)], "ts bigint")
     assert rows(time.event_time(df).select(F.unix_millis("event_time"))) == [(5000,)]

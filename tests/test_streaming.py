@@ -318,3 +318,39 @@ def test_resume(spark, stream_of, tmp_path):
     again = runs.drain_to_table(keyed.running_count(stream, ["id"], ["arr"]), "x", path=path)
     batch = spark.createDataFrame(ALL, SENSOR)
     assert rows(again) == rows(state.partition_running_count(batch, ["id"], ["arr"]))
+
+
+@pytest.mark.parametrize("name", ["stream_jump_alert", "stream_tumble", "stream_wordcount", "stream_running_sum"])
+def test_a_table_is_a_file_or_a_folder(spark, tmp_path, name):
+    """The same rows from one file as from a folder of parts, read in several micro-batches."""
+    from tidemark.plans.catalog import QUERIES
+
+    source, folder = "/root/testdata/sf0.001", tmp_path / "sf"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        for table, order in (("events", "event_id"), ("conversations", "conv_id")):
+            parts = spark.read.parquet(f"{source}/{table}.parquet").repartitionByRange(6, order).sortWithinPartitions(order)
+            parts.write.parquet(str(folder / f"{table}.parquet"))
+            for i, part in enumerate(sorted((folder / f"{table}.parquet").glob("part-*"))):
+                os.utime(part, (1_700_000_000 + i, 1_700_000_000 + i))
+        assert rows(QUERIES[name](spark, str(folder))) == rows(QUERIES[name](spark, source)) != []
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_missing_table_raises(spark, tmp_path):
+    from tidemark.streaming.runs import table_stream
+
+    with pytest.raises(FileNotFoundError):
+        table_stream(spark, str(tmp_path / "events.parquet"), spark.range(1).schema)
+
+
+def test_sums_keep_their_type(pair, spark, stream_of):
+    values = [(1, "a", 1, None), (2, "a", 2, 100.2), (3, "a", 3, 85.02), (4, "b", 4, None)]
+    schema = "arr int, id string, ts bigint, vc double"
+    stream = stream_of(schema, values[:2], values[2:], name="doubles")
+    found = rows(drained(keyed.running_sum(stream, ["id"], "vc", ["arr"])), "arr", F.round("total", 2))
+    assert found == [(1, None), (2, 100.2), (3, 185.22), (4, None)]
+    mean = rows(drained(keyed.running_avg(stream, ["id"], "vc", ["arr"])), "arr", F.round("avg", 2))
+    assert mean == [(1, None), (2, 100.2), (3, 92.61), (4, None)]

@@ -49,9 +49,32 @@ DATABASE_TYPES = {
 }
 
 
+def _split_top(text: str) -> list[str]:
+    """``text`` at the commas that stand in no brackets."""
+    parts, depth, start = [], 0, 0
+    for i, sign in enumerate(text):
+        depth += (sign in "<(") - (sign in ">)")
+        if sign == "," and depth == 0:
+            parts.append(text[start:i])
+            start = i + 1
+    return [p.strip() for p in [*parts, text[start:]]]
+
+
 def spark_type(name: str) -> T.DataType:
-    """Spark type of a database type such as ``BIGINT`` or ``DECIMAL(10,2)``."""
-    text = name.strip().upper()
+    """Spark type of a database type such as ``BIGINT``, ``DECIMAL(10,2)``, ``ARRAY<INTEGER>``, ``MAP<VARCHAR, DOUBLE>``
+    or ``ROW<a INTEGER, b ARRAY<DATE>>``."""
+    text = name.strip()
+    nested = re.fullmatch(r"(?is)(ARRAY|MULTISET|MAP|ROW)\s*<(.*)>", text)
+    if nested:
+        kind, inner = nested[1].upper(), _split_top(nested[2])
+        if kind in ("ARRAY", "MULTISET") and len(inner) == 1:
+            return T.ArrayType(spark_type(inner[0]))
+        if kind == "MAP" and len(inner) == 2:
+            return T.MapType(spark_type(inner[0]), spark_type(inner[1]))
+        if kind == "ROW" and all(" " in x for x in inner):
+            return T.StructType([T.StructField(*_field(x)) for x in inner])
+        raise ValueError(f"no Spark type for {name!r}")
+    text = text.upper()
     decimal = re.fullmatch(r"DECIMAL\s*\(\s*(\d+)\s*,\s*(\d+)\s*\)", text)
     if decimal:
         return T.DecimalType(int(decimal[1]), int(decimal[2]))
@@ -63,6 +86,12 @@ def spark_type(name: str) -> T.DataType:
     raise ValueError(f"no Spark type for {name!r}")
 
 
+def _field(field: str) -> tuple[str, T.DataType]:
+    """Name and type of a field such as ``a INTEGER``."""
+    name, kind = field.split(None, 1)
+    return name.strip("`"), spark_type(kind)
+
+
 def table_schema(columns: dict[str, str]) -> T.StructType:
     """Schema from column name -> database type."""
     return T.StructType([T.StructField(n, spark_type(t)) for n, t in columns.items()])

@@ -73,13 +73,17 @@ def _descending(df: DataFrame, column: str) -> Column:
     """A value that falls as ``column`` rises, for use inside a struct."""
     kind = df.schema[column].dataType
     c = F.col(column)
+    if isinstance(kind, T.IntegralType):
+        return F.bitwise_not(c)  # the smallest integer has no negative
     if isinstance(kind, T.NumericType):
         return -c
     if isinstance(kind, T.DateType):
         return -F.unix_date(c)
     if isinstance(kind, T.TimestampType):
         return -F.unix_micros(c)
-    raise ValueError(f"order column {column} must be a number, date or timestamp")
+    if isinstance(kind, T.TimestampNTZType):
+        return -(c - F.lit("1970-01-01").cast("timestamp_ntz"))
+    raise ValueError(f"column {column} must be a number, date or timestamp")
 
 
 def _rolling_row(df, keys, value, order, segment, largest: bool) -> DataFrame:
@@ -141,11 +145,20 @@ def group_aggregate(df: DataFrame, keys: Sequence[str], value: str, order: Seque
         F.min(v).alias("smallest"),
         F.max(v).alias("largest"),
         F.avg(v).alias("mean"),
-        F.min_by(place, F.struct((-v).alias("v"), *order))[order[0]].alias("first_max"),
-        F.min_by(place, F.struct(v.alias("v"), *order))[order[0]].alias("first_min"),
+        # A row without a value holds no extreme: its place in the order is null and passed over.
+        F.min_by(place, F.when(v.isNotNull(), F.struct(_descending(df, value).alias("v"), *order)))[order[0]].alias("first_max"),
+        F.min_by(place, F.when(v.isNotNull(), F.struct(v.alias("v"), *order)))[order[0]].alias("first_min"),
     )
 
 
+_NAN = float("nan")
+
+
+def _same(value: Any) -> Any:
+    """``value``, with one object for all NaNs: as a key it then equals itself."""
+    return _NAN if isinstance(value, float) and value != value else value
+
+
 def custom_fold(
     df: DataFrame,
     keys: Sequence[str],
@@ -194,13 +207,19 @@ def custom_fold(
             return batch_of(rows, state_arrow)
 
         for rows in gathered_rows(batches):
-            number: dict[tuple, int] = {}
-            # Keys as Python values: pandas would turn integers beside nulls into floats.
-            found = zip(*(rows.column(k).to_pylist() for k in keys))
-            group = np.fromiter((number.setdefault(key, len(number)) for key in found), np.int64, rows.num_rows)
-            frame = rows.to_pandas().iloc[np.argsort(group, kind="stable")]
-            ends = np.cumsum(np.bincount(group, minlength=len(number)))
-            for key, start, end in zip(number, [0, *ends[:-1]], ends):
+            group = np.zeros(rows.num_rows, dtype=np.int64)
+            for k in keys:
+                codes = rows.column(k).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+                # Numbered anew for each column, so that the products stay small.
+                group = np.unique(group * (codes.max(initial=0) + 1) + codes, return_inverse=True)[1]
+            order = np.argsort(group, kind="stable")
+            ends = np.cumsum(np.bincount(group))
+            starts = np.concatenate([[0], ends[:-1]])
+            # One row per key as Python values: pandas would turn integers beside nulls into floats.
+            firsts = rows.select(keys).take(pa.array(order[starts]))
+            number = [tuple(map(_same, key)) for key in zip(*(firsts.column(k).to_pylist() for k in keys))]
+            frame = rows.to_pandas().iloc[order]
+            for key, start, end in zip(number, starts, ends):
                 held[key] = add(held[key] if key in held else create(), frame.iloc[start:end])
             if len(held) >= max_held:
                 yield emit()
@@ -214,7 +233,7 @@ def custom_fold(
             at, acc, done = None, None, []
             for batch in batches:
                 *key_columns, blobs = (batch.column(batch.schema.get_field_index(c)) for c in state_arrow.names)
-                for key, blob in zip(zip(*(c.to_pylist() for c in key_columns)), blobs.to_pylist()):
+                for key, blob in zip(zip(*(map(_same, c.to_pylist()) for c in key_columns)), blobs.to_pylist()):
                     if key != at:
                         if at is not None:
                             done.append((*at, finish(acc)))

@@ -8,7 +8,10 @@ the segment's rows. Only one small row per (key, segment) is ever ordered per ke
 
 Plan: scan -> partial aggregate per (key, segment) -> window over those few rows
 -> union with the scan -> one exchange on (key, segment) -> one sort and window.
-Without keys the same plan gives prefix folds over the whole table.
+Only keys with more rows than a task should sort are cut, by a count per key; the
+others are a segment each and have no partials. Without keys the same plan gives
+prefix folds over the whole table; there the segments are folded in two levels, so
+that no task sees all of them.
 """
 
 from __future__ import annotations
@@ -20,9 +23,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.time import epoch_seconds
 
-# A segment of a unique integer order holds at most this many rows.
+# A segment of a unique integer order holds at most this many rows, as does a key that is not cut.
 SEGMENT_ROWS = 1 << 20
 
+# No more keys than this are cut.
+MOST_CUT = 10_000
+
+# Without keys, so many segments are folded together before all of those are.
+_GROUP_BITS = 10
+
 _SEG, _ROW = "__segment", "__row"
 
 
@@ -106,15 +115,35 @@ def segment_of(df: DataFrame, column: str, rows: int = SEGMENT_ROWS) -> Column:
 def balanced_segment(df: DataFrame, column: str, rows: int = 4 * SEGMENT_ROWS) -> Column:
     """Segments of equal width in time (or integer value) with ``rows`` rows on average.
 
-    Reads ``column`` once, for its count and range, when called. Use it also for
-    sparse integer orders, where a fixed width would make too many segments.
+    Reads ``column`` once more, for its count and range, when the query runs. Use it also
+    for sparse integer orders, where a fixed width would make too many segments.
     """
     place = epoch_seconds(df, column)
-    stats = df.agg(F.count(place).alias("n"), F.min(place).alias("low"), F.max(place).alias("high")).first()
-    if not stats["n"]:
-        return F.lit(0).cast("bigint")
-    width = max(1, (stats["high"] - stats["low"] + 1) * rows // stats["n"])
-    return F.floor((place - F.lit(stats["low"])) / F.lit(width))
+    stats = df.agg(F.count(place).alias("n"), F.min(place).alias("low"), F.max(place).alias("high"))
+    width = F.greatest(F.lit(1), F.floor((F.col("high") - F.col("low") + 1) * rows / F.col("n")))
+    cut = stats.select(F.struct("low", width.alias("width"))).scalar()
+    return F.coalesce(F.floor((place - cut["low"]) / cut["width"]), F.lit(0).cast("bigint"))
+
+
+def with_segment(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column | None, name: str = _SEG
+) -> tuple[DataFrame, Column]:
+    """``df`` with its segment number, and the condition under which a row's key was cut.
+
+    By default only keys with more than ``SEGMENT_ROWS`` rows, and with more than one row in
+    ``MOST_CUT`` of all, are cut: at most ``MOST_CUT`` keys, which is what is broadcast. A
+    ``segment`` given by the caller cuts every key.
+    """
+    if segment is not None or not keys:
+        segment = segment_of(df, order[0]) if segment is None else segment
+        return df.withColumn(name, segment), F.lit(True)
+    counts = df.groupBy(*(F.col(k).alias(f"__cut_{i}") for i, k in enumerate(keys))).agg(F.count(F.lit(1)).alias("__n"))
+    least = counts.select(F.sum("__n") / MOST_CUT).scalar()
+    cut = counts.where((F.col("__n") > SEGMENT_ROWS) & (F.col("__n") > least)).withColumn("__cut", F.lit(True)).drop("__n")
+    same = [F.col(k).eqNullSafe(F.col(f"__cut_{i}")) for i, k in enumerate(keys)]
+    marked = df.withColumn(name, segment_of(df, order[0])).join(F.broadcast(cut), same, "left")
+    marked = marked.withColumn(name, F.when(F.col("__cut"), F.col(name)).otherwise(F.lit(0).cast(marked.schema[name].dataType)))
+    return marked.drop(*(f"__cut_{i}" for i in range(len(keys)))), F.coalesce(F.col("__cut"), F.lit(False))
 
 
 def _combine(fold: Fold, column: Column) -> Column:
@@ -155,27 +184,43 @@ def running(
     if df.isStreaming:
         raise ValueError("running folds take a batch; streams use tidemark.streaming")
     keys, order = list(keys), check_order(df, order)
-    segment = segment_of(df, order[0]) if segment is None else segment
+    segmented, cut = with_segment(df, keys, order, segment)
 
     lifted_names = {name: f"__fold_{i}" for i, name in enumerate(folds)}
-    lifted = df.select(
-        "*",
-        segment.alias(_SEG),
+    lifted = segmented.select(
+        *df.columns,
+        _SEG,
+        cut.alias("__cut"),
         *(fold.value.alias(lifted_names[name]) for name, fold in folds.items()),
     )
 
     # A single order column of a plain type keeps the partials in hash aggregation.
     order_key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    partials = lifted.groupBy(*keys, _SEG).agg(
+    partials = lifted.where("__cut").groupBy(*keys, _SEG).agg(
         *(_partial(f, F.col(lifted_names[n]), order_key).alias(lifted_names[n]) for n, f in folds.items())
     )
-    earlier = Window.partitionBy(*keys).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
-    seeds = partials.select(
-        *keys,
-        _SEG,
-        *(_combine(f, F.col(lifted_names[n])).over(earlier).alias(lifted_names[n]) for n, f in folds.items()),
-        F.count(F.lit(1)).over(earlier).alias("__earlier"),
-    ).where(F.col("__earlier") > 0)
+    lifted = lifted.drop("__cut")
+
+    def before(rows: DataFrame, within: Sequence[str], along: Sequence[str]) -> DataFrame:
+        """The fold of the rows ahead of each row, and the number of those."""
+        earlier = Window.partitionBy(*within).orderBy(*along).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.select(
+            *(c for c in rows.columns if c not in lifted_names.values()),
+            *(_combine(f, F.col(lifted_names[n])).over(earlier).alias(lifted_names[n]) for n, f in folds.items()),
+            F.count(F.lit(1)).over(earlier).alias("__earlier"),
+        )
+
+    if not keys and isinstance(segmented.schema[_SEG].dataType, T.IntegralType):
+        grouped = partials.withColumn("__group", F.shiftright(F.col(_SEG).cast("bigint"), _GROUP_BITS))
+        tops = grouped.groupBy("__group").agg(
+            *(_partial(f, F.col(lifted_names[n]), F.col(_SEG)).alias(lifted_names[n]) for n, f in folds.items())
+        )
+        first = before(tops, [], ["__group"]).where(F.col("__earlier") > 0).drop("__earlier")
+        stacked = grouped.withColumn(_ROW, F.lit(True)).unionByName(first.withColumn(_ROW, F.lit(False)), allowMissingColumns=True)
+        seeds = before(stacked, ["__group"], [_ROW, _SEG]).where(_ROW).drop("__group", _ROW)
+    else:
+        seeds = before(partials, keys, [_SEG])
+    seeds = seeds.where(F.col("__earlier") > 0)
 
     both = lifted.withColumn(_ROW, F.lit(True)).unionByName(
         seeds.drop("__earlier").withColumn(_ROW, F.lit(False)), allowMissingColumns=True

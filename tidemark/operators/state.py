@@ -15,7 +15,7 @@ from tidemark.operators.scan import (
     running_count,
     running_max,
     running_sum,
-    segment_of,
+    with_segment,
 )
 
 
@@ -88,14 +88,14 @@ def running_top_n(
     segment as n seed rows.
     """
     keys, order = list(keys), check_order(df, order)
-    segment = segment_of(df, order[0]) if segment is None else segment
     names = [f"__top{i}" for i in range(n)]
-    rows = df.withColumn("__segment", segment).withColumn("__value", F.col(value))
+    segmented, cut = with_segment(df, keys, order, segment)
+    rows = segmented.select(*df.columns, "__segment", cut.alias("__cut"), F.col(value).alias("__value"))
 
     # Equal values are counted together first; n copies of one are enough. Nulls sort
     # last, and keep a segment without values in the sequence.
     strongest = Window.partitionBy(*keys, "__segment").orderBy(F.col("__value").desc())
-    counted = rows.groupBy(*keys, "__segment", "__value").agg(F.least(F.count(F.lit(1)), F.lit(n)).alias("__n"))
+    counted = rows.where("__cut").groupBy(*keys, "__segment", "__value").agg(F.least(F.count(F.lit(1)), F.lit(n)).alias("__n"))
     copies = counted.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n"))))
     partials = copies.select(*keys, "__segment", "__value", F.row_number().over(strongest).alias("__r"))
     partials = partials.where(F.col("__r") <= n)
@@ -109,7 +109,7 @@ def running_top_n(
         .where(F.col("__value").isNotNull())
     )
 
-    both = rows.withColumn("__row", F.lit(True)).unionByName(
+    both = rows.drop("__cut").withColumn("__row", F.lit(True)).unionByName(
         seeds.withColumn("__row", F.lit(False)), allowMissingColumns=True
     )
     within = Window.partitionBy(*keys, "__segment").orderBy("__row", *order)
@@ -179,43 +179,20 @@ def partition_running_count(
 
 
 def event_timer(
-    df,
-    keys: Sequence[str],
-    time: str,
-    order: Sequence[str],
-    at: Column,
-    delay: float = 0,
-    refire: bool = False,
-    segment: Column | None = None,
+    df, keys: Sequence[str], time: str, order: Sequence[str], at: Column, delay: float = 0
 ) -> DataFrame:
-    """Firings of a timer every row registers at the fixed event time ``at``.
+    """The keys whose timer at the fixed event time ``at`` fires, with the arrival (``order[0]``) of their first row.
 
-    The watermark is the highest event time so far less ``delay`` seconds and 1 ms.
-    By default a key fires once, when the watermark has passed ``at``. With
-    ``refire``, a row that arrives later registers the timer again and it fires at
-    the next advance of the watermark; ``firing`` numbers the advances.
+    Every row registers its key's timer. The watermark is the highest event time so far less ``delay`` seconds and 1 ms;
+    a timer fires with the first advance of the watermark, after its registration, that reaches ``at``. Keys first seen
+    after the last advance don't fire, nor do any if the last one doesn't reach ``at``.
     """
-    reach = _later(df, "__max", time, -(delay + 0.001))
-    if not refire:
-        final = df.select(F.max(time).alias("__max")).select(reach.alias("w")).scalar()
-        return df.where(final >= at).groupBy(*keys).agg(F.min(order[0]).alias("registered"))
-
     order = check_order(df, order)
-    clock = running(df, [], order, {"__max": running_max(F.col(time)).excluding_current()}, segment)
-    advances = (F.col("__max").isNull() | (F.col(time) > F.col("__max"))).cast("bigint")
-    crossed = F.greatest(F.col("__max"), F.col(time))
-    clock = clock.withColumn("__advance", advances).withColumn("__after", crossed)
-    counted = running(
-        clock, [], order, {"__before": running_sum(F.col("__advance")).excluding_current()}, segment
-    )
-    counted = counted.withColumn("__before", F.coalesce("__before", F.lit(0)))
-    passed = _later(df, "__after", time, -(delay + 0.001)) >= at
-    totals = counted.agg(
-        F.sum("__advance").alias("total"),
-        F.min(F.when(passed, F.col("__before") + F.col("__advance"))).alias("crossing"),
-    )
-    total = totals.select("total").scalar()
-    crossing = totals.select("crossing").scalar()
-    firing = F.greatest(F.col("__before") + 1, crossing)
-    fired = counted.where(crossing.isNotNull()).select(*keys, order[0], firing.alias("firing"))
-    return fired.where(F.col("firing") <= total).groupBy(*keys, "firing").agg(F.min(order[0]).alias("registered"))
+    place = F.struct(*order)
+    # The last advance is the first row that holds the highest event time: one row per event time, then the highest.
+    advances = df.where(F.col(time).isNotNull()).groupBy(time).agg(F.min(place).alias("__place"))
+    last = advances.agg(F.max(F.struct(F.col(time).alias("__max"), "__place")).alias("l"))
+    reached = last.select((_later(df, "l.__max", time, -(delay + 0.001)) >= at)).scalar()
+    first = df.groupBy(*keys).agg(F.min(place).alias("__first"))
+    fired = first.where(reached & (F.col("__first") <= last.select("l.__place").scalar()))
+    return fired.select(*keys, F.col("__first")[order[0]].alias("registered"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.time import format_time
@@ -11,6 +12,9 @@ from tidemark.operators.scan import check_order, running, running_count, running
 
 START, END = "window_start", "window_end"
 
+# Rows of a key that a sliding count window takes together.
+BLOCK_ROWS = 1 << 16
+
 
 def tumble(df: DataFrame, keys: Sequence[str], time: str, size: str, aggs: Mapping[str, Column]) -> DataFrame:
     """Aggregates per key and tumbling window. No keys: one window over all rows, still parallel."""
@@ -123,11 +127,28 @@ def count_slide(
 ) -> DataFrame:
     """Aggregates over the last ``size`` rows of a key, at every ``step``-th row.
 
-    Firing k is at the key's row k*step, so the first firings hold fewer rows. Every
-    row is copied to the few firings it takes part in, which spreads a hot key over
-    its firings.
+    Firing k is at the key's row k*step, so the first firings hold fewer rows. Plain
+    aggregate functions are computed over a frame of rows, within blocks of a key's rows
+    that borrow the last ``size - 1`` rows of the block before: a row is copied once at
+    most, and a hot key is spread over its blocks. Other expressions of aggregates can't
+    be framed; for them each row is copied to the firings it takes part in.
     """
     numbered = running(df, keys, order, {"__rn": running_count()}, segment)
+    rn = F.col("__rn")
+    block = max(size, BLOCK_ROWS)
+    own = F.floor((rn - 1) / block)
+    lent = F.when(rn > (own + 1) * block - (size - 1), F.array(own, own + 1)).otherwise(F.array(own))
+    blocks = numbered.withColumn("__block", F.explode(lent))
+    frame = Window.partitionBy(*keys, "__block").orderBy("__rn").rowsBetween(1 - size, 0)
+    try:
+        framed = blocks.select(*keys, "__block", "__rn", *(c.over(frame).alias(n) for n, c in aggs.items()))
+    except AnalysisException:
+        return _copied_slide(numbered, keys, size, step, aggs)
+    fired = framed.where((rn % step == 0) & (F.col("__block") == own))
+    return fired.select(*keys, F.floor(rn / step).alias("firing"), *aggs)
+
+
+def _copied_slide(numbered: DataFrame, keys: Sequence[str], size: int, step: int, aggs: Mapping[str, Column]) -> DataFrame:
     rn = F.col("__rn")
     fires = F.sequence(F.ceil(rn / step), F.floor((rn + size - 1) / step))
     copies = numbered.where(F.ceil(rn / step) <= F.floor((rn + size - 1) / step))

@@ -104,6 +104,21 @@ def group_agg(spark, sf):
     return rolling.group_aggregate(sensors(spark, sf), ["id"], "vc", ["event_id"])
 
 
+@query(
+    "group_agg_nulls",
+    SENSORS
+    + """, n AS (SELECT id, event_id, CASE WHEN event_type <> 'click' AND id % 5 <> 0 THEN vc END AS vc FROM s)
+SELECT id, count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS total, min(vc) AS smallest, max(vc) AS largest,
+  CASE WHEN count(vc) > 0 THEN CAST(sum(vc) AS DOUBLE) / count(vc) END AS mean,
+  min(event_id) FILTER (vc = mx) AS first_max, min(event_id) FILTER (vc = mn) AS first_min
+FROM (SELECT *, max(vc) OVER (PARTITION BY id) AS mx, min(vc) OVER (PARTITION BY id) AS mn FROM n) GROUP BY id""",
+)
+def group_agg_nulls(spark, sf):
+    """Rows without a value hold no extreme."""
+    some = (F.col("event_type") != "click") & (F.col("id") % 5 != 0)
+    return rolling.group_aggregate(sensors(spark, sf).withColumn("vc", F.when(some, F.col("vc"))), ["id"], "vc", ["event_id"])
+
+
 @query("custom_fold", SENSORS + "SELECT id, CAST(sum(vc * vc) AS BIGINT) AS squares FROM s GROUP BY id")
 def custom_fold(spark, sf):
     rows = sensors(spark, sf).select("id", "vc")
@@ -219,7 +234,8 @@ def partition_running_count(spark, sf):
     "event_timer",
     SENSORS
     + """SELECT id, min(arr) AS registered FROM s
-WHERE (SELECT max(ts) - INTERVAL 600001 MILLISECOND FROM s) >= TIMESTAMP '2024-01-15' GROUP BY id""",
+WHERE (SELECT max(ts) - INTERVAL 600001 MILLISECOND FROM s) >= TIMESTAMP '2024-01-15' GROUP BY id
+HAVING min(arr) <= (SELECT min(arr) FROM s WHERE ts = (SELECT max(ts) FROM s))""",
 )
 def event_timer(spark, sf):
     at = F.lit("2024-01-15").cast("timestamp_ntz")
@@ -227,20 +243,19 @@ def event_timer(spark, sf):
 
 
 @query(
-    "event_timer_refire",
+    "event_timer_last",
     SENSORS
-    + """, a AS (SELECT *, max(ts) OVER (ORDER BY arr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx FROM s),
-b AS (SELECT *, CASE WHEN mx IS NULL OR ts > mx THEN 1 ELSE 0 END AS adv, greatest(ts, coalesce(mx, ts)) AS after FROM a),
-c AS (SELECT *, coalesce(sum(adv) OVER (ORDER BY arr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bef FROM b),
-t AS (SELECT sum(adv) AS total,
-  min(CASE WHEN after - INTERVAL 600001 MILLISECOND >= TIMESTAMP '2024-01-15' THEN bef + adv END) AS crossing FROM c)
-SELECT event_type, CAST(greatest(bef + 1, crossing) AS BIGINT) AS firing, min(arr) AS registered
-FROM c, t WHERE crossing IS NOT NULL AND greatest(bef + 1, crossing) <= total GROUP BY 1, 2""",
+    + """SELECT event_id // 7 AS key, min(event_id) AS registered FROM s
+WHERE (SELECT max(ts) - INTERVAL 600001 MILLISECOND FROM s WHERE event_id < 500) >= TIMESTAMP '2024-01-01 06:00:00'
+GROUP BY 1 HAVING min(event_id) <= (SELECT min(event_id) FROM s WHERE ts = (SELECT max(ts) FROM s WHERE event_id < 500))""",
 )
-def event_timer_refire(spark, sf):
-    at = F.lit("2024-01-15").cast("timestamp_ntz")
-    rows = sensors(spark, sf).select("event_type", "ts", "arr")
-    return state.event_timer(rows, ["event_type"], "ts", ["arr"], at, delay=600, refire=True)
+def event_timer_last(spark, sf):
+    """As if time stood still after 500 rows: keys that only come later don't fire."""
+    rows = sensors(spark, sf).withColumn("key", F.floor(F.col("event_id") / 7))
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    rows = rows.withColumn("ts", F.when(F.col("event_id") < 500, F.col("ts")).otherwise(start))
+    at = F.lit("2024-01-01 06:00:00").cast("timestamp_ntz")
+    return state.event_timer(rows, ["key"], "ts", ["event_id"], at, delay=600)
 
 
 # Count, session and trigger windows

@@ -88,6 +88,64 @@ def parse_sensor(spark, sf):
     return X.parse_delimited(rows.select(line.alias("value")))
 
 
+@query(
+    "parse_measure",
+    """SELECT event_id AS id, round(value, 3) AS amount, CAST(round(value, 2) AS DECIMAL(10,2)) AS price, CAST(ts AS DATE) AS day,
+  user_id % 2 = 0 AS even FROM events""",
+)
+def parse_measure(spark, sf):
+    """Fields of other types than whole numbers, between two-character separators."""
+    amount = F.round("value", 3).cast("decimal(18,3)")
+    fields = ["event_id", amount, F.round("value", 2).cast("decimal(10,2)"), F.col("ts").cast("date"), F.col("user_id") % 2 == 0]
+    line = F.concat_ws("^|", *(f if isinstance(f, str) else f.cast("string") for f in fields))
+    schema = S.T.StructType.fromDDL("id bigint, amount double, price decimal(10,2), day date, even boolean")
+    return X.parse_delimited(table(spark, sf, "events").select(line.alias("value")), schema, sep="^|")
+
+
+@query(
+    "cast_nested",
+    """SELECT event_id, CAST(event_id AS VARCHAR) || ',' || CAST(user_id AS VARCHAR) AS list, CAST(user_id AS INTEGER) AS k,
+  event_type AS t, value AS m, upper(hex(encode(event_type))) AS b, CAST(value AS FLOAT) AS f,
+  CAST(epoch_us(ts) AS BIGINT) AS us, CAST(event_type AS VARCHAR) AS c FROM events""",
+)
+def cast_nested(spark, sf):
+    """One column for each type that ``cast_to_schema`` leaves out there: lists, rows, maps, bytes and the rest."""
+    raw = table(spark, sf, "events").select(
+        "event_id",
+        F.array("event_id", "user_id").alias("list"),
+        F.struct(F.col("user_id").alias("k"), F.col("event_type").alias("t")).alias("pair"),
+        F.create_map("event_type", F.col("value").cast("string")).alias("byname"),
+        F.col("event_type").alias("b"),
+        F.col("event_type").alias("vb"),
+        F.col("value").cast("string").alias("f"),
+        F.col("ts").alias("zoned"),
+        F.col("event_type").alias("c"),
+    )
+    types = {
+        "event_id": "BIGINT",
+        "list": "ARRAY<VARCHAR>",
+        "pair": "ROW<k INTEGER, t VARCHAR(10)>",
+        "byname": "MAP<VARCHAR, DOUBLE>",
+        "b": "BINARY",
+        "vb": "VARBINARY(20)",
+        "f": "FLOAT",
+        "zoned": "TIMESTAMP_WITH_TIME_ZONE",
+        "c": "CHAR(10)",
+    }
+    cast = S.cast_to_schema(raw, S.table_schema(types))
+    return cast.where(F.col("b") == F.col("vb")).select(
+        "event_id",
+        F.array_join("list", ",").alias("list"),
+        F.col("pair.k").alias("k"),
+        F.col("pair.t").alias("t"),
+        F.element_at("byname", F.col("c")).alias("m"),
+        F.hex("b").alias("b"),
+        "f",
+        F.unix_micros("zoned").alias("us"),
+        "c",
+    )
+
+
 @query("json_roundtrip", """SELECT event_id, '{"k":' || CAST(json_extract(props, '$.k') AS INTEGER) || '}' AS value FROM events""")
 def json_roundtrip(spark, sf):
     schema = S.T.StructType([S.T.StructField("k", S.T.IntegerType())])

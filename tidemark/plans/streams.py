@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
@@ -21,8 +19,7 @@ from tidemark.streaming import keyed, runs
 
 
 def _stream(spark, sf, name):
-    schema = table(spark, sf, name).schema
-    return runs.file_stream(spark, sf, schema, glob=f"{name}.parquet")
+    return runs.table_stream(spark, f"{sf}/{name}.parquet", table(spark, sf, name).schema)
 
 
 def _sensor_stream(spark, sf):
@@ -39,20 +36,8 @@ def _sensor_stream(spark, sf):
     return rows
 
 
-@contextmanager
-def _state_partitions(spark):
-    """No more state partitions than cores: a stream keeps the number it starts with."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(before), spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
 def _drained(spark, df, label, *times):
-    with _state_partitions(spark):
-        out = runs.drain_to_table(df, label)
+    out = runs.drain_to_table(df, label)
     return out.withColumns({t: F.col(t).cast("timestamp_ntz") for t in times})
 
 
@@ -67,8 +52,7 @@ def _aggs():
 @query("stream_wordcount", f"SELECT word, count(*) AS cnt FROM (SELECT {TOKENS} FROM conversations) GROUP BY word")
 def stream_wordcount(spark, sf):
     words = project.tokenize(_stream(spark, sf, "conversations"), "text")
-    with _state_partitions(spark):
-        return runs.drain_updates(rolling.word_count(words), "wordcount", ["word"])
+    return runs.drain_updates(rolling.word_count(words), "wordcount", ["word"])
 
 
 @query(
@@ -168,6 +152,19 @@ def stream_running_avg(spark, sf):
     return _drained(spark, keyed.running_avg(rows, ["id"], "vc", ["event_id"]), "avg")
 
 
+@query(
+    "stream_running_sum",
+    SENSORS.replace("vc, event_type", "vc, value AS amount, event_type")
+    + f"""SELECT event_id, id, round(sum(CASE WHEN event_type <> 'error' THEN round(amount, 2) END) OVER {SOFAR}, 2) AS total FROM s""",
+)
+def stream_running_sum(spark, sf):
+    """Sums of doubles, null until a key has a value."""
+    amount = F.when(F.col("event_type") != "error", F.round("value", 2)).alias("amount")
+    rows = _stream(spark, sf, "events").select("event_id", F.col("user_id").alias("id"), amount)
+    summed = _drained(spark, keyed.running_sum(rows, ["id"], "amount", ["event_id"]), "sum")
+    return summed.select("event_id", "id", F.round("total", 2).alias("total"))
+
+
 @query(
     "stream_running_top3",
     SENSORS
@@ -284,8 +281,7 @@ def stream_tumble_proc(spark, sf):
     """Windows over the processing time; which windows depends on the clock, so only their sum is compared."""
     rows = _sensor_stream(spark, sf)
     counted = windows.tumble_proc(rows, ["event_type"], "10 minutes", {"cnt": F.count(F.lit(1))})
-    with _state_partitions(spark):
-        updates = runs.drain_updates(counted, "proc", ["event_type", *WINDOW])
+    updates = runs.drain_updates(counted, "proc", ["event_type", *WINDOW])
     return updates.groupBy("event_type").agg(F.sum("cnt").alias("cnt"))
 
 

@@ -176,50 +176,6 @@ def window_allowed_lateness(spark, sf):
     return lateness.window_firings(rows, ["event_type"], "ts", ["arr"], "10 minutes", "vc", delay=600, lateness=600)
 
 
-TYPES = ["click", "error", "purchase", "signup", "view"]
-
-
-@query(
-    "low_watermark",
-    SENSORS
-    + ", p AS (SELECT arr, event_type, ts, "
-    + ", ".join(f"max(CASE WHEN event_type = '{t}' THEN ts END) OVER b AS p{i}" for i, t in enumerate(TYPES))
-    + " FROM s WINDOW b AS (ORDER BY arr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))\n"
-    + "SELECT arr, event_type, ts, CASE WHEN "
-    + " AND ".join(f"p{i} IS NOT NULL" for i in range(5))
-    + " THEN least(p0, p1, p2, p3, p4) END - INTERVAL 600001 MILLISECOND AS watermark FROM p",
-)
-def low_watermark(spark, sf):
-    rows = sensors(spark, sf).select("arr", "event_type", "ts")
-    return lateness.low_watermark(rows, "ts", ["arr"], "event_type", delay=600)
-
-
-@query(
-    "wm_idle",
-    SENSORS
-    + ", p AS (SELECT arr, arr // 13 AS clock, event_type, ts, (SELECT min(arr // 13) FROM s) AS start, "
-    + ", ".join(
-        f"max(CASE WHEN event_type = '{t}' THEN ts END) OVER b AS p{i}, "
-        f"max(CASE WHEN event_type = '{t}' THEN arr // 13 END) OVER b AS a{i}"
-        for i, t in enumerate(TYPES)
-    )
-    + " FROM s WINDOW b AS (ORDER BY arr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),\n"
-    + "q AS (SELECT *, "
-    + ", ".join(f"clock >= coalesce(a{i}, start) + 8 AS q{i}" for i in range(5))
-    + " FROM p),\nl AS (SELECT *, CASE WHEN "
-    + " AND ".join(f"(q{i} OR p{i} IS NOT NULL)" for i in range(5))
-    + " THEN least("
-    + ", ".join(f"CASE WHEN NOT q{i} THEN p{i} END" for i in range(5))
-    + ") END AS low FROM q)\n"
-    + "SELECT arr, event_type, ts, clock, max(low) OVER (ORDER BY arr ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    + " - INTERVAL 600001 MILLISECOND AS watermark FROM l",
-)
-def wm_idle(spark, sf):
-    """The arrival clock ticks once per row; a type silent for 8 ticks is idle."""
-    rows = sensors(spark, sf).select("arr", "event_type", "ts", F.floor(F.col("arr") / 13).alias("clock"))
-    return lateness.idle_watermark(rows, "ts", ["arr"], "event_type", TYPES, "clock", idle=8, delay=600)
-
-
 # Unions and joins
 
 

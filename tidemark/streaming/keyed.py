@@ -47,26 +47,36 @@ def running_count(df, keys, order, name: str = "cnt") -> DataFrame:
     return keyed_step(df, keys, order, "n bigint", f"{name} bigint", step)
 
 
+def _sum_type(df: DataFrame, column: str) -> str:
+    """The type of a sum of the column, as in batches."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType):
+        return T.DecimalType(min(38, kind.precision + 10), kind.scale).simpleString()
+    return "bigint" if isinstance(kind, T.IntegralType) else "double"
+
+
 def running_sum(df, keys, value: str, order, name: str = "total") -> DataFrame:
-    """Every row with the key's sum so far."""
+    """Every row with the key's sum so far, null until it has a value."""
 
     def step(state, row):
-        total = (state[0] if state else 0) + (row[value] or 0)
+        total, v = state[0] if state else None, row[value]
+        total = total if v is None else v if total is None else total + v
         return (total,), (total,)
 
-    return keyed_step(df, keys, order, "total bigint", f"{name} bigint", step)
+    kind = _sum_type(df, value)
+    return keyed_step(df, keys, order, f"total {kind}", f"{name} {kind}", step)
 
 
 def running_avg(df, keys, value: str, order, name: str = "avg") -> DataFrame:
     """Every row with the key's mean so far."""
 
     def step(state, row):
-        total, n = state if state else (0, 0)
+        total, n = state if state else (None, 0)
         if row[value] is not None:
-            total, n = total + row[value], n + 1
-        return (total, n), (total / n if n else None,)
+            total, n = row[value] if total is None else total + row[value], n + 1
+        return (total, n), (float(total) / n if n else None,)
 
-    return keyed_step(df, keys, order, "total bigint, n bigint", f"{name} double", step)
+    return keyed_step(df, keys, order, f"total {_sum_type(df, value)}, n bigint", f"{name} double", step)
 
 
 def rolling_reduce(df, keys, value: str, order) -> DataFrame:
