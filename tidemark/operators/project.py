@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Iterable, Iterator, Mapping
+from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import tokens
@@ -70,17 +73,38 @@ def side_alert(df: DataFrame, condition: Column, message: Column, main: str = "m
     return df.withColumn("tag", F.explode(tags)).withColumn("message", F.when(F.col("tag") == side, message))
 
 
+@dataclass(frozen=True)
+class Task:
+    """A running task: its number among the stage's tasks from 0, its attempt from 0, and a name from both."""
+
+    number: int
+    attempt: int
+
+    @property
+    def name(self) -> str:
+        return f"task {self.number} (#{self.attempt})"
+
+    @staticmethod
+    def current() -> Task:
+        context = TaskContext.get()
+        return Task(context.partitionId(), context.attemptNumber())
+
+
 def rich_map(
     df: DataFrame,
     schema: str,
     function: Callable[[object, pd.DataFrame], pd.DataFrame],
-    open: Callable[[], object] = lambda: None,
+    open: Callable[..., object] = lambda: None,
     close: Callable[[object], None] = lambda resource: None,
 ) -> DataFrame:
-    """Map batches with a resource opened once per task and closed even when the task is cancelled."""
+    """Map batches with a resource opened once per task and closed even when the task is cancelled.
+
+    An ``open`` that takes an argument gets the ``Task`` it runs in.
+    """
+    wants_task = len(inspect.signature(open).parameters) > 0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        resource = open()
+        resource = open(Task.current()) if wants_task else open()
         try:
             for batch in batches:
                 yield function(resource, batch)

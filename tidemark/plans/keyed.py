@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import time as TM
 from tidemark.operators import project, rolling, state, windows
 from tidemark.plans.inputs import SENSORS, sensors, table
-from tidemark.plans.registry import query
+from tidemark.plans.registry import SQL, query
 from tidemark.plans.rows import TOKENS
 
 SOFAR = "(PARTITION BY id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -258,6 +258,41 @@ def event_timer_last(spark, sf):
     return state.event_timer(rows, ["key"], "ts", ["event_id"], at, delay=600)
 
 
+# The same with segments so small that each key crosses many borders.
+
+
+def _small(column="event_id", rows=97):
+    return F.floor(F.col(column) / rows)
+
+
+def _cut(name, function):
+    query(f"{name}_cut", SQL[name])(function)
+
+
+_cut("rolling_sum", lambda spark, sf: rolling.rolling_sum(_narrow(spark, sf), ["id"], "vc", ["event_id"], _small()))
+_cut("rolling_min", lambda spark, sf: rolling.rolling_min(_narrow(spark, sf), ["id"], "vc", ["event_id"], _small()))
+_cut("rolling_max", lambda spark, sf: rolling.rolling_max(_narrow(spark, sf), ["id"], "vc", ["event_id"], _small()))
+_cut("rolling_max_by", lambda spark, sf: rolling.rolling_max_by(_narrow(spark, sf), ["id"], "vc", ["event_id"], _small()))
+_cut("rolling_min_by", lambda spark, sf: rolling.rolling_min_by(_narrow(spark, sf), ["id"], "vc", ["event_id"], _small()))
+_cut(
+    "running_avg",
+    lambda spark, sf: rolling.running_avg(_narrow(spark, sf), ["id"], "vc", ["event_id"], segment=_small()).select("event_id", "id", "avg"),
+)
+_cut(
+    "running_sum",
+    lambda spark, sf: state.running_sum_of(sensors(spark, sf).select("event_id", "id", "vc"), ["id"], "vc", ["event_id"], segment=_small()),
+)
+_cut("jump_alert", lambda spark, sf: state.jump_alert(_narrow(spark, sf), ["id"], "vc", ["event_id"], segment=_small()))
+_cut(
+    "wordcount_running",
+    lambda spark, sf: rolling.running_word_count(
+        project.tokenize(table(spark, sf, "conversations"), "text", keep=["conv_id", "turn"], position="pos"),
+        ["conv_id", "turn", "pos"],
+        segment=_small("conv_id", 7),
+    ),
+)
+
+
 # Count, session and trigger windows
 
 
@@ -322,3 +357,19 @@ def session_dynamic(spark, sf):
     aggs = {"cnt": ("count", F.lit(1)), "total": ("sum", F.col("vc"))}
     gap = F.make_dt_interval(hours=1 + F.col("vc") % 7)
     return windows.session(_narrow(spark, sf), ["id"], "ts", gap, aggs)
+
+
+def _half_days():
+    return F.floor(F.unix_date(F.col("ts").cast("date")) * 2 + F.hour("ts") / 12)
+
+
+def _session_cut(gap):
+    def run(spark, sf):
+        aggs = {"cnt": ("count", F.lit(1)), "total": ("sum", F.col("vc"))}
+        return windows.session(_narrow(spark, sf), ["id"], "ts", gap(), aggs, _half_days())
+
+    return run
+
+
+_cut("session_static", _session_cut(lambda: TM.seconds(3600)))
+_cut("session_dynamic", _session_cut(lambda: F.make_dt_interval(hours=1 + F.col("vc") % 7)))

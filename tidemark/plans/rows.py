@@ -81,6 +81,18 @@ def rich_map(spark, sf):
     )
 
 
+@query("rich_map_task", SENSORS + "SELECT count(*) AS cnt, CAST(4 AS BIGINT) AS tasks, CAST(0 AS BIGINT) AS low, CAST(3 AS BIGINT) AS high FROM s")
+def rich_map_task(spark, sf):
+    """The number of its task, as ``open`` gets it, on each row."""
+    rows = sensors(spark, sf).select("event_id").repartition(4)
+    numbered = project.rich_map(
+        rows, "event_id bigint, task bigint", lambda number, batch: batch.assign(task=number), open=lambda task: task.number
+    )
+    return numbered.agg(
+        F.count(F.lit(1)).alias("cnt"), F.countDistinct("task").alias("tasks"), F.min("task").alias("low"), F.max("task").alias("high")
+    )
+
+
 @query("parse_sensor", SENSORS + "SELECT CAST(id AS VARCHAR) AS id, CAST(floor(epoch(ts)) AS BIGINT) AS ts, vc FROM s")
 def parse_sensor(spark, sf):
     rows = sensors(spark, sf)
@@ -214,27 +226,38 @@ def part_keyby(spark, sf):
     return placed.groupBy("user_id").agg(F.count(F.lit(1)).alias("cnt"), spread.alias("spread"))
 
 
-COUNT_BY_TYPE = "SELECT event_type, count(*) AS cnt FROM events GROUP BY event_type"
+def _loads(df):
+    """Rows, partitions that hold some, and the smallest and largest share of a partition in an even one."""
+    sizes = partition.with_partition(df).groupBy("partition").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.sum("n").alias("cnt"), F.count("*").alias("parts"), F.min("n").alias("low"), F.max("n").alias("high"))
 
 
-def _by_type(df):
-    return df.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
+EVEN = "SELECT count(*) AS cnt, CAST(16 AS BIGINT) AS parts, true AS even FROM events"
 
 
-@query("part_shuffle", COUNT_BY_TYPE)
+@query("part_shuffle", EVEN)
 def part_shuffle(spark, sf):
-    return _by_type(partition.shuffled(table(spark, sf, "events"), 16))
+    """Random placement: no partition is far from an even share, and few neighbours stay together."""
+    loads = _loads(partition.shuffled(table(spark, sf, "events"), 16))
+    share = F.col("cnt") / F.col("parts")
+    return loads.select("cnt", "parts", ((F.col("low") > share / 2) & (F.col("high") < share * 2)).alias("even"))
 
 
-@query("part_rebalance", COUNT_BY_TYPE)
+@query("part_rebalance", EVEN)
 def part_rebalance(spark, sf):
-    return _by_type(partition.rebalanced(table(spark, sf, "events"), 16))
+    """Round robin: the partitions filled by one task differ by a row at most."""
+    loads = _loads(partition.rebalanced(table(spark, sf, "events").repartition(1), 16))
+    return loads.select("cnt", "parts", (F.col("high") - F.col("low") <= 1).alias("even"))
 
 
-@query("part_rescale", COUNT_BY_TYPE)
+@query("part_rescale", "SELECT count(*) AS cnt, CAST(4 AS BIGINT) AS parts, CAST(1 AS BIGINT) AS torn FROM events")
 def part_rescale(spark, sf):
-    events = table(spark, sf, "events")
-    return _by_type(partition.rescaled(events, max(1, events.rdd.getNumPartitions() // 2)))
+    """Sixteen partitions merged to four: each of the sixteen is in one of the four."""
+    source = partition.with_partition(partition.rebalanced(table(spark, sf, "events"), 16), "source")
+    merged = partition.with_partition(partition.rescaled(source, 4))
+    each = merged.groupBy("source", "partition").agg(F.count(F.lit(1)).alias("n"))
+    held = each.groupBy("source").agg(F.sum("n").alias("n"), F.count("*").alias("places"), F.min("partition").alias("partition"))
+    return held.agg(F.sum("n").alias("cnt"), F.countDistinct("partition").alias("parts"), F.max("places").alias("torn"))
 
 
 @query("part_custom", "SELECT event_id, CAST(event_id % 16 AS INTEGER) AS partition FROM events")

@@ -26,7 +26,8 @@ class KeyRange(InputPartition):
 
 class PollingSource(DataSource):
     """Options: ``module`` (a DB-API module), ``connect`` (its arguments as JSON), ``table``,
-    ``column``, and optionally ``start`` (1) and ``partitions`` (4)."""
+    ``column``, and optionally ``start`` (1) and ``range`` (keys a task reads, 100000): a
+    long backlog makes more tasks, not longer ones."""
 
     @classmethod
     def name(cls) -> str:
@@ -46,7 +47,7 @@ class PollingReader(DataSourceStreamReader):
         self.table = options["table"]
         self.column = options["column"]
         self.start = int(options.get("start", 1))
-        self.partitions_wanted = int(options.get("partitions", 4))
+        self.width = int(options.get("range", 100_000))
         for name in [self.table, self.column, *self.columns]:
             if not name.replace("_", "").replace(".", "").isalnum():
                 raise ValueError(f"not a plain name: {name!r}")
@@ -69,8 +70,7 @@ class PollingReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         low, high = start["id"], end["id"]
-        width = max(1, -(-(high - low) // self.partitions_wanted))
-        return [KeyRange(at, min(at + width, high)) for at in range(low, high, width)]
+        return [KeyRange(at, min(at + self.width, high)) for at in range(low, high, self.width)]
 
     def commit(self, end: dict) -> None:
         """Nothing to release: the table keeps its rows."""
