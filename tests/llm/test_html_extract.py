@@ -71,7 +71,7 @@ def test_counts_against_brute_force(spark):
     seen = {}
     for r in df.collect():
         root = h.parse(r.html)
-        for value in {v for v, _ in h._hash(root)[0]}:
+        for value in {v for v, _ in h._hash(root, h._roots(root))[0]}:
             seen.setdefault((r.host, value), set()).add(h.text_of(r.html))
     assert found == {k: len(v) for k, v in seen.items() if len(v) >= 2}
 

@@ -63,3 +63,13 @@ def test_edges(spark, corpus):
     single = language_id.train(spark.createDataFrame([(1, "abc", "en"), (1, "abc", "en")], SCHEMA))
     assert {r.p.lang_pred for r in df.where("doc_id = 4").select(language_id.identify(F.col("text"), single).alias("p")).collect()} == {"en"}
     assert df.where("1 = 0").select(language_id.identify(F.col("text"), model)).count() == 0
+
+
+def test_held_out_documents(spark):
+    import zlib
+
+    from tidemark.llm.queries import held_out
+
+    rows = spark.range(-50, 200).select("id", held_out(F.col("id")).alias("out")).collect()
+    assert all(r.out == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in rows)
+    assert spark.sql("SELECT CAST(NULL AS bigint) AS id").select(held_out(F.col("id"))).first()[0] is False

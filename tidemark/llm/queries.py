@@ -80,8 +80,8 @@ def packed(docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def held_out(doc_id: Column) -> Column:
-    """The documents that language identification must not learn from."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    """The documents that language identification must not learn from; one without an id is none of them."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 @_query("op7_language_id", "documents")
