@@ -16,7 +16,7 @@ from hashlib import blake2b
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.shared import settled
+from tidemark.llm.shared import lean, settled
 
 MIN_PAGES = 3
 MIN_SHARE = 0.05
@@ -182,15 +182,21 @@ def _dropped(element: Element, inside: bool) -> bool:
     return element.boilerplate()
 
 
-def _hash(element: Element) -> tuple[list[tuple[int, bool]], dict[int, int]]:
-    """(hash, whether its markup alone deletes it) of each subtree with text, and the hashes by element."""
-    hashes, out, todo = {}, [], [(element, False, False)]
+def _hash(element: Element, parts: list[Element]) -> tuple[list[tuple[int, bool]], dict[int, int]]:
+    """(hash, fixed) of each subtree with text, and the hashes by element. ``parts``: what is marked as the article.
+
+    fixed: recurrence changes nothing, as the markup alone deletes the subtree or keeps it (the article's paragraphs).
+    """
+    mains = {id(p) for p in parts}
+    hashes, out, todo = {}, [], [(element, not parts, False, False)]
     while todo:
-        e, gone, ready = todo.pop()
+        e, inside, fixed, ready = todo.pop()
         if not ready:
-            gone = gone or e.name == "header" or e is not element and e.boilerplate()
-            todo.append((e, gone, True))
-            todo += [(c, gone, False) for c in e.children if isinstance(c, Element)]
+            gone = fixed or e is not element and (e.name == "header" or e.boilerplate())
+            below = inside or id(e) in mains
+            # Only what stands in the article can be deleted from it, and not its paragraphs.
+            todo.append((e, inside, gone or not inside or bool(parts) and e.name in _TEXTUAL, True))
+            todo += [(c, below, gone, False) for c in e.children if isinstance(c, Element)]
             continue
         own = blake2b(f"{e.name}\0{e.marks.get('class', '')}\0{e.marks.get('id', '')}".encode(), digest_size=8)
         some = False
@@ -204,15 +210,15 @@ def _hash(element: Element) -> tuple[list[tuple[int, bool]], dict[int, int]]:
                 some |= hashes.get(id(c), 0) != 0
         hashes[id(e)] = int.from_bytes(own.digest(), "little", signed=True) if some else 0
         if some and e is not element:
-            out.append((hashes[id(e)], gone))
+            out.append((hashes[id(e)], fixed))
     return out, hashes
 
 
 def text_of(page: str, deleted: frozenset[int] = frozenset()) -> str:
     """The main text of a page; ``deleted``: hashes of its site's template."""
     root = parse(page)
-    hashes = _hash(root)[1] if deleted else {}
     parts = _roots(root)
+    hashes = _hash(root, parts)[1] if deleted else {}
     if not parts:
         return "\n\n".join(_walk(root, deleted, hashes, False))
     return "\n\n".join(b for part in parts for b in _walk(part, deleted, hashes, True))
@@ -220,28 +226,28 @@ def text_of(page: str, deleted: frozenset[int] = frozenset()) -> str:
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        host, content, subtree, marked = [], [], [], []
+        host, content, subtree, fixed = [], [], [], []
         for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             root = parse(page or "")
             parts = _roots(root)
             main = "\0".join(b for p in parts or [root] for b in _walk(p, (), {}, bool(parts)))
             own = int.from_bytes(blake2b(main.encode(), digest_size=8).digest(), "little", signed=True)
-            for value, gone in {(0, True), *_hash(root)[0]}:
-                host.append(name), content.append(own), subtree.append(value), marked.append(gone)
-        columns = [pa.array(host, pa.string()), pa.array(content, pa.int64()), pa.array(subtree, pa.int64()), pa.array(marked, pa.bool_())]
-        yield pa.RecordBatch.from_arrays(columns, names=["host", "content", "subtree", "marked"])
+            for value, same in {(0, True), *_hash(root, parts)[0]}:
+                host.append(name), content.append(own), subtree.append(value), fixed.append(same)
+        columns = [pa.array(host, pa.string()), pa.array(content, pa.int64()), pa.array(subtree, pa.int64()), pa.array(fixed, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, names=["host", "content", "subtree", "fixed"])
 
 
 def templates(pages: DataFrame, host: Column, html_col: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, subtree, marked, n): subtrees on ``min_pages`` or more of a host's pages that differ in their main text and
-    on ``min_share`` of them or more. marked: their markup alone deletes them wherever they stand."""
-    each = pages.select(host.alias("host"), F.col(html_col).alias("html")).mapInArrow(_subtrees, "host string, content bigint, subtree bigint, marked boolean")
-    once = each.groupBy("host", "subtree", "content").agg(F.min("marked").alias("marked"))
-    counted = settled(once.groupBy("host", "subtree").agg(F.count("*").alias("n"), F.min("marked").alias("marked")).where(F.col("n") >= min_pages))
+    """(host, subtree, fixed, n): subtrees on ``min_pages`` or more of a host's pages that differ in their main text and
+    on ``min_share`` of them or more. fixed: recurrence changes nothing, wherever they stand on that host."""
+    each = pages.select(host.alias("host"), F.col(html_col).alias("html")).mapInArrow(lean(_subtrees), "host string, content bigint, subtree bigint, fixed boolean")
+    once = each.groupBy("host", "subtree", "content").agg(F.min("fixed").alias("fixed"))
+    counted = settled(once.groupBy("host", "subtree").agg(F.count("*").alias("n"), F.min("fixed").alias("fixed")).where(F.col("n") >= min_pages))
     # The number 0 stands for the page itself: one row for each host.
     sizes = settled(counted.where("subtree = 0").select(F.col("host").alias("site"), F.col("n").alias("pages")))
     found = counted.where("subtree != 0").join(sizes, F.col("host").eqNullSafe(F.col("site")))
-    return found.where(F.col("n") >= F.col("pages") * min_share).select("host", "subtree", "marked", "n")
+    return found.where(F.col("n") >= F.col("pages") * min_share).select("host", "subtree", "fixed", "n")
 
 
 def main_texts(pages: DataFrame, host: Column, id_col: str = "page_id", html_col: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -252,16 +258,16 @@ def main_texts(pages: DataFrame, host: Column, id_col: str = "page_id", html_col
     marked as the article, paragraphs and their like stay however often they recur. Null or empty pages have an empty
     text. Ids, null or repeated, are carried along: rows that share an id and host share what is deleted.
 
-    A page's text needs its site's template only where an unmarked subtree is part of one: only the hashes of such are
-    sent to the pages that have them.
+    A page needs its site's template only where recurrence decides: the hashes of such subtrees alone are sent to the
+    pages that have them.
     """
     kind = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), F.col(html_col).alias("html"))
-    found = settled(templates(rows, F.col("host"), "html", min_pages, min_share).where("NOT marked").select("host", "subtree"))
+    found = settled(templates(rows, F.col("host"), "html", min_pages, min_share).where("NOT fixed").select("host", "subtree"))
     if found.isEmpty():
         plain = rows.select("id", "html", F.lit(None).cast("array<bigint>").alias("deleted"))
     else:
-        own = rows.mapInArrow(_own_subtrees, f"id {kind}, host string, subtree bigint")
+        own = rows.mapInArrow(lean(_own_subtrees), f"id {kind}, host string, subtree bigint")
         hit = own.join(found.select(F.col("host").alias("site"), F.col("subtree").alias("part")), (F.col("host").eqNullSafe(F.col("site"))) & (F.col("subtree") == F.col("part")), "left_semi")
         hit = hit.groupBy(F.col("id").alias("of"), F.col("host").alias("on")).agg(F.collect_set("subtree").alias("deleted"))
         plain = rows.join(hit, F.col("id").eqNullSafe(F.col("of")) & F.col("host").eqNullSafe(F.col("on")), "left").select("id", "html", "deleted")
@@ -272,14 +278,15 @@ def main_texts(pages: DataFrame, host: Column, id_col: str = "page_id", html_col
             texts = [text_of(p or "", frozenset(d or ())) for p, d in zip(pages, deleted)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
-    return plain.mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
+    return plain.mapInArrow(lean(run), f"id {kind}, text string").withColumnRenamed("id", id_col)
 
 
 def _own_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         place, subtree = [], []
         for k, page in enumerate(batch.column(2).to_pylist()):
-            own = {value for value, gone in _hash(parse(page or ""))[0] if not gone}
+            root = parse(page or "")
+            own = {value for value, same in _hash(root, _roots(root))[0] if not same}
             place += [k] * len(own)
             subtree += own
         at = pa.array(place, pa.int64())
