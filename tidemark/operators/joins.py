@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.time import epoch_seconds
 from tidemark.operators.lateness import shifted
 from tidemark.operators.scan import last_known, running, running_max
+from tidemark.session import scratch_root
 
 
 def union_all(*inputs: DataFrame) -> DataFrame:
@@ -96,6 +97,42 @@ def interval_join(
     return l.join(r, [*on, "__bucket"], "inner").where(inside).select(*columns)
 
 
+def tag_sides(left: DataFrame, right: DataFrame, left_time: str, right_time: str, order: Sequence[str]) -> DataFrame:
+    """Both inputs as one: the order columns, ``side`` (``l`` or ``r``), ``time``, and each row whole in ``l`` or ``r``."""
+
+    def row(df: DataFrame) -> Column:
+        return F.struct(*df.columns)
+
+    kinds = {name: df.select(row(df).alias("row")).schema["row"].dataType for name, df in (("l", left), ("r", right))}
+
+    def side(df: DataFrame, name: str, time: str) -> DataFrame:
+        rows = {n: row(df) if n == name else F.lit(None).cast(kind) for n, kind in kinds.items()}
+        places = [F.col(c).alias(f"order_{i}") for i, c in enumerate(order)]
+        return df.select(*places, F.lit(name).alias("side"), F.col(time).alias("time"), *(c.alias(n) for n, c in rows.items()))
+
+    return side(left, "l", left_time).unionByName(side(right, "r", right_time))
+
+
+def judge_sides(tagged: DataFrame, delay: float, segment: Column | None = None, known: DataFrame | None = None) -> DataFrame:
+    """``tagged`` with ``late``: whether a row's time is below the watermark it meets, that of the slower side.
+
+    Until both sides have delivered there is no watermark. ``known`` (one row: ``high_l``, ``high_r``) has the highest
+    times before the first row, if there were any. Both sides are folded at once, in the order of arrival.
+    """
+    order = [c for c in tagged.columns if c.startswith("order_")]
+    folds = {
+        f"__{side}": running_max(F.when(F.col("side") == side, F.col("time"))).excluding_current() for side in "lr"
+    }
+    seen = running(tagged, [], order, folds, segment)
+    highs = [F.col("__l"), F.col("__r")]
+    if known is not None:
+        # Of two maxima the other counts where one is null.
+        highs = [F.greatest(h, known.select(f"high_{side}").scalar()) for h, side in zip(highs, "lr")]
+    mark = shifted(tagged, F.least(*highs), "time", -(delay + 0.001))
+    late = F.coalesce(highs[0].isNotNull() & highs[1].isNotNull() & (F.col("time") < mark), F.lit(False))
+    return seen.withColumn("late", late).select(*tagged.columns, "late")
+
+
 def interval_join_late(
     left: DataFrame,
     right: DataFrame,
@@ -113,31 +150,19 @@ def interval_join_late(
     ``order`` are columns of both inputs giving their common arrival order. The
     watermark is that of the slower side; a row is late when its time is below the
     watermark it meets. Until both sides have delivered there is no watermark.
+
+    Both inputs are judged together, once: the judged rows are written to the checkpoint
+    folder, and all three outputs read them there.
     """
     order = list(order)
-    clock = left.select(*order, F.lit("l").alias("__side"), F.col(left_time).alias("__time"))
-    clock = clock.unionByName(right.select(*order, F.lit("r").alias("__side"), F.col(right_time).alias("__time")))
-    folds = {
-        f"__{side}": running_max(F.when(F.col("__side") == side, F.col("__time"))).excluding_current()
-        for side in "lr"
-    }
-
-    def judged(side_rows: DataFrame, time: str, side: str) -> DataFrame:
-        others = clock.where(F.col("__side") != side)
-        both = side_rows.withColumn("__side", F.lit(side)).withColumn("__time", F.col(time))
-        both = both.unionByName(others, allowMissingColumns=True)
-        seen = running(both, [], order, folds, segment).where(F.col("__side") == side)
-        known = F.col("__l").isNotNull() & F.col("__r").isNotNull()
-        mark = shifted(side_rows, F.least("__l", "__r"), time, -(delay + 0.001))
-        late = F.coalesce(known & (F.col(time) < mark), F.lit(False))
-        return seen.withColumn("__late", late).select(*side_rows.columns, "__late")
-
-    l, r = judged(left, left_time, "l"), judged(right, right_time, "r")
-    in_time = [d.where(~F.col("__late")).drop("__late") for d in (l, r)]
+    scratch_root(left.sparkSession)
+    judged = judge_sides(tag_sides(left, right, left_time, right_time, order), delay, segment).checkpoint()
+    l, r = (judged.where(F.col("side") == n).select("late", f"{n}.*") for n in "lr")
+    in_time = [d.where(~F.col("late")).drop("late") for d in (l, r)]
     # The arrival columns stay with the late rows; in the pairs they would clash.
     right_kept = in_time[1].drop(*(c for c in order if c not in on))
     joined = interval_join(in_time[0], right_kept, on, left_time, right_time, lower, upper)
-    return joined, l.where("__late").drop("__late"), r.where("__late").drop("__late")
+    return joined, l.where("late").drop("late"), r.where("late").drop("late")
 
 
 def broadcast_threshold(

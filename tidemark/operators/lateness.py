@@ -42,13 +42,17 @@ def late_classify(
     delay: float = 0,
     lateness: float = 0,
     segment: Column | None = None,
+    known: Column | None = None,
 ) -> DataFrame:
     """Every row with its tumbling window and ``late_class``.
 
     ``on_time``: the window was still open. ``late_accepted``: closed, but within the
-    allowed lateness. ``dropped``: beyond it.
+    allowed lateness. ``dropped``: beyond it. ``known`` is the highest event time before
+    the first row, if there was one.
     """
     seen = running(df, [], order, {"__max": running_max(F.col(time)).excluding_current()}, segment)
+    if known is not None:
+        seen = seen.withColumn("__max", F.greatest("__max", known))
     seen = seen.withColumn("__w", F.window(time, size))
     seen = seen.select(*df.columns, "__max", F.col("__w.start").alias(START), F.col("__w.end").alias(END))
     # Both sides of "end - 1 ms <= max - delay - 1 ms" lose their millisecond.
@@ -84,12 +88,6 @@ def window_firings(
     bounds = [*keys, START, END]
     classed = late_classify(df, time, order, size, delay, lateness, segment)
     passed = df.select(F.max(time).alias(time)).select(shifted(df, F.col(time), time, -delay).alias("v")).scalar()
-    on_time = classed.where((F.col("late_class") == ON_TIME) & (F.col(END) <= passed))
-    first = on_time.groupBy(*bounds).agg(
-        F.lit(1).cast("bigint").alias("firing"),
-        F.count(F.lit(1)).alias("cnt"),
-        F.sum(value).alias("total"),
-    )
     accepted = classed.where(F.col("late_class") != DROPPED)
     is_late = (F.col("late_class") == LATE_ACCEPTED).cast("bigint")
     folds = {
@@ -97,7 +95,15 @@ def window_firings(
         "total": running_sum(F.col(value)),
         "__late": running_sum(is_late),
     }
-    again = running(accepted, bounds, order, folds, segment).where(F.col("late_class") == LATE_ACCEPTED)
+    folded = running(accepted, bounds, order, folds, segment)
+    # A window's rows in time all come before its late ones: the last of them has the first firing's values.
+    first = folded.where((F.col("late_class") == ON_TIME) & (F.col(END) <= passed)).groupBy(*bounds).agg(
+        F.lit(1).cast("bigint").alias("firing"),
+        F.max("cnt").alias("__n"),
+        F.max_by("total", "cnt").alias("total"),
+    )
+    first = first.select(*bounds, "firing", F.col("__n").alias("cnt"), "total")
     opened = (F.col("cnt") > F.col("__late")).cast("bigint")
+    again = folded.where(F.col("late_class") == LATE_ACCEPTED)
     again = again.select(*bounds, (opened + F.col("__late")).alias("firing"), "cnt", "total")
     return first.unionByName(again)

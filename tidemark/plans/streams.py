@@ -9,9 +9,9 @@ from tidemark.functions.schema import SENSOR
 from tidemark.operators import changelog, joins, project, rolling, topn, windows
 from tidemark.plans.inputs import SENSORS, bucket, table
 from tidemark.plans.keyed import SOFAR
-from tidemark.plans.registry import query
+from tidemark.plans.registry import SQL, query
 from tidemark.plans.rows import TOKENS
-from tidemark.plans.timed import SQL_AGGS, _pair
+from tidemark.plans.timed import CLASSED, SQL_AGGS, _pair
 from tidemark.session import scratch_path
 from tidemark.sources import log
 from tidemark.sources.tables import typed_table_stream
@@ -204,6 +204,52 @@ def stream_late_output(spark, sf):
     return _drained(spark, tagged, "late").where("tag = 'late'").select("arr", "event_type")
 
 
+@query("stream_late_side_output", CLASSED + "SELECT event_id, arr, ts, window_start, window_end FROM c WHERE late_class = 'dropped'")
+def stream_late_side_output(spark, sf):
+    """The rows beyond the allowed lateness, on the clock of the whole stream."""
+    root = scratch_path(spark, "lateness")
+    rows = _sensor_stream(spark, sf).select("event_id", "arr", "ts")
+    runs.drain(runs.late_stream(rows, "ts", ["arr"], "10 minutes", 600, 600, f"{root}/out", f"{root}/checkpoint"))
+    schema = "event_id bigint, arr bigint, ts timestamp, window_start timestamp, window_end timestamp, late_class string"
+    late = spark.read.schema(schema).parquet(f"{root}/out/rows").where("late_class = 'dropped'")
+    return late.select("event_id", "arr", *(F.col(c).cast("timestamp_ntz") for c in ("ts", "window_start", "window_end")))
+
+
+def _late_join(spark, sf):
+    """Drains the late interval join of clicks and purchases; gives its folder."""
+    rows, root = _sensor_stream(spark, sf), scratch_path(spark, "latejoin")
+    sides = [
+        rows.where(F.col("event_type") == kind).select("id", "arr", *(F.col(c).alias(f"{p}_{c}") for c in ("event_id", "ts", "vc")))
+        for kind, p in (("click", "l"), ("purchase", "r"))
+    ]
+    tagged = joins.tag_sides(*sides, "l_ts", "r_ts", ["arr"])
+    run = runs.interval_join_late_stream(tagged, ["id"], "l_ts", "r_ts", -7200, 7200, 60, f"{root}/out", f"{root}/checkpoint")
+    runs.drain(run)
+    return f"{root}/out", tagged.schema
+
+
+@query("stream_interval_join_late", SQL["interval_join_late"])
+def stream_interval_join_late(spark, sf):
+    out, _ = _late_join(spark, sf)
+    schema = "id bigint, arr bigint, l_event_id bigint, l_ts timestamp, l_vc int, r_event_id bigint, r_ts timestamp, r_vc int"
+    pairs = spark.read.schema(schema).parquet(f"{out}/pairs").drop("batch")
+    return pairs.withColumns({t: F.col(t).cast("timestamp_ntz") for t in ("l_ts", "r_ts")})
+
+
+@query("stream_interval_join_late_left", SQL["interval_join_late_left"])
+def stream_interval_join_late_left(spark, sf):
+    out, schema = _late_join(spark, sf)
+    late = spark.read.schema(schema).parquet(f"{out}/late").where("side = 'l'").select("l.*")
+    return late.withColumn("l_ts", F.col("l_ts").cast("timestamp_ntz"))
+
+
+@query("stream_interval_join_late_right", SQL["interval_join_late_right"])
+def stream_interval_join_late_right(spark, sf):
+    out, schema = _late_join(spark, sf)
+    late = spark.read.schema(schema).parquet(f"{out}/late").where("side = 'r'").select("r.*")
+    return late.withColumn("r_ts", F.col("r_ts").cast("timestamp_ntz"))
+
+
 @query("stream_dedupe", "SELECT event_id, user_id FROM events")
 def stream_dedupe(spark, sf):
     """A log delivered twice over, each record kept once."""

@@ -7,7 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidemark.operators.joins import broadcast_threshold
+from tidemark.operators.joins import broadcast_threshold, interval_join, judge_sides
+from tidemark.operators.lateness import late_classify, shifted
 from tidemark.session import scratch_path
 
 
@@ -116,5 +117,97 @@ def threshold_stream(
         place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
         newest = rules.agg(F.coalesce(F.max_by(rule, place), F.lit(known)).alias("threshold"))
         newest.write.mode("overwrite").parquet(f"{out}/rule/{batch_id}")
+        _drop(spark, f"{out}/rule/{batch_id - 2}")
+
+    return tagged.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def _put(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder that no later micro-batch, nor a repeated one, reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def late_stream(
+    df: DataFrame, time: str, order: Sequence[str], size: str, delay: float, lateness: float, out: str, checkpoint: str
+) -> DataStreamWriter:
+    """Every row of a stream with its window and ``late_class``, on the clock of the whole stream, in ``out/rows``.
+
+    Micro-batches must follow the arrival order. Each is classed as a batch is, starting from the highest event time of
+    those before it, which is kept as one row per batch next to the output; a repeated batch reads and writes the same.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            spark, known, before = batch.sparkSession, None, f"{out}/clock/{batch_id - 1}"
+            if batch_id > 0:
+                known = spark.read.schema(T.StructType([batch.schema[time]])).parquet(before).scalar()
+            classed = late_classify(batch, time, order, size, delay, lateness, known=known)
+            _put(classed, f"{out}/rows/batch={batch_id}")
+            high = F.max(time) if known is None else F.greatest(F.max(time), known)
+            _put(batch.agg(high.alias(time)), f"{out}/clock/{batch_id}")
+            _drop(spark, f"{out}/clock/{batch_id - 2}")
+        finally:
+            batch.unpersist()
+
+    return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def interval_join_late_stream(
+    tagged: DataFrame,
+    on: Sequence[str],
+    left_time: str,
+    right_time: str,
+    lower: float,
+    upper: float,
+    delay: float,
+    out: str,
+    checkpoint: str,
+) -> DataStreamWriter:
+    """Interval join of a stream of ``joins.tag_sides`` with late rows turned away, on the clock of both whole inputs.
+
+    Writes ``out/pairs``, and the late rows as they came to ``out/late``. Micro-batches must follow the arrival order.
+    Rows that later ones may still meet, and the highest times, are kept per batch next to the output; what no row to
+    come can reach is let go.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, known, held = batch.sparkSession, None, None
+        clock = T.StructType([T.StructField(f"high_{n}", batch.schema["time"].dataType) for n in "lr"])
+        if batch_id > 0:
+            known = spark.read.schema(clock).parquet(f"{out}/clock/{batch_id - 1}")
+            held = spark.read.schema(batch.schema).parquet(f"{out}/held/{batch_id - 1}")
+        judged = judge_sides(batch, delay, known=known).persist()
+        try:
+            new = judged.where(~F.col("late")).drop("late")
+            _put(judged.where("late").drop("late"), f"{out}/late/batch={batch_id}")
+
+            def side(rows: DataFrame, name: str) -> DataFrame:
+                found = rows.where(F.col("side") == name).select(f"{name}.*")
+                return found if name == "l" else found.drop(*(c for c in batch.schema["l"].dataType.names if c not in on))
+
+            whole = new if held is None else new.unionByName(held)
+            pairs = interval_join(side(new, "l"), side(whole, "r"), on, left_time, right_time, lower, upper)
+            if held is not None:
+                earlier = interval_join(side(held, "l"), side(new, "r"), on, left_time, right_time, lower, upper)
+                pairs = pairs.unionByName(earlier)
+            _put(pairs, f"{out}/pairs/batch={batch_id}")
+            highs = [F.max(F.when(F.col("side") == n, F.col("time"))) for n in "lr"]
+            if known is not None:
+                highs = [F.greatest(h, known.select(f"high_{n}").scalar()) for h, n in zip(highs, "lr")]
+            _put(judged.agg(*(h.alias(f"high_{n}") for h, n in zip(highs, "lr"))), f"{out}/clock/{batch_id}")
+            now = spark.read.schema(clock).parquet(f"{out}/clock/{batch_id}")
+            mark = now.select(shifted(batch, F.when(F.col("high_l").isNotNull() & F.col("high_r").isNotNull(), F.least("high_l", "high_r")), "time", -(delay + 0.001)).alias("m")).scalar()
+            reach = F.when(F.col("side") == "l", shifted(batch, F.col("time"), "time", upper)).otherwise(shifted(batch, F.col("time"), "time", -lower))
+            _put(whole.where(mark.isNull() | (reach >= mark)), f"{out}/held/{batch_id}")
+            for kind in ("clock", "held"):
+                _drop(spark, f"{out}/{kind}/{batch_id - 2}")
+        finally:
+            judged.unpersist()
 
     return tagged.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
