@@ -212,7 +212,8 @@ def test_top_n(spark, stream_of):
     batch = time.event_time(spark.createDataFrame(ALL, SENSOR))
     stream = time.event_time(stream_of(SENSOR, *GROUPS)).withWatermark("event_time", "10 seconds")
     expected = topn.window_top_n(batch, "event_time", "vc", "10 seconds", "5 seconds", 2)
-    found = drained(topn.window_top_n_stream(stream, "event_time", "vc", "10 seconds", "5 seconds", 2))
+    counts = topn.window_counts(stream, "event_time", "vc", "10 seconds", "5 seconds")
+    found = runs.drain_batches(counts, "top", lambda batch: topn.best_counts(batch, "vc", 2))
     assert rows(found) == rows(expected.where(F.unix_seconds("window_end") <= 20))
 
 
@@ -354,3 +355,54 @@ def test_sums_keep_their_type(pair, spark, stream_of):
     assert found == [(1, None), (2, 100.2), (3, 185.22), (4, None)]
     mean = rows(drained(keyed.running_avg(stream, ["id"], "vc", ["arr"])), "arr", F.round("avg", 2))
     assert mean == [(1, None), (2, 100.2), (3, 92.61), (4, None)]
+
+
+def test_user_process_with_event_timers(spark, stream_of):
+    """Alerts as a side output; a timer 10 s after each row, put off by the next one."""
+    stream = time.event_time(stream_of(SENSOR, *GROUPS)).withWatermark("event_time", "1 second")
+
+    def on_row(context, state, row):
+        if state:
+            context.cancel(state[0])
+        due = row["ts"] * 1000 + 10_000
+        context.register(due)
+        if row["vc"] > 20:
+            context.emit("alert", row["ts"] * 1000)
+        return (due,)
+
+    def on_timer(context, state, at_ms):
+        assert context.now >= at_ms
+        context.emit("silent", at_ms)
+        return None
+
+    done = keyed.process(stream, ["id"], ["arr"], "due bigint", "at_ms bigint", on_row, on_timer, clock="eventTime")
+    found = drained(done)
+    alerts = [(r[1], r[2] * 1000) for r in ALL if r[3] > 20]
+    assert rows(found.where("tag = 'alert'"), "id", "at_ms") == sorted(alerts)
+    assert rows(found.where("tag = 'silent'"), "id", "at_ms") == [("s1", 23_000)]
+
+
+def test_user_process_with_processing_time_timers(stream_of, tmp_path):
+    def on_row(context, state, row):
+        context.register(context.now + 500)
+        return ((state[0] if state else 0) + 1,)
+
+    def on_timer(context, state, at_ms):
+        context.emit("fired", state[0])
+        return state
+
+    stream = stream_of(SENSOR, ALL)
+    done = keyed.process(stream, ["id"], ["arr"], "n bigint", "n bigint", on_row, on_timer, clock="processingTime")
+    out = str(tmp_path / "timers")
+    writer = done.writeStream.format("parquet").option("path", out + "/out").option("checkpointLocation", out + "/check")
+    query = writer.trigger(processingTime="1 second").start()
+    found = []
+    try:
+        for _ in range(60):
+            query.awaitTermination(1)
+            found = stream.sparkSession.read.schema(done.schema).parquet(out + "/out").collect() if os.path.exists(out + "/out") else []
+            if len(found) >= 2:
+                break
+    finally:
+        query.stop()
+    assert sorted((r.id, r.tag, r.n) for r in found) == [("s1", "fired", 5), ("s2", "fired", 4)]

@@ -7,40 +7,24 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.operators.windows import END, START
 
 
-def window_top_n(df: DataFrame, time: str, value: str, size: str, step: str, n: int = 2) -> DataFrame:
-    """The ``n`` most frequent values of each sliding window; ties go to the smaller value.
-
-    Counts are combined before the exchange, and only n candidates per window and
-    task reach the ranking.
-    """
+def window_counts(df: DataFrame, time: str, value: str, size: str, step: str) -> DataFrame:
+    """How often each value occurs in each sliding window. On a watermarked stream, in append mode, all counts of a
+    window come in the micro-batch that closes it."""
     counts = df.groupBy(F.window(time, size, step).alias("w"), F.col(value)).agg(F.count(F.lit(1)).alias("cnt"))
-    counts = counts.select(F.col("w.start").alias(START), F.col("w.end").alias(END), value, "cnt")
+    return counts.select(F.col("w.start").alias(START), F.col("w.end").alias(END), value, "cnt")
+
+
+def best_counts(counts: DataFrame, value: str, n: int = 2) -> DataFrame:
+    """The ``n`` highest counts of each window; ties go to the smaller value. Only n candidates per window and task
+    reach the ranking."""
     best = Window.partitionBy(START, END).orderBy(F.col("cnt").desc(), F.col(value))
     return counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
 
 
-def window_top_n_stream(
-    df: DataFrame, time: str, value: str, size: str, step: str, n: int = 2, spread: int = 32
-) -> DataFrame:
-    """The same over a watermarked stream, in append mode, by chained aggregations.
+def window_top_n(df: DataFrame, time: str, value: str, size: str, step: str, n: int = 2) -> DataFrame:
+    """The ``n`` most frequent values of each sliding window; ties go to the smaller value.
 
-    Streams cannot rank, so counts are gathered in lists: the values of a window are
-    spread over ``spread`` lists, each cut to its n best before those are gathered.
+    Counts are combined before the exchange. Over a stream, drain ``window_counts`` with ``best_counts`` as the step of
+    each micro-batch: a window closes within one, so its counts are ranked there as in a batch.
     """
-    counts = df.groupBy(F.window(time, size, step).alias("w"), F.col(value)).agg(F.count(F.lit(1)).alias("cnt"))
-    salted = counts.withColumn("__salt", F.pmod(F.hash(value), F.lit(spread)))
-
-    def best(entries):
-        return F.slice(F.sort_array(entries, False), 1, n).alias("top")
-
-    entry = F.struct("cnt", (-F.col(value)).alias("neg"))
-    some = salted.groupBy("w", "__salt").agg(best(F.collect_list(entry)))
-    ranked = some.groupBy("w").agg(best(F.flatten(F.collect_list("top"))))
-    rows = ranked.select("w", F.posexplode("top").alias("pos", "t"))
-    return rows.select(
-        F.col("w.start").alias(START),
-        F.col("w.end").alias(END),
-        (-F.col("t.neg")).alias(value),
-        F.col("t.cnt").alias("cnt"),
-        (F.col("pos") + 1).alias("rank"),
-    )
+    return best_counts(window_counts(df, time, value, size, step), value, n)

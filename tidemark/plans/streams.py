@@ -79,8 +79,9 @@ WHERE r <= 2 AND window_start + INTERVAL 10 HOUR <= {CLOSED}""",
 )
 def stream_window_topn(spark, sf):
     rows = _sensor_stream(spark, sf).withWatermark("ts", "1 hour")
-    top = topn.window_top_n_stream(rows, "ts", "vc", "10 hours", "5 hours", 2)
-    return _drained(spark, top, "topn", *WINDOW)
+    counts = topn.window_counts(rows, "ts", "vc", "10 hours", "5 hours")
+    top = runs.drain_batches(counts, "topn", lambda batch: topn.best_counts(batch, "vc", 2))
+    return top.withColumns({t: F.col(t).cast("timestamp_ntz") for t in WINDOW})
 
 
 @query(
@@ -176,6 +177,36 @@ def stream_running_top3(spark, sf):
     return top.withColumn("top", F.array_join(F.col("top").cast("array<string>"), ","))
 
 
+def _day_end(ms):
+    return ms - ms % 86_400_000 + 86_400_000
+
+
+@query(
+    "stream_user_process",
+    SENSORS
+    + """SELECT 'alert' AS tag, id, epoch_us(ts) // 1000 AS at_ms, CAST(vc AS BIGINT) AS n FROM s WHERE vc > 80
+UNION ALL SELECT DISTINCT 'day', id, epoch_us(date_trunc('day', ts) + INTERVAL 1 DAY) // 1000, CAST(NULL AS BIGINT) FROM s
+WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT date_trunc('millisecond', max(ts)) FROM s) - INTERVAL 1 HOUR""",
+)
+def stream_user_process(spark, sf):
+    """User code per key: a side output of high values, and an event-time timer at the end of each day with a row."""
+    rows = _sensor_stream(spark, sf).withWatermark("ts", "1 hour")
+    rows = rows.select("event_id", "id", "ts", F.unix_millis("ts").alias("ms"), "vc")
+
+    def on_row(context, state, row):
+        context.register(_day_end(row["ms"]))
+        if row["vc"] > 80:
+            context.emit("alert", row["ms"], row["vc"])
+        return state
+
+    def on_timer(context, state, at_ms):
+        context.emit("day", at_ms, None)
+        return state
+
+    done = keyed.process(rows, ["id"], ["event_id"], "n bigint", "at_ms bigint, n bigint", on_row, on_timer, clock="eventTime")
+    return _drained(spark, done, "process").select("tag", "id", "at_ms", "n")
+
+
 @query(
     "stream_count_slide",
     SENSORS

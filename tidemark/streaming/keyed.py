@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -37,6 +37,31 @@ def keyed_step(df: DataFrame, keys, order, state_schema: str, output: str, step)
     return _apply(df, keys, processor, _plus(df, output))
 
 
+def process(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    state_schema: str,
+    output: str,
+    on_row: Callable,
+    on_timer: Callable | None = None,
+    clock: str = "none",
+) -> DataFrame:
+    """User code per key, with one state tuple, timers and tagged outputs.
+
+    ``on_row(context, state, row) -> state`` sees a key's rows in order, ``on_timer(context, state, at_ms) -> state`` each
+    timer that is due; state is None until set. ``context.emit(tag, *values)`` gives a row of the key, ``tag`` and the
+    ``output`` columns: the tags are the side outputs. ``context.register(ms)`` and ``context.cancel(ms)`` set timers by
+    ``clock``: ``eventTime`` (the input needs a watermark) or ``processingTime``; ``context.now`` is that clock.
+    """
+    order = check_order(df, order)
+    if clock not in ("none", "eventTime", "processingTime"):
+        raise ValueError("clock is 'none', 'eventTime' or 'processingTime'")
+    names = T._parse_datatype_string(output).fieldNames()
+    processor = P.UserProcessor(order, keys, state_schema, names, on_row, on_timer, clock)
+    return _apply(df, keys, processor, _plus(df, f"tag string, {output}", keys), clock)
+
+
 def running_count(df, keys, order, name: str = "cnt") -> DataFrame:
     """Every row with the key's row count so far."""
 

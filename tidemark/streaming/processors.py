@@ -60,6 +60,73 @@ class StepProcessor(Ordered):
         self.state.update(tuple(state))
 
 
+class Context:
+    """What user code may do for a key: emit rows, set and cancel timers, read the clock."""
+
+    def __init__(self, handle: StatefulProcessorHandle, now: int | None):
+        self.handle = handle
+        self.now = now
+        self.rows: list[tuple] = []
+
+    def emit(self, tag: str, *values) -> None:
+        self.rows.append((tag, *values))
+
+    def register(self, at_ms: int) -> None:
+        self.handle.registerTimer(at_ms)
+
+    def cancel(self, at_ms: int) -> None:
+        self.handle.deleteTimer(at_ms)
+
+
+class UserProcessor(Ordered):
+    """``on_row`` for each row of a key and ``on_timer`` for each timer due, over one state tuple."""
+
+    def __init__(self, order, keys: Sequence[str], state_schema: str, names: Sequence[str], on_row, on_timer, clock: str):
+        super().__init__(order, keys)
+        self.state_schema = state_schema
+        self.fields = [*keys, "tag", *names]
+        self.on_row = on_row
+        self.on_timer = on_timer
+        self.clock = clock
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", self.state_schema)
+
+    def _context(self, timer_values) -> Context:
+        if self.clock == "eventTime":
+            now = timer_values.getCurrentWatermarkInMs()
+        else:
+            now = timer_values.getCurrentProcessingTimeInMs() if self.clock == "processingTime" else None
+        return Context(self.handle, now)
+
+    def _held(self):
+        return self.state.get() if self.state.exists() else None
+
+    def _keep(self, state) -> None:
+        if state is None:
+            self.state.clear()
+        else:
+            self.state.update(tuple(state))
+
+    def _out(self, key: tuple, context: Context) -> Iterator[Row]:
+        for row in context.rows:
+            yield Row(**dict(zip(self.fields, [*key, *row])))
+        context.rows.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        state, context = self._held(), self._context(timerValues)
+        for row in self.in_order(rows):
+            state = self.on_row(context, state, row)
+            yield from self._out(tuple(key), context)
+        self._keep(state)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        context = self._context(timerValues)
+        self._keep(self.on_timer(context, self._held(), expiredTimerInfo.getExpiryTimeInMs()))
+        yield from self._out(tuple(key), context)
+
+
 class TopProcessor(Ordered):
     """The n highest values of a key, in list state."""
 

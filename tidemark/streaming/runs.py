@@ -55,6 +55,21 @@ def drain_to_table(df: DataFrame, label: str, mode: str = "append", path: str |
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
+def drain_batches(
+    df: DataFrame, label: str, step: Callable[[DataFrame], DataFrame], path: str | None = None
+) -> DataFrame:
+    """Run an append-mode stream over what is there now, each micro-batch through ``step``; all results read back."""
+    spark = df.sparkSession
+    root = path or scratch_path(spark, label)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        step(batch).write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+    drain(df.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint"))
+    shape = step(spark.createDataFrame([], df.schema)).schema
+    return spark.read.schema(shape).parquet(f"{root}/out").select(*shape.names)
+
+
 def drain_updates(df: DataFrame, label: str, keys: Sequence[str], path: str | None = None) -> DataFrame:
     """Run an update-mode stream over what is there now; the newest row per key read back."""
     spark = df.sparkSession
