@@ -13,7 +13,7 @@ from tidemark.plans.registry import SQL, query
 from tidemark.plans.rows import TOKENS
 from tidemark.plans.timed import CLASSED, SQL_AGGS, _pair
 from tidemark.session import scratch_path
-from tidemark.sources import log
+from tidemark.sources import files, log
 from tidemark.sources.tables import typed_table_stream
 from tidemark.streaming import keyed, runs
 
@@ -383,3 +383,94 @@ def stream_log_to_table(spark, sf):
     root = scratch_path(spark, "logtable")
     runs.drain(typed_table_stream(parsed, SENSOR, f"{root}/table", f"{root}/checkpoint", every=None))
     return spark.read.schema(SENSOR).parquet(f"{root}/table")
+
+
+# Stream forms of batch operators, each against the batch query's SQL.
+
+
+@query("stream_union_all", SQL["union_all"])
+def stream_union_all(spark, sf):
+    rows = _sensor_stream(spark, sf)
+    parts = (rows.select(F.col(c).cast("string").alias("value")) for c in ("vc", "id", "event_type"))
+    return _drained(spark, joins.union_all(*parts), "union")
+
+
+@query("stream_connect_comap", SQL["connect_comap"])
+def stream_connect_comap(spark, sf):
+    mapped = joins.connect_map(
+        _sensor_stream(spark, sf),
+        _stream(spark, sf, "customer"),
+        {"kind": F.lit("number"), "value": F.col("vc").cast("string")},
+        {"kind": F.lit("text"), "value": F.col("c_name")},
+    )
+    return _drained(spark, mapped, "comap")
+
+
+@query("stream_equi_join", SQL["equi_join"])
+def stream_equi_join(spark, sf):
+    orders = _stream(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), "o_custkey", "o_totalprice")
+    lines = _stream(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), "l_linenumber", "l_partkey", "l_quantity")
+    return _drained(spark, joins.equi_join(orders, lines, ["k"]), "equi")
+
+
+@query("stream_partition_running_count", SQL["partition_running_count"])
+def stream_partition_running_count(spark, sf):
+    rows = _sensor_stream(spark, sf).select("event_id", "event_type")
+    return _drained(spark, keyed.running_count(rows, ["event_type"], ["event_id"]), "counts")
+
+
+@query(
+    "stream_count_tumble",
+    SENSORS
+    + """, n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY event_id) AS rn FROM s)
+SELECT id, (rn - 1) // 5 + 1 AS firing, string_agg(vc, ',' ORDER BY event_id) AS elements FROM n GROUP BY 1, 2 HAVING count(*) = 5""",
+)
+def stream_count_tumble(spark, sf):
+    rows = _sensor_stream(spark, sf).select("event_id", "id", "vc")
+    fired = _drained(spark, keyed.count_tumble(rows, ["id"], "vc", ["event_id"], 5), "tumbled")
+    return fired.withColumn("elements", F.array_join(F.col("elements").cast("array<string>"), ","))
+
+
+@query(
+    "stream_session_dynamic",
+    SENSORS
+    + f""", e AS (SELECT *, ts + INTERVAL 1 HOUR * (1 + vc % 7) AS fin FROM s),
+r AS (SELECT *, max(fin) OVER (PARTITION BY id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM e),
+n AS (SELECT *, sum(CASE WHEN reach IS NULL OR ts > reach THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY ts
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS no FROM r)
+SELECT id, min(ts) AS window_start, max(fin) AS window_end, count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS total
+FROM n GROUP BY id, no HAVING max(fin) <= date_trunc('millisecond', {CLOSED})""",
+)
+def stream_session_dynamic(spark, sf):
+    rows = _sensor_stream(spark, sf).withWatermark("ts", "1 hour")
+    gap = F.concat((1 + F.col("vc") % 7).cast("string"), F.lit(" hours"))
+    aggs = {"cnt": F.count(F.lit(1)), "total": F.sum("vc")}
+    return _drained(spark, windows.session_stream(rows, ["id"], "ts", gap, aggs), "sessions", *WINDOW)
+
+
+@query("stream_slide_proc", SENSORS + "SELECT event_type, 2 * count(*) AS cnt FROM s GROUP BY 1")
+def stream_slide_proc(spark, sf):
+    """Sliding windows over the processing time: which ones depends on the clock, but each row is in two."""
+    counted = windows.slide_proc(_sensor_stream(spark, sf), ["event_type"], "20 minutes", "10 minutes", {"cnt": F.count(F.lit(1))})
+    updates = runs.drain_updates(counted, "slideproc", ["event_type", *WINDOW])
+    return updates.groupBy("event_type").agg(F.sum("cnt").alias("cnt"))
+
+
+@query(
+    "stream_event_timer",
+    SENSORS
+    + """SELECT DISTINCT id, CAST(epoch_ms(TIMESTAMP '2024-01-15') AS BIGINT) AS fired_at_ms, CAST(1 AS BIGINT) AS firing FROM s
+WHERE (SELECT max(ts) - INTERVAL 10 MINUTE FROM s) >= TIMESTAMP '2024-01-15 00:00:00.001'""",
+)
+def stream_event_timer(spark, sf):
+    at_ms = 1_705_276_800_000
+    return _drained(spark, keyed.event_timer(_sensor_stream(spark, sf), ["id"], "ts", at_ms, "10 minutes"), "timer")
+
+
+@query("stream_sink_bucketed", SQL["sink_bucketed"])
+def stream_sink_bucketed(spark, sf):
+    root = scratch_path(spark, "bucketstream")
+    lines = _stream(spark, sf, "events").select("ts", F.concat(F.lit("Number:"), F.col("event_id").cast("string")).alias("value"))
+    runs.drain(files.bucketed_stream(lines, f"{root}/out", f"{root}/checkpoint", "ts"))
+    number = F.substring_index("value", ":", -1).cast("bigint")
+    return files.read_bucketed(spark, f"{root}/out").groupBy("bucket").agg(F.count(F.lit(1)).alias("cnt"), F.sum(number).alias("ids"))

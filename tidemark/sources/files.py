@@ -64,10 +64,11 @@ def write_bucketed(
     """Text files in one folder per bucket.
 
     Rows are first ranged by time, so a task writes few buckets, a bucket gets few
-    files, and a bucket holding much of the data is still written by many tasks.
+    files, and a bucket holding much of the data is still written by many tasks: as many
+    as Spark finds by size, or ``tasks``.
     """
-    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.select(time, value).repartitionByRange(tasks, time, value)
+    rows = df.select(time, value)
+    ranged = rows.repartitionByRange(tasks, time, value) if tasks else rows.repartitionByRange(time, value)
     out = with_bucket(ranged, time).select("bucket", value)
     writer = out.write.mode("append").partitionBy("bucket").option("compression", compression)
     if rows_per_file:

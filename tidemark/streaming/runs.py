@@ -46,12 +46,29 @@ def drain(writer: DataStreamWriter) -> None:
     query.awaitTermination()
 
 
+def _put(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder that no later micro-batch, nor a repeated one, reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _done(spark: SparkSession, root: str, path: str | None) -> None:
+    """A drain into a scratch folder is not resumed: its state and progress can go."""
+    if path is None:
+        _drop(spark, f"{root}/checkpoint")
+
+
 def drain_to_table(df: DataFrame, label: str, mode: str = "append", path: str | None = None) -> DataFrame:
     """Run an append-mode stream over what is there now; its output read back as a batch."""
     spark = df.sparkSession
     root = path or scratch_path(spark, label)
     writer = df.writeStream.outputMode(mode).format("parquet")
     drain(writer.option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint"))
+    _done(spark, root, path)
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
@@ -66,6 +83,7 @@ def drain_batches(
         step(batch).write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
 
     drain(df.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint"))
+    _done(spark, root, path)
     shape = step(spark.createDataFrame([], df.schema)).schema
     return spark.read.schema(shape).parquet(f"{root}/out").select(*shape.names)
 
@@ -81,6 +99,7 @@ def drain_updates(df: DataFrame, label: str, keys: Sequence[str], path: str | No
 
     writer = df.writeStream.outputMode("update").foreachBatch(write)
     drain(writer.option("checkpointLocation", f"{root}/checkpoint"))
+    _done(spark, root, path)
     schema = T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])
     updates = spark.read.schema(schema).parquet(f"{root}/out")
     rest = [c for c in df.columns if c not in keys]
@@ -137,16 +156,6 @@ def threshold_stream(
     return tagged.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def _put(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    """Delete a folder that no later micro-batch, nor a repeated one, reads."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def late_stream(
     df: DataFrame, time: str, order: Sequence[str], size: str, delay: float, lateness: float, out: str, checkpoint: str
 ) -> DataStreamWriter:
