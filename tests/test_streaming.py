@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -406,3 +407,48 @@ def test_user_process_with_processing_time_timers(stream_of, tmp_path):
     finally:
         query.stop()
     assert sorted((r.id, r.tag, r.n) for r in found) == [("s1", "fired", 5), ("s2", "fired", 4)]
+
+
+@pytest.mark.parametrize("groups", [[ALL], GROUPS, [[r] for r in sorted(ALL)]])
+def test_late_rows_and_firings_on_the_clock_of_the_stream(spark, stream_of, tmp_path, groups):
+    """However the arrival order is cut into micro-batches, late rows and firings are those of the batch forms."""
+    ordered = sorted(ALL)
+    cut, at = [], 0
+    for g in groups:
+        cut.append(ordered[at : at + len(g)])
+        at += len(g)
+    batch = time.event_time(spark.createDataFrame(ALL, SENSOR))
+    stream = time.event_time(stream_of(SENSOR, *cut))
+    args = ("event_time", ["arr"], "10 seconds")
+    runs.drain(runs.late_stream(stream, *args, 3, 2, f"{tmp_path}/late", f"{tmp_path}/c1"))
+    expected = lateness.late_classify(batch, *args, 3, 2)
+    found = spark.read.schema(expected.schema).parquet(f"{tmp_path}/late/rows")
+    assert rows(found, "arr", "late_class") == rows(expected, "arr", "late_class")
+    fired = lateness.window_firings(batch, ["id"], "event_time", ["arr"], "10 seconds", "vc", 3, 20)
+    runs.drain(runs.firings_stream(stream, ["id"], "event_time", ["arr"], "10 seconds", "vc", 3, 20, f"{tmp_path}/fire", f"{tmp_path}/c2"))
+    found = spark.read.schema(fired.schema).parquet(f"{tmp_path}/fire/rows")
+    assert rows(found, *fired.columns) == rows(fired) != []
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_late_interval_join_on_the_clock_of_the_stream(spark, stream_of, tmp_path, files):
+    rng = random.Random(5)
+    data = [(i, rng.choice("ab"), i + rng.randint(-4, 4), rng.choice("lr")) for i in range(60)]
+    df = spark.createDataFrame(data, "arr int, k string, ts bigint, side string")
+    groups = [data[i : i + 60 // files] for i in range(0, 60, 60 // files)]
+    stream = stream_of("arr int, k string, ts bigint, side string", *groups)
+
+    def sides(source):
+        timed = time.event_time(source)
+        return [
+            timed.where(F.col("side") == n).select("k", "arr", F.col("event_time").alias(f"{n}t"), F.col("ts").alias(f"{n}s")) for n in "lr"
+        ]
+
+    expected = joins.interval_join_late(*sides(df), ["k"], "lt", "rt", ["arr"], -3, 2, 1)
+    tagged = joins.tag_sides(*sides(stream), "lt", "rt", ["arr"])
+    runs.drain(runs.interval_join_late_stream(tagged, ["k"], "lt", "rt", -3, 2, 1, f"{tmp_path}/out", f"{tmp_path}/check"))
+    pairs = spark.read.schema(expected[0].schema).parquet(f"{tmp_path}/out/pairs")
+    assert rows(pairs, *expected[0].columns) == rows(expected[0]) != []
+    late = spark.read.schema(tagged.schema).parquet(f"{tmp_path}/out/late")
+    for n, want in zip("lr", expected[1:]):
+        assert rows(late.where(F.col("side") == n).select(f"{n}.*")) == rows(want) != []

@@ -246,6 +246,18 @@ def stream_late_side_output(spark, sf):
     return late.select("event_id", "arr", *(F.col(c).cast("timestamp_ntz") for c in ("ts", "window_start", "window_end")))
 
 
+@query("stream_allowed_lateness", SQL["window_allowed_lateness"])
+def stream_allowed_lateness(spark, sf):
+    """The firings of windows that take late rows for ten minutes, on the clock of the whole stream."""
+    root = scratch_path(spark, "firings")
+    rows = _sensor_stream(spark, sf).select("event_type", "arr", "ts", "vc")
+    run = runs.firings_stream(rows, ["event_type"], "ts", ["arr"], "10 minutes", "vc", 600, 600, f"{root}/out", f"{root}/checkpoint")
+    runs.drain(run)
+    schema = "event_type string, window_start timestamp, window_end timestamp, firing bigint, cnt bigint, total bigint"
+    fired = spark.read.schema(schema).parquet(f"{root}/out/rows").drop("batch")
+    return fired.withColumns({t: F.col(t).cast("timestamp_ntz") for t in WINDOW})
+
+
 def _late_join(spark, sf):
     """Drains the late interval join of clicks and purchases; gives its folder."""
     rows, root = _sensor_stream(spark, sf), scratch_path(spark, "latejoin")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.operators.joins import broadcast_threshold, interval_join, judge_sides
-from tidemark.operators.lateness import late_classify, shifted
+from tidemark.operators.lateness import DROPPED, LATE_ACCEPTED, late_classify, shifted
+from tidemark.operators.scan import running, running_count, running_sum
+from tidemark.operators.windows import END, START
 from tidemark.session import scratch_path
 
 
@@ -182,6 +184,87 @@ def late_stream(
     return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
+def _both(a: Column, b: Column) -> Column:
+    """The sum of two values, or that of them which is not null."""
+    return F.coalesce(a + b, a, b)
+
+
+def firings_stream(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    order: Sequence[str],
+    size: str,
+    value: str,
+    delay: float,
+    lateness: float,
+    out: str,
+    checkpoint: str,
+) -> DataStreamWriter:
+    """The firings of ``lateness.window_firings`` over a stream, on the clock of the whole stream, in ``out/rows``.
+
+    Micro-batches must follow the arrival order. Next to the output are kept, per batch, the highest event time and one
+    row for each window that rows may still come to: its counts and sums in time and late, and whether it has fired.
+    """
+    bounds = [*keys, START, END]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            spark, known = batch.sparkSession, None
+            if batch_id > 0:
+                known = spark.read.schema(T.StructType([batch.schema[time]])).parquet(f"{out}/clock/{batch_id - 1}").scalar()
+            classed = late_classify(batch, time, order, size, delay, lateness, known=known)
+            accepted = classed.where(F.col("late_class") != DROPPED).select(
+                *bounds, *order, value, (F.col("late_class") == LATE_ACCEPTED).alias("late")
+            )
+            in_time, late = ~F.col("late"), F.col("late")
+            fresh = accepted.groupBy(*bounds).agg(
+                F.count_if(in_time).alias("n"),
+                F.sum(F.when(in_time, F.col(value))).alias("total"),
+                F.count_if(late).alias("late_n"),
+                F.sum(F.when(late, F.col(value))).alias("late_total"),
+                F.lit(False).alias("fired"),
+            )
+            held = fresh.limit(0)
+            if batch_id > 0:
+                held = spark.read.schema(fresh.schema).parquet(f"{out}/windows/{batch_id - 1}")
+            state = held.unionByName(fresh).groupBy(*bounds).agg(
+                *(F.sum(c).alias(c) for c in ("n", "total", "late_n", "late_total")), F.max("fired").alias("fired")
+            )
+            high = F.max(time) if known is None else F.greatest(F.max(time), known)
+            _put(batch.agg(high.alias(time)), f"{out}/clock/{batch_id}")
+            now = spark.read.schema(T.StructType([batch.schema[time]])).parquet(f"{out}/clock/{batch_id}").scalar()
+            due = (F.col("n") > 0) & ~F.col("fired") & (F.col(END) <= shifted(batch, now, time, -delay))
+            first = state.where(due).select(*bounds, F.lit(1).cast("bigint").alias("firing"), F.col("n").alias("cnt"), "total")
+            folds = {"__n": running_count(), "__total": running_sum(F.col(value)), "__late": running_sum(late.cast("bigint"))}
+            so_far = running(accepted, bounds, order, folds).where(late)
+            old = held.select(
+                *(F.col(c).alias(f"__{c}") for c in bounds),
+                (F.col("n") + F.col("late_n")).alias("__old"),
+                _both(F.col("total"), F.col("late_total")).alias("__old_total"),
+                F.col("late_n").alias("__old_late"),
+            )
+            met = so_far.join(old, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in bounds], "left")
+            count = F.col("__n") + F.coalesce("__old", F.lit(0))
+            lates = F.col("__late") + F.coalesce("__old_late", F.lit(0))
+            again = met.select(
+                *bounds,
+                ((count > lates).cast("bigint") + lates).alias("firing"),
+                count.alias("cnt"),
+                _both(F.col("__total"), F.col("__old_total")).alias("total"),
+            )
+            _put(first.unionByName(again), f"{out}/rows/batch={batch_id}")
+            open_ = state.withColumn("fired", F.col("fired") | due)
+            _put(open_.where(F.col(END) > shifted(batch, now, time, -(delay + lateness))), f"{out}/windows/{batch_id}")
+            for kind in ("clock", "windows"):
+                _drop(spark, f"{out}/{kind}/{batch_id - 2}")
+        finally:
+            batch.unpersist()
+
+    return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
 def interval_join_late_stream(
     tagged: DataFrame,
     on: Sequence[str],
