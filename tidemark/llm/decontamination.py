@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.language_id import lowered
-from tidemark.llm.shared import Rolling, numbers_in, text_slices, words
+from tidemark.llm.shared import Rolling, give_back, lean, numbers_in, text_slices, words
 
 SEED = 3
 MIN_SCORE = 0.5
@@ -102,12 +102,15 @@ def rare(docs: DataFrame, block: Items, text_col: str) -> Items:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["seed", "n"])
 
-    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "seed bigint, n bigint")
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(lean(count), "seed bigint, n bigint")
     often = np.zeros(len(known), dtype=np.int64)
     for row in counted.groupBy("seed").agg(F.sum("n").alias("n")).collect():
         often[row.seed] = row.n
     own = often[np.searchsorted(known, block.seeds)]
-    middle = np.array([np.median(own[block.item == i]) if (block.item == i).any() else 0 for i in range(len(block.ids))])
+    # The middle of each item's counts, which stand together in this order; half of its seeds at least are kept.
+    order = np.lexsort((own, block.item))
+    sizes = np.bincount(block.item, minlength=len(block.ids))
+    middle = own[order][np.maximum(np.cumsum(sizes) - sizes + (sizes - 1) // 2, 0).clip(max=max(len(own) - 1, 0))]
     keep = own <= COMMON * np.maximum(middle[block.item], 1)
     return Items(block.ids, block.words, block.first, block.seeds[keep], block.item[keep], block.place[keep])
 
@@ -184,6 +187,7 @@ def matches(text: Column, block: Items, least: float, id_type: pa.DataType, id_n
                 ids.append(block.ids[item]), scores.append(score)
                 per[row] += 1
             counts.append(per)
+        give_back()
         ends = np.concatenate([[0], np.cumsum(np.concatenate(counts) if counts else [])]).astype(np.int32)
         pairs = pa.StructArray.from_arrays([pa.array(ids, id_type), pa.array(scores, pa.float64())], names=["item", "score"])
         return pa.ListArray.from_arrays(pa.array(ends), pairs)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.shared import Rolling, settled, text_slices, words
+from tidemark.llm.shared import Rolling, lean, settled, text_slices, words
 
 OWN = 896
 BUCKETS = 128
@@ -79,7 +79,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
     """Counts of all words of all documents, added up by Spark; the driver gets ``OWN`` words and a row per bucket."""
-    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(_word_counts, "word bigint, n bigint")
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(lean(_word_counts), "word bigint, n bigint")
     counted = settled(counted.groupBy("word").agg(F.sum("n").alias("n")))
     top = counted.orderBy(F.desc("n"), "word").limit(OWN).collect()
     counts, distinct = np.zeros(_SIZE, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
@@ -215,7 +215,7 @@ def train(docs: DataFrame, known: Vocabulary, text_col: str = "text", stride: in
     """
     texts, weights = docs.select(F.col(text_col).alias("text")), Network(known.counts).flat()
     for turn in range(turns):
-        sums = texts.mapInArrow(_trained(known, weights, turn, stride), "place int, value bigint, n bigint")
+        sums = texts.mapInArrow(lean(_trained(known, weights, turn, stride)), "place int, value bigint, n bigint")
         sums = sums.groupBy("place").agg((F.sum("value") / F.sum("n") / _FIXED).alias("value")).collect()
         if sums:
             weights = np.zeros_like(weights)
@@ -248,4 +248,4 @@ def score(docs: DataFrame, known: Vocabulary, weights: np.ndarray, id_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = f"id {kind}, n_words bigint, log_prob double, mean_log_prob double"
-    return texts.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return texts.mapInArrow(lean(run), schema).withColumnRenamed("id", id_col)

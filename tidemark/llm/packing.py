@@ -19,13 +19,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.pretokens import pretokens
-from tidemark.llm.shared import Rolling, numbers_in, settled, text_slices
+from tidemark.llm.shared import Rolling, lean, numbers_in, settled, text_slices
 
 CAPACITY = 1024
 END_ID = 2
-_KNOWN = 1 << 20
+_KNOWN = 1 << 19
 _LINES = 256
-_SLICE = 1 << 20
+_SLICE = 1 << 19
 
 
 class _Encoder:
@@ -205,7 +205,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, rank bigint"
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.mapInArrow(_piece_rows(tokenizer, capacity, end_id), schema)
+    return texts.mapInArrow(lean(_piece_rows(tokenizer, capacity, end_id)), schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -237,4 +237,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     ranked = ranked.select("id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("rank")).alias("rank"))
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
-    return ranked.mapInArrow(place, schema).withColumnRenamed("id", id_col)
+    return ranked.mapInArrow(lean(place), schema).withColumnRenamed("id", id_col)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame
 from tidemark.session import scratch_root
 
 # A task looks at about this many bytes of text at a time, in no more rows than that, or at one text where it is longer.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 SLICE_ROWS = 1024
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -25,7 +27,29 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def text_slices(batch: pa.RecordBatch, name: str, size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are kept, and stages to come need it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not glibc
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, giving memory back when a task ends."""
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
+def text_slices(batch: pa.RecordBatch, name: str, size: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Row ranges of a batch with the UTF-8 bytes of a column and the bounds of its rows. A null is an empty text."""
     column = pc.fill_null(batch.column(batch.schema.get_field_index(name)), "").cast(pa.large_binary())
     _, offsets, data = column.buffers()
@@ -34,7 +58,7 @@ def text_slices(batch: pa.RecordBatch, name: str, size: int = SLICE_BYTES) -> It
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + size, side="right")) - 1)
-        last = min(last, first + SLICE_ROWS, len(column))
+        last = min(last, first + rows, len(column))
         yield batch.slice(first, last - first), whole[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first]
         first = last
 
@@ -70,7 +94,7 @@ class Rolling:
 
     def _reach(self, n: int) -> None:
         if len(self.up) <= n:
-            n = max(n + 1, 2 * len(self.up))
+            n = n + 1 + n // 8
             inverse = pow(self.base, -1, 1 << 64)
             for name, factor in (("up", self.base), ("down", inverse)):
                 powers = np.full(n, factor, dtype=np.uint64)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import settled, text_slices
+from tidemark.llm.shared import lean, settled, text_slices
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([rows.column(0), column], names=["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp bigint")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(lean(run), f"id {kind}, fp bigint")
 
 
 def _golay() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,7 +115,7 @@ def links(prints: DataFrame, paired: int = PAIRED) -> DataFrame:
     itself and its 64 neighbours at one bit; two fingerprints are linked exactly if they share such a word, and all
     under a word are tied to the smallest one there: rows grow with the fingerprints, never with their pairs.
     """
-    keyed = prints.select("fp").mapInArrow(_keys, "key bigint, fp bigint")
+    keyed = prints.select("fp").mapInArrow(lean(_keys), "key bigint, fp bigint")
     shared = settled(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     met = settled(keyed.join(shared, "key"))
     few = met.where(F.col("n") <= paired)

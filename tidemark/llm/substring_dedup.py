@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tidemark.llm.shared import Rolling, lists_of, mixed, numbers_in, text_slices, words
+from tidemark.llm.shared import Rolling, lean, lists_of, mixed, numbers_in, text_slices, words
 
 WINDOW = 20
 _ANCHOR = 8
@@ -189,14 +189,14 @@ def _cut(width: int, joined: bool):
 
 def _repeated(texts: DataFrame, kind: str, window: int) -> DataFrame:
     """(id, place, length): runs of window starts, numbered by their first word, whose words also start earlier."""
-    anchors = texts.select("id", "text").mapInArrow(_anchor_rows(window), f"low bigint, salt bigint, id {kind}, n int")
+    anchors = texts.select("id", "text").mapInArrow(lean(_anchor_rows(window)), f"low bigint, salt bigint, id {kind}, n int")
     total = F.sum("n").over(Window.partitionBy("low", "salt"))
     again = anchors.select("low", "id", total.alias("total")).where("total > 1")
     wanted = again.groupBy(F.col("id").alias("own")).agg(F.collect_list("low").alias("lows"))
     # ``rest`` goes along unread: the exchange of the texts is then the one that the last join needs, and made once.
     near = texts.join(wanted, F.col("id").eqNullSafe(F.col("own"))).select("id", "text", "lows", "rest")
     schema = f"key bigint, done boolean, id {kind}, hash array<bigint>, place array<int>"
-    each = near.mapInArrow(_window_rows(window), schema).repartition("key")
+    each = near.mapInArrow(lean(_window_rows(window)), schema).repartition("key")
     each = each.select("key", "done", "id", F.inline(F.arrays_zip("hash", "place")))
     first = F.min(F.struct("id", "place")).over(Window.partitionBy("key", "done", "hash"))
     marked = each.select("id", "place", "done", "hash", first.alias("first"))
@@ -227,4 +227,4 @@ def remove_repeats(
     found = texts.join(runs, F.col("id").eqNullSafe(F.col("own")), "left").select("id", "text", "places", "lengths", "rest")
     new = T.StructType.fromDDL("kept string, n_words bigint, n_removed bigint, first_word array<int>, end_word array<int>")
     schema = T.StructType([T.StructField("id", kind), T.StructField("rest", texts.schema["rest"].dataType), *new])
-    return found.mapInArrow(_cut(window, joined), schema).withColumnRenamed("id", id_col)
+    return found.mapInArrow(lean(_cut(window, joined)), schema).withColumnRenamed("id", id_col)

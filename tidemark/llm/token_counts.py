@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.bpe import transducer
 from tidemark.llm.pretokens import pretokens
-from tidemark.llm.shared import Rolling, text_slices
+from tidemark.llm.shared import Rolling, lean, text_slices
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -37,4 +37,4 @@ def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
 
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.mapInArrow(run, f"id {kind}, n_bytes bigint, n_tokens bigint").withColumnRenamed("id", id_col)
+    return texts.mapInArrow(lean(run), f"id {kind}, n_bytes bigint, n_tokens bigint").withColumnRenamed("id", id_col)
