@@ -46,13 +46,14 @@ def scratch_root(spark: SparkSession) -> str:
 
     Only a local master may fall back to a temporary folder of this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="tidemark-")
-    spark.sparkContext.setCheckpointDir(root)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="tidemark-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root
 
 
