@@ -57,6 +57,28 @@ def test_slices_agree(spark):
     assert whole == brute(rows, 10) == mine(spark, rows, 10, 12)
 
 
+def test_tasks_that_see_many_slices(spark, monkeypatch):
+    """What a task remembers, or has forgotten, changes nothing; ids may come in any order."""
+    import pyarrow as pa
+
+    rows = passages(7, 60, [f"w{i}" for i in range(30)])
+    want = brute(rows, 10)
+    batches = [pa.RecordBatch.from_pylist([{"id": i, "text": t} for i, t in rows[k : k + 7]]) for k in range(0, len(rows), 7)]
+    anchors = pa.Table.from_batches(list(substring_dedup._anchor_rows(10)(iter(batches))))
+    counts = {}
+    for r in anchors.to_pylist():
+        counts[r["low"], r["salt"]] = counts.get((r["low"], r["salt"]), 0) + r["n"]
+    per_task = [sum(1 for r in anchors.to_pylist() if (r["low"], r["salt"]) == k) for k in counts if k[1] == 0]
+    assert max(per_task) <= 2
+    whole = {}
+    for r in anchors.to_pylist():
+        whole[r["low"]] = max(whole.get(r["low"], 0), counts[r["low"], r["salt"]])
+    assert {low for low, n in whole.items() if n > 1} == {low for low, _ in counts if sum(v for (x, _), v in counts.items() if x == low) > 1}
+    assert mine(spark, sorted(rows), 10, 1) == want == mine(spark, rows[::-1], 10, 2)
+    monkeypatch.setattr(substring_dedup._Seen.__init__, "__defaults__", (5,))
+    assert mine(spark, rows, 10, 3) == want
+
+
 def test_edges(spark):
     assert mine(spark, [], 20) == set()
     text = " ".join(f"w{i}" for i in range(30))

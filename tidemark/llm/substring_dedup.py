@@ -3,8 +3,8 @@
 Rabin-Karp hashes stand for every window of a fixed number of words. Equal windows hold the same smallest hash of eight
 words, so a first count in Spark goes over those (about one for seven windows) and only windows whose smallest hash
 recurs are counted themselves, by that hash and one of the whole window: 128 bits decide that two windows are equal.
-Each slice of a task first settles what repeats within it and passes on one row for each distinct value, which keeps
-very common passages from meeting in one task.
+Each task first settles what repeats within it and passes on a row or two for each distinct value, which keeps very
+common passages from meeting in one task.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from tidemark.llm.shared import Rolling, lean, lists_of, mixed, numbers_in, text
 
 WINDOW = 20
 _ANCHOR = 8
+# Values that a task remembers, of those it has passed on; beyond, it starts anew and passes on a few more.
+_REMEMBERED = 1 << 20
 
 
 class _Windows:
@@ -64,9 +66,36 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64).view(np.int64))
 
 
+class _Seen:
+    """Pairs of 64-bit values that a task has met, in sorted arrays; forgotten when there are too many."""
+
+    def __init__(self, most: int = _REMEMBERED) -> None:
+        self.most = most
+        self.forget()
+
+    def forget(self) -> None:
+        self.key, self.a, self.b = (np.zeros(0, dtype=np.uint64) for _ in range(3))
+
+    def has(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        if not len(self.key):
+            return np.zeros(len(a), dtype=bool)
+        at = np.minimum(np.searchsorted(self.key, mixed(a) ^ b), len(self.key) - 1)
+        return (self.a[at] == a) & (self.b[at] == b)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Pairs that differ from each other and from those held."""
+        if len(self.key) + len(a) > self.most:
+            self.forget()
+        key = mixed(a) ^ b
+        order = np.argsort(key)
+        at = np.searchsorted(self.key, key[order])
+        for name, values in (("key", key), ("a", a), ("b", b)):
+            setattr(self, name, np.insert(getattr(self, name), at, values[order]))
+
+
 def _anchor_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, serial = _rolling(), 1
+        rolling, serial, once, twice = _rolling(), 1, _Seen(), _Seen()
         for batch in batches:
             for rows, data, bounds in text_slices(batch, "text"):
                 w = _Windows(data, bounds, width, rolling)
@@ -76,11 +105,20 @@ def _anchor_rows(width: int):
                 row, low = row[order], low[order]
                 new = _heads(low) if len(low) else np.zeros(0, dtype=bool)
                 size = np.diff(np.append(np.flatnonzero(new), len(low)))
-                # The first of a value goes out with its count; the others, known to recur, each under a number of their own.
+                # The first of a value goes out with its count, as does, from a later slice, the second; the others, known
+                # to recur, each under a number of their own.
                 n, salt = np.full(len(low), 2), np.zeros(len(low), dtype=np.int64)
                 n[new] = np.minimum(size, 2)
-                salt[~new] = serial + np.arange(int((~new).sum()))
-                serial += int((~new).sum())
+                value, none = low[new], np.zeros(int(new.sum()), dtype=np.uint64)
+                met, often = once.has(value, none), twice.has(value, none)
+                alone = ~new
+                alone[new] = often
+                n[alone] = 2
+                salt[alone] = serial + np.arange(int(alone.sum()))
+                serial += int(alone.sum())
+                once.add(value[~met & ~often], none[~met & ~often])
+                again = (met | (size > 1)) & ~often
+                twice.add(value[again], none[again])
                 yield pa.RecordBatch.from_arrays(
                     [_signed(low), pa.array(salt), rows.column(0).take(pa.array(row)), pa.array(n.astype(np.int32))],
                     names=["low", "salt", "id", "n"],
@@ -91,9 +129,15 @@ def _anchor_rows(width: int):
 
 def _window_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = _rolling()
+        rolling, seen, last = _rolling(), _Seen(), None
         for batch in batches:
             for rows, data, bounds in text_slices(batch, "text"):
+                # What a task has met comes before what it meets, as long as ids rise from slice to slice.
+                ids = rows.column(0)
+                ends = pc.min_max(ids)
+                if ids.null_count or last is not None and not pc.less(last, ends["min"]).as_py():
+                    seen.forget()
+                last = ends["max"] if ends["max"].is_valid else None
                 w = _Windows(data, bounds, width, rolling)
                 lows = rows.column(2)
                 tag = mixed(np.arange(1, len(rows) + 1, dtype=np.uint64))
@@ -102,16 +146,19 @@ def _window_rows(width: int):
                 hit = np.flatnonzero(np.isin(w.low + tag[w.row], wanted))
                 if not len(hit):
                     continue
-                rank = pc.rank(rows.column(0), null_placement="at_start", tiebreaker="min").to_numpy().astype(np.int64)
+                rank = pc.rank(ids, null_placement="at_start", tiebreaker="min").to_numpy().astype(np.int64)
                 row, place, low = w.row[hit], w.place[hit], w.low[hit]
                 whole = w.whole()[w.start[hit]]
                 order = np.lexsort((place, rank[row], whole, low))
                 new = _heads(low[order], whole[order])
                 group = np.cumsum(new) - 1
-                head = order[np.flatnonzero(new)][group]
-                here = order
+                first = order[np.flatnonzero(new)]
+                head = first[group]
                 later = np.zeros(len(hit), dtype=bool)
-                later[here] = (rank[row[here]] != rank[row[head]]) | (place[here] != place[head])
+                later[order] = (rank[row[order]] != rank[row[head]]) | (place[order] != place[head])
+                met = seen.has(low[first], whole[first])
+                later[order] |= met[group]
+                seen.add(low[first[~met]], whole[first[~met]])
                 for done in (False, True):
                     pick = np.flatnonzero(later == done)
                     if not len(pick):
@@ -131,7 +178,7 @@ def _window_rows(width: int):
                         [
                             _signed(key),
                             pa.array(np.full(len(at), done)),
-                            rows.column(0).take(pa.array(r[at])),
+                            ids.take(pa.array(r[at])),
                             lists_of(h.view(np.int64), cuts, pa.int64()),
                             lists_of(p.astype(np.int32), cuts, pa.int32()),
                         ],
