@@ -97,8 +97,11 @@ def interval_join(
     return l.join(r, [*on, "__bucket"], "inner").where(inside).select(*columns)
 
 
-def tag_sides(left: DataFrame, right: DataFrame, left_time: str, right_time: str, order: Sequence[str]) -> DataFrame:
-    """Both inputs as one: the order columns, ``side`` (``l`` or ``r``), ``time``, and each row whole in ``l`` or ``r``."""
+def tag_sides(
+    left: DataFrame, right: DataFrame, left_time: str, right_time: str, order: Sequence[str], segment: Column | None = None
+) -> DataFrame:
+    """Both inputs as one: the order columns, ``side`` (``l`` or ``r``), ``time``, and each row whole in ``l`` or ``r``;
+    with a ``segment`` of their order columns, that as ``cut``."""
 
     def row(df: DataFrame) -> Column:
         return F.struct(*df.columns)
@@ -108,6 +111,8 @@ def tag_sides(left: DataFrame, right: DataFrame, left_time: str, right_time: str
     def side(df: DataFrame, name: str, time: str) -> DataFrame:
         rows = {n: row(df) if n == name else F.lit(None).cast(kind) for n, kind in kinds.items()}
         places = [F.col(c).alias(f"order_{i}") for i, c in enumerate(order)]
+        if segment is not None:
+            places.append(segment.alias("cut"))
         return df.select(*places, F.lit(name).alias("side"), F.col(time).alias("time"), *(c.alias(n) for n, c in rows.items()))
 
     return side(left, "l", left_time).unionByName(side(right, "r", right_time))
@@ -156,7 +161,8 @@ def interval_join_late(
     """
     order = list(order)
     scratch_root(left.sparkSession)
-    judged = judge_sides(tag_sides(left, right, left_time, right_time, order), delay, segment).checkpoint()
+    tagged = tag_sides(left, right, left_time, right_time, order, segment)
+    judged = judge_sides(tagged, delay, None if segment is None else F.col("cut")).checkpoint()
     l, r = (judged.where(F.col("side") == n).select("late", f"{n}.*") for n in "lr")
     in_time = [d.where(~F.col("late")).drop("late") for d in (l, r)]
     # The arrival columns stay with the late rows; in the pairs they would clash.
