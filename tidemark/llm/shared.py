@@ -128,7 +128,3 @@ def numbers_in(counts: np.ndarray) -> np.ndarray:
     """0 .. n-1 for each n of ``counts``, one after another."""
     ends = np.cumsum(counts)
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - counts, counts)
-
-
-def lists_of(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values, type=kind))

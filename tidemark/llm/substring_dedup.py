@@ -2,7 +2,7 @@
 
 Rabin-Karp hashes stand for every window of a fixed number of words. Equal windows hold the same smallest hash of eight
 words, so a first count in Spark goes over those (about one for seven windows) and only windows whose smallest hash
-recurs are counted themselves, by that hash and one of the whole window: 128 bits decide that two windows are equal.
+recurs are counted themselves, by that hash and two of the whole window: 96 bits decide that two windows are equal.
 Each task first settles what repeats within it and passes on a row or two for each distinct value, which keeps very
 common passages from meeting in one task.
 """
@@ -16,19 +16,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tidemark.llm.shared import Rolling, lean, lists_of, mixed, numbers_in, text_slices, words
+from tidemark.llm.shared import Rolling, lean, mixed, numbers_in, text_slices, words
 
 WINDOW = 20
 _ANCHOR = 8
 # Values that a task remembers, of those it has passed on; beyond, it starts anew and passes on a few more.
 _REMEMBERED = 1 << 20
+_UPPER = np.uint64(0xFFFFFFFF00000000)
 
 
 class _Windows:
     """The windows of a slice: row, first word (within the slice and the document), smallest hash in each and its place."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, width: int, rolling: tuple[Rolling, Rolling]) -> None:
-        byte, wide = rolling
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, width: int, rolling: tuple[Rolling, ...]) -> None:
+        byte, *wide = rolling
         starts, ends, first = words(data, bounds)
         self.hashes, self.wide, self.width = byte.spans(data, starts, ends), wide, width
         anchor = min(_ANCHOR, width)
@@ -46,12 +47,13 @@ class _Windows:
         some = len(self.start) > 0
         self.low, self.at = low[self.start] if some else low[:0], at[self.start] if some else at[:0]
 
-    def whole(self) -> np.ndarray:
-        return self.wide.windows(self.hashes, self.width)
+    def whole(self, which: int = 0) -> np.ndarray:
+        """One of two hashes of each window."""
+        return self.wide[which].windows(self.hashes, self.width)
 
 
-def _rolling() -> tuple[Rolling, Rolling]:
-    return Rolling(11), Rolling(23)
+def _rolling() -> tuple[Rolling, ...]:
+    return Rolling(11), Rolling(23), Rolling(29)
 
 
 def _heads(*keys: np.ndarray) -> np.ndarray:
@@ -148,7 +150,7 @@ def _window_rows(width: int):
                     continue
                 rank = pc.rank(ids, null_placement="at_start", tiebreaker="min").to_numpy().astype(np.int64)
                 row, place, low = w.row[hit], w.place[hit], w.low[hit]
-                whole = w.whole()[w.start[hit]]
+                whole, other = w.whole()[w.start[hit]], w.whole(1)[w.start[hit]]
                 order = np.lexsort((place, rank[row], whole, low))
                 new = _heads(low[order], whole[order])
                 group = np.cumsum(new) - 1
@@ -170,20 +172,14 @@ def _window_rows(width: int):
                         at = np.flatnonzero(begin)
                         length = np.diff(np.append(at, len(r)))
                         key = mixed(mixed(tag[r[at]] ^ v[at]) + p[at].astype(np.uint64))
-                        h, p, cuts = length.astype(np.uint64), p[at], np.arange(len(at) + 1)
+                        r, p, h = r[at], p[at], length.astype(np.uint64) << np.uint64(32)
                     else:
-                        at = np.flatnonzero(_heads(r, v))
-                        key, cuts = v[at], np.append(at, len(r))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            _signed(key),
-                            pa.array(np.full(len(at), done)),
-                            ids.take(pa.array(r[at])),
-                            lists_of(h.view(np.int64), cuts, pa.int64()),
-                            lists_of(p.astype(np.int32), cuts, pa.int32()),
-                        ],
-                        names=["key", "done", "id", "hash", "place"],
-                    )
+                        # Not by the smallest hash alone: a common line is in many windows that differ around it.
+                        key = mixed(v) ^ other[pick]
+                    # The upper half of the hash, or a run's length, stands above the place: fewer bytes to exchange.
+                    word = (h & _UPPER) | p.astype(np.uint64)
+                    columns = [_signed(key), pa.array(np.full(len(key), done)), ids.take(pa.array(r)), _signed(word)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "done", "id", "word"])
 
     return run
 
@@ -242,9 +238,8 @@ def _repeated(texts: DataFrame, kind: str, window: int) -> DataFrame:
     wanted = again.groupBy(F.col("id").alias("own")).agg(F.collect_list("low").alias("lows"))
     # ``rest`` goes along unread: the exchange of the texts is then the one that the last join needs, and made once.
     near = texts.join(wanted, F.col("id").eqNullSafe(F.col("own"))).select("id", "text", "lows", "rest")
-    schema = f"key bigint, done boolean, id {kind}, hash array<bigint>, place array<int>"
-    each = near.mapInArrow(lean(_window_rows(window)), schema).repartition("key")
-    each = each.select("key", "done", "id", F.inline(F.arrays_zip("hash", "place")))
+    each = near.mapInArrow(lean(_window_rows(window)), f"key bigint, done boolean, id {kind}, word bigint").repartition("key")
+    each = each.select("key", "done", "id", F.shiftright("word", 32).alias("hash"), F.col("word").bitwiseAND(0x7FFFFFFF).cast("int").alias("place"))
     first = F.min(F.struct("id", "place")).over(Window.partitionBy("key", "done", "hash"))
     marked = each.select("id", "place", "done", "hash", first.alias("first"))
     later = marked.where(F.col("done") | (F.struct("id", "place") > F.col("first")))
