@@ -80,6 +80,32 @@ def test_a_passage_in_all_documents_is_found_in_all(spark):
     assert mine(spark, docs, [(7, passage)]) == {(i, 7): 1.0 for i in range(50)}
 
 
+def test_an_edited_passage_in_many_documents_is_found_in_all(spark):
+    item = [f"w{i}" for i in range(20)]
+    edited = " ".join("other" if i % 5 == 4 else w for i, w in enumerate(item))
+    alone = mine(spark, [(0, f"a b {edited} c")], [(7, " ".join(item))])
+    assert alone == {(0, 7): round(smith_waterman(item, edited.split()) / 40, 9)}
+    docs = [(i, f"a{i} b {edited} c") for i in range(50)]
+    assert mine(spark, docs, [(7, " ".join(item))]) == {(i, 7): alone[0, 7] for i in range(50)}
+    docs.append((50, " ".join(item)))
+    assert mine(spark, docs, [(7, " ".join(item))]) == {(i, 7): alone[0, 7] for i in range(50)} | {(50, 7): 1.0}
+
+
+def test_a_phrase_of_many_items_is_looked_at_in_parts(spark, monkeypatch):
+    docs, items = case(4)
+    phrase = "which of the following "
+    docs, items = [(i, f"{phrase * 5}{t}") for i, t in docs], [(i, phrase + t) for i, t in items]
+    whole = mine(spark, docs, items)
+    data = [t.encode() for _, t in docs]
+    data, bounds = np.frombuffer(b"".join(data), dtype=np.uint8), np.cumsum([0, *map(len, data)])
+    block = decontamination._block(items)
+    monkeypatch.setattr(decontamination, "_PAIRS", 7)
+    cut = decontamination._matched(data, bounds, block, 0.5)
+    assert whole == {(docs[d][0], items[i][0]): round(s, 9) for (d, i), s in cut.items()}
+    want = brute(docs, items)
+    assert set(whole) <= set(want) and {k: v for k, v in want.items() if v >= 0.55}.items() <= whole.items()
+
+
 def test_edges(spark):
     docs, items = case(3)
     assert mine(spark, docs, []) == {}

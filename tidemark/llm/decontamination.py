@@ -1,10 +1,10 @@
 """Passages of test items in training documents, copied, edited or paraphrased.
 
-Runs of three words of an item are its seeds; Spark counts them over the whole corpus, and an item is looked for by those
-that are at most eight times as frequent as its median seed: phrases of everyday language go, whatever the corpus' size,
-but an item that leaked often, whose seeds are all frequent, keeps them. Where a document has a seed, the words around it are aligned with the item by Smith and
-Waterman's method, many pairs at a time, and the score decides. Items are worked through in blocks of bounded size, each
-against all documents, so that no document moves and nothing that is sent grows with the data.
+Runs of three words of an item are its seeds, all of them, however often they occur. Where a document has one, the words
+around it are compared with the item's: if too few of those are there for any alignment to reach the limit, as around a
+phrase of everyday language, the place is passed over; else both are aligned by Smith and Waterman's method, many pairs at
+a time, and the score decides. Items are worked through in blocks of bounded size, each against all documents, so that no
+document moves, nothing that is sent grows with the data, and no match depends on what else the corpus holds.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ SEED = 3
 MIN_SCORE = 0.5
 MIN_WORDS = 5
 BLOCK_WORDS = 200_000
-COMMON = 8
 _MATCH, _OTHER, _GAP = 2, -1, -1
 _CELLS = 1 << 21
+_PAIRS = 1 << 18
 
 _BLANK = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 
@@ -87,34 +87,6 @@ def _ranges(hits: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.searchsorted(seeds, hits, side="left"), np.searchsorted(seeds, hits, side="right")
 
 
-def rare(docs: DataFrame, block: Items, text_col: str) -> Items:
-    """The block without seeds over ``COMMON`` times as frequent, in all documents, as the median seed of their item."""
-    known = np.unique(block.seeds)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(known) + 1, dtype=np.int64)
-        for batch in batches:
-            for _, data, bounds in text_slices(batch, "text"):
-                grams, _, _ = _grams(*_spelled(data, bounds))
-                at = np.searchsorted(known, grams)
-                hit = known[np.minimum(at, len(known) - 1)] == grams
-                total += np.bincount(at[hit], minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["seed", "n"])
-
-    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(lean(count), "seed bigint, n bigint")
-    often = np.zeros(len(known), dtype=np.int64)
-    for row in counted.groupBy("seed").agg(F.sum("n").alias("n")).collect():
-        often[row.seed] = row.n
-    own = often[np.searchsorted(known, block.seeds)]
-    # The middle of each item's counts, which stand together in this order; half of its seeds at least are kept.
-    order = np.lexsort((own, block.item))
-    sizes = np.bincount(block.item, minlength=len(block.ids))
-    middle = own[order][np.maximum(np.cumsum(sizes) - sizes + (sizes - 1) // 2, 0).clip(max=max(len(own) - 1, 0))]
-    keep = own <= COMMON * np.maximum(middle[block.item], 1)
-    return Items(block.ids, block.words, block.first, block.seeds[keep], block.item[keep], block.place[keep])
-
-
 def align(left: np.ndarray, left_n: np.ndarray, right: np.ndarray, right_n: np.ndarray) -> np.ndarray:
     """Smith-Waterman scores of pairs of sequences, the rows of two padded arrays, by antidiagonals."""
     pairs, n, m = len(left), left.shape[1], right.shape[1]
@@ -135,43 +107,59 @@ def align(left: np.ndarray, left_n: np.ndarray, right: np.ndarray, right_n: np.n
     return best.max(axis=1)
 
 
-def _candidates(hashes: np.ndarray, first: np.ndarray, block: Items) -> np.ndarray:
-    """(row, item, place) of the stretches of documents that may hold an item: half an item's length before ``place`` to as much after its end."""
+def _candidates(hashes: np.ndarray, first: np.ndarray, block: Items) -> Iterator[np.ndarray]:
+    """(row, item, place) of the stretches of documents that may hold an item: half an item's length before ``place`` to as much after its end.
+
+    They come in parts of bounded size, as a phrase may be in many items and many times in a slice.
+    """
     grams, row, place = _grams(hashes, first)
     low, high = _ranges(grams, block.seeds)
-    hit = np.flatnonzero(high > low)
-    counts = (high - low)[hit]
-    seed = np.repeat(low[hit], counts) + numbers_in(counts)
-    item = block.item[seed]
-    half = np.maximum(np.diff(block.first)[item] // 2, 1)
-    begin = (np.repeat(place[hit], counts) - block.place[seed]) // half * half
-    return np.unique(np.stack([np.repeat(row[hit], counts), item, begin], axis=1), axis=0) if len(seed) else np.zeros((0, 3), dtype=np.int64)
+    hits = np.flatnonzero(high > low)
+    part = np.cumsum((high - low)[hits]) // _PAIRS
+    for hit in np.split(hits, np.flatnonzero(np.diff(part)) + 1) if len(hits) else []:
+        counts = (high - low)[hit]
+        seed = np.repeat(low[hit], counts) + numbers_in(counts)
+        item = block.item[seed]
+        half = np.maximum(np.diff(block.first)[item] // 2, 1)
+        begin = (np.repeat(place[hit], counts) - block.place[seed]) // half * half
+        yield np.unique(np.stack([np.repeat(row[hit], counts), item, begin], axis=1), axis=0)
+
+
+def shared_words(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many places of each row of ``left`` have a word that is in the same row of ``right``: no alignment matches more."""
+    total = np.zeros(len(left), dtype=np.int64)
+    for k in range(left.shape[1]):
+        total += (left[:, k : k + 1] == right).any(axis=1)
+    return total
 
 
 def _matched(data: np.ndarray, bounds: np.ndarray, block: Items, least: float) -> dict[tuple[int, int], float]:
     """The best score of each (row, item) that reaches ``least``."""
     hashes, first = _spelled(data, bounds)
-    found, out = _candidates(hashes, first, block), {}
-    size = np.diff(block.first)
-    found = found[np.argsort(size[found[:, 1]], kind="stable")]
-    start = 0
-    while start < len(found):
-        step = max(1, _CELLS // int(4 * size[found[min(start + 2000, len(found) - 1), 1]] + 1))
-        part, start = found[start : start + min(step, 2000)], start + min(step, 2000)
-        n = size[part[:, 1]]
-        begin = np.maximum(part[:, 2] - n // 2, 0)
-        whole = np.diff(first)[part[:, 0]]
-        m = np.minimum(part[:, 2] + 2 * n + n // 2, whole) - begin
-        columns = np.arange(n.max())
-        at = np.minimum(block.first[part[:, 1]][:, None] + columns, len(block.words) - 1)
-        left = np.where(columns < n[:, None], block.words[at], np.uint64(1))
-        columns = np.arange(m.max())
-        at = np.minimum((first[part[:, 0]] + begin)[:, None] + columns, len(hashes) - 1)
-        right = np.where(columns < m[:, None], hashes[at], np.uint64(2))
-        for (row, item, _), score in zip(part, align(left, n, right, m) / (_MATCH * n)):
-            if score >= least:
-                key = (int(row), int(item))
-                out[key] = max(out.get(key, 0.0), float(score))
+    size, out = np.diff(block.first), {}
+    for found in _candidates(hashes, first, block):
+        found = found[np.argsort(size[found[:, 1]], kind="stable")]
+        start = 0
+        while start < len(found):
+            step = max(1, _CELLS // int(4 * size[found[min(start + 2000, len(found) - 1), 1]] + 1))
+            part, start = found[start : start + min(step, 2000)], start + min(step, 2000)
+            n = size[part[:, 1]]
+            begin = np.maximum(part[:, 2] - n // 2, 0)
+            whole = np.diff(first)[part[:, 0]]
+            m = np.minimum(part[:, 2] + 2 * n + n // 2, whole) - begin
+            columns = np.arange(n.max())
+            at = np.minimum(block.first[part[:, 1]][:, None] + columns, len(block.words) - 1)
+            left = np.where(columns < n[:, None], block.words[at], np.uint64(1))
+            columns = np.arange(m.max())
+            at = np.minimum((first[part[:, 0]] + begin)[:, None] + columns, len(hashes) - 1)
+            right = np.where(columns < m[:, None], hashes[at], np.uint64(2))
+            able = np.flatnonzero(shared_words(left, right) / n >= least)
+            if not len(able):
+                continue
+            for (row, item, _), score in zip(part[able], align(left[able], n[able], right[able], m[able]) / (_MATCH * n[able])):
+                if score >= least:
+                    key = (int(row), int(item))
+                    out[key] = max(out.get(key, 0.0), float(score))
     return out
 
 
@@ -215,7 +203,7 @@ def contaminations(
     kind = items.schema[item_id_col].dataType
     columns = []
     for block in blocks(items, item_id_col, item_text_col, block_words):
-        columns.append(matches(F.col(text_col), rare(docs, block, text_col), least, to_arrow_type(kind), kind.simpleString()))
+        columns.append(matches(F.col(text_col), block, least, to_arrow_type(kind), kind.simpleString()))
     if not columns:
         return F.array().cast(f"array<struct<item:{kind.simpleString()},score:double>>")
     return columns[0] if len(columns) == 1 else F.concat(*columns)
