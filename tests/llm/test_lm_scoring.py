@@ -91,3 +91,16 @@ def test_edges(spark, model):
     empty = lm.vocabulary(none)
     assert lm.score(none, empty, lm.train(none, empty)).count() == 0
     assert lm.score(spark.createDataFrame([(1, "a b", 3)], SCHEMA + ", n_words int"), empty, lm.train(none, empty)).first().n_words == 2
+
+
+def test_every_word_is_taught_once(monkeypatch):
+    texts = ["a b c d e f g h i", "j", "k l", None, "m n o"]
+    names = [w for t in texts for w in (t or "").split()]
+    counted = np.sort(np.array([lm.Rolling(41).spans(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([1]))[0] for w in names]).view(np.int64))
+    known = lm.Vocabulary(counted, np.arange(len(names)), np.ones(lm._SIZE, dtype=np.int64), np.zeros(lm.BUCKETS, dtype=np.int64))
+    taught = []
+    monkeypatch.setattr(lm.Network, "learn", lambda self, around, word, rate, seen: taught.extend(word.tolist()))
+    for turn in range(lm.TURNS):
+        batch = lm.pa.RecordBatch.from_arrays([lm.pa.array(texts)], names=["text"])
+        list(lm._trained(known, lm.Network(known.counts).flat(), turn, lm.STRIDE)([batch]))
+    assert sorted(taught) == list(range(len(names)))

@@ -2,8 +2,9 @@
 
 Words are numbered by their counts over the whole corpus: the most frequent have a number of their own, the others share
 buckets, in which each of a bucket's words is as likely as the next. A network with one hidden layer predicts a word from
-two words on each side, in two steps: its class, then the word in it. Every task trains a copy on the documents it holds;
-Spark averages the copies, weighted by what each has seen, and a second turn starts from the average. The summed
+two words on each side, in two steps: its class, then the word in it. Every task trains a copy on the documents it holds,
+in the first turn on every second word of each; Spark averages the copies, weighted by what each has seen, and a second
+turn on all other words starts from the average. The summed
 logarithms of the probabilities of all words, each from both of its sides, are a document's score.
 """
 
@@ -16,14 +17,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.shared import Rolling, lean, settled, text_slices, words
+from tidemark.llm.shared import Rolling, lean, numbers_in, settled, text_slices, words
 
 OWN = 896
 BUCKETS = 128
 CLASSES = 32
 HIDDEN = 32
 REACH = (-2, -1, 1, 2)
-STRIDE = 8
+STRIDE = 2
 TURNS = 2
 _SIZE = OWN + BUCKETS
 _PAD = _SIZE
@@ -138,23 +139,29 @@ class Network:
 
     def learn(self, around: np.ndarray, word: np.ndarray, rate: float, seen: list[np.ndarray]) -> None:
         """One step of AdaGrad on a batch."""
-        h, kind, within, n = self.hide(around), word % CLASSES, word // CLASSES, len(word)
+        order = np.argsort((word % CLASSES).astype(np.uint8), kind="stable")
+        around, word, n = around[:, order], word[order], len(word)
+        h, kind, within = self.hide(around), word % CLASSES, word // CLASSES
+        ends = np.cumsum(np.bincount(kind, minlength=CLASSES)).tolist()
         miss = np.exp(_log_softmax(h @ self.to_class + self.of_class))
         miss[np.arange(n), kind] -= 1
         back = miss @ self.to_class.T
         slopes = [None, None, h.T @ miss / n, miss.sum(axis=0) / n, np.zeros_like(self.to_word), np.zeros_like(self.of_word)]
-        for c, rows in _by(kind):
-            off = np.exp(_log_softmax(h[rows] @ self.to_word[c] + self.of_word[c]))
-            off[np.arange(len(rows)), within[rows]] -= 1
-            back[rows] += off @ self.to_word[c].T
-            slopes[4][c], slopes[5][c] = h[rows].T @ off / n, off.sum(axis=0) / n
+        for c, (low, high) in enumerate(zip([0, *ends], ends)):
+            if low == high:
+                continue
+            own = h[low:high]
+            off = np.exp(_log_softmax(own @ self.to_word[c] + self.of_word[c]))
+            off[np.arange(high - low), within[low:high]] -= 1
+            back[low:high] += off @ self.to_word[c].T
+            slopes[4][c], slopes[5][c] = own.T @ off / n, off.sum(axis=0) / n
         back *= 1 - h * h
         slopes[1] = back.sum(axis=0) / n
         for p, s, a in list(zip(self.parts(), slopes, seen))[1:]:
             a += s * s
             p -= rate * s / np.sqrt(a)
         for k in range(len(REACH)):
-            order = np.argsort(around[k], kind="stable")
+            order = np.argsort(around[k].astype(np.uint16), kind="stable")
             own = around[k][order]
             heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
             s, at = np.add.reduceat(back[order], heads, axis=0) / n, own[heads]
@@ -194,7 +201,7 @@ def _trained(known: Vocabulary, weights: np.ndarray, turn: int, stride: int):
         for batch in batches:
             for _, data, bounds in text_slices(batch, "text"):
                 numbers, first = known.read(data, bounds)
-                places = np.arange(turn * (stride // 2) % stride, len(numbers), stride)
+                places = np.flatnonzero(numbers_in(np.diff(first)) % stride == turn % stride)
                 for k in range(0, len(places), _BATCH):
                     at = places[k : k + _BATCH]
                     net.learn(_around(numbers, first, at), numbers[at], 0.2 / (1 + turn), seen)
@@ -211,6 +218,7 @@ def _trained(known: Vocabulary, weights: np.ndarray, turn: int, stride: int):
 def train(docs: DataFrame, known: Vocabulary, text_col: str = "text", stride: int = STRIDE, turns: int = TURNS) -> np.ndarray:
     """The network's weights after ``turns`` turns; in each, every document teaches each ``stride``-th of its words.
 
+    A turn begins one word after the last one did: in ``stride`` turns every word of every document is taught once.
     A turn's copies are added up in fixed point, so that the order of adding doesn't matter; the driver gets one average.
     """
     texts, weights = docs.select(F.col(text_col).alias("text")), Network(known.counts).flat()
