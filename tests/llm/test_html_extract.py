@@ -54,6 +54,14 @@ def test_recurring_subtrees_go_and_single_pages_keep_theirs(spark):
     assert texts(site(spark, 6, other).repartition(4)) == want
 
 
+def test_a_section_of_a_large_host_has_its_template(spark):
+    section = [(1000 + i, "a.net", f"<div class='x2'>Our section</div><p>Part {i}</p>") for i in range(3)]
+    plain = [(i, "a.net", f"<p>Page {i}</p>") for i in range(200)]
+    want = {(1000 + i, f"Part {i}") for i in range(3)}
+    assert texts(spark.createDataFrame(section + plain[:10], SCHEMA)) >= want
+    assert texts(spark.createDataFrame(section + plain, SCHEMA)) == want | {(i, f"Page {i}") for i in range(200)}
+
+
 def test_copies_of_a_page_are_no_template(spark):
     page = "<p>First paragraph.</p><p>Second.</p>"
     copies = spark.createDataFrame([(i, "a.net", page) for i in range(20)], SCHEMA)

@@ -1,9 +1,10 @@
 """The main text of pages, with the template of each site removed.
 
 A page is read once into a tree of elements. The hash of every subtree is counted, per host, in Spark: over pages that
-differ in their main text, so that copies of a page don't make a template of their article. Subtrees that recur on
-enough of a host's pages are deleted, then what is marked up as menu, header, footer, sidebar, notice, advert, form or
-comments, and the blocks of the article that are left (or of the page, where nothing is marked as the article) are the text.
+differ in their main text, so that copies of a page don't make a template of their article. Subtrees that recur on a few
+pages of a host, however many it has, are deleted, then what is marked up as menu, header, footer, sidebar, notice, advert,
+form or comments, and the blocks of the article that are left (or of the page, where nothing is marked as the article) are
+the text.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.llm.shared import lean, settled
 
 MIN_PAGES = 3
-MIN_SHARE = 0.05
 
 # Fixed values of the markup language and of customary names.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -232,25 +232,21 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts = _roots(root)
             main = "\0".join(b for p in parts or [root] for b in _walk(p, (), {}, bool(parts)))
             own = int.from_bytes(blake2b(main.encode(), digest_size=8).digest(), "little", signed=True)
-            for value, same in {(0, True), *_hash(root, parts)[0]}:
+            for value, same in set(_hash(root, parts)[0]):
                 host.append(name), content.append(own), subtree.append(value), fixed.append(same)
         columns = [pa.array(host, pa.string()), pa.array(content, pa.int64()), pa.array(subtree, pa.int64()), pa.array(fixed, pa.bool_())]
         yield pa.RecordBatch.from_arrays(columns, names=["host", "content", "subtree", "fixed"])
 
 
-def templates(pages: DataFrame, host: Column, html_col: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, subtree, fixed, n): subtrees on ``min_pages`` or more of a host's pages that differ in their main text and
-    on ``min_share`` of them or more. fixed: recurrence changes nothing, wherever they stand on that host."""
+def templates(pages: DataFrame, host: Column, html_col: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, subtree, fixed, n): subtrees on ``min_pages`` or more of a host's pages that differ in their main text,
+    however many pages it has. fixed: recurrence changes nothing, wherever they stand on that host."""
     each = pages.select(host.alias("host"), F.col(html_col).alias("html")).mapInArrow(lean(_subtrees), "host string, content bigint, subtree bigint, fixed boolean")
     once = each.groupBy("host", "subtree", "content").agg(F.min("fixed").alias("fixed"))
-    counted = settled(once.groupBy("host", "subtree").agg(F.count("*").alias("n"), F.min("fixed").alias("fixed")).where(F.col("n") >= min_pages))
-    # The number 0 stands for the page itself: one row for each host.
-    sizes = settled(counted.where("subtree = 0").select(F.col("host").alias("site"), F.col("n").alias("pages")))
-    found = counted.where("subtree != 0").join(sizes, F.col("host").eqNullSafe(F.col("site")))
-    return found.where(F.col("n") >= F.col("pages") * min_share).select("host", "subtree", "fixed", "n")
+    return once.groupBy("host", "subtree").agg(F.min("fixed").alias("fixed"), F.count("*").alias("n")).where(F.col("n") >= min_pages)
 
 
-def main_texts(pages: DataFrame, host: Column, id_col: str = "page_id", html_col: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def main_texts(pages: DataFrame, host: Column, id_col: str = "page_id", html_col: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """One row per row of ``pages``: its id and ``text``, the blocks in page order with a blank line between them.
 
     ``host`` names the site. White space inside a block is one space, character references are decoded. Subtrees of the
@@ -263,7 +259,7 @@ def main_texts(pages: DataFrame, host: Column, id_col: str = "page_id", html_col
     """
     kind = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), F.col(html_col).alias("html"))
-    found = settled(templates(rows, F.col("host"), "html", min_pages, min_share).where("NOT fixed").select("host", "subtree"))
+    found = settled(templates(rows, F.col("host"), "html", min_pages).where("NOT fixed").select("host", "subtree"))
     if found.isEmpty():
         plain = rows.select("id", "html", F.lit(None).cast("array<bigint>").alias("deleted"))
     else:
