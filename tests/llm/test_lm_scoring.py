@@ -104,3 +104,39 @@ def test_every_word_is_taught_once(monkeypatch):
         batch = lm.pa.RecordBatch.from_arrays([lm.pa.array(texts)], names=["text"])
         list(lm._trained(known, lm.Network(known.counts).flat(), turn, lm.STRIDE)([batch]))
     assert sorted(taught) == list(range(len(names)))
+
+
+def test_words_of_a_bucket_share_it_by_their_counts(spark):
+    r = random.Random(5)
+    frequent = [f"f{i}" for i in range(lm.OWN)]
+    others = [f"o{i}" for i in range(400)]
+    often = {w: 1 + i % 7 for i, w in enumerate(others)}
+    words = frequent * 9 + [w for w, n in often.items() for _ in range(n)]
+    r.shuffle(words)
+    docs = [(i % 30 if i % 4 else None, " ".join(words[k : k + 50])) for i, k in enumerate(range(0, len(words), 50))]
+    docs = spark.createDataFrame(docs, SCHEMA).repartition(5)
+    known = lm.vocabulary(docs)
+    weights = lm.Network(known.counts).flat()
+    net = lm.Network(known.counts)
+    texts = others + [f"{others[0]} {others[9]} f1 new {others[0]}"]
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(4), known, weights).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        numbers, _ = known.read(data, np.array([0, len(data)]))
+        want = 0.0
+        for k, (n, w) in enumerate(zip(numbers, text.split())):
+            near = [[numbers[k + s] if 0 <= k + s < len(numbers) else lm._PAD] for s in lm.REACH]
+            want += net.log_share(np.array(near), np.array([n]))[0]
+            want += np.log(often.get(w, 1) / max(known.counts[n], 1)) if n >= lm.OWN else 0
+        assert got[i].log_prob == pytest.approx(want, abs=1e-3)
+    whole = lm.score(docs, known, weights)
+    assert whole.count() == docs.count() and whole.agg(F.sum("n_words")).first()[0] == len(words)
+
+
+def test_own_words_grow_with_the_vocabulary(spark):
+    docs = spark.range(0, 1_000_000, 1000).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(id, id + 999), x -> concat('w', x))) AS text")
+    known = lm.vocabulary(docs)
+    assert known.own == 1024 > lm.OWN and len(known.hashes) == 1024
+    assert known.counts.sum() == 1_000_000 == known.distinct.sum() + 1024
+    assert lm.score(docs, known, lm.Network(known.counts).flat()).where("n_words = 1000").count() == 1000

@@ -1,7 +1,7 @@
 """Documents scored by the masked pseudo-likelihood of a small bidirectional network.
 
-Words are numbered by their counts over the whole corpus: the most frequent have a number of their own, the others share
-buckets, in which each of a bucket's words is as likely as the next. A network with one hidden layer predicts a word from
+Words are numbered by their counts over the whole corpus: the most frequent, more of them the more distinct words there
+are, have a number of their own, the others share buckets, whose probability their words share by their counts. A network with one hidden layer predicts a word from
 two words on each side, in two steps: its class, then the word in it. Every task trains a copy on the documents it holds,
 in the first turn on every second word of each; Spark averages the copies, weighted by what each has seen, and a second
 turn on all other words starts from the average. The summed
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ HIDDEN = 32
 REACH = (-2, -1, 1, 2)
 STRIDE = 2
 TURNS = 2
+# Ranges of hashes in which Spark joins words with their counts.
+_PARTS = 1 << 10
 _SIZE = OWN + BUCKETS
 _PAD = _SIZE
 _BATCH = 1024
@@ -35,22 +38,40 @@ _FIXED = 1 << 16
 
 @dataclass
 class Vocabulary:
-    """Hashes of the words with their own number, sorted, and those numbers; counts by number; words in each bucket."""
+    """Hashes of the words with their own number, sorted, and those numbers; counts by number; words in each bucket.
+
+    ``counted`` is the table (word, n) of all words, in Spark; it stays with the driver.
+    """
 
     hashes: np.ndarray
     numbers: np.ndarray
     counts: np.ndarray
     distinct: np.ndarray
+    counted: DataFrame | None = None
 
-    def read(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of the words of a slice, and the first word of each row."""
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"counted": None}
+
+    @property
+    def own(self) -> int:
+        return len(self.counts) - BUCKETS
+
+    def spelled(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the words of a slice, and the first word of each row."""
         starts, ends, first = words(data, bounds)
-        h = Rolling(41).spans(data, starts, ends).view(np.int64)
-        out = OWN + np.mod(h, BUCKETS)
+        return Rolling(41).spans(data, starts, ends).view(np.int64), first
+
+    def numbered(self, h: np.ndarray) -> np.ndarray:
+        out = self.own + np.mod(h, BUCKETS)
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
             out = np.where(self.hashes[at] == h, self.numbers[at], out)
-        return out.astype(np.int32), first
+        return out.astype(np.int32)
+
+    def read(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the words of a slice, and the first word of each row."""
+        h, first = self.spelled(data, bounds)
+        return self.numbered(h), first
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,21 +100,24 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
-    """Counts of all words of all documents, added up by Spark; the driver gets ``OWN`` words and a row per bucket."""
+    """Counts of all words of all documents, added up by Spark; the driver gets ``OWN`` words, or the
+    square root of the number of distinct words where that is more, and a row per bucket."""
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(lean(_word_counts), "word bigint, n bigint")
     counted = settled(counted.groupBy("word").agg(F.sum("n").alias("n")))
-    top = counted.orderBy(F.desc("n"), "word").limit(OWN).collect()
-    counts, distinct = np.zeros(_SIZE, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
     bucket = F.pmod("word", F.lit(BUCKETS)).cast("int").alias("bucket")
-    for row in counted.groupBy(bucket).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect():
-        counts[OWN + row.bucket], distinct[row.bucket] = row.n, row.words
+    shared = counted.groupBy(bucket).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
+    own = max(OWN, -(-isqrt(sum(r.words for r in shared)) // CLASSES) * CLASSES)
+    top = counted.orderBy(F.desc("n"), "word").limit(own).collect()
+    counts, distinct = np.zeros(own + BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
+    for row in shared:
+        counts[own + row.bucket], distinct[row.bucket] = row.n, row.words
     for i, row in enumerate(top):
         counts[i] = row.n
-        counts[OWN + row.word % BUCKETS] -= row.n
+        counts[own + row.word % BUCKETS] -= row.n
         distinct[row.word % BUCKETS] -= 1
     hashes = np.array([r.word for r in top], dtype=np.int64)
     order = np.argsort(hashes)
-    return Vocabulary(hashes[order], order.astype(np.int64), counts, distinct)
+    return Vocabulary(hashes[order], order.astype(np.int64), counts, distinct, counted)
 
 
 class Network:
@@ -101,9 +125,10 @@ class Network:
 
     def __init__(self, counts: np.ndarray) -> None:
         random = np.random.default_rng(3)
-        per = _SIZE // CLASSES
-        share = (counts + 0.5).reshape(per, CLASSES).T / (counts.sum() + 0.5 * _SIZE)
-        self.inputs = (0.1 * random.standard_normal((len(REACH), _SIZE + 1, HIDDEN))).astype(np.float32)
+        size = len(counts)
+        per = size // CLASSES
+        share = (counts + 0.5).reshape(per, CLASSES).T / (counts.sum() + 0.5 * size)
+        self.inputs = (0.1 * random.standard_normal((len(REACH), size + 1, HIDDEN))).astype(np.float32)
         self.hidden = np.zeros(HIDDEN, dtype=np.float32)
         self.to_class = (0.1 * random.standard_normal((HIDDEN, CLASSES))).astype(np.float32)
         self.of_class = np.log(share.sum(axis=1)).astype(np.float32)
@@ -161,7 +186,7 @@ class Network:
             a += s * s
             p -= rate * s / np.sqrt(a)
         for k in range(len(REACH)):
-            order = np.argsort(around[k].astype(np.uint16), kind="stable")
+            order = np.argsort(around[k].astype(np.min_scalar_type(self.inputs.shape[1])), kind="stable")
             own = around[k][order]
             heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
             s, at = np.add.reduceat(back[order], heads, axis=0) / n, own[heads]
@@ -183,14 +208,14 @@ def _by(kind: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield c, rows
 
 
-def _around(numbers: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The neighbours of the words at some places, one row for each distance; beyond a document's ends a blank."""
+def _around(numbers: np.ndarray, first: np.ndarray, at: np.ndarray, blank: int) -> np.ndarray:
+    """The neighbours of the words at some places, one row for each distance; beyond a document's ends ``blank``."""
     row = np.searchsorted(first, at, side="right") - 1
     out = np.empty((len(REACH), len(at)), dtype=np.int32)
     for k, step in enumerate(REACH):
         there = at + step
         inside = (there >= first[row]) & (there < first[row + 1])
-        out[k] = np.where(inside, numbers[np.clip(there, 0, len(numbers) - 1)], _PAD)
+        out[k] = np.where(inside, numbers[np.clip(there, 0, len(numbers) - 1)], blank)
     return out
 
 
@@ -204,7 +229,7 @@ def _trained(known: Vocabulary, weights: np.ndarray, turn: int, stride: int):
                 places = np.flatnonzero(numbers_in(np.diff(first)) % stride == turn % stride)
                 for k in range(0, len(places), _BATCH):
                     at = places[k : k + _BATCH]
-                    net.learn(_around(numbers, first, at), numbers[at], 0.2 / (1 + turn), seen)
+                    net.learn(_around(numbers, first, at, len(known.counts)), numbers[at], 0.2 / (1 + turn), seen)
                 done += len(places)
         if done:
             n = -(-done // 1024)
@@ -231,29 +256,110 @@ def train(docs: DataFrame, known: Vocabulary, text_col: str = "text", stride: in
     return weights
 
 
-def score(docs: DataFrame, known: Vocabulary, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, ``n_words``, ``log_prob`` (summed over all words) and ``mean_log_prob``.
-
-    A null or blank text has no words, a sum of 0 and a null mean. Words the corpus behind ``known`` lacks count like
-    any other of their bucket. Ids, null or repeated, are carried along; nothing is shuffled.
-    """
+def _scored(known: Vocabulary, weights: np.ndarray):
+    """A row per slice: ids, words and sums of its documents, as if all words of a bucket had a count of 1; how many words of
+    each document are in buckets, which (numbers into the slice's list of such words), and that list by ranges of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network(known.counts).load(weights)
-        spread = np.concatenate([np.zeros(OWN), np.log(np.maximum(known.distinct, 1))])
+        spread = np.concatenate([np.zeros(known.own), np.log(np.maximum(known.counts[known.own :], 1))])
         for batch in batches:
             for rows, data, bounds in text_slices(batch, "text"):
-                numbers, first = known.read(data, bounds)
+                h, first = known.spelled(data, bounds)
+                numbers = known.numbered(h)
                 logs = np.zeros(len(numbers) + 1)
                 for k in range(0, len(numbers), 1 << 15):
                     at = np.arange(k, min(k + (1 << 15), len(numbers)))
-                    logs[at] = net.log_share(_around(numbers, first, at), numbers[at]) - spread[numbers[at]]
+                    logs[at] = net.log_share(_around(numbers, first, at, len(known.counts)), numbers[at]) - spread[numbers[at]]
                 n = np.diff(first)
                 total = np.where(n > 0, np.add.reduceat(logs, np.minimum(first[:-1], len(logs) - 1)), 0.0)
-                mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n.astype(np.int64)), pa.array(total), mean], names=["id", "n_words", "log_prob", "mean_log_prob"])
+                away = numbers >= known.own
+                per = np.diff(np.concatenate([[0], np.cumsum(away)])[first])
+                # The range of a hash, its lowest bits, comes first in this order.
+                turned = h[away].view(np.uint64)
+                turned = (turned << np.uint64(54)) | (turned >> np.uint64(10))
+                turned, which = np.unique(turned, return_inverse=True)
+                listed = ((turned << np.uint64(10)) | (turned >> np.uint64(54))).view(np.int64)
+                ends = np.searchsorted(turned >> np.uint64(54), np.arange(_PARTS + 1, dtype=np.uint64))
+                parts = [{"part": int(p), "words": listed[ends[p] : ends[p + 1]].tobytes()} for p in np.flatnonzero(np.diff(ends))]
+                which = which.astype(np.uint16 if len(listed) <= 1 << 16 else np.uint32)
+                columns = [pa.array([x.tobytes()], pa.binary()) for x in (n.astype(np.int64), total, per.astype(np.int64), which)]
+                ids = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows.column(0))
+                kind = pa.list_(pa.struct([("part", pa.int32()), ("words", pa.binary())]))
+                yield pa.RecordBatch.from_arrays([ids, *columns, pa.array([parts], kind)], names=["ids", "n", "total", "per", "which", "parts"])
+
+    return run
+
+
+def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of the lists of words that follow, in the order of rows, the counted words of their range."""
+    now, held, table = None, [], None
+    for batch in batches:
+        part, asks = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+        lists, units, out = batch.column(5).to_pylist(), batch.column(4), []
+        edges = np.flatnonzero(np.concatenate([[True], (np.diff(part) != 0) | (asks[1:] != asks[:-1]), [True]])) if len(part) else []
+        for low, high in zip(edges[:-1], edges[1:]):
+            if part[low] != now:
+                now, held, table = part[low], [], None
+            if not asks[low]:
+                held.append([batch.column(c).slice(low, high - low).to_numpy() for c in (2, 3)])
+                continue
+            if table is None:
+                word, n = (np.concatenate([np.zeros(0, dtype=np.int64), *(x[c] for x in held)]).astype(np.int64) for c in (0, 1))
+                order = np.argsort(word)
+                held, table = [], (word[order], n[order])
+            h = np.frombuffer(b"".join(lists[low:high]), dtype=np.int64)
+            n = np.zeros(len(h), dtype=np.int64)
+            if len(table[0]):
+                at = np.minimum(np.searchsorted(table[0], h), len(table[0]) - 1)
+                n = np.where(table[0][at] == h, table[1][at], 0)
+            ends = np.cumsum([0, *(len(x) // 8 for x in lists[low:high])])
+            out += [n[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+        asked = pa.array(asks, pa.bool_())
+        yield pa.RecordBatch.from_arrays([units.filter(asked), batch.column(0).filter(asked), pa.array(out, pa.binary())], names=["unit", "part", "counts"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of each slice, whose row comes before those with the counts of its words."""
+    slice_, counts = None, []
+
+    def done() -> Iterator[pa.RecordBatch]:
+        if slice_ is None:
+            return
+        ids, n, total, per, which = slice_
+        n, total, per = np.frombuffer(n, np.int64), np.frombuffer(total, np.float64), np.frombuffer(per, np.int64)
+        which = np.frombuffer(which, np.uint16 if len(which) == 2 * per.sum() else np.uint32)
+        logs = np.log(np.maximum(np.frombuffer(b"".join(counts), np.int64), 1))
+        total = total + np.bincount(np.repeat(np.arange(len(per)), per), weights=logs[which], minlength=len(per))
+        mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+        yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(total), mean], names=["id", "n_words", "log_prob", "mean_log_prob"])
 
+    for batch in batches:
+        for k, part in enumerate(batch.column(1).to_pylist()):
+            if part < 0:
+                yield from done()
+                slice_, counts = [batch.column(2)[k].values, *(batch.column(c)[k].as_py() for c in range(3, 7))], []
+            else:
+                counts.append(batch.column(7)[k].as_py())
+    yield from done()
+
+
+def score(docs: DataFrame, known: Vocabulary, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, ``n_words``, ``log_prob`` (summed over all words) and ``mean_log_prob``.
+
+    A null or blank text has no words, a sum of 0 and a null mean. A bucket's words share its probability by their counts
+    in the corpus behind ``known``; words that it lacks count like those that it has once. The counts are joined in Spark
+    with the distinct words of each slice of text. Ids, null or repeated, are carried along; no text is shuffled.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"id {kind}, n_words bigint, log_prob double, mean_log_prob double"
-    return texts.mapInArrow(lean(run), schema).withColumnRenamed("id", id_col)
+    schema = f"ids array<{kind}>, n binary, total binary, per binary, which binary, parts array<struct<part:int,words:binary>>"
+    slices = settled(texts.mapInArrow(lean(_scored(known, weights)), schema).withColumn("unit", F.monotonically_increasing_id()))
+    asked = slices.select("unit", F.inline("parts")).selectExpr("part", "true AS asks", "0L AS word", "0L AS n", "unit", "words")
+    counted = known.counted.selectExpr(f"CAST(word & {_PARTS - 1} AS int) AS part", "false AS asks", "word", "n", "0L AS unit", "CAST(null AS binary) AS words")
+    both = counted.unionAll(asked).repartition("part").sortWithinPartitions("part", "asks")
+    found = both.mapInArrow(lean(_looked_up), "unit bigint, part int, counts binary")
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("ids", f"array<{kind}>"), ("n", "binary"), ("total", "binary"), ("per", "binary"), ("which", "binary"))]
+    whole = slices.select("unit", F.lit(-1).alias("part"), "ids", "n", "total", "per", "which", F.lit(None).cast("binary").alias("counts"))
+    rows = whole.unionAll(found.select("unit", "part", *none, "counts")).repartition("unit").sortWithinPartitions("unit", "part")
+    return rows.mapInArrow(lean(_summed), f"id {kind}, n_words bigint, log_prob double, mean_log_prob double").withColumnRenamed("id", id_col)
