@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontamination, fingerprints, html_extract, importance, language_id, lm_scoring, merkle, packing, simhash, substring_dedup, token_counts, url_filters
+from tidemark.llm import decontamination, fingerprints, html_extract, importance, language_id, lm_scoring, merkle, minhash, packing, simhash, substring_dedup, token_counts, url_filters
 from tidemark.session import apply_defaults
 
 
@@ -218,3 +218,23 @@ def _gram_sql(table: str) -> str:
 def resampled(docs: DataFrame, sf_dir: str) -> DataFrame:
     target = docs.sparkSession.read.parquet(f"{sf_dir}/benchmark.parquet")
     return importance.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query(
+    "op13_minhash_near_dedup",
+    "documents",
+    """WITH RECURSIVE w AS (SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+    sets AS (SELECT row, doc_id, list_distinct(CASE WHEN len(ws) >= 3
+        THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+        WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w),
+    each AS (SELECT row, len(s) AS n, unnest(s) AS shingle FROM sets),
+    met AS (SELECT a.row AS a, b.row AS b FROM each a JOIN each b ON a.shingle = b.shingle AND a.row <> b.row
+      GROUP BY a.row, b.row HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+    reach(row, goal) AS (SELECT row, row FROM sets UNION SELECT r.row, m.b FROM reach r JOIN met m ON m.a = r.goal)
+    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, o.component_id, s.doc_id IS NOT DISTINCT FROM o.component_id AS kept
+    FROM sets s JOIN (SELECT r.row, min(t.doc_id) AS component_id FROM reach r JOIN sets t ON t.row = r.goal GROUP BY r.row) o ON o.row = s.row""",
+)
+def near_sets(docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(docs)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
