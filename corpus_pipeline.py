@@ -25,14 +25,19 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; rows that repeat an id become one."""
+    """One row of each group of near copies, that with the smallest id (a null is the largest; ties by the text's hash).
+
+    Different texts under one id, or without an id, are documents of their own; rows that repeat id and text become one.
+    """
     apply_defaults(spark)
     found = settled(simhash.near_duplicates(docs))
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("texthash").alias("hash"))
+    first = settled(found.groupBy("root").agg(F.min(key).alias("first")).select("first.*"))
+    same = docs["doc_id"].eqNullSafe(first["id"]) & (F.xxhash64(docs["text"]) == first["hash"])
+    kept = docs.join(first, same, "left_semi")
     # Texts are exchanged again only where there are rows to merge.
-    repeats = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    return kept if repeats.isEmpty() else kept.dropDuplicates(["doc_id"])
+    repeats = found.groupBy("doc_id", "texthash").agg(F.count("*").alias("n")).where("n > 1")
+    return kept if repeats.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,3 +73,10 @@ def test_held_out_documents(spark):
     rows = spark.range(-50, 200).select("id", held_out(F.col("id")).alias("out")).collect()
     assert all(r.out == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in rows)
     assert spark.sql("SELECT CAST(NULL AS bigint) AS id").select(held_out(F.col("id"))).first()[0] is False
+
+
+def test_only_letters_count(spark):
+    rows = [(i, t) for i, t in enumerate(["²", "½ 12", "①", "_", "ª", "ß", "字", "١٢"])]
+    model = language_id.train(spark.createDataFrame([(i, *x) for i, x in enumerate([("hello world and you", "en"), ("bonjour le monde", "fr")] * 20)], SCHEMA))
+    found = spark.createDataFrame(rows, "doc_id bigint, text string").select("text", language_id.identify(F.col("text"), model).alias("f")).collect()
+    assert {r.text for r in found if r.f.lang_pred != "und"} == {"ª", "ß", "字"}

@@ -140,3 +140,17 @@ def test_own_words_grow_with_the_vocabulary(spark):
     assert known.own == 1024 > lm.OWN and len(known.hashes) == 1024
     assert known.counts.sum() == 1_000_000 == known.distinct.sum() + 1024
     assert lm.score(docs, known, lm.Network(known.counts).flat()).where("n_words = 1000").count() == 1000
+
+
+def test_equal_texts_have_equal_scores_in_any_layout(spark, model):
+    known, weights = model
+    r = random.Random(3)
+    texts = [" ".join(f"t{r.randrange(4)}w{r.randrange(60)}" for _ in range(r.randint(1, 300))) for _ in range(60)]
+    rows = [(i, texts[i % 60]) for i in range(240)]
+    r.shuffle(rows)
+    scores = []
+    for parts in (1, 3, 7):
+        got = lm.score(spark.createDataFrame(rows, SCHEMA).repartition(parts), known, weights).collect()
+        scores.append({x.doc_id: x.log_prob for x in got})
+        assert all(scores[-1][i] == scores[-1][i % 60] for i in range(240))
+    assert scores[0] == scores[1] == scores[2]

@@ -114,9 +114,21 @@ def test_registered_queries_return_their_columns(spark, corpus, tmp_path):
         "op8": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
         "op9": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
         "op10": {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "sequence_id": "bigint", "offset": "bigint"},
+        "op11": {"doc_id": "bigint", "verified": "boolean"} | dict.fromkeys(["leaf", "subroot", "root", "proof_sha256", "folded_root"], "string"),
+        "op12": dict.fromkeys(["doc_id", "n_features", "weight", "score", "rank"], "bigint"),
+        "op13": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
     }
     assert {n.split("_")[0] for n in QUERIES} == set(want)
     for name, function in QUERIES.items():
         kinds = dict(function(spark, folder).dtypes)
         for column, kind in want[name.split("_")[0]].items():
             assert kinds[column] == kind, (name, column)
+
+
+def test_documents_without_an_id_of_their_own_stay(spark):
+    texts = [" ".join(f"{c}{k}word{i}" for i in range(40)) for k, c in enumerate("abcdef")]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (6, texts[3]), (6, texts[4]), (7, texts[5]), (8, texts[5]), (None, texts[5])]
+    rows += [(6, texts[3]), (None, texts[0]), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA).repartition(3)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.one_of_each(spark, docs, "").collect()]
+    assert sorted(kept, key=repr) == sorted([*((None, t) for t in texts[:3]), (6, texts[3]), (6, texts[4]), (7, texts[5]), (None, None)], key=repr)

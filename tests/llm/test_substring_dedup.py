@@ -100,3 +100,18 @@ def test_layout_outside_of_intervals_is_kept(spark):
     found = substring_dedup.remove_repeats(spark.createDataFrame(rows, SCHEMA), joined=False)
     assert {r.doc_id: r.kept for r in found.collect()} == {1: rows[0][1], 2: " x  y\nz\t", 3: ""}
     assert {r.doc_id: list(zip(r.first_word, r.end_word)) for r in found.collect()} == {1: [], 2: [(2, 22)], 3: [(0, 20)]}
+
+
+def test_rows_that_share_an_id(spark):
+    """Other texts under one id are documents of their own, as are texts without an id."""
+    long, other = [" ".join(f"{c}{i}" for i in range(200)) for c in "ab"]
+    rows = [(1, long), (2, " ".join(f"c{i}" for i in range(150)) + " " + long), (2, "only five words are here"), (3, long), (3, other)]
+    rows += [(None, f"n{k} " + " ".join(f"n{k}w{i}" for i in range(30))) for k in range(40)] + [(None, long), (None, None), (4, long), (4, long)]
+    df = spark.createDataFrame(rows, SCHEMA + "").withColumnRenamed("text", "body").selectExpr("doc_id", "body AS text", "doc_id AS named", "'x' AS pos")
+    for joined in (True, False):
+        found = substring_dedup.remove_repeats(df.repartition(4), joined=joined).collect()
+        assert len(found) == len(rows) and all(r.rest.named == r.doc_id and r.rest.pos == "x" for r in found)
+        left = sorted(((r.doc_id, r.n_words, r.n_removed) for r in found), key=repr)
+        want = [(1, 200, 200), (2, 350, 200), (2, 5, 0), (3, 200, 200), (3, 200, 0), (4, 200, 200), (4, 200, 200), (None, 0, 0), (None, 200, 0)]
+        want += [(None, 31, 0)] * 40
+        assert left == sorted(want, key=repr)

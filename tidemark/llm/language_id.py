@@ -7,12 +7,12 @@ coordinate descent on a bounded sample of labelled rows; every text is read whol
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.shared import give_back, text_slices
@@ -24,7 +24,7 @@ _ORDERS = (1, 2, 3, 4)
 _SCALE = 6.0
 # A vector has 4096 numbers, whatever the text: fewer rows are taken at a time than elsewhere.
 _SLICE, _ROWS = 1 << 19, 256
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 # Languages by family; any other language is a family of its own.
 FAMILIES = {

@@ -34,6 +34,12 @@ _PAD = _SIZE
 _BATCH = 1024
 _HELD = 1 << 18
 _FIXED = 1 << 16
+# Steps of the hidden layer and the weights that documents are scored with, and the largest such weight: products are
+# multiples of 2^-16 and sums of 32 of them stay below 2^8, so that 24 bits hold them whatever the order of adding.
+_STEP = 1 << 8
+_MOST = 8 - 1 / _STEP
+# Steps of a word's logarithm, for sums in whole numbers.
+_LOG_STEP = 1 << 24
 
 
 @dataclass
@@ -155,11 +161,16 @@ class Network:
         return np.tanh(total)
 
     def log_share(self, around: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The logarithm of each word's probability between its neighbours (one row of ``around`` for each place)."""
-        h, kind, within = self.hide(around), word % CLASSES, word // CLASSES
-        out = _log_softmax(h @ self.to_class + self.of_class)[np.arange(len(word)), kind].astype(np.float64)
+        """The logarithm of each word's probability between its neighbours (one row of ``around`` for each place).
+
+        Hidden layer and weights are rounded so that their products add up exactly: the same for the same neighbours,
+        whatever stands beside them in a batch.
+        """
+        h, kind, within = np.rint(self.hide(around) * _STEP) / np.float32(_STEP), word % CLASSES, word // CLASSES
+        out = _log_softmax(h @ _rounded(self.to_class) + self.of_class)[np.arange(len(word)), kind].astype(np.float64)
         for c, rows in _by(kind):
-            out[rows] += _log_softmax(h[rows] @ self.to_word[c] + self.of_word[c])[np.arange(len(rows)), within[rows]]
+            logs = _log_softmax(h[rows] @ _rounded(self.to_word[c]) + self.of_word[c])
+            out[rows] += logs[np.arange(len(rows)), within[rows]]
         return out
 
     def learn(self, around: np.ndarray, word: np.ndarray, rate: float, seen: list[np.ndarray]) -> None:
@@ -194,6 +205,10 @@ class Network:
             self.inputs[k][at] -= rate * s / np.sqrt(seen[0][k][at])
 
 
+def _rounded(weights: np.ndarray) -> np.ndarray:
+    return np.rint(np.clip(weights, -_MOST, _MOST) * _STEP) / np.float32(_STEP)
+
+
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(axis=1, keepdims=True)
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
@@ -267,12 +282,13 @@ def _scored(known: Vocabulary, weights: np.ndarray):
             for rows, data, bounds in text_slices(batch, "text"):
                 h, first = known.spelled(data, bounds)
                 numbers = known.numbered(h)
-                logs = np.zeros(len(numbers) + 1)
+                logs = np.zeros(len(numbers), dtype=np.int64)
                 for k in range(0, len(numbers), 1 << 15):
                     at = np.arange(k, min(k + (1 << 15), len(numbers)))
-                    logs[at] = net.log_share(_around(numbers, first, at, len(known.counts)), numbers[at]) - spread[numbers[at]]
+                    share = net.log_share(_around(numbers, first, at, len(known.counts)), numbers[at]) - spread[numbers[at]]
+                    logs[at] = np.rint(share * _LOG_STEP)
                 n = np.diff(first)
-                total = np.where(n > 0, np.add.reduceat(logs, np.minimum(first[:-1], len(logs) - 1)), 0.0)
+                total = np.diff(np.concatenate([[0], np.cumsum(logs)])[first]) / _LOG_STEP
                 away = numbers >= known.own
                 per = np.diff(np.concatenate([[0], np.cumsum(away)])[first])
                 # The range of a hash, its lowest bits, comes first in this order.

@@ -45,7 +45,7 @@ def _fingerprint(text: bytes, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fingerprint as a long) per row. A null or blank text has fingerprint 0; short texts are one shingle."""
+    """(id, hash of the text, fingerprint as a long) per row. A null or blank text has fingerprint 0; short texts are one shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,10 +53,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 raw = data.tobytes()
                 prints = [_fingerprint(raw[i:j], shingle) for i, j in zip(bounds[:-1], bounds[1:])]
                 column = pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([rows.column(0), column], names=["id", "fp"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), column], names=["id", "texthash", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(lean(run), f"id {kind}, fp bigint")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("texthash"))
+    return texts.mapInArrow(lean(run), f"id {kind}, texthash bigint, fp bigint")
 
 
 def _golay() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,7 +131,8 @@ def links(prints: DataFrame, paired: int = PAIRED) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """One row per row of ``docs``: its id, ``fingerprint`` (a long) and ``component_id``, the smallest id it is linked to.
+    """One row per row of ``docs``: its id, ``fingerprint`` (a long), ``component_id``, the smallest id it is linked to, and
+    ``texthash`` and ``root``, XXH64 of its text and a fingerprint that names its component.
 
     Links: fingerprints that differ in two bits or fewer. Rows may repeat. A null id is carried along and is the
     component's only where it has no other; no rows give no rows. Other columns are not looked at.
@@ -140,8 +142,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = settled(components(links(classes)).select(F.col("node").alias("fp"), "root"))
     rooted = settled(classes.join(found, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root")))
     lowest = settled(rooted.groupBy("root").agg(F.min("low").alias("component_id")))
-    member = settled(rooted.select("fp", "root").join(lowest, "root").select("fp", "component_id"))
-    return prints.join(member, "fp").select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id")
+    member = settled(rooted.select("fp", "root").join(lowest, "root").select("fp", "component_id", "root"))
+    found = prints.join(member, "fp")
+    return found.select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id", "texthash", "root")
 
 
 def as_hex(column: Column) -> Column:

@@ -16,7 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tidemark.llm.shared import Rolling, lean, mixed, numbers_in, text_slices, words
+from tidemark.llm.places import placed
+from tidemark.llm.shared import Rolling, lean, mixed, numbers_in, settled, text_slices, words
 
 WINDOW = 20
 _ANCHOR = 8
@@ -258,15 +259,30 @@ def remove_repeats(
     other columns of ``docs`` (null if there are none).
 
     A null text has no words and ``kept`` is empty (null without ``joined``); texts shorter than a window stay whole. A null id comes before all
-    others. Rows that share an id count as one document: repeats of a row get the same result and don't cut each other.
+    others. Different texts under one id, or under none, are documents of their own, in the order of their hashes; rows that
+    repeat id and text count as one document: they get the same result and don't cut each other.
     """
     kind = docs.schema[id_col].dataType
     others = [docs[c] for c in docs.columns if c not in (id_col, text_col)]
     rest = F.struct(*others) if others else F.lit(None).cast("boolean")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), rest.alias("rest"))
-    runs = _repeated(texts, kind.simpleString(), window).groupBy(F.col("id").alias("own"))
-    runs = runs.agg(F.collect_list("place").alias("places"), F.collect_list("length").alias("lengths"))
+    several = texts.groupBy("id").agg(F.count("*").alias("n")).where("n > 1")
+    numbered = not several.isEmpty()
+    if numbered:
+        # What shares an id is told apart by a number that follows the order of ids and texts' hashes.
+        hashed = texts.withColumn("texthash", F.xxhash64("text"))
+        names = settled(hashed.select("id", "texthash").distinct().withColumn("all", F.lit(0)))
+        names = placed(names, "all", ["id", "texthash"]).select(F.col("id").alias("named"), F.col("texthash").alias("hash"), "pos")
+        same = F.col("id").eqNullSafe(F.col("named")) & (F.col("texthash") == F.col("hash"))
+        texts = hashed.join(names, same).select(F.col("pos").alias("id"), "text", F.struct("id", "rest").alias("rest"))
+        runs = _repeated(texts.groupBy("id").agg(F.first("text").alias("text")).withColumn("rest", F.lit(None).cast("boolean")), "bigint", window)
+    else:
+        runs = _repeated(texts, kind.simpleString(), window)
+    runs = runs.groupBy(F.col("id").alias("own")).agg(F.collect_list("place").alias("places"), F.collect_list("length").alias("lengths"))
     found = texts.join(runs, F.col("id").eqNullSafe(F.col("own")), "left").select("id", "text", "places", "lengths", "rest")
     new = T.StructType.fromDDL("kept string, n_words bigint, n_removed bigint, first_word array<int>, end_word array<int>")
-    schema = T.StructType([T.StructField("id", kind), T.StructField("rest", texts.schema["rest"].dataType), *new])
-    return found.mapInArrow(lean(_cut(window, joined)), schema).withColumnRenamed("id", id_col)
+    schema = T.StructType([T.StructField("id", found.schema["id"].dataType), T.StructField("rest", found.schema["rest"].dataType), *new])
+    found = found.mapInArrow(lean(_cut(window, joined)), schema)
+    if numbered:
+        found = found.select(F.col("rest.id").alias("id"), F.col("rest.rest").alias("rest"), *new.names)
+    return found.withColumnRenamed("id", id_col)
