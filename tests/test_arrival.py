@@ -1,0 +1,88 @@
+"""Streams of tables in arrival order, whatever order their files were written in."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tidemark.plans.catalog import QUERIES
+from tidemark.sources import arrival
+from tidemark.streaming import runs
+
+SOURCE = "/root/testdata/sf0.001"
+
+
+def written(spark, folder, groups, times=None):
+    """A file for each group of values of ``n``, written at the given times."""
+    folder.mkdir(parents=True)
+    for i, group in enumerate(groups):
+        part = folder.parent / f"{folder.name}-{i}"
+        spark.createDataFrame([(n,) for n in group], "n bigint").coalesce(1).write.parquet(str(part))
+        (source,) = part.glob("*.parquet")
+        target = folder / f"part-{i:05d}.parquet"
+        target.write_bytes(source.read_bytes())
+        at = 1_700_000_000 + (times[i] if times else i)
+        os.utime(target, (at, at))
+    return str(folder)
+
+
+def batches(stream, tmp_path, name):
+    """The values of each micro-batch."""
+    seen = []
+    run = stream.writeStream.foreachBatch(lambda df, n: seen.append([r.n for r in df.collect()]))
+    runs.drain(run.option("checkpointLocation", str(tmp_path / f"check-{name}")))
+    return [s for s in seen if s]
+
+
+def test_files_that_follow_each_other_are_streamed_where_they_are(spark, tmp_path):
+    path = written(spark, tmp_path / "in", [[5, 1], [6, 9], [12, 11]], [3, 4, 5])
+    table = spark.read.parquet(path)
+    assert arrival.follows(table, F.col("n"))
+    stream = arrival.table_stream(spark, path, table.schema, F.col("n"), files=2)
+    assert [sorted(b) for b in batches(stream, tmp_path, "a")] == [[1, 5, 6, 9], [11, 12]]
+
+
+@pytest.mark.parametrize("groups, times", [([[1, 2], [3, 4]], [9, 8]), ([[1, 8], [2, 9]], None), ([[1, 2], [None, 3]], None)])
+def test_files_that_overlap_or_come_late_are_ranged_first(spark, tmp_path, groups, times, monkeypatch):
+    path = written(spark, tmp_path / "in", groups, times)
+    table = spark.read.parquet(path)
+    assert not arrival.follows(table, F.col("n"))
+    monkeypatch.setattr(arrival.sliced, "__defaults__", (1, 2))
+    got = batches(arrival.table_stream(spark, path, table.schema, F.col("n")), tmp_path, "b")
+    flat = [n for b in got for n in b]
+    assert len(got) > 1 and flat == sorted((n for g in groups for n in g), key=lambda n: (n is not None, n))
+
+
+def test_slices_are_made_where_asked_for(spark, tmp_path):
+    path = written(spark, tmp_path / "in", [list(range(100))])
+    stream = arrival.table_stream(spark, path, spark.read.parquet(path).schema, F.col("n") % 50, slices=5)
+    got = batches(stream, tmp_path, "c")
+    assert len(got) >= 4 and sorted(n for b in got for n in b) == list(range(100))
+    ends = [(min(n % 50 for n in b), max(n % 50 for n in b)) for b in got]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+
+
+@pytest.fixture(scope="module")
+def shuffled(spark, tmp_path_factory):
+    """``events`` in twelve parts that hold rows from everywhere, written at random times."""
+    folder = tmp_path_factory.mktemp("sf")
+    spark.read.parquet(f"{SOURCE}/events.parquet").repartition(12).write.parquet(str(folder / "events.parquet"))
+    r = random.Random(5)
+    for part in (folder / "events.parquet").glob("part-*"):
+        at = 1_700_000_000 + r.randrange(10_000)
+        os.utime(part, (at, at))
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    "name", ["stream_tumble", "stream_session", "stream_jump_alert", "stream_late_side_output", "stream_wm_monotonic", "stream_interval_join"]
+)
+def test_queries_do_not_see_the_order_of_files(spark, shuffled, name):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        assert rows(QUERIES[name](spark, shuffled)) == rows(QUERIES[name](spark, SOURCE)) != []
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

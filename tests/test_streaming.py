@@ -78,23 +78,6 @@ def test_count_windows(pair):
     ) == rows(tumbled)
 
 
-def test_late_windows_match_batch_per_key(spark, stream_of):
-    """One key, so the clock per key is the clock of the batch form."""
-    series = [(i + 1, "s1", ts, ts) for i, ts in enumerate([1, 3, 9, 13, 6, 15, 7, 31, 12, 70])]
-    batch = time.event_time(spark.createDataFrame(series, SENSOR))
-    stream = time.event_time(stream_of(SENSOR, series[:4], series[4:6], series[6:]))
-    found = drained(keyed.late_windows(stream, ["id"], "event_time", ["arr"], 10_000, "vc", 3_000, 2_000))
-    fired = found.where("tag = 'fire'").select(
-        "id", (F.col("window_start_ms") / 1000).cast("int").alias("s"), "firing", "cnt", "total"
-    )
-    expected = lateness.window_firings(batch, ["id"], "event_time", ["arr"], "10 seconds", "vc", 3, 2)
-    assert rows(fired) == rows(
-        expected.select("id", F.unix_seconds("window_start").cast("int").alias("s"), "firing", "cnt", "total")
-    )
-    dropped = lateness.late_side_output(batch, "event_time", ["arr"], "10 seconds", 3, 2)
-    assert rows(found.where("tag = 'late'"), "arr") == rows(dropped, "arr") != []
-
-
 def test_event_timer(spark, stream_of):
     groups = [[(1, "s1", 1, 0), (2, "s1", 5, 0)], [(3, "s1", 8, 0)], [(4, "s1", 9, 0)], [(5, "s1", 20, 0)]]
     for refire, expected in ((False, [("s1", 5000, 1)]), (True, [("s1", 5000, 1), ("s1", 5000, 2)])):
@@ -135,34 +118,6 @@ def test_ttl_refreshed_by_reads(pair, tmp_path):
     assert rows(refreshed, *endless.columns) == rows(endless)
 
 
-def test_interval_join_late(spark, stream_of):
-    """A clock per key: with one key the result is that of the batch form."""
-    left = [(1, "a", 4), (3, "a", 10), (5, "a", 3)]
-    right = [(2, "a", 3, 3), (4, "a", 11, 11), (6, "a", 5, 5)]
-    ls, rs = "arr int, k string, lts bigint", "arr int, k string, rts bigint, n int"
-
-    def timed(df, column):
-        return time.event_time(df, column, name=f"{column}_time")
-
-    joined = keyed.interval_join_late(
-        timed(stream_of(ls, left, name="l"), "lts"),
-        timed(stream_of(rs, right, name="r"), "rts"),
-        ["k"], "lts_time", "rts_time", ["arr"], -2000, 2000, 3000,
-    )
-    found = drained(joined).collect()
-
-    def of(tag):
-        return sorted(
-            (json.loads(r["left"])["lts"] if r["left"] else None, json.loads(r["right"])["rts"] if r["right"] else None)
-            for r in found
-            if r["tag"] == tag
-        )
-
-    assert of("pair") == [(4, 3), (10, 11)]
-    assert of("late_left") == [(3, None)]
-    assert of("late_right") == [(None, 5)]
-
-
 def test_time_windows(spark, stream_of):
     """Append mode closes every window the final watermark has passed."""
     batch = time.event_time(spark.createDataFrame(ALL, SENSOR))

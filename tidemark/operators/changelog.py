@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 
 def latest(log: DataFrame, keys: Sequence[str], seq: str, op: str = "op", delete: object = "delete") -> DataFrame:
@@ -16,7 +17,35 @@ def latest(log: DataFrame, keys: Sequence[str], seq: str, op: str = "op", delete
     rest = [c for c in log.columns if c not in keys]
     newest = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(seq)).alias("__row"))
     table = newest.select(*(F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in log.columns))
-    return table.where(~F.col(op).eqNullSafe(F.lit(delete)))
+    return table if delete is None else table.where(~F.col(op).eqNullSafe(F.lit(delete)))
+
+
+def apply_stream(
+    log: DataFrame, keys: Sequence[str], seq: str, path: str, checkpoint: str, op: str = "op", delete: object = "delete", every: int = 16
+) -> DataStreamWriter:
+    """Keeps in ``path`` the table that a stream of changes leads to; ``stored`` reads it.
+
+    Each micro-batch writes the newest change of each key it holds, deletions as such, next to a base that is made anew
+    every so many. Micro-batches must follow ``seq`` (``sources.arrival``); it must be unique per key.
+    """
+    from tidemark.sources.keyed_table import KeyedTable
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        table = KeyedTable(batch.sparkSession, path, keys, log.schema, every)
+        table.begin(batch_id)
+        newest = latest(batch, keys, seq, op, delete=None)
+        table.write(batch_id, newest, F.col(op).eqNullSafe(F.lit(delete)))
+        batch.sparkSession.createDataFrame([(batch_id,)], "batch bigint").coalesce(1).write.mode("overwrite").parquet(f"{path}/last")
+
+    return log.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+
+
+def stored(spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType, every: int = 16) -> DataFrame:
+    """The table that ``apply_stream`` has kept in ``path`` so far."""
+    from tidemark.sources.keyed_table import KeyedTable
+
+    last = spark.read.schema("batch bigint").parquet(f"{path}/last").first()["batch"]
+    return KeyedTable(spark, path, keys, schema, every).view(last)
 
 
 def appended(log: DataFrame) -> DataFrame:

@@ -171,6 +171,7 @@ def running(
     folds: Mapping[str, Fold],
     segment: Column | None = None,
     keep_segment: str | None = None,
+    nullable_order: bool = False,
 ) -> DataFrame:
     """``df`` with one more column per fold, the fold of the key's rows so far.
 
@@ -179,7 +180,8 @@ def running(
     rows of one key than a task can sort. ``keep_segment`` names an output column
     for it, and adds a constant column ``<name>_row``: the result is partitioned by
     (keys, segment) and sorted by those, ``<name>_row`` and ``order``, so further
-    windows and groupings along them need neither an exchange nor a sort.
+    windows and groupings along them need neither an exchange nor a sort. ``nullable_order``
+    lets rows without an order come first.
     """
     if df.isStreaming:
         raise ValueError("running folds take a batch; streams use tidemark.streaming")
@@ -195,7 +197,7 @@ def running(
     )
 
     # A single order column of a plain type keeps the partials in hash aggregation.
-    order_key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    order_key = F.col(order[0]) if len(order) == 1 and not nullable_order else F.struct(*order)
     partials = lifted.where("__cut").groupBy(*keys, _SEG).agg(
         *(_partial(f, F.col(lifted_names[n]), order_key).alias(lifted_names[n]) for n, f in folds.items())
     )

@@ -6,28 +6,32 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text
 from tidemark.functions.schema import SENSOR
-from tidemark.operators import changelog, joins, project, rolling, topn, windows
+from tidemark.operators import changelog, joins, project, rolling, topn, userwindow, windows
 from tidemark.plans.inputs import SENSORS, bucket, table
 from tidemark.plans.keyed import SOFAR
 from tidemark.plans.registry import SQL, query
 from tidemark.plans.rows import TOKENS
-from tidemark.plans.timed import CLASSED, SQL_AGGS, _pair
+from tidemark.plans.timed import CLASSED, SQL_AGGS, STREAKS, _pair, streak
 from tidemark.session import scratch_path
 from tidemark.sources import files, log
 from tidemark.sources.tables import typed_table_stream
-from tidemark.streaming import keyed, runs
+from tidemark.streaming import folds, keyed, runs, triggers
 
 
-def _stream(spark, sf, name):
-    return runs.table_stream(spark, f"{sf}/{name}.parquet", table(spark, sf, name).schema)
+def _stream(spark, sf, name, order=None, slices=0):
+    order = F.expr(order) if order else None
+    return runs.table_stream(spark, f"{sf}/{name}.parquet", table(spark, sf, name).schema, order, slices=slices)
 
 
-def _sensor_stream(spark, sf):
-    """``events`` as a sensor stream with event time."""
-    late = (F.col("event_id") * 7919) % 13
-    rows = _stream(spark, sf, "events").select(
+# The arrival order in which some rows come up to twelve places late.
+ARRIVAL = "(event_id + event_id * 7919 % 13) * 13 + 12 - event_id * 7919 % 13"
+
+
+def _sensor_stream(spark, sf, order="event_id", slices=0):
+    """``events`` as a sensor stream with event time, in the given order whatever that of its files."""
+    rows = _stream(spark, sf, "events", order, slices).select(
         "event_id",
-        ((F.col("event_id") + late) * 13 + 12 - late).alias("arr"),
+        F.expr(ARRIVAL).alias("arr"),
         F.col("user_id").alias("id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("value").cast("int").alias("vc"),
@@ -41,6 +45,12 @@ def _drained(spark, df, label, *times):
     return out.withColumns({t: F.col(t).cast("timestamp_ntz") for t in times})
 
 
+def _folded(spark, label, schema, fold, *args, kind="rows", **options):
+    """A fold over what is there now; its rows."""
+    run = lambda out, checkpoint: fold(*args, out, checkpoint, **options)
+    return folds.drained(spark, run, scratch_path(spark, label), schema, kind)
+
+
 CLOSED = "(SELECT max(ts) FROM s) - INTERVAL 1 HOUR"
 WINDOW = ("window_start", "window_end")
 
@@ -113,8 +123,8 @@ def _side(rows, kind, prefix):
 AND r_ts BETWEEN l_ts - INTERVAL 2 HOUR AND l_ts + INTERVAL 2 HOUR""",
 )
 def stream_interval_join(spark, sf):
-    l = _side(_sensor_stream(spark, sf), "click", "l")
-    r = _side(_sensor_stream(spark, sf), "purchase", "r")
+    rows = _sensor_stream(spark, sf)
+    l, r = _side(rows, "click", "l"), _side(rows, "purchase", "r")
     joined = joins.interval_join(l, r, ["id"], "l_ts", "r_ts", -7200, 7200)
     return _drained(spark, joined, "interval", "l_ts", "r_ts")
 
@@ -127,8 +137,8 @@ def stream_interval_join(spark, sf):
 FROM l JOIN r ON l.id = r.id AND {bucket('6 HOUR', 'l_ts')} = {bucket('6 HOUR', 'r_ts')}""",
 )
 def stream_window_join(spark, sf):
-    l = _side(_sensor_stream(spark, sf), "click", "l")
-    r = _side(_sensor_stream(spark, sf), "view", "r")
+    rows = _sensor_stream(spark, sf)
+    l, r = _side(rows, "click", "l"), _side(rows, "view", "r")
     joined = joins.window_join(l, r, ["id"], "l_ts", "r_ts", "6 hours")
     return _drained(spark, joined, "window", *WINDOW, "l_ts", "r_ts")
 
@@ -141,7 +151,7 @@ def stream_window_join(spark, sf):
 )
 def stream_jump_alert(spark, sf):
     rows = _sensor_stream(spark, sf).select("event_id", "id", "vc")
-    return _drained(spark, keyed.jump_alert(rows, ["id"], "vc", ["event_id"]), "jump")
+    return _folded(spark, "jump", "event_id bigint, id bigint, vc int, last_vc int", folds.jump_alert, rows, ["id"], "vc", ["event_id"])
 
 
 @query(
@@ -150,7 +160,7 @@ def stream_jump_alert(spark, sf):
 )
 def stream_running_avg(spark, sf):
     rows = _sensor_stream(spark, sf).select("event_id", "id", "vc")
-    return _drained(spark, keyed.running_avg(rows, ["id"], "vc", ["event_id"]), "avg")
+    return _folded(spark, "avg", "event_id bigint, id bigint, vc int, avg double", folds.running_avg, rows, ["id"], "vc", ["event_id"])
 
 
 @query(
@@ -161,8 +171,8 @@ def stream_running_avg(spark, sf):
 def stream_running_sum(spark, sf):
     """Sums of doubles, null until a key has a value."""
     amount = F.when(F.col("event_type") != "error", F.round("value", 2)).alias("amount")
-    rows = _stream(spark, sf, "events").select("event_id", F.col("user_id").alias("id"), amount)
-    summed = _drained(spark, keyed.running_sum(rows, ["id"], "amount", ["event_id"]), "sum")
+    rows = _stream(spark, sf, "events", "event_id").select("event_id", F.col("user_id").alias("id"), amount)
+    summed = _folded(spark, "sum", "event_id bigint, id bigint, total double", folds.running_sum, rows, ["id"], "amount", ["event_id"])
     return summed.select("event_id", "id", F.round("total", 2).alias("total"))
 
 
@@ -173,7 +183,7 @@ def stream_running_sum(spark, sf):
 )
 def stream_running_top3(spark, sf):
     rows = _sensor_stream(spark, sf).select("event_id", "id", "vc")
-    top = _drained(spark, keyed.running_top_n(rows, ["id"], "vc", ["event_id"]), "top")
+    top = _folded(spark, "top", "event_id bigint, id bigint, vc int, top array<int>", folds.running_top_n, rows, ["id"], "vc", ["event_id"])
     return top.withColumn("top", F.array_join(F.col("top").cast("array<string>"), ","))
 
 
@@ -221,25 +231,11 @@ def stream_count_slide(spark, sf):
     return fired.withColumn("elements", F.array_join(F.col("elements").cast("array<string>"), ","))
 
 
-@query(
-    "stream_late_output",
-    SENSORS
-    + f""", m AS (SELECT *, {bucket('10 MINUTE')} AS w, max(ts) OVER (PARTITION BY event_type ORDER BY arr
-  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mx FROM s)
-SELECT arr, event_type FROM m WHERE w + INTERVAL 15 MINUTE <= date_trunc('millisecond', mx) - INTERVAL 5 MINUTE""",
-)
-def stream_late_output(spark, sf):
-    """Rows beyond the allowed lateness, on a clock per event type."""
-    rows = _sensor_stream(spark, sf).select("arr", "event_type", "ts", "vc")
-    tagged = keyed.late_windows(rows, ["event_type"], "ts", ["arr"], 600_000, "vc", 300_000, 300_000)
-    return _drained(spark, tagged, "late").where("tag = 'late'").select("arr", "event_type")
-
-
 @query("stream_late_side_output", CLASSED + "SELECT event_id, arr, ts, window_start, window_end FROM c WHERE late_class = 'dropped'")
 def stream_late_side_output(spark, sf):
     """The rows beyond the allowed lateness, on the clock of the whole stream."""
     root = scratch_path(spark, "lateness")
-    rows = _sensor_stream(spark, sf).select("event_id", "arr", "ts")
+    rows = _sensor_stream(spark, sf, ARRIVAL).select("event_id", "arr", "ts")
     runs.drain(runs.late_stream(rows, "ts", ["arr"], "10 minutes", 600, 600, f"{root}/out", f"{root}/checkpoint"))
     schema = "event_id bigint, arr bigint, ts timestamp, window_start timestamp, window_end timestamp, late_class string"
     late = spark.read.schema(schema).parquet(f"{root}/out/rows").where("late_class = 'dropped'")
@@ -250,7 +246,7 @@ def stream_late_side_output(spark, sf):
 def stream_allowed_lateness(spark, sf):
     """The firings of windows that take late rows for ten minutes, on the clock of the whole stream."""
     root = scratch_path(spark, "firings")
-    rows = _sensor_stream(spark, sf).select("event_type", "arr", "ts", "vc")
+    rows = _sensor_stream(spark, sf, ARRIVAL).select("event_type", "arr", "ts", "vc")
     run = runs.firings_stream(rows, ["event_type"], "ts", ["arr"], "10 minutes", "vc", 600, 600, f"{root}/out", f"{root}/checkpoint")
     runs.drain(run)
     schema = "event_type string, window_start timestamp, window_end timestamp, firing bigint, cnt bigint, total bigint"
@@ -260,7 +256,7 @@ def stream_allowed_lateness(spark, sf):
 
 def _late_join(spark, sf):
     """Drains the late interval join of clicks and purchases; gives its folder."""
-    rows, root = _sensor_stream(spark, sf), scratch_path(spark, "latejoin")
+    rows, root = _sensor_stream(spark, sf, ARRIVAL), scratch_path(spark, "latejoin")
     sides = [
         rows.where(F.col("event_type") == kind).select("id", "arr", *(F.col(c).alias(f"{p}_{c}") for c in ("event_id", "ts", "vc")))
         for kind, p in (("click", "l"), ("purchase", "r"))
@@ -297,8 +293,9 @@ def stream_interval_join_late_right(spark, sf):
 def stream_dedupe(spark, sf):
     """A log delivered twice over, each record kept once."""
     def side():
-        return _stream(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+        return rows.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
 
+    rows = _stream(spark, sf, "events", "event_id")
     twice = joins.union_all(side(), side())
     kept = changelog.dedupe(twice, "event_id", "ts", "1 hour")
     return _drained(spark, kept.select("event_id", "user_id"), "dedupe")
@@ -382,7 +379,7 @@ def stream_tumble_proc(spark, sf):
 )
 def stream_running_value_counts(spark, sf):
     rows = _sensor_stream(spark, sf).select("event_id", "id", "vc")
-    return _drained(spark, keyed.running_value_counts(rows, ["id"], "vc", ["event_id"]), "values")
+    return _folded(spark, "values", "event_id bigint, id bigint, vc int, cnt bigint", folds.running_value_counts, rows, ["id"], "vc", ["event_id"])
 
 
 @query("stream_log_to_table", SENSORS + "SELECT CAST(id AS VARCHAR) AS id, event_id AS ts, vc FROM s")
@@ -428,7 +425,7 @@ def stream_equi_join(spark, sf):
 @query("stream_partition_running_count", SQL["partition_running_count"])
 def stream_partition_running_count(spark, sf):
     rows = _sensor_stream(spark, sf).select("event_id", "event_type")
-    return _drained(spark, keyed.running_count(rows, ["event_type"], ["event_id"]), "counts")
+    return _folded(spark, "counts", "event_id bigint, event_type string, cnt bigint", folds.running_count, rows, ["event_type"], ["event_id"])
 
 
 @query(
@@ -486,3 +483,154 @@ def stream_sink_bucketed(spark, sf):
     runs.drain(files.bucketed_stream(lines, f"{root}/out", f"{root}/checkpoint", "ts"))
     number = F.substring_index("value", ":", -1).cast("bigint")
     return files.read_bucketed(spark, f"{root}/out").groupBy("bucket").agg(F.count(F.lit(1)).alias("cnt"), F.sum(number).alias("ids"))
+
+
+# Over several micro-batches, from rows that do not come in the order of events.
+
+DELAYED = SENSORS.replace("FROM events", "FROM events WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL 6 HOUR")
+HELD = folds.HoldBack("ts", 21_600)
+
+
+def _disordered(spark, sf):
+    """``events`` in six micro-batches; rows come up to twelve places late, across the ends of micro-batches too."""
+    return _sensor_stream(spark, sf, ARRIVAL, slices=6).select("event_id", "id", "ts", "vc")
+
+
+@query(
+    "stream_jump_alert_reordered",
+    DELAYED
+    + """SELECT * FROM (SELECT event_id, id, vc, coalesce(lag(vc) OVER (PARTITION BY id ORDER BY ts, event_id), 0) AS last_vc
+  FROM s) WHERE abs(vc - last_vc) > 10""",
+)
+def stream_jump_alert_reordered(spark, sf):
+    """Jumps between neighbours in event time: rows are held back for six hours of it."""
+    schema = "event_id bigint, id bigint, vc int, last_vc int"
+    return _folded(spark, "jumps", schema, folds.jump_alert, _disordered(spark, sf), ["id"], "vc", ["event_id"], hold=HELD)
+
+
+@query(
+    "stream_running_avg_reordered",
+    DELAYED
+    + """SELECT event_id, id, vc, CAST(sum(vc) OVER w AS DOUBLE) / count(vc) OVER w AS avg FROM s
+WINDOW w AS (PARTITION BY id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+)
+def stream_running_avg_reordered(spark, sf):
+    schema = "event_id bigint, id bigint, vc int, avg double"
+    return _folded(spark, "avgs", schema, folds.running_avg, _disordered(spark, sf), ["id"], "vc", ["event_id"], hold=HELD, every=2)
+
+
+@query(
+    "stream_running_top3_reordered",
+    DELAYED
+    + """SELECT event_id, id, vc, array_to_string(list_slice(list_reverse_sort(list(vc) OVER
+  (PARTITION BY id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 1, 3), ',') AS top FROM s""",
+)
+def stream_running_top3_reordered(spark, sf):
+    schema = "event_id bigint, id bigint, vc int, top array<int>"
+    top = _folded(spark, "tops", schema, folds.running_top_n, _disordered(spark, sf), ["id"], "vc", ["event_id"], hold=HELD)
+    return top.withColumn("top", F.array_join(F.col("top").cast("array<string>"), ","))
+
+
+@query("stream_cdc_latest", SQL["cdc_latest"])
+def stream_cdc_latest(spark, sf):
+    """A change log kept as a table over five micro-batches, with a new base every second one."""
+    keys, out = ["user_id"], scratch_path(spark, "latest")
+    log_ = _stream(spark, sf, "events", "event_id", slices=5).select("user_id", "event_id", "value", "event_type")
+    runs.drain(changelog.apply_stream(log_, keys, "event_id", f"{out}/table", f"{out}/checkpoint", "event_type", "error", every=2))
+    return changelog.stored(spark, f"{out}/table", keys, log_.schema, every=2)
+
+
+HELD_MS = "SELECT *, epoch_us(ts) // 1000 AS ms FROM s WHERE epoch_us(ts) // 1000 < (SELECT max(epoch_us(ts) // 1000) FROM s) - 21600000"
+
+
+def _waiting(spark, sf):
+    rows = _disordered(spark, sf).withWatermark("ts", "6 hours")
+    return rows.select("event_id", "id", "ts", F.unix_millis("ts").alias("ms"), "vc")
+
+
+@query(
+    "stream_user_process_reordered",
+    SENSORS
+    + f""", r AS ({HELD_MS})
+SELECT 'alert' AS tag, id, ms AS at_ms, CAST(vc AS BIGINT) AS n FROM (SELECT *, lag(vc) OVER (PARTITION BY id ORDER BY ms, event_id) AS last FROM r)
+WHERE abs(vc - last) > 10
+UNION ALL SELECT 'day', id, ms - ms % 86400000 + 86400000 AS at_ms, count(*) FROM r GROUP BY 2, 3
+HAVING at_ms < (SELECT max(epoch_us(ts) // 1000) FROM s) - 21600000""",
+)
+def stream_user_process_reordered(spark, sf):
+    """User code that sees rows and its timers in event time, though rows come late: jumps, and each day's count at its end."""
+
+    def on_row(context, state, row):
+        last, n = state or (None, 0)
+        context.register(_day_end(row["ms"]))
+        if last is not None and abs(row["vc"] - last) > 10:
+            context.emit("alert", row["ms"], row["vc"])
+        return row["vc"], n + 1
+
+    def on_timer(context, state, at_ms):
+        context.emit("day", at_ms, state[1])
+        return state[0], 0
+
+    args = (["id"], ["event_id"], "last int, n bigint", "at_ms bigint, n bigint", on_row, on_timer)
+    done = keyed.process(_waiting(spark, sf), *args, clock="eventTime", hold="ms")
+    return _drained(spark, done, "waited").select("tag", "id", "at_ms", "n")
+
+
+def _triggered(spark, rows, trigger, label, **options):
+    def add(held, row):
+        return held[0] + 1, held[1] + row["vc"]
+
+    fired = triggers.trigger_window(rows, ["id"], ["event_id"], trigger, "cnt bigint, total bigint", lambda: (0, 0), add, **options)
+    return _drained(spark, fired, label)
+
+
+NUMBERED = """, n AS (SELECT id, vc, event_id, row_number() OVER (PARTITION BY id ORDER BY event_id) AS rn FROM s)"""
+
+
+@query(
+    "stream_trigger_count",
+    SENSORS
+    + NUMBERED
+    + """SELECT id, rn // 7 AS firing, rn AS cnt, total FROM (SELECT *, CAST(sum(vc) OVER (PARTITION BY id ORDER BY event_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total FROM n) WHERE rn % 7 = 0""",
+)
+def stream_trigger_count(spark, sf):
+    """A window over all rows of a key that fires at every seventh."""
+    return _triggered(spark, _sensor_stream(spark, sf, slices=3), triggers.Count(7), "seventh")
+
+
+@query(
+    "stream_trigger_purging",
+    SENSORS
+    + NUMBERED
+    + """SELECT id, (rn - 1) // 7 + 1 AS firing, count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS total FROM n GROUP BY 1, 2 HAVING count(*) = 7""",
+)
+def stream_trigger_purging(spark, sf):
+    """The same, emptied at each firing."""
+    return _triggered(spark, _sensor_stream(spark, sf, slices=3), triggers.Purging(triggers.Count(7)), "purged")
+
+
+@query(
+    "stream_trigger_event_time",
+    SENSORS
+    + f""", r AS ({HELD_MS}),
+b AS (SELECT DISTINCT id, ms - ms % 86400000 + 86400000 AS due FROM r)
+SELECT b.id, row_number() OVER (PARTITION BY b.id ORDER BY due) AS firing, count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS total
+FROM b JOIN r ON r.id = b.id AND r.ms <= due WHERE due < (SELECT max(epoch_us(ts) // 1000) FROM s) - 21600000 GROUP BY b.id, due""",
+)
+def stream_trigger_event_time(spark, sf):
+    """A window over all rows of a key that fires when the event time passes the end of a day with a row."""
+    return _triggered(spark, _waiting(spark, sf), triggers.EventTime(86_400_000), "days", time_ms="ms")
+
+
+@query(
+    "stream_window_user_process",
+    STREAKS.replace("SELECT * FROM w", f"SELECT * FROM w WHERE window_end <= {CLOSED}"),
+)
+def stream_window_user_process(spark, sf):
+    """The user function of ``window_user_process`` over a stream, each window once it has closed."""
+    rows = userwindow.with_window(_sensor_stream(spark, sf, slices=3), "ts", "10 days").select("event_type", "event_id", "ts", "vc", *WINDOW)
+    args = (["event_type"], "ts", ["event_id"], "rows bigint, streak bigint", *streak(), 3600)
+    schema = "event_type string, window_start timestamp, window_end timestamp, rows bigint, streak bigint"
+    found = _folded(spark, "streaks", schema, userwindow.process_window_stream, rows, *args)
+    return found.withColumns({t: F.col(t).cast("timestamp_ntz") for t in WINDOW})

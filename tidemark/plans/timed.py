@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import time as TM
-from tidemark.operators import joins, lateness, topn, windows
+from tidemark.operators import joins, lateness, topn, userwindow, windows
 from tidemark.plans.inputs import SENSORS, bucket, sensors, table
 from tidemark.plans.registry import query
 
@@ -118,6 +118,47 @@ def window_process(spark, sf):
     return lists.withColumn("elements", F.array_join("elements", ","))
 
 
+STREAKS = (
+    SENSORS
+    + f""", n AS (SELECT event_type, event_id, vc, {bucket('10 DAY')} AS window_start, {bucket('10 DAY')} + INTERVAL 10 DAY AS window_end FROM s),
+o AS (SELECT *, CASE WHEN vc >= lag(vc) OVER (PARTITION BY event_type, window_start ORDER BY event_id) THEN 0 ELSE 1 END AS opens FROM n),
+g AS (SELECT *, sum(opens) OVER (PARTITION BY event_type, window_start ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS no FROM o),
+c AS (SELECT event_type, window_start, window_end, no, count(*) AS n FROM g GROUP BY ALL),
+w AS (SELECT event_type, window_start, window_end, CAST(sum(n) AS BIGINT) AS rows, max(n) AS streak FROM c GROUP BY 1, 2, 3)
+SELECT * FROM w"""
+)
+
+
+def streak():
+    """User code over a window: its rows, and the longest run in which values don't fall, in one pass over its parts."""
+
+    def create():
+        return None, 0, 0, 0
+
+    def add(state, part):
+        last, run, best, n = state
+        values = part["vc"].to_numpy()
+        falls = [i for i in range(1, len(values)) if values[i] < values[i - 1]]
+        if last is None or values[0] < last:
+            run = 0
+        for low, high in zip([0, *falls], [*falls, len(values)]):
+            run = (run if low == 0 else 0) + high - low
+            best = max(best, run)
+        return values[-1], run, best, n + len(values)
+
+    def close(state):
+        return [(state[3], state[2])]
+
+    return create, add, close
+
+
+@query("window_user_process", STREAKS)
+def window_user_process(spark, sf):
+    """A user function that sees each window's rows in order, part by part: some windows have more rows than an Arrow batch."""
+    rows = userwindow.with_window(sensors(spark, sf).select("event_type", "event_id", "ts", "vc"), "ts", "10 days")
+    return userwindow.process_windows(rows, ["event_type"], ["event_id"], "rows bigint, streak bigint", *streak())
+
+
 # Lateness
 
 PRIOR_MAX = "max(ts) OVER (ORDER BY arr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"

@@ -46,6 +46,8 @@ def process(
     on_row: Callable,
     on_timer: Callable | None = None,
     clock: str = "none",
+    hold: str | None = None,
+    on_late: Callable | None = None,
 ) -> DataFrame:
     """User code per key, with one state tuple, timers and tagged outputs.
 
@@ -53,13 +55,27 @@ def process(
     timer that is due; state is None until set. ``context.emit(tag, *values)`` gives a row of the key, ``tag`` and the
     ``output`` columns: the tags are the side outputs. ``context.register(ms)`` and ``context.cancel(ms)`` set timers by
     ``clock``: ``eventTime`` (the input needs a watermark) or ``processingTime``; ``context.now`` is that clock.
+
+    ``hold`` names a column of epoch milliseconds: rows then wait in state until the watermark passes that time, and the
+    user code sees rows and timers in the order of time (ties by ``order``, timers last), with ``context.now`` that time;
+    rows that come when it has passed go to ``on_late(context, state, row) -> state`` instead. The clock is event time.
     """
     order = check_order(df, order)
     if clock not in ("none", "eventTime", "processingTime"):
         raise ValueError("clock is 'none', 'eventTime' or 'processingTime'")
     names = T._parse_datatype_string(output).fieldNames()
-    processor = P.UserProcessor(order, keys, state_schema, names, on_row, on_timer, clock)
-    return _apply(df, keys, processor, _plus(df, f"tag string, {output}", keys), clock)
+    schema = _plus(df, f"tag string, {output}", keys)
+    if hold is None:
+        processor = P.UserProcessor(order, keys, state_schema, names, on_row, on_timer, clock)
+        return _apply(df, keys, processor, schema, clock)
+    # A column with a watermark would have its late rows dropped before they come here.
+    marked = [f.name for f in df.schema.fields if "spark.watermarkDelayMs" in (f.metadata or {})]
+    df = df.withColumns({c: F.timestamp_micros(F.unix_micros(c)) for c in marked})
+    held = [f for f in df.schema.fields if f.name not in keys or f.name in order]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held)
+    user = (state_schema, names, on_row, on_timer)
+    processor = P.ReorderProcessor(order, keys, [f.name for f in held], fields, hold, on_late, *user)
+    return _apply(df, keys, processor, schema, "eventTime")
 
 
 def running_count(df, keys, order, name: str = "cnt") -> DataFrame:
@@ -169,48 +185,3 @@ def event_timer(df, keys, time: str, at_ms: int, delay: str, refire: bool = Fals
     marked = df.select(*keys, time).withWatermark(time, delay)
     processor = P.TimerProcessor(keys, at_ms, refire)
     return _apply(marked, keys, processor, _plus(df, "fired_at_ms bigint, firing bigint", keys), "eventTime")
-
-
-def late_windows(df, keys, time: str, order, size_ms: int, value: str, delay_ms: int, lateness_ms: int) -> DataFrame:
-    """Window firings and late rows of a stream, tagged ``fire`` and ``late``.
-
-    Exact per record, with a clock per key rather than one for the whole stream: no
-    other key's rows make a row late.
-    """
-    order = check_order(df, order)
-    timed = df.withColumn("__ms", F.unix_millis(time))
-    processor = P.LateProcessor(order, df.columns, "__ms", value, size_ms, delay_ms, lateness_ms)
-    extra = "tag string, window_start_ms bigint, window_end_ms bigint, firing bigint, cnt bigint, total bigint"
-    return _apply(timed, keys, processor, _plus(df, extra))
-
-
-def interval_join_late(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    left_time: str,
-    right_time: str,
-    order: Sequence[str],
-    lower_ms: int,
-    upper_ms: int,
-    delay_ms: int,
-) -> DataFrame:
-    """Interval join with late outputs, on a clock per key.
-
-    Rows out: the key, ``tag`` (``pair``, ``late_left``, ``late_right``), and the rows
-    concerned as JSON in ``left`` and ``right``.
-    """
-    order = check_order(left, order)
-
-    def side(df: DataFrame, name: str, time: str) -> DataFrame:
-        return df.select(
-            *on,
-            *(c for c in order if c not in on),
-            F.lit(name).alias("side"),
-            F.unix_millis(time).alias("time_ms"),
-            F.to_json(F.struct(*df.columns)).alias("payload"),
-        )
-
-    tagged = side(left, "l", left_time).unionByName(side(right, "r", right_time))
-    processor = P.IntervalJoinProcessor(order, on, lower_ms, upper_ms, delay_ms)
-    return _apply(tagged, on, processor, _plus(left, "tag string, left string, right string", on))

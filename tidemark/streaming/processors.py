@@ -8,6 +8,7 @@ where one key is very frequent.
 
 from __future__ import annotations
 
+import heapq
 import sys
 from collections.abc import Callable, Iterator, Sequence
 
@@ -127,6 +128,118 @@ class UserProcessor(Ordered):
         yield from self._out(tuple(key), context)
 
 
+class ReorderProcessor(UserProcessor):
+    """As ``UserProcessor``, with rows held in state until the watermark passes their time.
+
+    A timer at the earliest time held releases what the watermark has passed, rows and the user's own timers in the order
+    of time (a timer after the rows of its time). Rows whose time it had passed already go to ``on_late``.
+    """
+
+    def __init__(self, order, keys, columns, held_schema: str, time_ms: str, on_late, *args):
+        super().__init__(order, keys, *args, "eventTime")
+        self.held_columns = list(columns)
+        self.held_schema = held_schema
+        self.time_ms = time_ms
+        self.on_late = on_late
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.held = handle.getListState("held", self.held_schema)
+        self.due = handle.getListState("due", "at_ms bigint")
+
+    def _get(self, state) -> list[tuple]:
+        return [tuple(t) for t in state.get()] if state.exists() else []
+
+    def _put(self, state, rows: list[tuple]) -> None:
+        if rows:
+            state.put(rows)
+        else:
+            state.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        mark, fresh, late = timerValues.getCurrentWatermarkInMs(), [], []
+        for row in rows:
+            time = row[self.time_ms]
+            (late if time is None or time < mark else fresh).append(row)
+        if fresh:
+            self.held.appendList([tuple(row[c] for c in self.held_columns) for row in fresh])
+            self.handle.registerTimer(min(row[self.time_ms] for row in fresh))
+        if late and self.on_late:
+            context = Waiting(self.handle, mark)
+            state = self._held()
+            for row in self.in_order(late):
+                state = self.on_late(context, state, row)
+                yield from self._out(tuple(key), context)
+            self._keep(state)
+            self._wait(context.asked, [])
+
+    def _wait(self, asked: set[int], gone: list[int]) -> None:
+        """Keep the user's timers that are due later."""
+        before = {t[0] for t in self._get(self.due)}
+        after = (before | asked) - set(gone)
+        if after != before:
+            self._put(self.due, [(at,) for at in sorted(after)])
+        for at in after - before:
+            self.handle.registerTimer(at)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        rows = [Row(**dict(zip(self.held_columns, t))) for t in self._get(self.held)]
+        ready = [r for r in rows if r[self.time_ms] < mark]
+        rest = [r for r in rows if r[self.time_ms] >= mark]
+        timers = {t[0] for t in self._get(self.due)}
+        events = [(r[self.time_ms], 0, tuple(r[c] for c in self.order), i, r) for i, r in enumerate(ready)]
+        events += [(at, 1, (), 0, None) for at in timers if at < mark]
+        heapq.heapify(events)
+        context, state, gone = Waiting(self.handle, None), self._held(), []
+        while events:
+            at, kind, _, _, row = heapq.heappop(events)
+            if kind and at in context.dropped:
+                continue
+            context.now = at
+            if kind:
+                gone.append(at)
+                timers.discard(at)
+                state = self.on_timer(context, state, at) if self.on_timer else state
+            else:
+                state = self.on_row(context, state, row)
+            for t in context.take_new():
+                if t < mark and t not in timers:
+                    heapq.heappush(events, (t, 1, (), 0, None))
+                timers.add(t)
+            yield from self._out(tuple(key), context)
+        if ready or gone or context.dropped:
+            self._keep(state)
+            self._put(self.due, [(t,) for t in sorted(timers - context.dropped)])
+        if ready:
+            self._put(self.held, [tuple(r[c] for c in self.held_columns) for r in rest])
+        waiting = [r[self.time_ms] for r in rest] + [t for t in timers - context.dropped]
+        if waiting:
+            self.handle.registerTimer(min(waiting))
+
+
+class Waiting(Context):
+    """A context whose timers wait with the rows that are held."""
+
+    def __init__(self, handle: StatefulProcessorHandle, now: int | None):
+        super().__init__(handle, now)
+        self.asked: set[int] = set()
+        self.dropped: set[int] = set()
+        self.fresh: list[int] = []
+
+    def register(self, at_ms: int) -> None:
+        self.asked.add(at_ms)
+        self.dropped.discard(at_ms)
+        self.fresh.append(at_ms)
+
+    def cancel(self, at_ms: int) -> None:
+        self.dropped.add(at_ms)
+
+    def take_new(self) -> list[int]:
+        new, self.fresh = self.fresh, []
+        return new
+
+
 class TopProcessor(Ordered):
     """The n highest values of a key, in list state."""
 
@@ -259,120 +372,3 @@ class TimerProcessor(Ordered):
         self.fired.update((n,))
         at = expiredTimerInfo.getExpiryTimeInMs()
         yield Row(**dict(zip([*self.keys, "fired_at_ms", "firing"], [*key, at, n])))
-
-
-class LateProcessor(Ordered):
-    """Windows with allowed lateness and a late output, on the key's own clock.
-
-    Emits rows tagged ``late`` (the row is beyond the lateness) or ``fire`` (count and
-    sum of a window, at its first firing and after each row accepted late).
-    """
-
-    NAMES = ["tag", "window_start_ms", "window_end_ms", "firing", "cnt", "total"]
-
-    def __init__(self, order, columns, time_ms: str, value: str, size_ms: int, delay_ms: int, lateness_ms: int):
-        super().__init__(order, columns)
-        self.time_ms = time_ms
-        self.value = value
-        self.size_ms = size_ms
-        self.delay_ms = delay_ms
-        self.lateness_ms = lateness_ms
-
-    def init(self, handle) -> None:
-        self.clock = handle.getValueState("clock", "max_ms bigint")
-        self.windows = handle.getMapState("windows", "start_ms bigint", "cnt bigint, total bigint, firing bigint")
-
-    def _row(self, own: tuple, *values) -> Row:
-        return Row(**dict(zip([*self.columns, *self.NAMES], [*own, *values])))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        high = self.clock.get()[0] if self.clock.exists() else None
-        open_windows = {k[0]: tuple(v) for k, v in self.windows.iterator()} if self.windows.exists() else {}
-        touched = set()
-        for row in self.in_order(rows):
-            own, time = self.keep(row), row[self.time_ms]
-            start = time - time % self.size_ms
-            end = start + self.size_ms
-            reached = None if high is None else high - self.delay_ms
-            if reached is not None and end + self.lateness_ms <= reached:
-                yield self._row(own, "late", start, end, None, None, None)
-            else:
-                cnt, total, firing = open_windows.get(start, (0, 0, 0))
-                cnt, total = cnt + 1, total + (row[self.value] or 0)
-                if reached is not None and end <= reached:
-                    firing += 1
-                    yield self._row(own, "fire", start, end, firing, cnt, total)
-                open_windows[start] = (cnt, total, firing)
-                touched.add(start)
-            if high is None or time > high:
-                high = time
-                reached = high - self.delay_ms
-                for at in sorted(open_windows):
-                    cnt, total, firing = open_windows[at]
-                    if firing == 0 and at + self.size_ms <= reached:
-                        open_windows[at] = (cnt, total, 1)
-                        touched.add(at)
-                        yield self._row(own, "fire", at, at + self.size_ms, 1, cnt, total)
-                for at in [a for a in open_windows if a + self.size_ms + self.lateness_ms <= reached]:
-                    del open_windows[at]
-                    if self.windows.exists() and self.windows.containsKey((at,)):
-                        self.windows.removeKey((at,))
-        for at in touched & set(open_windows):
-            self.windows.updateValue((at,), open_windows[at])
-        self.clock.update((high,))
-
-
-class IntervalJoinProcessor(Ordered):
-    """Interval join of a tagged union with late outputs, on the key's own clock.
-
-    Input columns: ``side`` (``l`` or ``r``), ``time_ms``, ``payload`` (JSON of the row).
-    """
-
-    NAMES = ["tag", "left", "right"]
-
-    def __init__(self, order, keys: Sequence[str], lower_ms: int, upper_ms: int, delay_ms: int):
-        super().__init__(order, keys)
-        self.lower_ms = lower_ms
-        self.upper_ms = upper_ms
-        self.delay_ms = delay_ms
-
-    def init(self, handle) -> None:
-        self.clock = handle.getValueState("clock", "l bigint, r bigint")
-        self.left = handle.getListState("left", "time_ms bigint, payload string")
-        self.right = handle.getListState("right", "time_ms bigint, payload string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        high = dict(zip("lr", self.clock.get())) if self.clock.exists() else {"l": None, "r": None}
-        held = {
-            side: [tuple(t) for t in state.get()] if state.exists() else []
-            for side, state in (("l", self.left), ("r", self.right))
-        }
-        mark = None
-
-        def emit(own, tag, left, right):
-            return Row(**dict(zip([*self.columns, *self.NAMES], [*own, tag, left, right])))
-
-        for row in self.in_order(rows):
-            own, side, time, payload = self.keep(row), row["side"], row["time_ms"], row["payload"]
-            known = None not in high.values()
-            mark = min(high.values()) - self.delay_ms - 1 if known else None
-            if mark is not None and time < mark:
-                yield emit(own, "late_left", payload, None) if side == "l" else emit(own, "late_right", None, payload)
-            else:
-                for other_time, other in held["r" if side == "l" else "l"]:
-                    gap = other_time - time if side == "l" else time - other_time
-                    if self.lower_ms <= gap <= self.upper_ms:
-                        yield emit(own, "pair", *((payload, other) if side == "l" else (other, payload)))
-                held[side].append((time, payload))
-            high[side] = time if high[side] is None else max(high[side], time)
-        if None not in high.values():
-            # No row to come can be below the mark, so older partners are out of reach.
-            mark = min(high.values()) - self.delay_ms - 1
-            held["l"] = [t for t in held["l"] if t[0] + self.upper_ms >= mark]
-            held["r"] = [t for t in held["r"] if t[0] - self.lower_ms >= mark]
-        for side, state in (("l", self.left), ("r", self.right)):
-            if held[side]:
-                state.put(held[side])
-            else:
-                state.clear()
-        self.clock.update((high["l"], high["r"]))

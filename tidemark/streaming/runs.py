@@ -12,6 +12,7 @@ from tidemark.operators.lateness import DROPPED, LATE_ACCEPTED, late_classify, s
 from tidemark.operators.scan import running, running_count, running_sum
 from tidemark.operators.windows import END, START
 from tidemark.session import scratch_path
+from tidemark.sources.arrival import table_stream  # noqa: F401  (streams of tables)
 
 
 def file_stream(
@@ -27,21 +28,6 @@ def file_stream(
     return reader.load(path)
 
 
-def table_stream(spark: SparkSession, path: str, schema: T.StructType, files: int = 4) -> DataFrame:
-    """A stream of a Parquet table, be it a folder of part files or a single file; ``files`` of them per trigger.
-
-    A path that is not there raises. Parts are taken in the order of their modification times: event-time operators
-    see rows in order if they were written so.
-    """
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(place):
-        raise FileNotFoundError(path)
-    if system.getFileStatus(place).isDirectory():
-        return file_stream(spark, path, schema, files=files)
-    return file_stream(spark, place.getParent().toString(), schema, glob=place.getName())
-
-
 def drain(writer: DataStreamWriter) -> None:
     """Take everything there is, then end."""
     query = writer.trigger(availableNow=True).start()
