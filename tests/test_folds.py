@@ -273,3 +273,37 @@ def test_user_windows_of_a_stream_close_once(spark, stream_of, tmp_path):
     want = userwindow.process_windows(closed, ["id"], ["arr"], "n bigint, parts bigint", *longest())
     assert rows(got, "id", "window_start", "n") == rows(want, "id", "window_start", "n") != []
     assert rows(spark.read.schema("arr int").parquet(str(tmp_path / "run" / "out" / "late")), "arr") == [(2,)]
+
+
+def squares():
+    return lambda: 0, lambda held, part: held + int((part["vc"].fillna(0).astype("int64") ** 2).sum()), lambda a, b: a + b, lambda held: held
+
+
+@pytest.mark.parametrize("every", [2, 16])
+def test_user_folds_merge_what_they_held(spark, stream_of, tmp_path, every):
+    from tidemark.streaming import userfolds
+
+    data = made(50, 9)
+    stream, batch = stream_of(SCHEMA, *grouped(data)), spark.createDataFrame(data, SCHEMA)
+    root = str(tmp_path / "run")
+    runs.drain(userfolds.custom_fold_stream(stream, ["id"], *squares(), "bigint", f"{root}/out", f"{root}/checkpoint", every=every))
+    found = spark.read.schema("id string, result bigint, batch bigint").parquet(f"{root}/out/rows")
+    newest = found.groupBy("id").agg(F.max_by("result", "batch").alias("result"))
+    assert rows(newest) == rows(rolling.custom_fold(batch, ["id"], *squares(), "bigint"))
+
+
+def test_user_folds_of_windows_close_once(spark, stream_of, tmp_path):
+    from tidemark.streaming import userfolds
+
+    data = disordered(late=(2,))
+    stream = userwindow.with_window(timed_stream(stream_of, data), "at", "100 seconds")
+    keys, schema = ["id", "window_start", "window_end"], "id string, window_start timestamp, window_end timestamp, result bigint"
+    closing = folds.HoldBack("at", 60, "window_end")
+    got = run(spark, tmp_path, userfolds.custom_fold_stream, stream, keys, *squares(), "bigint", closing=closing, every=2, schema=schema)
+    batch = userwindow.with_window(timed(spark, [r for r in data if r[0] != 2]), "at", "100 seconds")
+    high = max(r[2] for r in data)
+    closed = batch.where(F.col("window_end") <= F.timestamp_seconds(F.lit(high - 60)))
+    assert rows(got) == rows(rolling.custom_fold(closed, keys, *squares(), "bigint")) != []
+    assert rows(spark.read.schema("arr int").parquet(str(tmp_path / "run" / "out" / "late")), "arr") == [(2,)]
+    with pytest.raises(ValueError):
+        userfolds.custom_fold_stream(stream, ["id"], *squares(), "bigint", "x", "y", closing=closing)

@@ -154,3 +154,24 @@ def test_tables(spark, tmp_path):
     assert rows(tables.read_table(spark, "shop.table2")) == data
     stream = tables.read_table(spark, "shop.table2", streaming=True)
     assert rows(runs.drain_to_table(stream, "table")) == data
+
+
+def test_files_roll_by_size_and_a_repeated_batch_replaces_its_own(spark, tmp_path):
+    lines = [(i, 1_700_000_000 + 700 * i, f"line {i} " + "x" * (i * 7 % 50)) for i in range(200)]
+    df = spark.createDataFrame(lines, "n int, s bigint, value string").select("n", F.timestamp_seconds("s").alias("at"), "value").repartition(4)
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        files.write_rolled(df.where("n < 120"), f"{out}/batch=0", "at", "n", size=150)
+    files.write_rolled(df.where("n >= 120"), f"{out}/batch=1", "at", "n", size=150)
+    found = [p for p in (tmp_path / "out").glob("batch=*/bucket=*/roll=*/part-*")]
+    held = [p.read_text().splitlines() for p in found]
+    assert sorted(x for h in held for x in h) == sorted(r[2] for r in lines)
+    for p, h in zip(found, held):
+        assert p.stat().st_size - len(h[-1]) - 1 < 150
+        numbers = [int(x.split()[1]) for x in h]
+        assert numbers == sorted(numbers)
+    per_bucket = {}
+    for p in found:
+        per_bucket.setdefault((p.parents[2].name, p.parents[1].name), set()).add(p.parent.name)
+    assert max(map(len, per_bucket.values())) > 1
+    files.write_rolled(df.where("false"), f"{out}/batch=2", "at", "n")

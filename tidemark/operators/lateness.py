@@ -86,24 +86,25 @@ def window_firings(
     """
     order = check_order(df, order)
     bounds = [*keys, START, END]
-    classed = late_classify(df, time, order, size, delay, lateness, segment)
+    narrow = df.select(*dict.fromkeys([*keys, time, *order, value]))
+    classed = late_classify(narrow, time, order, size, delay, lateness, segment)
     passed = df.select(F.max(time).alias(time)).select(shifted(df, F.col(time), time, -delay).alias("v")).scalar()
-    accepted = classed.where(F.col("late_class") != DROPPED)
-    is_late = (F.col("late_class") == LATE_ACCEPTED).cast("bigint")
-    folds = {
-        "cnt": running_count(),
-        "total": running_sum(F.col(value)),
-        "__late": running_sum(is_late),
-    }
-    folded = running(accepted, bounds, order, folds, segment)
-    # A window's rows in time all come before its late ones: the last of them has the first firing's values.
-    first = folded.where((F.col("late_class") == ON_TIME) & (F.col(END) <= passed)).groupBy(*bounds).agg(
-        F.lit(1).cast("bigint").alias("firing"),
-        F.max("cnt").alias("__n"),
-        F.max_by("total", "cnt").alias("total"),
+    # A window's rows in time all come before its late ones: the first firing is a plain aggregate, and only late rows,
+    # of which there are few, are folded one after another on top of it.
+    in_time = classed.where(F.col("late_class") == ON_TIME).groupBy(*bounds).agg(
+        F.count(F.lit(1)).alias("__n"), F.sum(value).alias("__total")
+    )
+    first = in_time.where(F.col(END) <= passed)
+    first = first.select(*bounds, F.lit(1).cast("bigint").alias("firing"), F.col("__n").alias("cnt"), F.col("__total").alias("total"))
+    late = classed.where(F.col("late_class") == LATE_ACCEPTED)
+    so_far = running(late, bounds, order, {"__late": running_count(), "__more": running_sum(F.col(value))}, segment)
+    named = in_time.select(*(F.col(c).alias(f"__{c}") for c in bounds), "__n", "__total")
+    met = so_far.join(named, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in bounds], "left")
+    n = F.coalesce("__n", F.lit(0))
+    again = met.select(
+        *bounds,
+        ((n > 0).cast("bigint") + F.col("__late")).alias("firing"),
+        (n + F.col("__late")).alias("cnt"),
+        F.coalesce(F.col("__total") + F.col("__more"), "__total", "__more").alias("total"),
     )
-    first = first.select(*bounds, "firing", F.col("__n").alias("cnt"), "total")
-    opened = (F.col("cnt") > F.col("__late")).cast("bigint")
-    again = folded.where(F.col("late_class") == LATE_ACCEPTED)
-    again = again.select(*bounds, (opened + F.col("__late")).alias("firing"), "cnt", "total")
     return first.unionByName(again)

@@ -170,13 +170,15 @@ def custom_fold(
     name: str = "result",
     fan_in: int = 64,
     max_held: int = 20_000,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """A user-written aggregate: create, add a batch, merge two accumulators, result.
 
     Accumulators are built next to the data (a task holds at most about ``max_held``
     and then hands them on), merged in ``fan_in`` groups per key, and only then per
     key, so no task sees all rows or all partial accumulators of a hot key. ``add``
-    and ``merge`` must be associative and may not depend on row order.
+    and ``merge`` must be associative and may not depend on row order. ``carried`` (the keys
+    and ``accumulator``) joins in accumulators of other rows; ``accumulators`` makes such.
     """
     keys = list(keys)
     key_fields = [df.schema[k] for k in keys]
@@ -252,5 +254,26 @@ def custom_fold(
     salted = partials.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
     salted = salted.repartition(*keys, "__salt").sortWithinPartitions(*keys, "__salt").select(*state.names)
     fewer = salted.mapInArrow(merge_sorted(state_arrow, pickle.dumps), state)
+    if carried is not None:
+        fewer = fewer.unionByName(carried.select(*keys, F.col("accumulator").alias("__acc")))
     gathered = fewer.repartition(*keys).sortWithinPartitions(*keys)
     return gathered.mapInArrow(merge_sorted(final_arrow, result), final)
+
+
+def accumulators(df: DataFrame, keys: Sequence[str], create, add, merge, carried: DataFrame | None = None) -> DataFrame:
+    """The keys of ``custom_fold`` with their ``accumulator``, pickled, instead of its result."""
+    return custom_fold(df, keys, create, add, merge, pickle.dumps, "binary", "accumulator", carried=carried)
+
+
+def results(accumulated: DataFrame, keys: Sequence[str], result: Callable[[Any], Any], result_type: str, name: str = "result") -> DataFrame:
+    """What ``accumulators`` come to."""
+    keys = list(keys)
+    schema = T.StructType([*(accumulated.schema[k] for k in keys), *T._parse_datatype_string(f"`{name}` {result_type}").fields])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [result(pickle.loads(blob)) for blob in batch.column(len(keys)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(found, arrow.field(name).type)], schema=arrow)
+
+    return accumulated.select(*keys, "accumulator").mapInArrow(run, schema)

@@ -8,10 +8,11 @@ the segment's rows. Only one small row per (key, segment) is ever ordered per ke
 
 Plan: scan -> partial aggregate per (key, segment) -> window over those few rows
 -> union with the scan -> one exchange on (key, segment) -> one sort and window.
-Only keys with more rows than a task should sort are cut, by a count per key; the
-others are a segment each and have no partials. Without keys the same plan gives
-prefix folds over the whole table; there the segments are folded in two levels, so
-that no task sees all of them.
+Only keys with more rows than a task should sort are cut; a count per key finds them
+when the plan is made, and where there are none the plan is a plain window. The other
+keys are a segment each and have no partials. Without keys the same plan gives prefix
+folds over the whole table; there the segments are folded in two levels, so that no
+task sees all of them.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from tidemark.functions.time import epoch_seconds
 # A segment of a unique integer order holds at most this many rows, as does a key that is not cut.
 SEGMENT_ROWS = 1 << 20
 
-# No more keys than this are cut.
+# Keys that are cut are broadcast up to this many and so many bytes of them; more are joined.
 MOST_CUT = 10_000
+MOST_CUT_BYTES = 1 << 24
 
 # Without keys, so many segments are folded together before all of those are.
 _GROUP_BITS = 10
@@ -127,21 +129,25 @@ def balanced_segment(df: DataFrame, column: str, rows: int = 4 * SEGMENT_ROWS) -
 
 def with_segment(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column | None, name: str = _SEG
-) -> tuple[DataFrame, Column]:
-    """``df`` with its segment number, and the condition under which a row's key was cut.
+) -> tuple[DataFrame, Column | None]:
+    """``df`` with its segment number, and the condition under which a row's key was cut (None: no key is).
 
-    By default only keys with more than ``SEGMENT_ROWS`` rows, and with more than one row in
-    ``MOST_CUT`` of all, are cut: at most ``MOST_CUT`` keys, which is what is broadcast. A
-    ``segment`` given by the caller cuts every key.
+    By default only keys with more than ``SEGMENT_ROWS`` rows are cut. They are counted here and now; the driver gets
+    no more than ``MOST_CUT`` of them. A ``segment`` given by the caller cuts every key.
     """
     if segment is not None or not keys:
         segment = segment_of(df, order[0]) if segment is None else segment
         return df.withColumn(name, segment), F.lit(True)
     counts = df.groupBy(*(F.col(k).alias(f"__cut_{i}") for i, k in enumerate(keys))).agg(F.count(F.lit(1)).alias("__n"))
-    least = counts.select(F.sum("__n") / MOST_CUT).scalar()
-    cut = counts.where((F.col("__n") > SEGMENT_ROWS) & (F.col("__n") > least)).withColumn("__cut", F.lit(True)).drop("__n")
+    cut = counts.where(F.col("__n") > SEGMENT_ROWS).drop("__n")
+    found = cut.limit(MOST_CUT + 1).collect()
+    if not found:
+        return df.withColumn(name, F.lit(0).cast("bigint")), None
+    if len(found) <= MOST_CUT and sum(len(str(tuple(r))) for r in found) <= MOST_CUT_BYTES:
+        cut = F.broadcast(df.sparkSession.createDataFrame(found, cut.schema))
+    cut = cut.withColumn("__cut", F.lit(True))
     same = [F.col(k).eqNullSafe(F.col(f"__cut_{i}")) for i, k in enumerate(keys)]
-    marked = df.withColumn(name, segment_of(df, order[0])).join(F.broadcast(cut), same, "left")
+    marked = df.withColumn(name, segment_of(df, order[0])).join(cut, same, "left")
     marked = marked.withColumn(name, F.when(F.col("__cut"), F.col(name)).otherwise(F.lit(0).cast(marked.schema[name].dataType)))
     return marked.drop(*(f"__cut_{i}" for i in range(len(keys)))), F.coalesce(F.col("__cut"), F.lit(False))
 
@@ -192,10 +198,13 @@ def running(
     lifted = segmented.select(
         *df.columns,
         _SEG,
-        cut.alias("__cut"),
+        (F.lit(False) if cut is None else cut).alias("__cut"),
         *(fold.value.alias(lifted_names[name]) for name, fold in folds.items()),
     )
 
+    if cut is None:
+        return _folded(df, keys, order, folds, lifted_names, lifted.drop("__cut").withColumn(_ROW, F.lit(True)), keep_segment)
+
     # A single order column of a plain type keeps the partials in hash aggregation.
     order_key = F.col(order[0]) if len(order) == 1 and not nullable_order else F.struct(*order)
     partials = lifted.where("__cut").groupBy(*keys, _SEG).agg(
@@ -227,6 +236,11 @@ def running(
     both = lifted.withColumn(_ROW, F.lit(True)).unionByName(
         seeds.drop("__earlier").withColumn(_ROW, F.lit(False)), allowMissingColumns=True
     )
+    return _folded(df, keys, order, folds, lifted_names, both, keep_segment)
+
+
+def _folded(df, keys, order, folds: Mapping[str, Fold], lifted_names, both: DataFrame, keep_segment: str | None) -> DataFrame:
+    """The folds of each segment's rows, which a seed row may precede."""
     within = Window.partitionBy(*keys, _SEG).orderBy(_ROW, *order)
     inclusive = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     exclusive = within.rowsBetween(Window.unboundedPreceding, -1)

@@ -90,6 +90,10 @@ def running_top_n(
     keys, order = list(keys), check_order(df, order)
     names = [f"__top{i}" for i in range(n)]
     segmented, cut = with_segment(df, keys, order, segment)
+    within = Window.partitionBy(*keys, "__segment").orderBy("__row", *order)
+    if cut is None:
+        folded = _insert(segmented.withColumn("__row", F.lit(True)), within, F.col(value), names)
+        return folded.select(*df.columns, F.array_compact(F.array(*names)).alias("top"))
     rows = segmented.select(*df.columns, "__segment", cut.alias("__cut"), F.col(value).alias("__value"))
 
     # Equal values are counted together first; n copies of one are enough. Nulls sort
@@ -112,7 +116,6 @@ def running_top_n(
     both = rows.drop("__cut").withColumn("__row", F.lit(True)).unionByName(
         seeds.withColumn("__row", F.lit(False)), allowMissingColumns=True
     )
-    within = Window.partitionBy(*keys, "__segment").orderBy("__row", *order)
     folded = _insert(both, within, F.col("__value"), names).where("__row")
     return folded.select(*df.columns, F.array_compact(F.array(*names)).alias("top"))
 

@@ -242,19 +242,24 @@ def event_timer(spark, sf):
     return state.event_timer(sensors(spark, sf), ["id"], "ts", ["arr"], at, delay=600)
 
 
+STOPPED = "(SELECT max(event_id) * 6 // 10 FROM s)"
+
+
 @query(
     "event_timer_last",
     SENSORS
-    + """SELECT event_id // 7 AS key, min(event_id) AS registered FROM s
-WHERE (SELECT max(ts) - INTERVAL 600001 MILLISECOND FROM s WHERE event_id < 500) >= TIMESTAMP '2024-01-01 06:00:00'
-GROUP BY 1 HAVING min(event_id) <= (SELECT min(event_id) FROM s WHERE ts = (SELECT max(ts) FROM s WHERE event_id < 500))""",
+    + f"""SELECT event_id // 7 AS key, min(event_id) AS registered FROM s
+WHERE (SELECT max(ts) - INTERVAL 600001 MILLISECOND FROM s WHERE event_id < {STOPPED}) >= TIMESTAMP '2024-01-10 06:00:00'
+GROUP BY 1 HAVING min(event_id) <= (SELECT min(event_id) FROM s WHERE ts = (SELECT max(ts) FROM s WHERE event_id < {STOPPED}))""",
 )
 def event_timer_last(spark, sf):
-    """As if time stood still after 500 rows: keys that only come later don't fire."""
-    rows = sensors(spark, sf).withColumn("key", F.floor(F.col("event_id") / 7))
+    """As if time stood still after three fifths of the rows: keys that only come later don't fire."""
+    rows = sensors(spark, sf)
+    stopped = rows.select(F.floor(F.max("event_id") * 6 / 10)).scalar()
     start = F.lit("2024-01-01").cast("timestamp_ntz")
-    rows = rows.withColumn("ts", F.when(F.col("event_id") < 500, F.col("ts")).otherwise(start))
-    at = F.lit("2024-01-01 06:00:00").cast("timestamp_ntz")
+    rows = rows.withColumn("key", F.floor(F.col("event_id") / 7))
+    rows = rows.withColumn("ts", F.when(F.col("event_id") < stopped, F.col("ts")).otherwise(start))
+    at = F.lit("2024-01-10 06:00:00").cast("timestamp_ntz")
     return state.event_timer(rows, ["key"], "ts", ["event_id"], at, delay=600)
 
 

@@ -245,9 +245,13 @@ def part_shuffle(spark, sf):
 
 @query("part_rebalance", EVEN)
 def part_rebalance(spark, sf):
-    """Round robin: the partitions filled by one task differ by a row at most."""
-    loads = _loads(partition.rebalanced(table(spark, sf, "events").repartition(1), 16))
-    return loads.select("cnt", "parts", (F.col("high") - F.col("low") <= 1).alias("even"))
+    """Round robin: what a task deals out makes the partitions differ by a row at most."""
+    source = partition.with_partition(table(spark, sf, "events"), "source")
+    dealt = partition.with_partition(partition.rebalanced(source, 16)).groupBy("source", "partition").agg(F.count(F.lit(1)).alias("n"))
+    low = F.when(F.count("*") == 16, F.min("n")).otherwise(0)
+    even = dealt.groupBy("source").agg(F.sum("n").alias("n"), (F.max("n") - low <= 1).alias("even"))
+    parts = dealt.agg(F.countDistinct("partition").alias("parts"))
+    return even.agg(F.sum("n").alias("cnt"), F.bool_and("even").alias("even")).select("cnt", parts.scalar().alias("parts"), "even")
 
 
 @query("part_rescale", "SELECT count(*) AS cnt, CAST(4 AS BIGINT) AS parts, CAST(1 AS BIGINT) AS torn FROM events")

@@ -15,7 +15,7 @@ from tidemark.plans.timed import CLASSED, SQL_AGGS, STREAKS, _pair, streak
 from tidemark.session import scratch_path
 from tidemark.sources import files, log
 from tidemark.sources.tables import typed_table_stream
-from tidemark.streaming import folds, keyed, runs, triggers
+from tidemark.streaming import folds, keyed, runs, triggers, userfolds
 
 
 def _stream(spark, sf, name, order=None, slices=0):
@@ -362,13 +362,18 @@ def stream_wm_monotonic(spark, sf):
     return _drained(spark, reduced, "monotonic", *WINDOW, "ts")
 
 
-@query("stream_tumble_proc", SENSORS + "SELECT event_type, count(*) AS cnt FROM s GROUP BY 1")
+def _minutes(column):
+    return F.unix_seconds(column) / 60
+
+
+@query("stream_tumble_proc", SENSORS + "SELECT event_type, count(*) AS cnt, true AS ten_minutes FROM s GROUP BY 1")
 def stream_tumble_proc(spark, sf):
-    """Windows over the processing time; which windows depends on the clock, so only their sum is compared."""
+    """Windows over the processing time: which ones depends on the clock, but each row is in one, ten minutes wide."""
     rows = _sensor_stream(spark, sf)
     counted = windows.tumble_proc(rows, ["event_type"], "10 minutes", {"cnt": F.count(F.lit(1))})
     updates = runs.drain_updates(counted, "proc", ["event_type", *WINDOW])
-    return updates.groupBy("event_type").agg(F.sum("cnt").alias("cnt"))
+    start, end = (_minutes(F.col(c)) for c in WINDOW)
+    return updates.groupBy("event_type").agg(F.sum("cnt").alias("cnt"), F.bool_and((end - start == 10) & (start % 10 == 0)).alias("ten_minutes"))
 
 
 @query(
@@ -457,12 +462,18 @@ def stream_session_dynamic(spark, sf):
     return _drained(spark, windows.session_stream(rows, ["id"], "ts", gap, aggs), "sessions", *WINDOW)
 
 
-@query("stream_slide_proc", SENSORS + "SELECT event_type, 2 * count(*) AS cnt FROM s GROUP BY 1")
+@query("stream_slide_proc", SENSORS + "SELECT event_type, count(*) AS even, count(*) AS odd, true AS twenty_minutes FROM s GROUP BY 1")
 def stream_slide_proc(spark, sf):
-    """Sliding windows over the processing time: which ones depends on the clock, but each row is in two."""
+    """Sliding windows over the processing time: each row is in one that starts at an even ten minutes and in one between."""
     counted = windows.slide_proc(_sensor_stream(spark, sf), ["event_type"], "20 minutes", "10 minutes", {"cnt": F.count(F.lit(1))})
     updates = runs.drain_updates(counted, "slideproc", ["event_type", *WINDOW])
-    return updates.groupBy("event_type").agg(F.sum("cnt").alias("cnt"))
+    start, end = (_minutes(F.col(c)) for c in WINDOW)
+    even = start % 20 == 0
+    return updates.groupBy("event_type").agg(
+        F.sum(F.when(even, F.col("cnt"))).alias("even"),
+        F.sum(F.when(~even, F.col("cnt"))).alias("odd"),
+        F.bool_and((end - start == 20) & (start % 10 == 0)).alias("twenty_minutes"),
+    )
 
 
 @query(
@@ -634,3 +645,55 @@ def stream_window_user_process(spark, sf):
     schema = "event_type string, window_start timestamp, window_end timestamp, rows bigint, streak bigint"
     found = _folded(spark, "streaks", schema, userwindow.process_window_stream, rows, *args)
     return found.withColumns({t: F.col(t).cast("timestamp_ntz") for t in WINDOW})
+
+
+def _squares():
+    """User code: the sum of squares."""
+    return lambda: 0, lambda held, part: held + int((part["vc"].astype("int64") ** 2).sum()), lambda a, b: a + b, lambda held: held
+
+
+@query("stream_custom_fold", SQL["custom_fold"])
+def stream_custom_fold(spark, sf):
+    """A user aggregate per key over four micro-batches; the newest result of each key."""
+    rows = _sensor_stream(spark, sf, slices=4).select("id", "vc")
+    root = scratch_path(spark, "squares")
+    writer = userfolds.custom_fold_stream(rows, ["id"], *_squares(), "bigint", f"{root}/out", f"{root}/checkpoint", "squares", every=2)
+    runs.drain(writer)
+    found = spark.read.schema("id bigint, squares bigint, batch bigint").parquet(f"{root}/out/rows")
+    return found.groupBy("id").agg(F.max_by("squares", "batch").alias("squares"))
+
+
+@query(
+    "stream_window_custom_fold",
+    SENSORS
+    + f"""SELECT event_type, {bucket('1 DAY')} AS window_start, {bucket('1 DAY')} + INTERVAL 1 DAY AS window_end,
+  CAST(sum(vc * vc) AS BIGINT) AS squares FROM s GROUP BY 1, 2, 3 HAVING window_end <= {CLOSED}""",
+)
+def stream_window_custom_fold(spark, sf):
+    """The same per window, from accumulators alone, once when the window closes."""
+    rows = userwindow.with_window(_sensor_stream(spark, sf, slices=4), "ts", "1 day").select("event_type", "ts", "vc", *WINDOW)
+    args = (["event_type", *WINDOW], *_squares(), "bigint")
+    schema = "event_type string, window_start timestamp, window_end timestamp, squares bigint"
+    closing = folds.HoldBack("ts", 3600, "window_end")
+    found = _folded(spark, "daily", schema, userfolds.custom_fold_stream, rows, *args, name="squares", closing=closing, every=2)
+    return found.withColumns({t: F.col(t).cast("timestamp_ntz") for t in WINDOW})
+
+
+@query(
+    "stream_sink_rolled",
+    "SELECT strftime(ts, '%Y-%m-%d--%H') AS bucket, count(*) AS cnt, CAST(sum(event_id) AS BIGINT) AS ids, true AS small FROM events GROUP BY 1",
+)
+def stream_sink_rolled(spark, sf):
+    """Files of at most 100 bytes besides their last line, by bucket, over two micro-batches."""
+    root = scratch_path(spark, "rolled")
+    number = F.concat(F.lit("Number:"), F.col("event_id").cast("string")).alias("value")
+    lines = _stream(spark, sf, "events", "event_id", slices=2).select("ts", "event_id", number)
+    runs.drain(files.rolled_stream(lines, f"{root}/out", f"{root}/checkpoint", "ts", "event_id", size=100, every=None))
+    found = spark.read.schema("value string, batch long, bucket string, roll long").text(f"{root}/out")
+    size = F.col("_metadata.file_size")
+    of_file = found.groupBy("bucket", "_metadata.file_path").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.substring_index("value", ":", -1).cast("bigint")).alias("ids"),
+        F.first(size - F.octet_length("value") - 1).alias("before_last"),
+    )
+    return of_file.groupBy("bucket").agg(F.sum("n").alias("cnt"), F.sum("ids").alias("ids"), F.bool_and(F.col("before_last") < 110).alias("small"))

@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from tidemark.operators.scan import running, running_sum
+
 BUCKET_FORMAT = "yyyy-MM-dd--HH"
+ROLL_BYTES = 1 << 20
 
 
 def elements(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
@@ -90,6 +93,39 @@ def bucketed_stream(
     )
 
 
+def rolled(df: DataFrame, time: str, order: str, value: str = "value", size: int = ROLL_BYTES) -> DataFrame:
+    """Lines with their ``bucket`` and ``roll``: a new roll begins after each ``size`` bytes of a bucket along ``order``.
+
+    A roll has less than ``size`` bytes besides its last line. Buckets of any size are summed in parallel.
+    """
+    rows = with_bucket(df.select(time, order, value), time)
+    length = F.octet_length(F.col(value)).cast("bigint") + 1
+    so_far = running(rows, ["bucket"], [order], {"__bytes": running_sum(length).excluding_current()})
+    roll = F.floor(F.coalesce(F.col("__bytes"), F.lit(0)) / size)
+    return so_far.select("bucket", roll.cast("bigint").alias("roll"), order, value)
+
+
+def write_rolled(df: DataFrame, path: str, time: str, order: str, value: str = "value", size: int = ROLL_BYTES) -> None:
+    """Text files of about ``size`` bytes at most, in a folder per bucket and roll; visible when all are written."""
+    rolls = rolled(df, time, order, value, size).repartition("bucket", "roll").sortWithinPartitions("bucket", "roll", order)
+    rolls.select("bucket", "roll", value).write.mode("overwrite").partitionBy("bucket", "roll").option("compression", "none").text(path)
+
+
+def rolled_stream(
+    df: DataFrame, path: str, checkpoint: str, time: str, order: str, value: str = "value", size: int = ROLL_BYTES, every: str | None = "10 seconds"
+) -> DataStreamWriter:
+    """Files that roll by size and by time: a micro-batch, begun every so often, rolls its own, in ``path/batch=n``.
+
+    A micro-batch that is repeated after a failure replaces what it had written, so that each line is there once.
+    """
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        write_rolled(batch, f"{path}/batch={batch_id}", time, order, value, size)
+
+    writer = df.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    return writer.trigger(processingTime=every) if every else writer
+
+
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their bucket."""
     return spark.read.schema("value string, bucket string").text(path)
