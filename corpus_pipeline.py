@@ -56,7 +56,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark, copied or edited."""
     items = apply_defaults(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
-    return docs.where(F.size(decontamination.contaminations(docs, items)) == 0)
+    return decontamination.clean(docs, items)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
