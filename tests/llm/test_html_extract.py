@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,8 +60,60 @@ def test_a_section_of_a_large_host_has_its_template(spark):
     section = [(1000 + i, "a.net", f"<div class='x2'>Our section</div><p>Part {i}</p>") for i in range(3)]
     plain = [(i, "a.net", f"<p>Page {i}</p>") for i in range(200)]
     want = {(1000 + i, f"Part {i}") for i in range(3)}
-    assert texts(spark.createDataFrame(section + plain[:10], SCHEMA)) >= want
-    assert texts(spark.createDataFrame(section + plain, SCHEMA)) == want | {(i, f"Page {i}") for i in range(200)}
+    of = F.when(F.col("page_id") >= 1000, "part")
+    assert texts(spark.createDataFrame(section + plain[:10], SCHEMA), section=of) >= want
+    assert texts(spark.createDataFrame(section + plain, SCHEMA), section=of) == want | {(i, f"Page {i}") for i in range(200)}
+
+
+def test_templates_go_and_common_sentences_stay(spark):
+    """A host with menus, boxes and a footer that nothing marks, and sentences that some of its pages share."""
+    r, rows, want = random.Random(3), [], {}
+    sentences = [f"The trial number {k} was stopped early." for k in range(30)]
+    for i in range(300):
+        section = f"s{i % 4}"
+        own = [" ".join(f"w{r.randrange(10**6)}" for _ in range(r.randint(5, 12))) for _ in range(3)]
+        if i % 3 == 0:
+            own.insert(r.randrange(4), sentences[i // 3 % 30])
+        box = f"<div class='b'><ul><li>Topics of {section}</li><li>More of {section}</li></ul></div>"
+        body = f"<div class='t'><p>Acme daily</p><p>Since 1900</p></div>{''.join(f'<p>{x}</p>' for x in own)}{box}<div class='f'>All rights reserved</div>"
+        rows.append((i, "a.net", body, section))
+        want[i] = own
+    df = spark.createDataFrame(rows, SCHEMA + ", part string").repartition(4)
+    got = {r.page_id: r.text.split("\n\n") for r in h.main_texts(df, F.col("host"), section=F.col("part")).collect()}
+    # Precision and recall of what is deleted are both 1 here.
+    assert got == want
+
+
+def test_headers_do_not_change_the_hash_of_what_holds_them(spark):
+    rows = [(i, "a.net", f"<article><p>Own {i}</p><div class='q'><header><h2>Read on</h2><span>by us</span></header><p>link</p></div></article>") for i in range(5)]
+    assert texts(spark.createDataFrame(rows, SCHEMA)) == {(i, f"Own {i}") for i in range(5)}
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        ("<div class='related-work'><p>A section on related work</p></div><p>x</p>", "A section on related work\n\nx"),
+        ("<ul class='menu-list'><li>fish</li></ul><p>x</p>", "fish\n\nx"),
+        ("<div class='page-header'><h1>Title</h1>by me</div><p>x</p>", "Title\n\nx"),
+        ("<div class='cookie-notice'>k</div><div class='share-buttons'>s</div><p>x</p>", "x"),
+        ("<div class='widget'><p>nearly all of the text of this article</p></div><p>x</p>", "nearly all of the text of this article\n\nx"),
+        ("<div class='widget'><p>w</p></div><p>nearly all of the text of this article</p>", "nearly all of the text of this article"),
+    ],
+)
+def test_names_inside_an_article(body, text):
+    assert h.text_of(f"<article>{body}</article>") == text
+
+
+def test_unclosed_elements_take_time_in_proportion():
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        assert h.text_of("<article>" + "<span>" * n + "<p>a" * n).count("a") == n
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(40_000) < 20 * max(seconds(4000), 0.05)
 
 
 def test_copies_of_a_page_are_no_template(spark):
@@ -74,14 +128,23 @@ def test_paragraphs_of_an_article_stay_boxes_go(spark):
 
 
 def test_counts_against_brute_force(spark):
-    df = site(spark, 5, [(9, "b.net", "<p>Shared line.</p>")])
-    found = {(r.host, r.subtree): r.n for r in h.templates(df, F.col("host"), min_pages=2).collect()}
-    seen = {}
+    df = site(spark, 5, [(9, "b.net", "<p>Shared line.</p>")]).withColumn("part", (F.col("page_id") % 2).cast("string"))
+    seen, pages = {}, {}
     for r in df.collect():
         root = h.parse(r.html)
+        text = h.text_of(r.html)
+        pages.setdefault((r.host, r.part), set()).add(text)
         for value in {v for v, _ in h._hash(root, h._roots(root))[0]}:
-            seen.setdefault((r.host, value), set()).add(h.text_of(r.html))
-    assert found == {k: len(v) for k, v in seen.items() if len(v) >= 2}
+            seen.setdefault((r.host, r.part, value), set()).add(text)
+    for least, share in ((2, 0.0), (1, 0.7), (3, 0.5)):
+        got = {(r.host, r.section, r.subtree): r.n for r in h.templates(df, F.col("host"), section=F.col("part"), min_pages=least, min_share=share).collect()}
+        want = {}
+        for (host, part, value), texts_ in seen.items():
+            n = sum(len(t) for (x, _, v), t in seen.items() if (x, v) == (host, value))
+            of = sum(len(t) for (x, _), t in pages.items() if x == host)
+            if n >= least and n >= of * share or len(texts_) >= least and len(texts_) >= len(pages[host, part]) * share:
+                want[host, part, value] = len(texts_)
+        assert got == want
 
 
 def test_edges(spark):

@@ -124,8 +124,9 @@ def prints(docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_query("op8_html_extraction", "pages")
 def texts(pages: DataFrame, sf_dir: str) -> DataFrame:
-    site = url_filters.host_and_path(F.col("url"))[0]
-    found = html_extract.main_texts(pages.withColumn("page", F.struct("page_id", "url")), site, "page")
+    site, path = url_filters.host_and_path(F.col("url"))
+    section = F.when(F.size(F.split(path, "/")) > 2, F.split(path, "/")[1])
+    found = html_extract.main_texts(pages.withColumn("page", F.struct("page_id", "url")), site, "page", section=section)
     return found.select("page.page_id", "page.url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
