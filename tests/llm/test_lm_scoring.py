@@ -99,11 +99,32 @@ def test_every_word_is_taught_once(monkeypatch):
     counted = np.sort(np.array([lm.Rolling(41).spans(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([1]))[0] for w in names]).view(np.int64))
     known = lm.Vocabulary(counted, np.arange(len(names)), np.ones(lm._SIZE, dtype=np.int64), np.zeros(lm.BUCKETS, dtype=np.int64))
     taught = []
-    monkeypatch.setattr(lm.Network, "learn", lambda self, around, word, rate, seen: taught.extend(word.tolist()))
+    monkeypatch.setattr(lm.Network, "learn", lambda self, around, word, rate, seen, weight: taught.extend(zip(word.tolist(), weight.tolist())))
+    batch = lm.pa.RecordBatch.from_arrays([lm.pa.array([*texts, "j", "j"]), lm.pa.array([1, 2, 3, 4, 5, 2, 2])], names=["text", "texthash"])
+    numbers = list(lm._numbered(known)([batch]))
     for turn in range(lm.TURNS):
-        batch = lm.pa.RecordBatch.from_arrays([lm.pa.array(texts)], names=["text"])
-        list(lm._trained(known, lm.Network(known.counts).flat(), turn, lm.STRIDE)([batch]))
-    assert sorted(taught) == list(range(len(names)))
+        list(lm._trained(known, lm.Network(known.counts).flat(), turn, lm.STRIDE)(numbers))
+    # Copies of a text teach it once, by their number.
+    assert sorted(taught) == sorted((i, 3 if names[k] == "j" else 1) for k, i in enumerate(known.numbered(np.array([lm.Rolling(41).spans(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([1]))[0] for w in names]).view(np.int64)).tolist()))
+
+
+def test_weights_and_scores_do_not_follow_the_layout(spark, monkeypatch, tmp_path):
+    """One table in one, three and seven files, cut into other tasks: the same weights and scores to the bit."""
+    monkeypatch.setattr(lm, "LEAST_SHARD", 1 << 11)
+    r = random.Random(11)
+    rows = [(i, " ".join(f"w{r.randrange(300)}" for _ in range(r.randint(0, 120)))) for i in range(200)]
+    rows += [(300 + i, rows[3][1]) for i in range(50)] + [(None, None)]
+    found = []
+    for files in (1, 3, 7):
+        r.shuffle(rows)
+        path = str(tmp_path / str(files))
+        spark.createDataFrame(rows, SCHEMA).repartition(files).write.parquet(path)
+        docs = spark.read.parquet(path)
+        known = lm.vocabulary(docs)
+        assert lm.shards(docs, known).rdd.getNumPartitions() > 3
+        weights = lm.train(docs, known)
+        found.append((weights.tobytes(), sorted((tuple(x) for x in lm.score(docs, known, weights).collect()), key=repr)))
+    assert found[0] == found[1] == found[2]
 
 
 def test_words_of_a_bucket_share_it_by_their_counts(spark):

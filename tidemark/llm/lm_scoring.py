@@ -2,10 +2,12 @@
 
 Words are numbered by their counts over the whole corpus: the most frequent, more of them the more distinct words there
 are, have a number of their own, the others share buckets, whose probability their words share by their counts. A network with one hidden layer predicts a word from
-two words on each side, in two steps: its class, then the word in it. Every task trains a copy on the documents it holds,
-in the first turn on every second word of each; Spark averages the copies, weighted by what each has seen, and a second
-turn on all other words starts from the average. The summed
-logarithms of the probabilities of all words, each from both of its sides, are a document's score.
+two words on each side, in two steps: its class, then the word in it. Documents are dealt to shards by the hash of their
+text, as many as the corpus asks for, and lie there in the order of hashes: how the table is cut into files or tasks
+changes nothing. Every shard trains a copy, in the first turn on every second word of each document; Spark averages the
+copies, weighted by what each has seen, and a second turn on all other words starts from the average. Copies of a text
+teach together, weighted by their number. The summed logarithms of the probabilities of all words, each from both of its
+sides, are a document's score.
 """
 
 from __future__ import annotations
@@ -33,6 +35,12 @@ _SIZE = OWN + BUCKETS
 _PAD = _SIZE
 _BATCH = 1024
 _HELD = 1 << 18
+# A shard for so many words; of a small corpus, shards of a million words at least, up to 64.
+SHARD_WORDS = 1 << 26
+LEAST_SHARD = 1 << 20
+# Words that are cut into batches together, and weights that are added up together.
+_TOGETHER = 1 << 16
+_BLOCK = 1 << 13
 _FIXED = 1 << 16
 # Steps of the hidden layer and the weights that documents are scored with, and the largest such weight: products are
 # multiples of 2^-16 and sums of 32 of them stay below 2^8, so that 24 bits hold them whatever the order of adding.
@@ -173,14 +181,16 @@ class Network:
             out[rows] += logs[np.arange(len(rows)), within[rows]]
         return out
 
-    def learn(self, around: np.ndarray, word: np.ndarray, rate: float, seen: list[np.ndarray]) -> None:
-        """One step of AdaGrad on a batch."""
+    def learn(self, around: np.ndarray, word: np.ndarray, rate: float, seen: list[np.ndarray], weight: np.ndarray | None = None) -> None:
+        """One step of AdaGrad on a batch, whose words may have weights."""
         order = np.argsort((word % CLASSES).astype(np.uint8), kind="stable")
         around, word, n = around[:, order], word[order], len(word)
+        weight = np.ones((n, 1), dtype=np.float32) if weight is None else (weight[order] * (n / weight.sum())).astype(np.float32)[:, None]
         h, kind, within = self.hide(around), word % CLASSES, word // CLASSES
         ends = np.cumsum(np.bincount(kind, minlength=CLASSES)).tolist()
         miss = np.exp(_log_softmax(h @ self.to_class + self.of_class))
         miss[np.arange(n), kind] -= 1
+        miss *= weight
         back = miss @ self.to_class.T
         slopes = [None, None, h.T @ miss / n, miss.sum(axis=0) / n, np.zeros_like(self.to_word), np.zeros_like(self.of_word)]
         for c, (low, high) in enumerate(zip([0, *ends], ends)):
@@ -189,6 +199,7 @@ class Network:
             own = h[low:high]
             off = np.exp(_log_softmax(own @ self.to_word[c] + self.of_word[c]))
             off[np.arange(high - low), within[low:high]] -= 1
+            off *= weight[low:high]
             back[low:high] += off @ self.to_word[c].T
             slopes[4][c], slopes[5][c] = own.T @ off / n, off.sum(axis=0) / n
         back *= 1 - h * h
@@ -234,40 +245,112 @@ def _around(numbers: np.ndarray, first: np.ndarray, at: np.ndarray, blank: int)
     return out
 
 
+def _numbered(known: Vocabulary):
+    """(texthash, n, numbers) for the distinct texts of a batch: how many they are, and the numbers of their words."""
+    kind = np.uint16 if len(known.counts) <= 1 << 16 else np.uint32
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, bounds in text_slices(batch, "text"):
+                numbers, first = known.read(data, bounds)
+                numbers = numbers.astype(kind)
+                _, at, n = np.unique(rows.column(1).to_numpy(), return_index=True, return_counts=True)
+                some = np.diff(first)[at] > 0
+                at, n = at[some], n[some]
+                held = [numbers[first[k] : first[k + 1]].tobytes() for k in at]
+                yield pa.RecordBatch.from_arrays([rows.column(1).take(pa.array(at)), pa.array(n), pa.array(held, pa.binary())], names=["texthash", "n", "numbers"])
+
+    return run
+
+
+def shards(docs: DataFrame, known: Vocabulary, text_col: str = "text") -> DataFrame:
+    """(texthash, n, numbers), settled, a shard in each partition: documents by the hash of their text, in its order."""
+    total = int(known.counts.sum())
+    count = max(1, -(-total // SHARD_WORDS), min(64, -(-total // LEAST_SHARD)))
+    texts = docs.select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("texthash"))
+    numbers = texts.mapInArrow(lean(_numbered(known)), "texthash bigint, n bigint, numbers binary")
+    return settled(numbers.repartitionById(count, F.pmod("texthash", F.lit(count)).cast("int")).sortWithinPartitions("texthash"))
+
+
 def _trained(known: Vocabulary, weights: np.ndarray, turn: int, stride: int):
+    kind = np.uint16 if len(known.counts) <= 1 << 16 else np.uint32
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        """Each text once, with its number of copies."""
+        now, n, numbers = None, 0, b""
+        for batch in batches:
+            for name, more, own in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                if name != now or own != numbers:
+                    if n:
+                        yield n, np.frombuffer(numbers, dtype=kind).astype(np.int32)
+                    now, n, numbers = name, 0, own
+                n += more
+        if n:
+            yield n, np.frombuffer(numbers, dtype=kind).astype(np.int32)
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray]]]:
+        held, n = [], 0
+        for one in texts(batches):
+            held.append(one)
+            n += len(one[1])
+            if n >= _TOGETHER:
+                yield held
+                held, n = [], 0
+        if held:
+            yield held
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, done = Network(known.counts).load(weights), 0
         seen = [np.full(p.shape, 1e-4, dtype=np.float32) for p in net.parts()]
-        for batch in batches:
-            for _, data, bounds in text_slices(batch, "text"):
-                numbers, first = known.read(data, bounds)
-                places = np.flatnonzero(numbers_in(np.diff(first)) % stride == turn % stride)
-                for k in range(0, len(places), _BATCH):
-                    at = places[k : k + _BATCH]
-                    net.learn(_around(numbers, first, at, len(known.counts)), numbers[at], 0.2 / (1 + turn), seen)
-                done += len(places)
+        for held in together(batches):
+            numbers = np.concatenate([x for _, x in held])
+            size = np.array([len(x) for _, x in held])
+            first = np.concatenate([[0], np.cumsum(size)])
+            copies = np.repeat(np.array([n for n, _ in held], dtype=np.float64), size)
+            places = np.flatnonzero(numbers_in(size) % stride == turn % stride)
+            for k in range(0, len(places), _BATCH):
+                at = places[k : k + _BATCH]
+                net.learn(_around(numbers, first, at, len(known.counts)), numbers[at], 0.2 / (1 + turn), seen, copies[at])
+            done += int(copies[places].sum())
         if done:
             n = -(-done // 1024)
-            values = np.rint(net.flat().astype(np.float64) * _FIXED).astype(np.int64)
-            columns = [pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values * n), pa.array(np.full(len(values), n))]
-            yield pa.RecordBatch.from_arrays(columns, names=["place", "value", "n"])
+            values = np.rint(net.flat().astype(np.float64) * _FIXED).astype(np.int64) * n
+            parts = [values[k : k + _BLOCK].tobytes() for k in range(0, len(values), _BLOCK)]
+            columns = [pa.array(np.arange(len(parts), dtype=np.int32)), pa.array(np.full(len(parts), n)), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "n", "weights"])
 
     return run
 
 
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of weights added up as they come; a sum is held for each block of the task."""
+    total: dict[int, list] = {}
+    for batch in batches:
+        for block, n, values in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            own = total.setdefault(block, [0, np.zeros(len(values) // 8, dtype=np.int64)])
+            own[0] += n
+            own[1] += np.frombuffer(values, dtype=np.int64)
+    columns = [pa.array(list(total), pa.int32()), pa.array([x[0] for x in total.values()], pa.int64()), pa.array([x[1].tobytes() for x in total.values()], pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, names=["block", "n", "weights"])
+
+
 def train(docs: DataFrame, known: Vocabulary, text_col: str = "text", stride: int = STRIDE, turns: int = TURNS) -> np.ndarray:
     """The network's weights after ``turns`` turns; in each, every document teaches each ``stride``-th of its words.
 
     A turn begins one word after the last one did: in ``stride`` turns every word of every document is taught once.
-    A turn's copies are added up in fixed point, so that the order of adding doesn't matter; the driver gets one average.
+    A turn's copies are added up in fixed point, in blocks and a tree, so that the order of adding doesn't matter; the
+    driver gets one average. Rows in any order, files or tasks give the same weights.
     """
-    texts, weights = docs.select(F.col(text_col).alias("text")), Network(known.counts).flat()
+    dealt, weights = shards(docs, known, text_col), Network(known.counts).flat()
+    schema = "block int, n bigint, weights binary"
     for turn in range(turns):
-        sums = texts.mapInArrow(lean(_trained(known, weights, turn, stride)), "place int, value bigint, n bigint")
-        sums = sums.groupBy("place").agg((F.sum("value") / F.sum("n") / _FIXED).alias("value")).collect()
-        if sums:
-            weights = np.zeros_like(weights)
-            weights[[r.place for r in sums]] = [r.value for r in sums]
+        sums = dealt.mapInArrow(lean(_trained(known, weights, turn, stride)), schema).withColumn("salt", F.spark_partition_id() % 16)
+        for by in (["block", "salt"], ["block"]):
+            sums = sums.repartition(*by).select("block", "n", "weights").mapInArrow(_added, schema).withColumn("salt", F.lit(0))
+        found = sums.select("block", "n", "weights").collect()
+        if found:
+            parts = {r.block: np.frombuffer(r.weights, dtype=np.int64) / r.n / _FIXED for r in found}
+            weights = np.concatenate([parts[k] for k in sorted(parts)])
     return weights
 
 
