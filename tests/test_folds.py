@@ -73,8 +73,8 @@ def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path):
     assert rows(got) == rows(state.running_sum_of(whole, ["id"], "vc", ["arr"]))
 
 
-def test_counts_go_on_with_another_number_of_state_partitions(spark, stream_of, tmp_path):
-    """Stopped with four partitions, resumed with seven: what the four had counted is summed on."""
+def test_counts_go_on_after_a_stop(spark, stream_of, tmp_path):
+    """Stopped and resumed in a session with other settings: what had been counted, kept by key, is counted on."""
     data = grouped(made(52, 4))
     counts, before = [], spark.conf.get("spark.sql.shuffle.partitions")
     try:

@@ -144,7 +144,10 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_plans_have_no_single_partition_exchange(skewed):
+def test_plans_have_no_single_partition_exchange(skewed, monkeypatch):
+    from tidemark.operators import scan
+
+    monkeypatch.setattr(scan, "SEGMENT_ROWS", 1 << 4)
     df = time.event_time(skewed)
     for out in (
         lateness.late_classify(df, "event_time", ["arr"], "10 seconds", 5, 10),
@@ -160,6 +163,11 @@ def test_plans_have_no_single_partition_exchange(skewed):
         assert "__segment" in plan
 
 
+def test_without_hot_keys_the_plan_is_one_exchange_and_a_window(skewed):
+    plan = _plan(running(skewed, ["k"], ["arr"], _folds()))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Union" not in plan and "Join" not in plan
+
+
 @pytest.mark.parametrize("keys", [[], ["k"], ["k", "v"]])
 def test_cutting_hot_keys_only_changes_nothing(skewed, keys, monkeypatch):
     """With a limit between the frequencies of the keys, some are cut by default and others are not."""

@@ -175,3 +175,17 @@ def test_files_roll_by_size_and_a_repeated_batch_replaces_its_own(spark, tmp_pat
         per_bucket.setdefault((p.parents[2].name, p.parents[1].name), set()).add(p.parent.name)
     assert max(map(len, per_bucket.values())) > 1
     files.write_rolled(df.where("false"), f"{out}/batch=2", "at", "n")
+
+
+def test_catalogs_are_registered_and_used(spark):
+    tables.create_catalog(spark, "shop", "org.example.ShopCatalog", url="mem")
+    try:
+        assert spark.conf.get("spark.sql.catalog.shop") == "org.example.ShopCatalog" and spark.conf.get("spark.sql.catalog.shop.url") == "mem"
+        with pytest.raises(Exception, match="ShopCatalog|shop"):
+            tables.use_catalog(spark, "shop", "x")
+    finally:
+        spark.conf.unset("spark.sql.catalog.shop")
+        tables.use_catalog(spark, "spark_catalog", "default")
+    assert spark.catalog.currentCatalog() == "spark_catalog"
+    with pytest.raises(ValueError):
+        tables.create_catalog(spark, "spark_catalog", "x")

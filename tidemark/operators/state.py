@@ -57,6 +57,18 @@ def value_count_map(df: DataFrame, keys: Sequence[str], value: str, name: str =
     return value_counts(df, keys, value).groupBy(*keys).agg(F.map_from_entries(entries).alias(name))
 
 
+def value_count_parts(df: DataFrame, keys: Sequence[str], value: str, size: int = 1000, name: str = "counts") -> DataFrame:
+    """The same map in numbered parts of ``size`` entries at most, in the order of values, so that a key may have any number.
+
+    A null value is not in it.
+    """
+    counted = value_counts(df.where(F.col(value).isNotNull()), keys, value)
+    numbered = running(counted, keys, [value], {"__no": running_count()})
+    part = F.floor((F.col("__no") - 1) / size).alias("part")
+    entries = F.array_sort(F.collect_list(F.struct(value, "cnt")))
+    return numbered.groupBy(*keys, part).agg(F.map_from_entries(entries).alias(name))
+
+
 def top_n_per_key(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], n: int = 3) -> DataFrame:
     """The ``n`` highest rows per key. Spark keeps n rows per key and task before the exchange."""
     order = check_order(df, order)

@@ -43,3 +43,19 @@ def copy_table(spark: SparkSession, source: str, target: str) -> None:
 def read_table(spark: SparkSession, name: str, streaming: bool = False) -> DataFrame:
     """A table as a batch, or as a stream of what is and will be in it."""
     return spark.readStream.table(name) if streaming else spark.table(name)
+
+
+def create_catalog(spark: SparkSession, name: str, implementation: str, **options: str) -> None:
+    """Register a catalog by the class that implements it; Spark loads it when it is first used."""
+    if name == "spark_catalog":
+        raise ValueError("spark_catalog is the session's own")
+    spark.conf.set(f"spark.sql.catalog.{name}", implementation)
+    for key, value in options.items():
+        spark.conf.set(f"spark.sql.catalog.{name}.{key}", value)
+
+
+def use_catalog(spark: SparkSession, name: str, database: str | None = None) -> None:
+    """Resolve names in this catalog (and database) from now on."""
+    spark.catalog.setCurrentCatalog(name)
+    if database:
+        spark.catalog.setCurrentDatabase(database)

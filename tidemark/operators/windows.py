@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.time import format_time
-from tidemark.operators.scan import check_order, running, running_count, running_max, running_sum
+from tidemark.operators.scan import check_order, running, running_count, running_max, running_sum, with_segment
 
 START, END = "window_start", "window_end"
 
@@ -230,8 +230,16 @@ def window_process(
     ).drop("__w")
     rows = rows.withColumn("__element", element)
     bounds = [*keys, START, END]
-    counted = running(rows, bounds, order, {"__rn": running_count()}, segment)
     number = F.floor((F.col("__rn") - 1) / chunk)
+    _, cut = with_segment(rows, bounds, order, segment)
+    if cut is None:
+        # No window is so large that it is cut: the count comes with the numbers.
+        within = Window.partitionBy(*bounds)
+        every = rows.withColumns({"__rn": F.row_number().over(within.orderBy(*order)), "cnt": F.count(F.lit(1)).over(within)})
+        grouped = every.groupBy(*bounds, number.alias("chunk"), "cnt")
+        found = grouped.agg(F.sort_array(F.collect_list(F.struct("__rn", "__element"))).alias("__list"))
+        return found.select(*bounds, "chunk", "cnt", F.transform("__list", lambda e: e["__element"]).alias("elements"))
+    counted = running(rows, bounds, order, {"__rn": running_count()}, segment)
     lists = counted.groupBy(*bounds, number.alias("chunk")).agg(
         F.sort_array(F.collect_list(F.struct("__rn", "__element"))).alias("__list")
     )

@@ -196,6 +196,21 @@ def value_count_map(spark, sf):
     return maps.select("id", F.array_join(entries, ",").alias("counts"))
 
 
+@query(
+    "value_count_parts",
+    SENSORS
+    + """SELECT id, (rn - 1) // 10 AS part, string_agg(vc || ':' || cnt, ',' ORDER BY vc) AS counts
+FROM (SELECT id, vc, count(*) AS cnt, row_number() OVER (PARTITION BY id ORDER BY vc) AS rn FROM s GROUP BY id, vc) GROUP BY 1, 2""",
+)
+def value_count_parts(spark, sf):
+    """The map of each key in parts of ten entries."""
+    parts = state.value_count_parts(sensors(spark, sf), ["id"], "vc", 10)
+    entries = F.transform(
+        F.map_entries("counts"), lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"].cast("string"))
+    )
+    return parts.select("id", "part", F.array_join(entries, ",").alias("counts"))
+
+
 @query(
     "ttl_last_value",
     SENSORS
