@@ -189,3 +189,52 @@ def test_sliding_counts_borrow_over_blocks(skewed, monkeypatch):
         framed = windows.count_slide(skewed, ["k"], ["arr"], size, step, aggs)
         numbered = running(skewed, ["k"], ["arr"], {"__rn": running_count()})
         assert rows(framed, "k", "firing", *aggs) == rows(windows._copied_slide(numbered, ["k"], size, step, aggs), "k", "firing", *aggs)
+
+
+def _largest(df, keys, order, spark):
+    """Rows of the largest segment, and the number of segments."""
+    from tidemark.operators import scan
+
+    cut, _ = scan.with_segment(df, keys, order, None, "__s")
+    sizes = cut.groupBy(*keys, "__s").agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.count("*").alias("parts")).first()
+    return sizes.most, sizes.parts
+
+
+@pytest.fixture
+def small_segments(monkeypatch):
+    from tidemark.operators import scan
+
+    monkeypatch.setattr(scan, "SEGMENT_ROWS", 1 << 10)
+
+
+def test_a_burst_is_split(spark, small_segments):
+    """Twenty thousand rows in one second of a month: no segment is much larger than its share."""
+    rare = spark.range(3000).selectExpr("id AS n", "'k' AS k", "timestamp_seconds(id * 864) AS at")
+    burst = spark.range(20_000).selectExpr("id + 3000 AS n", "'k' AS k", "timestamp_micros(864000000000 + id * 50) AS at")
+    df = rare.union(burst)
+    most, parts = _largest(df, ["k"], ["at"], spark)
+    assert most < 1.5 * (1 << 10) and parts >= 20
+    cut = windows.session(df, ["k"], "at", F.expr("INTERVAL 1000 SECONDS"), {"n": ("count", F.col("n"))})
+    whole = windows.session(df, ["k"], "at", F.expr("INTERVAL 1000 SECONDS"), {"n": ("count", F.col("n"))}, segment=F.lit(0))
+    assert rows(cut) == rows(whole)
+
+
+def test_ties_in_the_first_order_column_are_split_by_the_others(spark, small_segments):
+    """A word in every turn of a few long conversations."""
+    df = spark.range(30_000).selectExpr("id % 3 AS conv", "CAST(id / 3 AS int) AS turn", "id % 7 AS pos", "'w' AS word", "id AS v")
+    most, parts = _largest(df, ["word"], ["conv", "turn", "pos"], spark)
+    assert most < 1.5 * (1 << 10) and parts >= 25
+    folds = {"so_far": running_count(), "total": running_sum(F.col("v"))}
+    got = running(df, ["word"], ["conv", "turn", "pos"], folds)
+    assert rows(got) == rows(running(df, ["word"], ["conv", "turn", "pos"], folds, F.col("conv")))
+
+
+def test_splitters_take_nulls_wide_orders_and_many_keys(spark, small_segments, monkeypatch):
+    from tidemark.operators import scan
+
+    df = spark.range(9000).selectExpr("if(id % 2 = 0, null, 'b') AS k", "if(id < 40, null, id * 1000000000000000) AS a", "id AS b", "id % 5 AS v")
+    folds = {"total": running_sum(F.col("v")), "first": first_value(F.col("v")) if "first_value" in globals() else running_sum(F.col("v"))}
+    want = rows(running(df, ["k"], ["a", "b"], folds, F.lit(0)))
+    assert rows(running(df, ["k"], ["a", "b"], folds)) == want
+    monkeypatch.setattr(scan, "MOST_SPLITTERS", 1)
+    assert rows(running(df, ["k"], ["b"], {"total": running_sum(F.col("v"))})) == rows(running(df, ["k"], ["b"], {"total": running_sum(F.col("v"))}, F.lit(0)))

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -30,6 +31,7 @@ SEGMENT_ROWS = 1 << 20
 # Keys that are cut are broadcast up to this many and so many bytes of them; more are joined.
 MOST_CUT = 10_000
 MOST_CUT_BYTES = 1 << 24
+MOST_SPLITTERS = 1 << 22
 
 # Without keys, so many segments are folded together before all of those are.
 _GROUP_BITS = 10
@@ -132,24 +134,92 @@ def with_segment(
 ) -> tuple[DataFrame, Column | None]:
     """``df`` with its segment number, and the condition under which a row's key was cut (None: no key is).
 
-    By default only keys with more than ``SEGMENT_ROWS`` rows are cut. They are counted here and now; the driver gets
-    no more than ``MOST_CUT`` of them. A ``segment`` given by the caller cuts every key.
+    By default only keys with more than ``SEGMENT_ROWS`` rows are cut, at quantiles of the whole order. They are counted
+    here and now, and a sketch finds the quantiles; the driver gets no more than ``MOST_CUT`` keys with ``MOST_SPLITTERS``
+    quantiles in all (beyond, ``segment_of`` cuts). A ``segment`` given by the caller cuts every key.
     """
     if segment is not None or not keys:
         segment = segment_of(df, order[0]) if segment is None else segment
         return df.withColumn(name, segment), F.lit(True)
     counts = df.groupBy(*(F.col(k).alias(f"__cut_{i}") for i, k in enumerate(keys))).agg(F.count(F.lit(1)).alias("__n"))
-    cut = counts.where(F.col("__n") > SEGMENT_ROWS).drop("__n")
+    cut = counts.where(F.col("__n") > SEGMENT_ROWS)
     found = cut.limit(MOST_CUT + 1).collect()
     if not found:
         return df.withColumn(name, F.lit(0).cast("bigint")), None
+    same = [F.col(k).eqNullSafe(F.col(f"__cut_{i}")) for i, k in enumerate(keys)]
+    own, where = df, None
     if len(found) <= MOST_CUT and sum(len(str(tuple(r))) for r in found) <= MOST_CUT_BYTES:
         cut = F.broadcast(df.sparkSession.createDataFrame(found, cut.schema))
-    cut = cut.withColumn("__cut", F.lit(True))
-    same = [F.col(k).eqNullSafe(F.col(f"__cut_{i}")) for i, k in enumerate(keys)]
-    marked = df.withColumn(name, segment_of(df, order[0])).join(cut, same, "left")
-    marked = marked.withColumn(name, F.when(F.col("__cut"), F.col(name)).otherwise(F.lit(0).cast(marked.schema[name].dataType)))
-    return marked.drop(*(f"__cut_{i}" for i in range(len(keys)))), F.coalesce(F.col("__cut"), F.lit(False))
+        own, where, cut = _splitters(df, order, same, cut, found)
+    if where is None:
+        own, where = df, segment_of(df, order[0])
+    cut = cut.drop("__n").withColumn("__cut", F.lit(True))
+    marked = own.join(cut, same, "left")
+    marked = marked.withColumn(name, F.when(F.col("__cut"), where).otherwise(F.lit(0).cast("bigint")))
+    return marked.select(*df.columns, name, "__cut"), F.coalesce(F.col("__cut"), F.lit(False))
+
+
+def _place_code(df: DataFrame, order: Sequence[str], hot: DataFrame) -> Column | None:
+    """A number that never decreases along the order: of all its columns, or of as many as 62 bits hold; nulls are first."""
+    columns = []
+    for c in order:
+        kind = df.schema[c].dataType
+        if isinstance(kind, T.IntegralType):
+            columns.append(F.col(c).cast("bigint"))
+        elif isinstance(kind, T.DateType):
+            columns.append(F.unix_date(c).cast("bigint"))
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            columns.append(F.unix_micros(F.col(c).cast("timestamp")))
+        else:
+            break
+    if not columns:
+        return None
+    ends = hot.agg(*(f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("low", F.min), ("high", F.max)))).first()
+    code, reach = None, 1
+    for i, c in enumerate(columns):
+        low, high = ends[f"low{i}"], ends[f"high{i}"]
+        width = 1 if low is None else high - low + 2
+        if reach * width >= 1 << 62:
+            break
+        step = F.coalesce(c - F.lit(low).cast("bigint") + 1, F.lit(0).cast("bigint")) if low is not None else F.lit(0).cast("bigint")
+        code, reach = step if code is None else code * F.lit(width).cast("bigint") + step, reach * width
+    return code
+
+
+def _splitters(df: DataFrame, order: Sequence[str], same: list[Column], cut: DataFrame, found: list) -> tuple[DataFrame, Column | None, DataFrame]:
+    """Where the keys of ``cut`` are split: ``df`` with a number for its order, the segment of a row, and ``cut`` with the splitters.
+
+    The splitters of a key are quantiles, by Spark's mergeable sketch, of the rows' numbers, so that neither ties in the
+    first column of the order nor a burst in time gather in one segment. A row finds its segment in two steps of about
+    the square root of the splitters each.
+    """
+    most = max(r["__n"] for r in found)
+    parts = -(-most // SEGMENT_ROWS)
+    if parts * len(found) > MOST_SPLITTERS:
+        return df, None, cut
+    hot = df.join(cut, same)
+    code = _place_code(df, order, hot)
+    if code is None:
+        return df, None, cut
+    names = [c for c in cut.columns if c != "__n"]
+    quantiles = F.percentile_approx(code, [k / parts for k in range(1, parts)], max(10_000, 8 * parts))
+    sketched = hot.groupBy(*names, "__n").agg(quantiles.alias("__q"))
+    rows = []
+    for r in sketched.collect():
+        own = -(-r["__n"] // SEGMENT_ROWS)
+        picked = {r["__q"][min(len(r["__q"]) - 1, k * parts // own - 1)] for k in range(1, own)}
+        points = sorted(picked)
+        group = max(1, isqrt(len(points)))
+        rows.append((*(r[c] for c in names), r["__n"], points, points[group - 1 :: group], group))
+    schema = T.StructType(
+        [*cut.schema.fields, T.StructField("__points", T.ArrayType(T.LongType())), T.StructField("__tops", T.ArrayType(T.LongType())), T.StructField("__group", T.IntegerType())]
+    )
+    split = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    place = F.col("__code")
+    passed = F.size(F.filter("__tops", lambda p: p < place))
+    within = F.slice("__points", passed * F.col("__group") + 1, F.col("__group"))
+    where = (passed * F.col("__group") + F.size(F.filter(within, lambda p: p < place))).cast("bigint")
+    return df.withColumn("__code", code), where, split
 
 
 def _combine(fold: Fold, column: Column) -> Column:
