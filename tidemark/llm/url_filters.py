@@ -17,15 +17,26 @@ MAX_LABELLED = 20_000
 _ORDERS = (3, 4, 5)
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# Words of hosts in the small labelled table.
-_BLOCKED = "adult ads bets bingo casino cheap clicks crack escort free gambling hot jackpot keygen lottery loans nude "
-_BLOCKED += "payday pills poker porn popunder replica sex slots spam farm track tracker viagra warez win xxx"
-_ALLOWED = "archive art atlas bakery birds books bridge city clinic college cooking daily earth energy film forest garden "
-_ALLOWED += "harbor health herald history house island journal kitchen lake law library lighthouse math market meadow "
-_ALLOWED += "mountain museum music nation north notes ocean opera paper physics poem press radio railway river school "
-_ALLOWED += "science society south station stone student teacher theater thesis tower town travel university valley "
-_ALLOWED += "village weather window winter writer nation session mission theory other there athens that than then this thing those "
-_ALLOWED += "thatch hath hither thorn thought thousand with within whether"
+# Words of hosts in the small labelled table. Those to be blocked are of gambling, pornography, medicine sold
+# by mail, fraud, pirated software and advertising; the others are plain nouns from many fields.
+_BLOCKED = "adult ads adserver advert banner bet bets betting bingo bitcoinbonus bonus cam cams casino cheap cialis clickbait clicker coupon crack cracked "
+_BLOCKED += "dating discount erotic escort escorts fake free freebie gambler gambling hacked hentai hotgirls jackpot keygen loan loans lottery lotto malware "
+_BLOCKED += "naked nude payday phish pharmacy pills piracy poker popunder popup porn porno promo replica riches roulette scam sex sexy slots spam spammer "
+_BLOCKED += "spyware swinger torrent track tracker tracking traffic viagra virus warez webcam win winner xrated xxx"
+_ALLOWED = "academy airport album alphabet animal apple archive art athlete atlas author autumn bakery balance ballet bank bay beach bear bell bicycle biology bird "
+_ALLOWED += "blossom boat book border botany bottle bread bridge bronze brother building butter cabin camera canal candle captain carpet castle cathedral cedar "
+_ALLOWED += "census chapter cheese chemistry chess child choir church cinema circle city climate clinic clock cloud coast coffee college comet concert cooking "
+_ALLOWED += "copper coral cotton council country course court culture daily dance daughter debate desert design dictionary doctor dolphin drawing earth east "
+_ALLOWED += "economy editor election energy engine essay evening express fabric factory family farm father feather festival field film finance flower forest "
+_ALLOWED += "fountain friend gallery garden gazette geography glass grammar granite guitar harbor harvest health herald history holiday home honey horizon "
+_ALLOWED += "horse hospital house industry iron island journal judge kitchen lake lamp language law leather lecture letter library light lighthouse lion "
+_ALLOWED += "literature machine magazine map maple marble market math meadow medicine meeting member memory mineral minister mirror monument moon morning "
+_ALLOWED += "mother mountain museum music nation nature needle news north notebook novel number ocean office olive opera orchard orchestra organ painting "
+_ALLOWED += "palace paper parliament peace pencil people physics piano planet poem police pottery prairie press professor province question quilt radio railway "
+_ALLOWED += "rain recipe record region research river road robin room salmon school science sculpture season senate shelter shepherd sister sky society soil "
+_ALLOWED += "soldier song source south spring station stone story street student summer sun surgeon teacher temple theater thesis thread tower town trade "
+_ALLOWED += "tradition travel treaty tree tribune tulip tunnel university valley village violin vision voice volcano wagon walk water weather wheat window "
+_ALLOWED += "winter witness woman wood wool word workshop world writer yard year zoo"
 
 
 @dataclass(frozen=True)
@@ -93,19 +104,19 @@ def grams(host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(*parts))
 
 
-def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The small labelled table (url, blocked) that comes with the library."""
+def labelled_urls(spark: SparkSession, blocked: str = _BLOCKED, allowed: str = _ALLOWED) -> DataFrame:
+    """The small labelled table (url, blocked) that comes with the library, from its words or others."""
     rows = []
-    for words, blocked in ((_BLOCKED.split(), True), (_ALLOWED.split(), False)):
+    for words, label in ((blocked.split(), True), (allowed.split(), False)):
         for i, word in enumerate(words):
             other, top = words[(7 * i + 3) % len(words)], ("com", "net", "org")[i % 3]
-            hosts = [f"www.{word}-{other}.example.{top}", f"{('', 'blog.', 'm.')[i % 3]}{word}.example.{top}", f"{word}{'-x' if blocked else other}.example.{top}"]
-            # Either class has every path, so that paths teach little.
+            hosts = [f"www.{word}-{other}.example.{top}", f"{('', 'blog.', 'm.')[i % 3]}{word}.example.{top}", f"{word}{other}.example.{top}"]
+            # Either class has every path, so that paths teach little; the rarer class has more of them.
             for host in hosts:
-                for k in range(2):
-                    path = f"/{('en', 'de', 'fr', 'es')[(i + 2 * k) % 4]}/{(i * 2 + k) * 1237 % 50_000}{('/', '.html')[k]}"
-                    rows.append((f"https://{host}{path}", blocked))
-    lines = [F.struct(F.lit(url).alias("url"), F.lit(blocked).alias("blocked")) for url, blocked in rows]
+                for k in range(3 if label else 2):
+                    path = f"/{('en', 'de', 'fr', 'es')[(i + 2 * k) % 4]}/{(i * 2 + k) * 1237 % 50_000}{('/', '.html')[k % 2]}"
+                    rows.append((f"https://{host}{path}", label))
+    lines = [F.struct(F.lit(url).alias("url"), F.lit(label).alias("blocked")) for url, label in rows]
     return spark.range(1).select(F.inline(F.array(*lines)))
 
 
