@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text
 from tidemark.functions.schema import SENSOR
 from tidemark.operators import changelog, joins, project, rolling, topn, userwindow, windows
+from tidemark.operators.scan import running_count, running_max, running_sum
 from tidemark.plans.inputs import SENSORS, bucket, table
 from tidemark.plans.keyed import SOFAR
 from tidemark.plans.registry import SQL, query
@@ -15,7 +16,7 @@ from tidemark.plans.timed import CLASSED, SQL_AGGS, STREAKS, _pair, streak
 from tidemark.session import scratch_path
 from tidemark.sources import files, log
 from tidemark.sources.tables import typed_table_stream
-from tidemark.streaming import folds, keyed, runs, triggers, userfolds
+from tidemark.streaming import folds, keyed, restore, runs, triggers, userfolds
 
 
 def _stream(spark, sf, name, order=None, slices=0):
@@ -433,6 +434,91 @@ def stream_partition_running_count(spark, sf):
     return _folded(spark, "counts", "event_id bigint, event_type string, cnt bigint", folds.running_count, rows, ["event_type"], ["event_id"])
 
 
+def _halves(spark, sf):
+    """The sensor stream up to the middle of its order, and the rest of it, in micro-batches of at most a slice."""
+    middle = table(spark, sf, "events").agg(F.expr("max(event_id) div 2")).scalar()
+    rows = _sensor_stream(spark, sf, slices=2).select("event_id", "vc")
+    return rows.where(F.col("event_id") <= middle), rows.where(F.col("event_id") > middle)
+
+
+def _in_shares(rows, shares):
+    return rows.select(F.pmod("event_id", F.lit(shares)).alias("share"), "*")
+
+
+# Both halves with the number of their share: seven of them at first, then four.
+HALVES = (
+    SENSORS
+    + """, m AS (SELECT max(event_id) // 2 AS middle FROM s),
+f AS (SELECT event_id % 7 AS share, event_id, vc FROM s, m WHERE event_id <= middle),
+l AS (SELECT event_id % 4 AS share, event_id, vc FROM s, m WHERE event_id > middle)
+"""
+)
+
+
+def _resumed(how, given):
+    """SQL for both halves' counts; the second's begin with what ``given`` has for their share."""
+    return (
+        HALVES
+        + f""", g AS ({given})
+SELECT '{how}' AS phase, share, event_id, count(*) OVER (PARTITION BY share ORDER BY event_id) AS cnt FROM f
+UNION ALL SELECT 'resumed', l.share, event_id, coalesce(g.n, 0) + count(*) OVER (PARTITION BY l.share ORDER BY event_id)
+FROM l LEFT JOIN g USING (share)"""
+    )
+
+
+def _recounted(spark, sf, deal, label):
+    first, rest = _halves(spark, sf)
+    root = scratch_path(spark, label)
+    counted = runs.drain_to_table(keyed.running_count(_in_shares(first, 7), ["share"], ["event_id"]), label, path=root)
+    held = restore.stored_state(spark, f"{root}/checkpoint")
+    initial = deal(held, "share", 4, {"n": F.sum("n")})
+    again = keyed.running_count(_in_shares(rest, 4), ["share"], ["event_id"], initial=initial)
+    phases = ("stopped", counted), ("resumed", runs.drain_to_table(again, label))
+    both = [df.select(F.lit(phase).alias("phase"), "share", "event_id", "cnt") for phase, df in phases]
+    return both[0].unionByName(both[1])
+
+
+@query("stream_count_resumed", _resumed("stopped", "SELECT share % 4 AS share, count(*) AS n FROM f GROUP BY 1"))
+def stream_count_resumed(spark, sf):
+    """A count per share, stopped with seven shares and gone on with four: each takes over the counts of the old ones
+    dealt to it."""
+    return _recounted(spark, sf, restore.dealt, "resumed")
+
+
+@query(
+    "stream_count_resumed_whole",
+    _resumed("stopped", "SELECT share, n FROM (SELECT count(*) AS n FROM f) c, (SELECT unnest(range(4)) AS share) r WHERE n > 0"),
+)
+def stream_count_resumed_whole(spark, sf):
+    """The same where each new share takes over all that has been counted."""
+    return _recounted(spark, sf, restore.dealt_whole, "resumed_whole")
+
+
+@query(
+    "stream_folds_resumed",
+    HALVES
+    + """, g AS (SELECT share % 4 AS share, count(*) AS n, sum(vc) AS total, max(vc) AS high FROM f GROUP BY 1)
+SELECT l.share, event_id, coalesce(g.n, 0) + count(*) OVER w AS cnt,
+  CAST(CASE WHEN count(vc) OVER w > 0 OR g.total IS NOT NULL THEN coalesce(g.total, 0) + coalesce(sum(vc) OVER w, 0) END AS BIGINT) AS total,
+  greatest(g.high, max(vc) OVER w) AS high
+FROM l LEFT JOIN g USING (share) WINDOW w AS (PARTITION BY l.share ORDER BY event_id)""",
+)
+def stream_folds_resumed(spark, sf):
+    """Count, sum and maximum per share, gone on with four shares after a stop with seven; no Python sees a row."""
+    first, rest = _halves(spark, sf)
+    wanted = {"cnt": running_count(), "total": running_sum(F.col("vc")), "high": running_max(F.col("vc"))}
+    seven, root = _in_shares(first, 7), scratch_path(spark, "folds_stopped")
+    runs.drain(folds.fold_stream(seven, ["share"], ["event_id"], wanted, f"{root}/out", f"{root}/checkpoint"))
+    held = folds.stored_folds(seven, ["share"], ["event_id"], wanted, f"{root}/out", f"{root}/checkpoint")
+    merge = {"cnt": F.sum("cnt"), "total": F.sum("total"), "high": F.max("high")}
+    initial = restore.dealt(held, "share", 4, merge)
+    schema = "share bigint, event_id bigint, cnt bigint, total bigint, high int"
+    found = _folded(
+        spark, "folds_resumed", schema, folds.fold_stream, _in_shares(rest, 4), ["share"], ["event_id"], wanted, initial=initial
+    )
+    return found.select("share", "event_id", "cnt", "total", "high")
+
+
 @query(
     "stream_count_tumble",
     SENSORS

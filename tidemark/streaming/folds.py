@@ -19,6 +19,7 @@ from tidemark.operators import scan, state
 from tidemark.operators.lateness import shifted
 from tidemark.operators.scan import Fold, check_order, running
 from tidemark.sources.keyed_table import KeyedTable
+from tidemark.streaming.restore import last_batch
 from tidemark.streaming.runs import _drop, _put, drain
 
 _SEED = "__carried"
@@ -68,6 +69,9 @@ class _Run:
         if hold:
             self.order = [hold.time, *(c for c in self.order if c != hold.time)]
 
+    def begun(self, batch: DataFrame) -> DataFrame | None:
+        """What the first micro-batch is ahead of: nothing."""
+
     def writer(self, checkpoint: str) -> DataStreamWriter:
         return self.df.writeStream.foreachBatch(self.take).option("checkpointLocation", checkpoint)
 
@@ -81,7 +85,7 @@ class _Run:
                 rows = _reader(batch, batch.schema, f"{self.out}/ready/{batch_id}")
             table = KeyedTable(spark, f"{self.out}/state", self.keys, self.state_schema(batch), self.every)
             table.begin(batch_id)
-            carried = table.read(batch_id, rows.select(*self.keys)) if batch_id else None
+            carried = table.read(batch_id, rows.select(*self.keys)) if batch_id else self.begun(batch)
             both = self.stacked(rows, carried).persist()
             try:
                 _put(self.results(both), f"{self.out}/rows/batch={batch_id}")
@@ -95,9 +99,9 @@ class _Run:
 
 
 class _Folds(_Run):
-    def __init__(self, df, keys, order, folds: Mapping[str, Fold], out, hold, every, after, segment):
+    def __init__(self, df, keys, order, folds: Mapping[str, Fold], out, hold, every, after, segment, initial=None):
         super().__init__(df, keys, order, out, hold, every)
-        self.folds, self.after, self.segment = dict(folds), after, segment
+        self.folds, self.after, self.segment, self.initial = dict(folds), after, segment, initial
         self.lifts = {n: f"__lift_{i}" for i, n in enumerate(folds)}
 
     def _aggregates(self) -> list[Column]:
@@ -107,6 +111,19 @@ class _Folds(_Run):
     def _lifted(self, rows: DataFrame) -> DataFrame:
         return rows.select(*rows.columns, *(f.value.alias(self.lifts[n]) for n, f in self.folds.items()))
 
+    def begun(self, batch: DataFrame) -> DataFrame | None:
+        """The state to begin with. All its keys come in, so that those without rows yet are kept too."""
+        if self.initial is None:
+            return None
+        names = [*self.keys, *self.folds]
+        kinds = self.state_schema(batch).fields
+        return self.initial.select(*(F.col(n).cast(f.dataType).alias(f.name) for n, f in zip(names, kinds)))
+
+    def held(self, batch_id: int) -> DataFrame:
+        """The state as micro-batch ``batch_id`` left it."""
+        table = KeyedTable(self.df.sparkSession, f"{self.out}/state", self.keys, self.state_schema(self.df), self.every)
+        return table.view(batch_id).select(*self.keys, *(F.col(c).alias(n) for n, c in self.lifts.items()))
+
     def state_schema(self, batch: DataFrame) -> T.StructType:
         return self._lifted(batch.limit(0)).groupBy(*self.keys).agg(*self._aggregates()).schema
 
@@ -166,14 +183,27 @@ def fold_stream(
     after: Callable[[DataFrame], DataFrame] | None = None,
     every: int = 16,
     segment: Column | None = None,
+    initial: DataFrame | None = None,
 ) -> DataStreamWriter:
     """Every row of a stream with the folds of its key's rows so far, in ``out/rows``; ``after`` is applied to these.
 
     Micro-batches must follow the order of arrival (``sources.arrival``) unless rows are held back; then the order is that
     of ``hold.time``, rows that come too late are in ``out/late``, and rows still held at the end have no result.
     A key's state is a row in ``out/state``. ``order`` must be a total order within a key, and must not be null.
+    ``initial`` holds what keys have folded before, a row per key with a column per fold, as ``stored_folds`` gives it.
     """
-    return _Folds(df, keys, order, folds, out, hold, every, after, segment).writer(checkpoint)
+    return _Folds(df, keys, order, folds, out, hold, every, after, segment, initial).writer(checkpoint)
+
+
+def stored_folds(df: DataFrame, keys, order, folds: Mapping[str, Fold], out: str, checkpoint: str, every: int = 16) -> DataFrame:
+    """What a stopped ``fold_stream`` (with the same arguments) holds: a row per key, with a column per fold."""
+    last = last_batch(df.sparkSession, checkpoint)
+    if last is None:
+        raise ValueError(f"no micro-batch has ended in {checkpoint}")
+    spark, rows = df.sparkSession, df
+    if df.isStreaming:
+        rows = spark.createDataFrame([], df.schema)
+    return _Folds(rows, keys, order, folds, out, None, every, None, None).held(last)
 
 
 def running_sum(df, keys, value: str, order, out: str, checkpoint: str, name: str = "total", **options) -> DataStreamWriter:

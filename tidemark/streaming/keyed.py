@@ -10,9 +10,15 @@ from tidemark.operators.scan import check_order
 from tidemark.streaming import processors as P
 
 
-def _apply(df: DataFrame, keys: Sequence[str], processor, schema: T.StructType, time_mode: str = "none") -> DataFrame:
+def _apply(
+    df: DataFrame, keys: Sequence[str], processor, schema: T.StructType, time_mode: str = "none", initial: DataFrame | None = None
+) -> DataFrame:
     return df.groupBy(*keys).transformWithState(
-        statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode=time_mode
+        statefulProcessor=processor,
+        outputStructType=schema,
+        outputMode="append",
+        timeMode=time_mode,
+        initialState=None if initial is None else initial.groupBy(*keys),
     )
 
 
@@ -25,16 +31,22 @@ def _type(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def keyed_step(df: DataFrame, keys, order, state_schema: str, output: str, step) -> DataFrame:
+def keyed_step(df: DataFrame, keys, order, state_schema: str, output: str, step, initial: DataFrame | None = None) -> DataFrame:
     """A user-written step over one state tuple per key: ``step(state, row) -> (state, extra)``.
 
     ``state`` is None for a key's first row; ``extra`` holds the ``output`` columns,
-    or is None to emit nothing for the row.
+    or is None to emit nothing for the row. ``initial`` gives keys a state to begin with: one row per key, of the key and
+    the state's columns, as ``restore.stored_state`` reads it from a stopped stream. It is read in the first micro-batch
+    only, so that a stream that is resumed from its own checkpoint doesn't begin again.
     """
     order = check_order(df, order)
     names = T._parse_datatype_string(output).fieldNames()
-    processor = P.StepProcessor(order, df.columns, state_schema, names, step)
-    return _apply(df, keys, processor, _plus(df, output))
+    held = T._parse_datatype_string(state_schema)
+    processor = P.StepProcessor(order, df.columns, state_schema, names, step, held.fieldNames())
+    if initial is not None:
+        kinds = [*(df.schema[k] for k in keys), *held.fields]
+        initial = initial.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds))
+    return _apply(df, keys, processor, _plus(df, output), initial=initial)
 
 
 def process(
@@ -78,14 +90,14 @@ def process(
     return _apply(df, keys, processor, schema, "eventTime")
 
 
-def running_count(df, keys, order, name: str = "cnt") -> DataFrame:
-    """Every row with the key's row count so far."""
+def running_count(df, keys, order, name: str = "cnt", initial: DataFrame | None = None) -> DataFrame:
+    """Every row with the key's row count so far; ``initial`` holds what a key has counted before, in ``n``."""
 
     def step(state, row):
         n = (state[0] if state else 0) + 1
         return (n,), (n,)
 
-    return keyed_step(df, keys, order, "n bigint", f"{name} bigint", step)
+    return keyed_step(df, keys, order, "n bigint", f"{name} bigint", step, initial)
 
 
 def _sum_type(df: DataFrame, column: str) -> str:

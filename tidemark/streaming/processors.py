@@ -40,18 +40,23 @@ class Ordered(StatefulProcessor):
 class StepProcessor(Ordered):
     """One state tuple per key; ``step(state, row) -> (state, extra columns or None)``.
 
-    The output is the row's own columns plus the extra ones; None emits nothing.
+    The output is the row's own columns plus the extra ones; None emits nothing. A key's row of an initial state holds the
+    state tuple in the columns ``held``.
     """
 
-    def __init__(self, order, columns, state_schema: str, names: Sequence[str], step: Callable):
+    def __init__(self, order, columns, state_schema: str, names: Sequence[str], step: Callable, held: Sequence[str] = ()):
         super().__init__(order, columns)
         self.state_schema = state_schema
         self.fields = list(columns) + list(names)
         self.step = step
+        self.held = list(held)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", self.state_schema)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.state.update(tuple(initialState[c] for c in self.held))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = self.state.get() if self.state.exists() else None
         for row in self.in_order(rows):
