@@ -86,3 +86,18 @@ def test_queries_do_not_see_the_order_of_files(spark, shuffled, name):
         assert rows(QUERIES[name](spark, shuffled)) == rows(QUERIES[name](spark, SOURCE)) != []
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("files, slices, together", [(5, 5, 1), (11, 2, 6), (3, 4, 1)])
+def test_more_files_than_slices_share_micro_batches(spark, tmp_path, monkeypatch, files, slices, together):
+    """A session that cuts exchanges finer than asked for gets no more micro-batches than slices."""
+    table = spark.range(200).withColumnRenamed("id", "n")
+    cut = type(table).repartitionByRange
+    monkeypatch.setattr(type(table), "repartitionByRange", lambda df, count, *by: cut(df, files, *by))
+    path = str(tmp_path / "staged")
+    assert arrival.sliced(table, F.col("n"), path, slices) == together
+    assert len(list((tmp_path / "staged").glob("part-*"))) == files
+    seen = []
+    stream = spark.readStream.schema("n bigint").option("maxFilesPerTrigger", together).parquet(path)
+    runs.drain(stream.writeStream.foreachBatch(lambda batch, n: seen.append(sorted(r.n for r in batch.collect()))))
+    assert len(seen) <= slices and [n for batch in seen for n in batch] == list(range(200))

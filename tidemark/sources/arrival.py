@@ -49,8 +49,8 @@ def _part(name: str) -> tuple[int, str]:
     return int(re.match(r"part-(\d+)", name)[1]), name
 
 
-def _stamp(spark: SparkSession, path: str) -> None:
-    """Give the part files of a folder modification times in the order of their numbers."""
+def _stamp(spark: SparkSession, path: str) -> int:
+    """Give the part files of a folder modification times in the order of their numbers; how many there are."""
     system, place = _file_system(spark, path)
     parts = sorted((s.getPath() for s in system.listStatus(place) if s.getPath().getName().startswith("part-")), key=lambda p: _part(p.getName()))
     start = int(time.time() * 1000) - _APART_MS * len(parts)
@@ -59,17 +59,19 @@ def _stamp(spark: SparkSession, path: str) -> None:
     seen = sorted((s.getModificationTime(), _part(s.getPath().getName())) for s in system.listStatus(place) if s.getPath().getName().startswith("part-"))
     if [p for _, p in seen] != [_part(p.getName()) for p in parts] or len({t for t, _ in seen}) < len(parts):
         raise RuntimeError(f"{path} does not keep modification times: stage the slices in a file system that does")
+    return len(parts)
 
 
-def sliced(table: DataFrame, order: Column, path: str, slices: int = 1, rows: int = SLICE_ROWS) -> None:
+def sliced(table: DataFrame, order: Column, path: str, slices: int = 1, rows: int = SLICE_ROWS) -> int:
     """``table`` as files in ``path`` that hold ascending ranges of ``order`` (a null first), ``slices`` or more of them.
 
-    One exchange by range, as for a sort. Modification times follow the ranges.
+    One exchange by range, as for a sort. Modification times follow the ranges. The result says how many files make a
+    slice: one, unless the session cuts an exchange into more partitions than it is asked for.
     """
     count = max(slices, -(-table.count() // rows))
     ranged = table.withColumn("__at", order).repartitionByRange(count, "__at").sortWithinPartitions("__at").drop("__at")
     ranged.write.parquet(path)
-    _stamp(table.sparkSession, path)
+    return max(1, -(-_stamp(table.sparkSession, path) // count))
 
 
 def table_stream(
@@ -87,8 +89,8 @@ def table_stream(
         table = spark.read.schema(schema).parquet(path)
         if slices > 1 or not follows(table, order):
             staged = scratch_path(spark, "arrivals")
-            sliced(table, order, staged, max(1, slices))
-            return reader.option("maxFilesPerTrigger", 1).load(staged)
+            together = sliced(table, order, staged, max(1, slices))
+            return reader.option("maxFilesPerTrigger", together).load(staged)
     if system.getFileStatus(place).isDirectory():
         return reader.option("maxFilesPerTrigger", files).load(path)
     return reader.option("pathGlobFilter", place.getName()).load(place.getParent().toString())
