@@ -331,6 +331,20 @@ def test_types(spark):
     assert rows(cast) == [(2.5, 1, None)]
 
 
+def test_whole_numbers_are_narrowed_as_the_jdbc_converter_does(spark):
+    values = [None, 7, -7, 127, 128, 32_767, 32_768, 89_999, -32_769]
+    df = spark.createDataFrame([(v, v, v) for v in values], "n bigint, s bigint, t int")
+    cast = schema.cast_to_schema(df, schema.table_schema({"n": "BIGINT", "s": "SMALLINT", "t": "TINYINT"}))
+    assert [f.dataType for f in cast.schema] == [T.LongType(), T.ShortType(), T.ByteType()]
+
+    def low(v, bits):
+        return None if v is None else (v + (1 << bits - 1)) % (1 << bits) - (1 << bits - 1)
+
+    assert rows(cast) == sorted(((v, low(v, 16), low(v, 8)) for v in values), key=repr)
+    with pytest.raises(Exception, match="OVERFLOW"):
+        schema.cast_to_schema(df.select(F.lit(1 << 40).alias("n")), schema.table_schema({"n": "INTEGER"})).collect()
+
+
 def test_parsing_other_types_and_separators(spark):
     schema = spark.createDataFrame([], "id string, v double, d date, b boolean").schema
     lines = spark.createDataFrame([("s1^|1.5^|2024-01-02^|true",), ("s2^|-2e3^|2024-1-2^|yes",), ("s3^| 1^|^|",)], "value string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 SENSOR = T.StructType(
     [T.StructField("id", T.StringType()), T.StructField("ts", T.LongType()), T.StructField("vc", T.IntegerType())]
@@ -97,12 +97,28 @@ def table_schema(columns: dict[str, str]) -> T.StructType:
     return T.StructType([T.StructField(n, spark_type(t)) for n, t in columns.items()])
 
 
+_NARROW = {T.ByteType(): 8, T.ShortType(): 16}
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
+    bits = _NARROW.get(target)
+    if bits and isinstance(source, _WHOLE):
+        # Narrowed as the JDBC converter does it (``shortValue()``): a number that does not fit keeps its low bits.
+        value = F.shiftright(F.shiftleft(value.cast("bigint"), 64 - bits), 64 - bits)
+    return value.cast(target)
+
+
 def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of ``schema`` by name, cast to its types; an absent column is null."""
-    present = set(df.columns)
+    """Columns of ``schema`` by name, cast to its types; an absent column is null.
+
+    Whole numbers too large for a TINYINT or SMALLINT keep their low bits, where SQL would end the job; other values that
+    don't fit raise.
+    """
+    present = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         *(
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            _cast(F.col(f.name) if f.name in present else F.lit(None), present.get(f.name), f.dataType).alias(f.name)
             for f in schema.fields
         )
     )
