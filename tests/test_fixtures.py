@@ -428,3 +428,20 @@ def test_custom_fold_merges_partials(spark):
         "bigint", fan_in=3, max_held=1,
     )
     assert rows(out) == [("hot", 334 * 1000 + 999), (None, 666 * 1000 + 998)]
+
+
+def test_custom_fold_adds_once_for_a_key_with_few_rows(spark):
+    """Keys that come in every part, few rows at a time, beside one that is frequent in each."""
+    part = F.spark_partition_id().cast("bigint")
+    df = spark.range(0, 4000, 1, 4).select(F.when(F.col("id") % 4 == 0, F.lit(-1)).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("v"), part.alias("p"))
+    calls = spark.sparkContext.accumulator(0)
+
+    def add(acc, batch):
+        calls.add(1)
+        return acc[0] + len(batch), acc[1] + int(batch["v"].sum())
+
+    folded = rolling.custom_fold(df, ["k"], lambda: (0, 0), add, lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a: a[0] * (1 << 40) + a[1], "bigint")
+    found = rows(folded)
+    assert found == rows(df.groupBy("k").agg((F.count("*") * (1 << 40) + F.sum("v")).alias("result")))
+    # One for each key, and one for each part of the frequent key; each part of each key had a call before.
+    assert calls.value <= len(found) - 1 + 4

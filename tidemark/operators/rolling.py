@@ -9,6 +9,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -152,6 +153,8 @@ def group_aggregate(df: DataFrame, keys: Sequence[str], value: str, order: Seque
 
 
 _NAN = float("nan")
+# A key with so many rows among those gathered is folded where they are.
+_MANY = 32
 
 
 def _same(value: Any) -> Any:
@@ -174,17 +177,20 @@ def custom_fold(
 ) -> DataFrame:
     """A user-written aggregate: create, add a batch, merge two accumulators, result.
 
-    Accumulators are built next to the data (a task holds at most about ``max_held``
-    and then hands them on), merged in ``fan_in`` groups per key, and only then per
-    key, so no task sees all rows or all partial accumulators of a hot key. ``add``
-    and ``merge`` must be associative and may not depend on row order. ``carried`` (the keys
-    and ``accumulator``) joins in accumulators of other rows; ``accumulators`` makes such.
+    Where a key has many rows close together, its accumulators are built next to the data (a task holds at most about
+    ``max_held`` and then hands them on); the rows of other keys meet by key first, so that ``add`` is called about once
+    for each and not once for each row. Accumulators are merged in ``fan_in`` groups per key, and only then per key, so no
+    task sees all rows or all partial accumulators of a hot key. ``add`` and ``merge`` must be associative and may not
+    depend on row order. ``carried`` (the keys and ``accumulator``) joins in accumulators of other rows; ``accumulators``
+    makes such.
     """
     keys = list(keys)
     key_fields = [df.schema[k] for k in keys]
     state = T.StructType([*key_fields, T.StructField("__acc", T.BinaryType())])
     final = T.StructType([*key_fields, *T._parse_datatype_string(f"`{name}` {result_type}").fields])
+    mixed = T.StructType([*(T.StructField(f.name, f.dataType) for f in df.schema.fields), state["__acc"]])
     state_arrow, final_arrow = to_arrow_schema(state), to_arrow_schema(final)
+    columns = df.columns
 
     def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         return pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in rows], schema=schema)
@@ -200,33 +206,76 @@ def custom_fold(
         if some:
             yield pa.Table.from_batches(some)
 
+    def keys_of(rows: pa.Table) -> list[tuple]:
+        """As Python values: pandas would turn integers beside nulls into floats."""
+        return [tuple(map(_same, key)) for key in zip(*(rows.column(k).to_pylist() for k in keys))]
+
+    def grouped(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the rows, group by group, and the groups' sizes."""
+        group = np.zeros(rows.num_rows, dtype=np.int64)
+        for k in keys:
+            codes = rows.column(k).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+            # Numbered anew for each column, so that the products stay small.
+            group = np.unique(group * (codes.max(initial=0) + 1) + codes, return_inverse=True)[1]
+        return np.argsort(group, kind="stable"), np.bincount(group)
+
+    def add_groups(held: dict[tuple, Any], rows: pa.Table, sizes: np.ndarray) -> None:
+        """Add ``rows``, which lie group by group, to the accumulators of their keys."""
+        if not rows.num_rows:
+            return
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        # Several groups may be one key, as those of 0.0 and -0.0.
+        number, frame = keys_of(rows.select(keys).take(pa.array(starts))), rows.to_pandas()
+        for key, start, end in zip(number, starts, ends):
+            held[key] = add(held[key] if key in held else create(), frame.iloc[start:end])
+
+    def dumped(held: dict[tuple, Any], emptied: pa.Schema | None = None) -> pa.RecordBatch:
+        batch = batch_of([(*key, pickle.dumps(acc)) for key, acc in held.items()], state_arrow)
+        held.clear()
+        if emptied is None:
+            return batch
+        found = {n: batch.column(i) for i, n in enumerate(state_arrow.names)}
+        arrays = [found[f.name].cast(f.type) if f.name in found else pa.nulls(batch.num_rows, f.type) for f in emptied]
+        return pa.RecordBatch.from_arrays(arrays, schema=emptied)
+
     def add_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The accumulators of the keys with many rows; the rows of the others, as they are."""
         held: dict[tuple, Any] = {}
-
-        def emit() -> pa.RecordBatch:
-            rows = [(*key, pickle.dumps(acc)) for key, acc in held.items()]
-            held.clear()
-            return batch_of(rows, state_arrow)
-
+        out = None
         for rows in gathered_rows(batches):
-            group = np.zeros(rows.num_rows, dtype=np.int64)
-            for k in keys:
-                codes = rows.column(k).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
-                # Numbered anew for each column, so that the products stay small.
-                group = np.unique(group * (codes.max(initial=0) + 1) + codes, return_inverse=True)[1]
-            order = np.argsort(group, kind="stable")
-            ends = np.cumsum(np.bincount(group))
-            starts = np.concatenate([[0], ends[:-1]])
-            # One row per key as Python values: pandas would turn integers beside nulls into floats.
-            firsts = rows.select(keys).take(pa.array(order[starts]))
-            number = [tuple(map(_same, key)) for key in zip(*(firsts.column(k).to_pylist() for k in keys))]
-            frame = rows.to_pandas().iloc[order]
-            for key, start, end in zip(number, starts, ends):
-                held[key] = add(held[key] if key in held else create(), frame.iloc[start:end])
+            out = pa.schema([*(pa.field(f.name, f.type) for f in rows.schema), pa.field("__acc", pa.binary())])
+            order, sizes = grouped(rows)
+            many = sizes >= _MANY
+            often = np.repeat(many, sizes)
+            add_groups(held, rows.take(pa.array(order[often])), sizes[many])
+            if not often.all():
+                rest = rows.take(pa.array(order[~often]))
+                rest = pa.Table.from_arrays([*rest.columns, pa.chunked_array([pa.nulls(rest.num_rows, pa.binary())])], schema=out)
+                yield from rest.to_batches(max_chunksize=10_000)
             if len(held) >= max_held:
-                yield emit()
+                yield dumped(held, out)
+        if held:
+            yield dumped(held, out)
+
+    def add_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """An accumulator per key, of rows and accumulators that are sorted by key: one that goes on is held."""
+        held: dict[tuple, Any] = {}
+        for some in gathered_rows(batches):
+            done = some.column("__acc").is_valid()
+            rows = some.filter(pc.invert(done)).select(columns)
+            order, sizes = grouped(rows)
+            add_groups(held, rows.take(pa.array(order)), sizes)
+            ready = some.filter(done)
+            for key, blob in zip(keys_of(ready), ready.column("__acc").to_pylist()):
+                held[key] = merge(held[key] if key in held else create(), pickle.loads(blob))
+            (last,) = keys_of(some.slice(some.num_rows - 1))
+            rest = {last: held.pop(last)}
+            if held:
+                yield dumped(held)
+            held = rest
         if held:
-            yield emit()
+            yield dumped(held)
 
     def merge_sorted(schema: pa.Schema, finish: Callable[[Any], Any]):
         """Merge runs of equal keys; the input is sorted, so one accumulator is held at a time."""
@@ -249,11 +298,12 @@ def custom_fold(
 
         return run
 
-    partials = df.mapInArrow(add_batches, state)
-    # Salted by input task: the accumulators of one key spread over the groups.
-    salted = partials.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
-    salted = salted.repartition(*keys, "__salt").sortWithinPartitions(*keys, "__salt").select(*state.names)
-    fewer = salted.mapInArrow(merge_sorted(state_arrow, pickle.dumps), state)
+    partials = df.mapInArrow(add_batches, mixed)
+    # Rows of a key meet; accumulators are salted by input task, so that those of one key spread over the groups.
+    salt = F.when(F.col("__acc").isNull(), F.lit(0)).otherwise(F.pmod(F.spark_partition_id(), F.lit(fan_in)))
+    salted = partials.withColumn("__salt", salt)
+    salted = salted.repartition(*keys, "__salt").sortWithinPartitions(*keys).select(*mixed.names)
+    fewer = salted.mapInArrow(add_sorted, state)
     if carried is not None:
         fewer = fewer.unionByName(carried.select(*keys, F.col("accumulator").alias("__acc")))
     gathered = fewer.repartition(*keys).sortWithinPartitions(*keys)
