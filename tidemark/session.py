@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # To count the keys held, each write to the store would first read.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     # Rows may be long texts: ten thousand of them, Spark's own number, are much for a Python worker.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
