@@ -407,3 +407,61 @@ def test_late_interval_join_on_the_clock_of_the_stream(spark, stream_of, tmp_pat
     late = spark.read.schema(tagged.schema).parquet(f"{tmp_path}/out/late")
     for n, want in zip("lr", expected[1:]):
         assert rows(late.where(F.col("side") == n).select(f"{n}.*")) == rows(want) != []
+
+
+def test_processors_spare_calls_to_the_state(spark):
+    """A timer that several rows ask for is set once, and a state is read without asking first whether it is there."""
+    from pyspark.sql import Row
+    from tidemark.streaming import processors
+
+    class State:
+        def __init__(self):
+            self.calls, self.held = [], None
+
+        def get(self):
+            self.calls.append("get")
+            return self.held
+
+        def exists(self):
+            self.calls.append("exists")
+            return self.held is not None
+
+        def update(self, value):
+            self.calls.append("update")
+            self.held = value
+
+    class Handle:
+        def __init__(self):
+            self.state, self.timers = State(), []
+
+        def getValueState(self, name, schema):
+            return self.state
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+        def deleteTimer(self, at):
+            self.timers.append(-at)
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    def on_row(context, state, row):
+        if row["n"] == 4:
+            context.cancel(10)
+        context.register(10)
+        context.register(20)
+        context.emit("t", row["n"])
+        return ((state or (0,))[0] + 1,)
+
+    handle = Handle()
+    run = processors.UserProcessor(["n"], ["k"], "c bigint", ["n"], on_row, None, "eventTime")
+    run.init(handle)
+    out = list(run.handleInputRows(("a",), iter([Row(k="a", n=n) for n in (3, 1, 2, 4)]), Times()))
+    assert out == [Row(k="a", tag="t", n=n) for n in (1, 2, 3, 4)] and handle.state.held == (4,)
+    assert handle.timers == [10, 20, -10, 10] and handle.state.calls == ["get", "update"]
+    step = processors.StepProcessor(["n"], ["k", "n"], "c bigint", ["c"], lambda s, r: (((s or (0,))[0] + 1,),) * 2, ["c"])
+    handle = Handle()
+    step.init(handle)
+    assert list(step.handleInputRows(("a",), iter([Row(k="a", n=7)]), None)) == [Row(k="a", n=7, c=1)] and handle.state.calls == ["get", "update"]

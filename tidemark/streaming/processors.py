@@ -58,11 +58,12 @@ class StepProcessor(Ordered):
         self.state.update(tuple(initialState[c] for c in self.held))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state = self.state.get() if self.state.exists() else None
+        # None without a state: to ask for it first would be another call.
+        state, out = self.state.get(), Row(*self.fields)
         for row in self.in_order(rows):
             state, extra = self.step(state, row)
             if extra is not None:
-                yield Row(**dict(zip(self.fields, self.keep(row) + tuple(extra))))
+                yield out(*self.keep(row), *extra)
         self.state.update(tuple(state))
 
 
@@ -73,14 +74,19 @@ class Context:
         self.handle = handle
         self.now = now
         self.rows: list[tuple] = []
+        self.set: set[int] = set()
 
     def emit(self, tag: str, *values) -> None:
         self.rows.append((tag, *values))
 
     def register(self, at_ms: int) -> None:
-        self.handle.registerTimer(at_ms)
+        """Once is enough: rows that ask for the same timer again cost no call."""
+        if at_ms not in self.set:
+            self.handle.registerTimer(at_ms)
+            self.set.add(at_ms)
 
     def cancel(self, at_ms: int) -> None:
+        self.set.discard(at_ms)
         self.handle.deleteTimer(at_ms)
 
 
@@ -107,7 +113,7 @@ class UserProcessor(Ordered):
         return Context(self.handle, now)
 
     def _held(self):
-        return self.state.get() if self.state.exists() else None
+        return self.state.get()
 
     def _keep(self, state) -> None:
         if state is None:
@@ -116,9 +122,11 @@ class UserProcessor(Ordered):
             self.state.update(tuple(state))
 
     def _out(self, key: tuple, context: Context) -> Iterator[Row]:
-        for row in context.rows:
-            yield Row(**dict(zip(self.fields, [*key, *row])))
-        context.rows.clear()
+        if context.rows:
+            out = Row(*self.fields)
+            for row in context.rows:
+                yield out(*key, *row)
+            context.rows.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state, context = self._held(), self._context(timerValues)
@@ -153,7 +161,7 @@ class ReorderProcessor(UserProcessor):
         self.due = handle.getListState("due", "at_ms bigint")
 
     def _get(self, state) -> list[tuple]:
-        return [tuple(t) for t in state.get()] if state.exists() else []
+        return [tuple(t) for t in state.get()]
 
     def _put(self, state, rows: list[tuple]) -> None:
         if rows:
@@ -189,7 +197,8 @@ class ReorderProcessor(UserProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         mark = timerValues.getCurrentWatermarkInMs()
-        rows = [Row(**dict(zip(self.held_columns, t))) for t in self._get(self.held)]
+        held = Row(*self.held_columns)
+        rows = [held(*t) for t in self._get(self.held)]
         ready = [r for r in rows if r[self.time_ms] < mark]
         rest = [r for r in rows if r[self.time_ms] >= mark]
         timers = {t[0] for t in self._get(self.due)}
