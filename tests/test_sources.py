@@ -177,6 +177,18 @@ def test_files_roll_by_size_and_a_repeated_batch_replaces_its_own(spark, tmp_pat
     files.write_rolled(df.where("false"), f"{out}/batch=2", "at", "n")
 
 
+def test_small_files_are_written_by_many_tasks(spark, tmp_path):
+    """However few bytes there are: each file takes its time."""
+    df = spark.range(400).select("id", F.timestamp_seconds(F.col("id") * 60).alias("at"), F.format_string("line %03d", "id").alias("value"))
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        files.write_rolled(df, f"{out}/batch=0", "at", "id", size=20)
+    found = list((tmp_path / "out").glob("batch=0/bucket=*/roll=*/part-*"))
+    assert len({p.name.split("-")[1] for p in found}) > 8
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["batch=0"]
+    assert spark.read.text(out).count() == 400
+
+
 def test_catalogs_are_registered_and_used(spark):
     tables.create_catalog(spark, "shop", "org.example.ShopCatalog", url="mem")
     try:

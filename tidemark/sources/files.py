@@ -106,9 +106,22 @@ def rolled(df: DataFrame, time: str, order: str, value: str = "value", size: int
 
 
 def write_rolled(df: DataFrame, path: str, time: str, order: str, value: str = "value", size: int = ROLL_BYTES) -> None:
-    """Text files of about ``size`` bytes at most, in a folder per bucket and roll; visible when all are written."""
-    rolls = rolled(df, time, order, value, size).repartition("bucket", "roll").sortWithinPartitions("bucket", "roll", order)
-    rolls.select("bucket", "roll", value).write.mode("overwrite").partitionBy("bucket", "roll").option("compression", "none").text(path)
+    """Text files of about ``size`` bytes at most, in a folder per bucket and roll; visible when all are written.
+
+    It is the number of files that takes the time, however few bytes they hold: all cores write them, and each task puts
+    its own in place, in a folder beside ``path`` that Spark's readers pass over. That folder is then given its name.
+    """
+    spark = df.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rolls = rolled(df, time, order, value, size).repartition(tasks, "bucket", "roll").sortWithinPartitions("bucket", "roll", order)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    staged = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{place.getName()}")
+    writer = rolls.select("bucket", "roll", value).write.mode("overwrite").partitionBy("bucket", "roll")
+    writer.options(**{"compression": "none", "mapreduce.fileoutputcommitter.algorithm.version": "2"}).text(staged.toString())
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(place, True)
+    if not system.rename(staged, place):
+        raise OSError(f"{staged.toString()} could not be renamed to {path}")
 
 
 def rolled_stream(
