@@ -175,3 +175,55 @@ def test_equal_texts_have_equal_scores_in_any_layout(spark, model):
         scores.append({x.doc_id: x.log_prob for x in got})
         assert all(scores[-1][i] == scores[-1][i % 60] for i in range(240))
     assert scores[0] == scores[1] == scores[2]
+
+
+def plain_step(net, around, word, rate, seen, weight):
+    """One step of AdaGrad, class by class and column by column, as the formulas say."""
+    n, per = len(word), net.of_word.shape[1]
+    weight = (weight * (n / weight.sum()))[:, None]
+    h = np.tanh(net.hidden + sum(net.inputs[k][around[k]] for k in range(len(lm.REACH))))
+    share = lambda x: np.exp(x - x.max(axis=1, keepdims=True)) / np.exp(x - x.max(axis=1, keepdims=True)).sum(axis=1, keepdims=True)
+    kind, within = word % lm.CLASSES, word // lm.CLASSES
+    miss = (share(h @ net.to_class + net.of_class) - np.eye(lm.CLASSES)[kind]) * weight
+    off = (share(np.einsum("nh,nhp->np", h, net.to_word[kind]) + net.of_word[kind]) - np.eye(per)[within]) * weight
+    back = (miss @ net.to_class.T + np.einsum("np,nhp->nh", off, net.to_word[kind])) * (1 - h * h)
+    slopes = [np.zeros(p.shape) for p in net.parts()]
+    for k in range(len(lm.REACH)):
+        np.add.at(slopes[0][k], around[k], back)
+    slopes[1], slopes[2], slopes[3] = back.sum(axis=0), h.T @ miss, miss.sum(axis=0)
+    np.add.at(slopes[4], kind, np.einsum("nh,np->nhp", h, off))
+    np.add.at(slopes[5], kind, off)
+    return [p - rate * (s / n) / np.sqrt(a + (s / n) ** 2) for p, s, a in zip(net.parts(), slopes, seen)]
+
+
+@pytest.mark.parametrize("n", [1, 40, 500])
+def test_a_step_against_its_formulas(n):
+    r = np.random.default_rng(n)
+    net = lm.Network(r.integers(0, 50, lm._SIZE))
+    around, word, weight = r.integers(0, lm._SIZE + 1, (4, n)).astype(np.int32), np.minimum(r.geometric(0.02, n), lm._SIZE - 1), r.integers(1, 9, n).astype(float)
+    for p in net.parts():
+        p += (0.3 * r.standard_normal(p.shape)).astype(np.float32)
+    seen = [np.full(p.shape, 1e-2, dtype=np.float32) for p in net.parts()]
+    want = plain_step(net, around, word, 0.2, seen, weight)
+    net.learn(around, word, 0.2, seen, weight)
+    assert all(np.allclose(p, w, atol=2e-5) for p, w in zip(net.parts(), want))
+
+
+def test_neighbours_end_with_the_document():
+    numbers, first = np.arange(1, 8, dtype=np.int32), np.array([0, 0, 1, 1, 4, 7, 7])
+    spaced, at = lm._spaced(numbers, first, 99)
+    found = lm._around(spaced, at)
+    for i in range(7):
+        row = np.searchsorted(first, i, side="right") - 1
+        assert found[:, i].tolist() == [numbers[i + s] if first[row] <= i + s < first[row + 1] else 99 for s in lm.REACH]
+    assert lm._around(*lm._spaced(numbers[:0], np.array([0]), 99)).shape == (4, 0)
+
+
+def test_weights_are_sent_in_few_bytes():
+    """A shard sends its weights without their number of copies, in half of eight bytes each; they add up as before."""
+    values = np.rint(0.1 * np.random.default_rng(1).standard_normal(lm._BLOCK) * lm._FIXED).astype(np.int64)
+    assert len(lm._packed(values)) < 4 * len(values)
+    rows = lambda *x: lm.pa.RecordBatch.from_arrays([lm.pa.array(c) for c in zip(*x)], names=["block", "n", "weights"])
+    (once,) = lm._added(True)([rows((0, 3, lm._packed(values)), (0, 5, lm._packed(-values)))])
+    (twice,) = lm._added(False)([once, rows((0, 2, lm._packed(values)))])
+    assert twice.column(1).to_pylist() == [10] and (lm._unpacked(twice.column(2)[0].as_py()) == -values).all()

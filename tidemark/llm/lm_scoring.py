@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import isqrt
+from zlib import compress, decompress
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.shared import Rolling, lean, numbers_in, settled, text_slices, words
 
+_SEED = 41
 OWN = 896
 BUCKETS = 128
 CLASSES = 32
@@ -70,10 +72,10 @@ class Vocabulary:
     def own(self) -> int:
         return len(self.counts) - BUCKETS
 
-    def spelled(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The hashes of the words of a slice, and the first word of each row."""
+    def spelled(self, data: np.ndarray, bounds: np.ndarray, rolling: Rolling | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the words of a slice, and the first word of each row; ``rolling`` saves a task its tables."""
         starts, ends, first = words(data, bounds)
-        return Rolling(41).spans(data, starts, ends).view(np.int64), first
+        return (rolling or Rolling(_SEED)).spans(data, starts, ends).view(np.int64), first
 
     def numbered(self, h: np.ndarray) -> np.ndarray:
         out = self.own + np.mod(h, BUCKETS)
@@ -82,14 +84,14 @@ class Vocabulary:
             out = np.where(self.hashes[at] == h, self.numbers[at], out)
         return out.astype(np.int32)
 
-    def read(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def read(self, data: np.ndarray, bounds: np.ndarray, rolling: Rolling | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the words of a slice, and the first word of each row."""
-        h, first = self.spelled(data, bounds)
+        h, first = self.spelled(data, bounds, rolling)
         return self.numbered(h), first
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rolling, held, n = Rolling(41), [], []
+    rolling, held, n = Rolling(_SEED), [], []
 
     def merged() -> tuple[np.ndarray, np.ndarray]:
         values, place = np.unique(np.concatenate(held), return_inverse=True)
@@ -163,10 +165,11 @@ class Network:
         return self
 
     def hide(self, around: np.ndarray) -> np.ndarray:
-        total = self.hidden + self.inputs[0][around[0]]
+        total = np.take(self.inputs[0], around[0], axis=0)
+        total += self.hidden
         for k in range(1, len(REACH)):
-            total += self.inputs[k][around[k]]
-        return np.tanh(total)
+            total += np.take(self.inputs[k], around[k], axis=0)
+        return np.tanh(total, out=total)
 
     def log_share(self, around: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The logarithm of each word's probability between its neighbours (one row of ``around`` for each place).
@@ -174,75 +177,118 @@ class Network:
         Hidden layer and weights are rounded so that their products add up exactly: the same for the same neighbours,
         whatever stands beside them in a batch.
         """
-        h, kind, within = np.rint(self.hide(around) * _STEP) / np.float32(_STEP), word % CLASSES, word // CLASSES
-        out = _log_softmax(h @ _rounded(self.to_class) + self.of_class)[np.arange(len(word)), kind].astype(np.float64)
-        for c, rows in _by(kind):
-            logs = _log_softmax(h[rows] @ _rounded(self.to_word[c]) + self.of_word[c])
-            out[rows] += logs[np.arange(len(rows)), within[rows]]
+        order, ends = _by_class(word)
+        around, within, logs = np.take(around, order, axis=1), (word // CLASSES)[order], np.empty(len(word), dtype=np.float64)
+        to_class = _rounded(self.to_class)
+        for c, (low, high) in enumerate(zip([0, *ends], ends)):
+            to_word = _rounded(self.to_word[c]) if low < high else None
+            # As many rows as a core's cache holds.
+            for at in range(low, high, _BATCH):
+                some = slice(at, min(at + _BATCH, high))
+                h = self.hide(around[:, some])
+                h *= _STEP
+                np.rint(h, out=h)
+                h /= np.float32(_STEP)
+                logs[some] = _log_softmax_at(h @ to_class, self.of_class, c)
+                logs[some] += _log_softmax_at(h @ to_word, self.of_word[c], within[some])
+        out = np.empty_like(logs)
+        out[order] = logs
         return out
 
     def learn(self, around: np.ndarray, word: np.ndarray, rate: float, seen: list[np.ndarray], weight: np.ndarray | None = None) -> None:
-        """One step of AdaGrad on a batch, whose words may have weights."""
-        order = np.argsort((word % CLASSES).astype(np.uint8), kind="stable")
-        around, word, n = around[:, order], word[order], len(word)
+        """One step of AdaGrad on a batch, whose words may have weights.
+
+        Words lie by class, so that each class is a few products of matrices into parts of the whole batch's tables.
+        """
+        order, ends = _by_class(word)
+        around, word, n = np.take(around, order, axis=1), word[order], len(word)
         weight = np.ones((n, 1), dtype=np.float32) if weight is None else (weight[order] * (n / weight.sum())).astype(np.float32)[:, None]
-        h, kind, within = self.hide(around), word % CLASSES, word // CLASSES
-        ends = np.cumsum(np.bincount(kind, minlength=CLASSES)).tolist()
-        miss = np.exp(_log_softmax(h @ self.to_class + self.of_class))
-        miss[np.arange(n), kind] -= 1
+        h, kind, within, places = self.hide(around), word % CLASSES, word // CLASSES, np.arange(n)
+        classes = [(c, low, high) for c, (low, high) in enumerate(zip([0, *ends], ends)) if low < high]
+        miss = _softmax(h @ self.to_class, self.of_class)
+        miss[places, kind] -= 1
         miss *= weight
-        back = miss @ self.to_class.T
+        off = np.empty((n, self.of_word.shape[1]), dtype=np.float32)
+        for c, low, high in classes:
+            np.matmul(h[low:high], self.to_word[c], out=off[low:high])
+        _softmax(off, np.take(self.of_word, kind, axis=0))
+        off[places, within] -= 1
+        off *= weight
+        back, more = miss @ self.to_class.T, np.empty_like(h)
         slopes = [None, None, h.T @ miss / n, miss.sum(axis=0) / n, np.zeros_like(self.to_word), np.zeros_like(self.of_word)]
-        for c, (low, high) in enumerate(zip([0, *ends], ends)):
-            if low == high:
-                continue
-            own = h[low:high]
-            off = np.exp(_log_softmax(own @ self.to_word[c] + self.of_word[c]))
-            off[np.arange(high - low), within[low:high]] -= 1
-            off *= weight[low:high]
-            back[low:high] += off @ self.to_word[c].T
-            slopes[4][c], slopes[5][c] = own.T @ off / n, off.sum(axis=0) / n
-        back *= 1 - h * h
+        for c, low, high in classes:
+            own, part = h[low:high], off[low:high]
+            np.matmul(part, self.to_word[c].T, out=more[low:high])
+            np.matmul(own.T, part, out=slopes[4][c])
+            np.add.reduce(part, axis=0, out=slopes[5][c])
+        slopes[4] /= n
+        slopes[5] /= n
+        back += more
+        h *= h
+        back *= np.subtract(1, h, out=h)
         slopes[1] = back.sum(axis=0) / n
         for p, s, a in list(zip(self.parts(), slopes, seen))[1:]:
-            a += s * s
-            p -= rate * s / np.sqrt(a)
+            step = s * s
+            a += step
+            s *= rate
+            s /= np.sqrt(a, out=step)
+            p -= s
         for k in range(len(REACH)):
             order = np.argsort(around[k].astype(np.min_scalar_type(self.inputs.shape[1])), kind="stable")
             own = around[k][order]
             heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            s, at = np.add.reduceat(back[order], heads, axis=0) / n, own[heads]
-            seen[0][k][at] += s * s
-            self.inputs[k][at] -= rate * s / np.sqrt(seen[0][k][at])
+            s, at = np.add.reduceat(np.take(back, order, axis=0), heads, axis=0), own[heads]
+            s /= n
+            step, a = s * s, np.take(seen[0][k], at, axis=0)
+            a += step
+            seen[0][k][at] = a
+            s *= rate
+            s /= np.sqrt(a, out=a)
+            self.inputs[k][at] = np.subtract(np.take(self.inputs[k], at, axis=0), s, out=s)
 
 
 def _rounded(weights: np.ndarray) -> np.ndarray:
     return np.rint(np.clip(weights, -_MOST, _MOST) * _STEP) / np.float32(_STEP)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _highest(x: np.ndarray) -> np.ndarray:
+    """The maximum of each row; column by column, as numpy is slow on short rows."""
+    return np.ascontiguousarray(x.T).max(axis=0)[:, None]
+
+
+def _softmax(x: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """``x`` plus ``bias``, turned in place into probabilities of each row."""
+    x += bias
+    x -= _highest(x)
+    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    return np.exp(x, out=x)
+
+
+def _log_softmax_at(x: np.ndarray, bias: np.ndarray, at: np.ndarray | int) -> np.ndarray:
+    """The logarithm of one probability of each row of ``x`` plus ``bias``; ``x`` is used up."""
+    x += bias
+    x -= _highest(x)
+    found = x[np.arange(len(x)), at]
+    return found - np.log(np.exp(x, out=x).sum(axis=1))
+
+
+def _by_class(word: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The order of words by class, and where each class ends in it."""
+    kind = (word % CLASSES).astype(np.uint8)
+    return np.argsort(kind, kind="stable"), np.cumsum(np.bincount(kind, minlength=CLASSES)).tolist()
 
 
-def _by(kind: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(kind, kind="stable")
-    ends = np.cumsum(np.bincount(kind, minlength=CLASSES))
-    for c in range(CLASSES):
-        rows = order[ends[c - 1] if c else 0 : ends[c]]
-        if len(rows):
-            yield c, rows
+def _spaced(numbers: np.ndarray, first: np.ndarray, blank: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words with ``blank`` before and after each document, as far as neighbours reach, and where each word is there."""
+    at = np.arange(len(numbers)) + max(REACH) * np.repeat(np.arange(1, len(first)), np.diff(first))
+    spaced = np.full(len(numbers) + max(REACH) * len(first), blank, dtype=np.int32)
+    spaced[at] = numbers
+    return spaced, at
 
 
-def _around(numbers: np.ndarray, first: np.ndarray, at: np.ndarray, blank: int) -> np.ndarray:
-    """The neighbours of the words at some places, one row for each distance; beyond a document's ends ``blank``."""
-    row = np.searchsorted(first, at, side="right") - 1
-    out = np.empty((len(REACH), len(at)), dtype=np.int32)
-    for k, step in enumerate(REACH):
-        there = at + step
-        inside = (there >= first[row]) & (there < first[row + 1])
-        out[k] = np.where(inside, numbers[np.clip(there, 0, len(numbers) - 1)], blank)
-    return out
+def _around(spaced: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The neighbours of the words at some places of ``spaced``, one row for each distance."""
+    return np.stack([np.take(spaced, at + step) for step in REACH])
 
 
 def _numbered(known: Vocabulary):
@@ -250,9 +296,10 @@ def _numbered(known: Vocabulary):
     kind = np.uint16 if len(known.counts) <= 1 << 16 else np.uint32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rolling = Rolling(_SEED)
         for batch in batches:
             for rows, data, bounds in text_slices(batch, "text"):
-                numbers, first = known.read(data, bounds)
+                numbers, first = known.read(data, bounds, rolling)
                 numbers = numbers.astype(kind)
                 _, at, n = np.unique(rows.column(1).to_numpy(), return_index=True, return_counts=True)
                 some = np.diff(first)[at] > 0
@@ -308,30 +355,45 @@ def _trained(known: Vocabulary, weights: np.ndarray, turn: int, stride: int):
             first = np.concatenate([[0], np.cumsum(size)])
             copies = np.repeat(np.array([n for n, _ in held], dtype=np.float64), size)
             places = np.flatnonzero(numbers_in(size) % stride == turn % stride)
+            spaced, there = _spaced(numbers, first, len(known.counts))
             for k in range(0, len(places), _BATCH):
                 at = places[k : k + _BATCH]
-                net.learn(_around(numbers, first, at, len(known.counts)), numbers[at], 0.2 / (1 + turn), seen, copies[at])
+                net.learn(_around(spaced, there[at]), numbers[at], 0.2 / (1 + turn), seen, copies[at])
             done += int(copies[places].sum())
         if done:
             n = -(-done // 1024)
-            values = np.rint(net.flat().astype(np.float64) * _FIXED).astype(np.int64) * n
-            parts = [values[k : k + _BLOCK].tobytes() for k in range(0, len(values), _BLOCK)]
+            values = np.rint(net.flat().astype(np.float64) * _FIXED).astype(np.int64)
+            parts = [_packed(values[k : k + _BLOCK]) for k in range(0, len(values), _BLOCK)]
             columns = [pa.array(np.arange(len(parts), dtype=np.int32)), pa.array(np.full(len(parts), n)), pa.array(parts, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["block", "n", "weights"])
 
     return run
 
 
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of weights added up as they come; a sum is held for each block of the task."""
-    total: dict[int, list] = {}
-    for batch in batches:
-        for block, n, values in zip(*(batch.column(c).to_pylist() for c in range(3))):
-            own = total.setdefault(block, [0, np.zeros(len(values) // 8, dtype=np.int64)])
-            own[0] += n
-            own[1] += np.frombuffer(values, dtype=np.int64)
-    columns = [pa.array(list(total), pa.int32()), pa.array([x[0] for x in total.values()], pa.int64()), pa.array([x[1].tobytes() for x in total.values()], pa.binary())]
-    yield pa.RecordBatch.from_arrays(columns, names=["block", "n", "weights"])
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers as bytes; most are small, so that few of their bytes are left."""
+    return compress(values.astype(np.int64).tobytes(), 1)
+
+
+def _unpacked(held: bytes) -> np.ndarray:
+    return np.frombuffer(decompress(held), dtype=np.int64)
+
+
+def _added(weighted: bool):
+    """Blocks of weights added up as they come, each ``n`` times if ``weighted``; a sum is held for each block of the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, list] = {}
+        for batch in batches:
+            for block, n, held in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                values = _unpacked(held)
+                own = total.setdefault(block, [0, np.zeros(len(values), dtype=np.int64)])
+                own[0] += n
+                own[1] += values * n if weighted else values
+        columns = [pa.array(list(total), pa.int32()), pa.array([x[0] for x in total.values()], pa.int64()), pa.array([_packed(x[1]) for x in total.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["block", "n", "weights"])
+
+    return run
 
 
 def train(docs: DataFrame, known: Vocabulary, text_col: str = "text", stride: int = STRIDE, turns: int = TURNS) -> np.ndarray:
@@ -346,10 +408,10 @@ def train(docs: DataFrame, known: Vocabulary, text_col: str = "text", stride: in
     for turn in range(turns):
         sums = dealt.mapInArrow(lean(_trained(known, weights, turn, stride)), schema).withColumn("salt", F.spark_partition_id() % 16)
         for by in (["block", "salt"], ["block"]):
-            sums = sums.repartition(*by).select("block", "n", "weights").mapInArrow(_added, schema).withColumn("salt", F.lit(0))
+            sums = sums.repartition(*by).select("block", "n", "weights").mapInArrow(_added("salt" in by), schema).withColumn("salt", F.lit(0))
         found = sums.select("block", "n", "weights").collect()
         if found:
-            parts = {r.block: np.frombuffer(r.weights, dtype=np.int64) / r.n / _FIXED for r in found}
+            parts = {r.block: _unpacked(r.weights) / r.n / _FIXED for r in found}
             weights = np.concatenate([parts[k] for k in sorted(parts)])
     return weights
 
@@ -359,16 +421,16 @@ def _scored(known: Vocabulary, weights: np.ndarray):
     each document are in buckets, which (numbers into the slice's list of such words), and that list by ranges of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network(known.counts).load(weights)
+        net, rolling = Network(known.counts).load(weights), Rolling(_SEED)
         spread = np.concatenate([np.zeros(known.own), np.log(np.maximum(known.counts[known.own :], 1))])
         for batch in batches:
             for rows, data, bounds in text_slices(batch, "text"):
-                h, first = known.spelled(data, bounds)
+                h, first = known.spelled(data, bounds, rolling)
                 numbers = known.numbered(h)
-                logs = np.zeros(len(numbers), dtype=np.int64)
+                logs, (spaced, there) = np.zeros(len(numbers), dtype=np.int64), _spaced(numbers, first, len(known.counts))
                 for k in range(0, len(numbers), 1 << 15):
-                    at = np.arange(k, min(k + (1 << 15), len(numbers)))
-                    share = net.log_share(_around(numbers, first, at, len(known.counts)), numbers[at]) - spread[numbers[at]]
+                    at = slice(k, k + (1 << 15))
+                    share = net.log_share(_around(spaced, there[at]), numbers[at]) - spread[numbers[at]]
                     logs[at] = np.rint(share * _LOG_STEP)
                 n = np.diff(first)
                 total = np.diff(np.concatenate([[0], np.cumsum(logs)])[first]) / _LOG_STEP
