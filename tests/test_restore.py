@@ -1,13 +1,16 @@
 """State of stopped streams, dealt to another number of shares."""
 
+import datetime
+import decimal
 import os
 
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from tests.conftest import rows
 from tidemark.operators.scan import running_count, running_max, running_sum
-from tidemark.streaming import folds, keyed, restore, runs
+from tidemark.streaming import folds, keyed, processors, restore, runs
 
 SCHEMA = "share bigint, at bigint, vc int"
 
@@ -128,3 +131,61 @@ def test_keys_without_rows_keep_what_they_begin_with(spark, stream_of, tmp_path)
     runs.drain(folds.fold_stream(stream, ["share"], ["at"], wanted, out, checkpoint, initial=initial))
     assert rows(spark.read.parquet(f"{out}/rows"), "share", "total") == [(0, 52), (1, 3), (9, 5)]
     assert rows(folds.stored_folds(stream, ["share"], ["at"], wanted, out, checkpoint)) == [(0, 52), (1, 3), (9, 5)]
+
+
+@pytest.mark.parametrize("n", [1, 7, 8, 50])
+def test_rows_of_a_key_wait_as_bytes(monkeypatch, n):
+    """Rows of more than a run are merged in order, ties as they came; few of them are rows at a time."""
+    monkeypatch.setattr(processors, "RUN_ROWS", 8)
+    monkeypatch.setattr(processors, "PIECE_ROWS", 2)
+    made = Row("at", "i", "inner")
+    data = [made((k * 7) % 13, k, Row(a=None, b=[k])) for k in range(n)]
+    ordered = processors.ValueCountProcessor(["at"], ["at", "i"], "i", "int")
+    found = list(ordered.in_order(iter(data)))
+    assert found == sorted(data, key=lambda r: r.at) and all(r.inner.b == [r.i] for r in found)
+    live, most = [0], 0
+
+    class Held(Row):
+        def __del__(self):
+            live[0] -= 1
+
+    def come():
+        nonlocal most
+        for k in range(400):
+            live[0] += 1
+            most = max(most, live[0])
+            yield Held(at=k * 7 % 400, i=k)
+
+    for _ in ordered.in_order(come()):
+        most = max(most, live[0])
+    assert live[0] <= 1 and most <= 2 * processors.RUN_ROWS + 2
+
+
+def test_output_of_a_key_comes_in_blocks(monkeypatch):
+    """What a key gives is made into Arrow block by block, not held as rows until the key ends."""
+    monkeypatch.setattr(processors, "BLOCK_ROWS", 4)
+    kind = pa.list_(pa.field("element", pa.struct([pa.field("at", pa.int64()), pa.field("s", pa.string())]), nullable=False))
+    data = [Row(at=k, s=None if k % 3 else str(k)) for k in range(10)]
+    blocks = [r.rows for r in processors.in_blocks(iter(data), kind)]
+    assert [len(b) for b in blocks] == [4, 4, 2] and all(isinstance(b, pa.Scalar) and b.type == kind for b in blocks)
+    assert [x for b in blocks for x in b.as_py()] == [r.asDict() for r in data]
+    assert not list(processors.in_blocks(iter([]), kind))
+
+
+def test_steps_of_a_large_key(spark, stream_of):
+    """A key of many runs and blocks, with values of several types, some null."""
+    schema = "k string, at bigint, d decimal(12,2), ts timestamp, tags array<string>, s struct<a:int,b:string>"
+    when = datetime.datetime(2024, 1, 2, 3, 4, 5, 678)
+    data = [
+        ("a", k * 7919 % 20011, None if k % 5 == 0 else decimal.Decimal(k) / 4, when if k % 3 else None, [str(k), None] if k % 2 else None, (k, None))
+        for k in range(20011)
+    ]
+    data += [("b", 1, None, None, [], None)]
+    got = runs.drain_to_table(keyed.running_sum(stream_of(schema, data), ["k"], "d", ["at"]), "large").collect()
+    total, want = None, []
+    for row in sorted(data[:-1], key=lambda r: r[1]):
+        total = row[2] if total is None else total if row[2] is None else total + row[2]
+        want.append((*row, total))
+    have = sorted((tuple(r) for r in got if r.k == "a"), key=lambda r: r[1])
+    assert have == [(*r[:5], Row(a=r[5][0], b=None), r[6]) for r in want]
+    assert [tuple(r) for r in got if r.k == "b"] == [("b", 1, None, None, [], None, None)]

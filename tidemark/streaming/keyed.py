@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.operators.scan import check_order
 from tidemark.streaming import processors as P
@@ -42,11 +43,13 @@ def keyed_step(df: DataFrame, keys, order, state_schema: str, output: str, step,
     order = check_order(df, order)
     names = T._parse_datatype_string(output).fieldNames()
     held = T._parse_datatype_string(state_schema)
-    processor = P.StepProcessor(order, df.columns, state_schema, names, step, held.fieldNames())
+    blocks = T.StructType([T.StructField("rows", T.ArrayType(_plus(df, output), False))])
+    kind = to_arrow_type(blocks).field("rows").type
+    processor = P.StepProcessor(order, df.columns, state_schema, names, step, kind, held.fieldNames())
     if initial is not None:
         kinds = [*(df.schema[k] for k in keys), *held.fields]
         initial = initial.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds))
-    return _apply(df, keys, processor, _plus(df, output), initial=initial)
+    return _apply(df, keys, processor, blocks, initial=initial).select(F.inline("rows"))
 
 
 def process(

@@ -9,9 +9,12 @@ where one key is very frequent.
 from __future__ import annotations
 
 import heapq
+import pickle
 import sys
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import islice
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -19,6 +22,22 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 # Python workers get these classes by value and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Rows of a key that are sorted together, rows of such a run that are pickled together, and rows of a block.
+RUN_ROWS = 1 << 14
+PIECE_ROWS = 1 << 8
+BLOCK_ROWS = 1 << 10
+
+
+def in_blocks(rows: Iterable[Row], kind: pa.ListType) -> Iterator[Row]:
+    """Rows as blocks: each a row whose ``rows`` is a list of them, an Arrow scalar of the type ``kind``.
+
+    Spark's worker holds all that comes out for a key as Python objects until the key ends; blocks are Arrow's by then.
+    """
+    rows, block = iter(rows), Row("rows")
+    while held := [row.asDict(True) for row in islice(rows, BLOCK_ROWS)]:
+        ends = pa.array([0, len(held)], pa.int32())
+        yield block(pa.ListArray.from_arrays(ends, pa.array(held, kind.value_type), type=kind)[0])
+
 
 class Ordered(StatefulProcessor):
     """Feeds rows to ``on_row`` in arrival order."""
@@ -27,8 +46,25 @@ class Ordered(StatefulProcessor):
         self.order = list(order)
         self.columns = list(columns)
 
-    def in_order(self, rows: Iterator[Row]) -> list[Row]:
-        return sorted(rows, key=lambda r: tuple(r[c] for c in self.order))
+    def in_order(self, rows: Iterable[Row]) -> Iterable[Row]:
+        """The rows of a key, sorted. Of more than a run of them, sorted runs wait as bytes, and are merged piece by piece."""
+
+        def place(row):
+            return tuple(row[c] for c in self.order)
+
+        def unpacked(pieces):
+            for piece in pieces:
+                yield from (out(*values) for values in pickle.loads(piece))
+
+        rows = iter(rows)
+        run, packed = sorted(islice(rows, RUN_ROWS), key=place), []
+        if len(run) < RUN_ROWS:
+            return run
+        out = Row(*run[0].__fields__)
+        while run:
+            packed.append([pickle.dumps([tuple(r) for r in run[k : k + PIECE_ROWS]]) for k in range(0, len(run), PIECE_ROWS)])
+            run = sorted(islice(rows, RUN_ROWS), key=place)
+        return heapq.merge(*map(unpacked, packed), key=place)
 
     def keep(self, row: Row) -> tuple:
         return tuple(row[c] for c in self.columns)
@@ -40,12 +76,13 @@ class Ordered(StatefulProcessor):
 class StepProcessor(Ordered):
     """One state tuple per key; ``step(state, row) -> (state, extra columns or None)``.
 
-    The output is the row's own columns plus the extra ones; None emits nothing. A key's row of an initial state holds the
-    state tuple in the columns ``held``.
+    The output is the row's own columns plus the extra ones, in blocks of the Arrow type ``kind``; None emits nothing. A
+    key's row of an initial state holds the state tuple in the columns ``held``.
     """
 
-    def __init__(self, order, columns, state_schema: str, names: Sequence[str], step: Callable, held: Sequence[str] = ()):
+    def __init__(self, order, columns, state_schema: str, names: Sequence[str], step: Callable, kind: pa.ListType, held: Sequence[str] = ()):
         super().__init__(order, columns)
+        self.kind = kind
         self.state_schema = state_schema
         self.fields = list(columns) + list(names)
         self.step = step
@@ -58,6 +95,9 @@ class StepProcessor(Ordered):
         self.state.update(tuple(initialState[c] for c in self.held))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        return in_blocks(self._steps(rows), self.kind)
+
+    def _steps(self, rows) -> Iterator[Row]:
         # None without a state: to ask for it first would be another call.
         state, out = self.state.get(), Row(*self.fields)
         for row in self.in_order(rows):
