@@ -45,7 +45,7 @@ def keyed_step(df: DataFrame, keys, order, state_schema: str, output: str, step,
     held = T._parse_datatype_string(state_schema)
     blocks = T.StructType([T.StructField("rows", T.ArrayType(_plus(df, output), False))])
     kind = to_arrow_type(blocks).field("rows").type
-    processor = P.StepProcessor(order, df.columns, state_schema, names, step, kind, held.fieldNames())
+    processor = P.StepProcessor(order, df.columns, state_schema, names, step, held.fieldNames(), kind)
     if initial is not None:
         kinds = [*(df.schema[k] for k in keys), *held.fields]
         initial = initial.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds))

@@ -76,11 +76,11 @@ class Ordered(StatefulProcessor):
 class StepProcessor(Ordered):
     """One state tuple per key; ``step(state, row) -> (state, extra columns or None)``.
 
-    The output is the row's own columns plus the extra ones, in blocks of the Arrow type ``kind``; None emits nothing. A
-    key's row of an initial state holds the state tuple in the columns ``held``.
+    The output is the row's own columns plus the extra ones, in blocks of the Arrow type ``kind`` if there is one; None emits
+    nothing. A key's row of an initial state holds the state tuple in the columns ``held``.
     """
 
-    def __init__(self, order, columns, state_schema: str, names: Sequence[str], step: Callable, kind: pa.ListType, held: Sequence[str] = ()):
+    def __init__(self, order, columns, state_schema: str, names: Sequence[str], step: Callable, held: Sequence[str] = (), kind: pa.ListType | None = None):
         super().__init__(order, columns)
         self.kind = kind
         self.state_schema = state_schema
@@ -95,7 +95,7 @@ class StepProcessor(Ordered):
         self.state.update(tuple(initialState[c] for c in self.held))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        return in_blocks(self._steps(rows), self.kind)
+        return self._steps(rows) if self.kind is None else in_blocks(self._steps(rows), self.kind)
 
     def _steps(self, rows) -> Iterator[Row]:
         # None without a state: to ask for it first would be another call.
