@@ -227,3 +227,55 @@ def test_weights_are_sent_in_few_bytes():
     (once,) = lm._added(True)([rows((0, 3, lm._packed(values)), (0, 5, lm._packed(-values)))])
     (twice,) = lm._added(False)([once, rows((0, 2, lm._packed(values)))])
     assert twice.column(1).to_pylist() == [10] and (lm._unpacked(twice.column(2)[0].as_py()) == -values).all()
+
+
+@pytest.mark.parametrize("words, n", [(3, 200), (40, 200), (5000, 200), (60, 1024), (70_000, 30), (9, 1)])
+def test_slopes_of_a_neighbour_add_up(words, n):
+    """Neighbours that come once, a few times and often, at each place: one row each, with the sum of their slopes."""
+    r = np.random.default_rng(words)
+    around = np.minimum(r.geometric(min(1, 3 / words), (4, n)) - 1, words).astype(np.int32)
+    slopes, want = r.standard_normal((n, lm.HIDDEN)).astype(np.float32), np.zeros((4 * (words + 1), lm.HIDDEN))
+    sums, at = lm._sums_by_row(slopes, around, words + 1)
+    for k in range(4):
+        np.add.at(want, around[k] + k * (words + 1), slopes)
+    assert sorted(at) == np.unique(around + (words + 1) * np.arange(4)[:, None]).tolist()
+    assert np.allclose(sums, want[at], atol=1e-4)
+
+
+def test_own_words_are_found_where_hashes_end_alike():
+    r = np.random.default_rng(2)
+    hashes = np.unique(np.concatenate([r.integers(-(1 << 62), 1 << 62, 900), np.arange(-300, 300) << 20, np.arange(200)]))
+    numbers = r.permutation(len(hashes))
+    known = lm.Vocabulary(hashes, numbers, np.ones(len(hashes) + lm.BUCKETS, dtype=np.int64), np.zeros(lm.BUCKETS, dtype=np.int64))
+    own = dict(zip(hashes.tolist(), numbers.tolist()))
+    asked = np.concatenate([hashes, hashes + 1, hashes ^ (1 << 40), -hashes])
+    assert known.numbered(asked).tolist() == [own.get(h, len(own) + h % lm.BUCKETS) for h in asked.tolist()]
+    assert known.numbered(asked[:0]).dtype == np.int32 and len(known.numbered(asked[:0])) == 0
+
+
+@pytest.mark.parametrize("size", [lm._SIZE, 68 * lm.CLASSES, 35 * lm.CLASSES])
+def test_a_share_alone_and_among_others_is_the_same(size):
+    r = np.random.default_rng(size)
+    net = lm.Network(r.integers(0, 50, size))
+    for p in net.parts():
+        p += (0.5 * r.standard_normal(p.shape)).astype(np.float32)
+    around, word = r.integers(0, size + 1, (4, 3000)).astype(np.int32), r.integers(0, size, 3000)
+    word[:1500] = 5
+    logs = net.log_share(around, word)
+    assert all(net.log_share(around[:, k : k + 1], word[k : k + 1])[0] == logs[k] for k in range(0, 3000, 50))
+    h = np.rint(net.hide(around).astype(np.float64) * 256) / 256
+    kind, share = word % lm.CLASSES, lambda x: x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    of_class = share(h @ lm._rounded(net.to_class) + net.of_class)[np.arange(3000), kind]
+    of_word = share(np.einsum("nh,nhp->np", h, lm._rounded(net.to_word)[kind]) + net.of_word[kind])[np.arange(3000), word // lm.CLASSES]
+    assert np.allclose(logs, of_class + of_word, atol=1e-4)
+
+
+def test_equal_weights_are_no_weights():
+    r = np.random.default_rng(4)
+    around, word = r.integers(0, lm._SIZE + 1, (4, 100)).astype(np.int32), r.integers(0, lm._SIZE, 100)
+    found = []
+    for weight in (None, np.full(100, 3.0)):
+        net = lm.Network(np.arange(lm._SIZE))
+        net.learn(around, word, 0.2, [np.full(p.shape, 1e-4, dtype=np.float32) for p in net.parts()], weight)
+        found.append(net.flat().tobytes())
+    assert found[0] == found[1]

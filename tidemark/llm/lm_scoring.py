@@ -43,7 +43,11 @@ LEAST_SHARD = 1 << 20
 # Words that are cut into batches together, and weights that are added up together.
 _TOGETHER = 1 << 16
 _BLOCK = 1 << 13
+# Words that are scored together: more than most slices have, so that a class has many of them.
+_SCORED = 1 << 17
 _FIXED = 1 << 16
+# How often a neighbour comes in a batch at most, to be added up beside others.
+_FEW = 8
 # Steps of the hidden layer and the weights that documents are scored with, and the largest such weight: products are
 # multiples of 2^-16 and sums of 32 of them stay below 2^8, so that 24 bits hold them whatever the order of adding.
 _STEP = 1 << 8
@@ -78,11 +82,21 @@ class Vocabulary:
         return (rolling or Rolling(_SEED)).spans(data, starts, ends).view(np.int64), first
 
     def numbered(self, h: np.ndarray) -> np.ndarray:
-        out = self.own + np.mod(h, BUCKETS)
+        """A word is looked up by the lowest bits of its hash; a search finds those own words that share them with another."""
+        out = (self.own + np.mod(h, BUCKETS)).astype(np.int32)
         if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            out = np.where(self.hashes[at] == h, self.numbers[at], out)
-        return out.astype(np.int32)
+            mask = (1 << len(self.hashes).bit_length() + 4) - 1
+            table, crowded, slots = np.zeros(mask + 1, dtype=np.int32), np.zeros(mask + 1, dtype=bool), self.hashes & mask
+            table[slots] = np.arange(len(slots))
+            crowded[slots[table[slots] != np.arange(len(slots))]] = True
+            slot = h & mask
+            at = np.take(table, slot)
+            found = np.take(self.hashes, at) == h
+            more = np.flatnonzero(np.take(crowded, slot) & ~found)
+            at[more] = np.minimum(np.searchsorted(self.hashes, h[more]), len(slots) - 1)
+            found[more] = self.hashes[at[more]] == h[more]
+            np.copyto(out, np.take(self.numbers, at), where=found, casting="same_kind")
+        return out
 
     def read(self, data: np.ndarray, bounds: np.ndarray, rolling: Rolling | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the words of a slice, and the first word of each row."""
@@ -179,18 +193,18 @@ class Network:
         """
         order, ends = _by_class(word)
         around, within, logs = np.take(around, order, axis=1), (word // CLASSES)[order], np.empty(len(word), dtype=np.float64)
-        to_class = _rounded(self.to_class)
+        # The hidden layer stays in whole steps, the weights are divided by them.
+        to_class = _rounded(self.to_class).T / np.float32(_STEP)
         for c, (low, high) in enumerate(zip([0, *ends], ends)):
-            to_word = _rounded(self.to_word[c]) if low < high else None
+            to_word = _rounded(self.to_word[c]).T / np.float32(_STEP) if low < high else None
             # As many rows as a core's cache holds.
             for at in range(low, high, _BATCH):
                 some = slice(at, min(at + _BATCH, high))
                 h = self.hide(around[:, some])
                 h *= _STEP
-                np.rint(h, out=h)
-                h /= np.float32(_STEP)
-                logs[some] = _log_softmax_at(h @ to_class, self.of_class, c)
-                logs[some] += _log_softmax_at(h @ to_word, self.of_word[c], within[some])
+                h = np.rint(h, out=h).T
+                logs[some] = _log_softmax_at(to_class @ h, self.of_class, c)
+                logs[some] += _log_softmax_at(to_word @ h, self.of_word[c], within[some])
         out = np.empty_like(logs)
         out[order] = logs
         return out
@@ -202,27 +216,31 @@ class Network:
         """
         order, ends = _by_class(word)
         around, word, n = np.take(around, order, axis=1), word[order], len(word)
-        weight = np.ones((n, 1), dtype=np.float32) if weight is None else (weight[order] * (n / weight.sum())).astype(np.float32)[:, None]
+        # Equal weights come to ones.
+        even = weight is None or not np.ptp(weight)
+        weight = None if even else (weight[order] * (n / weight.sum())).astype(np.float32)[:, None]
         h, kind, within, places = self.hide(around), word % CLASSES, word // CLASSES, np.arange(n)
-        classes = [(c, low, high) for c, (low, high) in enumerate(zip([0, *ends], ends)) if low < high]
+        classes = list(zip(range(CLASSES), [0, *ends], ends))
         miss = _softmax(h @ self.to_class, self.of_class)
         miss[places, kind] -= 1
-        miss *= weight
         off = np.empty((n, self.of_word.shape[1]), dtype=np.float32)
         for c, low, high in classes:
-            np.matmul(h[low:high], self.to_word[c], out=off[low:high])
+            h[low:high].dot(self.to_word[c], off[low:high])
         _softmax(off, np.take(self.of_word, kind, axis=0))
         off[places, within] -= 1
-        off *= weight
+        if not even:
+            miss *= weight
+            off *= weight
         back, more = miss @ self.to_class.T, np.empty_like(h)
-        slopes = [None, None, h.T @ miss / n, miss.sum(axis=0) / n, np.zeros_like(self.to_word), np.zeros_like(self.of_word)]
+        slopes = [None, None, h.T @ miss / n, miss.sum(axis=0) / n]
+        # A column of ones beside the hidden layer: one product gives a class's slopes of weights and of biases.
+        ones, both = np.ones((n, HIDDEN + 1), dtype=np.float32), np.empty((CLASSES, HIDDEN + 1, off.shape[1]), dtype=np.float32)
+        ones[:, :HIDDEN] = h
         for c, low, high in classes:
-            own, part = h[low:high], off[low:high]
-            np.matmul(part, self.to_word[c].T, out=more[low:high])
-            np.matmul(own.T, part, out=slopes[4][c])
-            np.add.reduce(part, axis=0, out=slopes[5][c])
-        slopes[4] /= n
-        slopes[5] /= n
+            part = off[low:high]
+            part.dot(self.to_word[c].T, more[low:high])
+            ones[low:high].T.dot(part, both[c])
+        slopes += [both[:, :HIDDEN] / n, both[:, HIDDEN] / n]
         back += more
         h *= h
         back *= np.subtract(1, h, out=h)
@@ -233,18 +251,16 @@ class Network:
             s *= rate
             s /= np.sqrt(a, out=step)
             p -= s
-        for k in range(len(REACH)):
-            order = np.argsort(around[k].astype(np.min_scalar_type(self.inputs.shape[1])), kind="stable")
-            own = around[k][order]
-            heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            s, at = np.add.reduceat(np.take(back, order, axis=0), heads, axis=0), own[heads]
-            s /= n
-            step, a = s * s, np.take(seen[0][k], at, axis=0)
-            a += step
-            seen[0][k][at] = a
-            s *= rate
-            s /= np.sqrt(a, out=a)
-            self.inputs[k][at] = np.subtract(np.take(self.inputs[k], at, axis=0), s, out=s)
+        # The places' tables as one: a word has a row in each.
+        inputs, been = self.inputs.reshape(-1, HIDDEN), seen[0].reshape(-1, HIDDEN)
+        s, at = _sums_by_row(back, around, self.inputs.shape[1])
+        s /= n
+        step, a = s * s, np.take(been, at, axis=0)
+        a += step
+        been[at] = a
+        s *= rate
+        s /= np.sqrt(a, out=a)
+        inputs[at] = np.subtract(np.take(inputs, at, axis=0), s, out=s)
 
 
 def _rounded(weights: np.ndarray) -> np.ndarray:
@@ -265,11 +281,52 @@ def _softmax(x: np.ndarray, bias: np.ndarray) -> np.ndarray:
 
 
 def _log_softmax_at(x: np.ndarray, bias: np.ndarray, at: np.ndarray | int) -> np.ndarray:
-    """The logarithm of one probability of each row of ``x`` plus ``bias``; ``x`` is used up."""
-    x += bias
-    x -= _highest(x)
-    found = x[np.arange(len(x)), at]
-    return found - np.log(np.exp(x, out=x).sum(axis=1))
+    """The logarithm of one probability of each column of ``x`` plus ``bias``; ``x`` is used up.
+
+    Numpy is quick on few long rows, slow on many short ones.
+    """
+    x += bias[:, None]
+    x -= x.max(axis=0)
+    found = x[at, np.arange(x.shape[1])]
+    return found - np.log(_column_sums(np.exp(x, out=x)))
+
+
+def _column_sums(x: np.ndarray) -> np.ndarray:
+    """Sums over the rows, in eight sums at first, which loses less than one would."""
+    whole = len(x) // 8 * 8
+    if not whole:
+        return x.sum(axis=0)
+    part = x[:whole].reshape(-1, 8, x.shape[1]).sum(axis=0)
+    total = ((part[0] + part[1]) + (part[2] + part[3])) + ((part[4] + part[5]) + (part[6] + part[7]))
+    for row in x[whole:]:
+        total += row
+    return total
+
+
+def _sums_by_row(slopes: np.ndarray, around: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of a batch's slopes for each neighbour at each place, and its row in the places' tables of ``size`` rows each.
+
+    Most neighbours come a few times in a batch: the first of each are taken together, then the second ones, and so on.
+    Only those that come more often than ``_FEW`` are added up one by one.
+    """
+    order = np.argsort(around.astype(np.min_scalar_type(size)), axis=1, kind="stable")
+    place = np.arange(len(around))[:, None]
+    own = np.take(around + size * place, order + around.shape[1] * place).ravel()
+    order, edges = order.ravel(), np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]]))
+    heads, often = edges[:-1], edges[1:] - edges[:-1]
+    # The most frequent come first; ``more[k]`` of them come more than k times.
+    heads = heads[np.argsort((len(order) - often).astype(np.min_scalar_type(len(order))), kind="stable")]
+    more = len(heads) - np.cumsum(np.bincount(often, minlength=_FEW + 1))
+    many, sums = more[_FEW], np.take(slopes, order[heads], axis=0)
+    rest = np.take(slopes, order[heads[many : more[1]] + 1], axis=0)
+    for k in range(2, _FEW):
+        rest[: more[k] - many] += np.take(slopes, order[heads[many : more[k]] + k], axis=0)
+    sums[many : more[1]] += rest
+    if many:
+        n = np.sort(often)[: -many - 1 : -1]
+        starts = np.cumsum(n) - n
+        sums[:many] = np.add.reduceat(np.take(slopes, order[np.repeat(heads[:many], n) + numbers_in(n)], axis=0), starts, axis=0)
+    return sums, own[heads]
 
 
 def _by_class(word: np.ndarray) -> tuple[np.ndarray, list[int]]:
@@ -288,7 +345,7 @@ def _spaced(numbers: np.ndarray, first: np.ndarray, blank: int) -> tuple[np.ndar
 
 def _around(spaced: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The neighbours of the words at some places of ``spaced``, one row for each distance."""
-    return np.stack([np.take(spaced, at + step) for step in REACH])
+    return np.take(spaced, at + np.array(REACH)[:, None])
 
 
 def _numbered(known: Vocabulary):
@@ -428,8 +485,8 @@ def _scored(known: Vocabulary, weights: np.ndarray):
                 h, first = known.spelled(data, bounds, rolling)
                 numbers = known.numbered(h)
                 logs, (spaced, there) = np.zeros(len(numbers), dtype=np.int64), _spaced(numbers, first, len(known.counts))
-                for k in range(0, len(numbers), 1 << 15):
-                    at = slice(k, k + (1 << 15))
+                for k in range(0, len(numbers), _SCORED):
+                    at = slice(k, k + _SCORED)
                     share = net.log_share(_around(spaced, there[at]), numbers[at]) - spread[numbers[at]]
                     logs[at] = np.rint(share * _LOG_STEP)
                 n = np.diff(first)
