@@ -279,3 +279,18 @@ def test_equal_weights_are_no_weights():
         net.learn(around, word, 0.2, [np.full(p.shape, 1e-4, dtype=np.float32) for p in net.parts()], weight)
         found.append(net.flat().tobytes())
     assert found[0] == found[1]
+
+
+def test_ranges_of_words_grow_with_the_vocabulary(spark, model, monkeypatch):
+    """Few ranges, so that a slice has few lists; more only where a range would hold too many words. Scores stay."""
+    known, weights = model
+    of = lambda n: lm.Vocabulary(known.hashes[:0], known.numbers[:0], known.counts, np.array([n])).part_bits
+    most = lm._PARTS * lm._PART_WORDS
+    assert [of(n) for n in (0, 10**7, most, most + 1, 2 * most, 2 * most + 1)] == [8, 8, 8, 9, 9, 10]
+    r, found = random.Random(8), []
+    docs = spark.createDataFrame([(i, " ".join(f"n{r.randrange(999)}" for _ in range(200))) for i in range(40)], SCHEMA)
+    own = lm.vocabulary(docs)
+    for parts, words in ((1 << 8, 1 << 19), (2, 100), (2, 1 << 19)):
+        monkeypatch.setattr(lm, "_PARTS", parts), monkeypatch.setattr(lm, "_PART_WORDS", words)
+        found.append(sorted(tuple(x) for x in lm.score(docs, own, lm.Network(own.counts).flat()).collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 40

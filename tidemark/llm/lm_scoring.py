@@ -31,8 +31,9 @@ HIDDEN = 32
 REACH = (-2, -1, 1, 2)
 STRIDE = 2
 TURNS = 2
-# Ranges of hashes in which Spark joins words with their counts.
-_PARTS = 1 << 10
+# Spark joins words with their counts in ranges of hashes: so many at least, and more where one would hold more words than this.
+_PARTS = 1 << 8
+_PART_WORDS = 1 << 19
 _SIZE = OWN + BUCKETS
 _PAD = _SIZE
 _BATCH = 1024
@@ -76,6 +77,12 @@ class Vocabulary:
     def own(self) -> int:
         return len(self.counts) - BUCKETS
 
+    @property
+    def part_bits(self) -> int:
+        """The bits of a hash that name the range in which it is joined with its count."""
+        words = len(self.hashes) + int(self.distinct.sum())
+        return (max(_PARTS, -(-words // _PART_WORDS)) - 1).bit_length()
+
     def spelled(self, data: np.ndarray, bounds: np.ndarray, rolling: Rolling | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The hashes of the words of a slice, and the first word of each row; ``rolling`` saves a task its tables."""
         starts, ends, first = words(data, bounds)
@@ -477,6 +484,9 @@ def _scored(known: Vocabulary, weights: np.ndarray):
     """A row per slice: ids, words and sums of its documents, as if all words of a bucket had a count of 1; how many words of
     each document are in buckets, which (numbers into the slice's list of such words), and that list by ranges of hashes."""
 
+    bits = known.part_bits
+    low, high = np.uint64(bits), np.uint64(64 - bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, rolling = Network(known.counts).load(weights), Rolling(_SEED)
         spread = np.concatenate([np.zeros(known.own), np.log(np.maximum(known.counts[known.own :], 1))])
@@ -495,10 +505,10 @@ def _scored(known: Vocabulary, weights: np.ndarray):
                 per = np.diff(np.concatenate([[0], np.cumsum(away)])[first])
                 # The range of a hash, its lowest bits, comes first in this order.
                 turned = h[away].view(np.uint64)
-                turned = (turned << np.uint64(54)) | (turned >> np.uint64(10))
+                turned = (turned << high) | (turned >> low)
                 turned, which = np.unique(turned, return_inverse=True)
-                listed = ((turned << np.uint64(10)) | (turned >> np.uint64(54))).view(np.int64)
-                ends = np.searchsorted(turned >> np.uint64(54), np.arange(_PARTS + 1, dtype=np.uint64))
+                listed = ((turned << low) | (turned >> high)).view(np.int64)
+                ends = np.searchsorted(turned >> high, np.arange((1 << bits) + 1, dtype=np.uint64))
                 parts = [{"part": int(p), "words": listed[ends[p] : ends[p + 1]].tobytes()} for p in np.flatnonzero(np.diff(ends))]
                 which = which.astype(np.uint16 if len(listed) <= 1 << 16 else np.uint32)
                 columns = [pa.array([x.tobytes()], pa.binary()) for x in (n.astype(np.int64), total, per.astype(np.int64), which)]
@@ -574,7 +584,7 @@ def score(docs: DataFrame, known: Vocabulary, weights: np.ndarray, id_col: str =
     schema = f"ids array<{kind}>, n binary, total binary, per binary, which binary, parts array<struct<part:int,words:binary>>"
     slices = settled(texts.mapInArrow(lean(_scored(known, weights)), schema).withColumn("unit", F.monotonically_increasing_id()))
     asked = slices.select("unit", F.inline("parts")).selectExpr("part", "true AS asks", "0L AS word", "0L AS n", "unit", "words")
-    counted = known.counted.selectExpr(f"CAST(word & {_PARTS - 1} AS int) AS part", "false AS asks", "word", "n", "0L AS unit", "CAST(null AS binary) AS words")
+    counted = known.counted.selectExpr(f"CAST(word & {(1 << known.part_bits) - 1} AS int) AS part", "false AS asks", "word", "n", "0L AS unit", "CAST(null AS binary) AS words")
     both = counted.unionAll(asked).repartition("part").sortWithinPartitions("part", "asks")
     found = both.mapInArrow(lean(_looked_up), "unit bigint, part int, counts binary")
     none = [F.lit(None).cast(t).alias(c) for c, t in (("ids", f"array<{kind}>"), ("n", "binary"), ("total", "binary"), ("per", "binary"), ("which", "binary"))]
