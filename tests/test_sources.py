@@ -189,6 +189,25 @@ def test_small_files_are_written_by_many_tasks(spark, tmp_path):
     assert spark.read.text(out).count() == 400
 
 
+def test_rolled_files_of_a_local_folder_come_without_others_and_are_read_by_their_names(spark, tmp_path):
+    """Spark's own writer would leave a checksum file beside each, and start a process for every file and folder."""
+    lines = [(i, None if i % 5 == 4 else 3600 * (i % 3), None if i == 7 else f"Zeile {i} ü") for i in range(40)]
+    df = spark.createDataFrame(lines, "n int, s bigint, value string").select("n", F.timestamp_seconds("s").alias("at"), "value").repartition(3)
+    out = str(tmp_path / "a b" / "out")
+    files.write_rolled(df.where("n < 30"), f"{out}/batch=0", "at", "n", size=30)
+    files.write_rolled(df.where("n >= 30"), f"{out}/batch=1", "at", "n", size=30)
+    assert {p.name for p in (tmp_path / "a b").rglob("*") if p.is_file() and not p.name.startswith("part-")} <= {"_SUCCESS", "._SUCCESS.crc"}
+    found = files.read_rolled(spark, out).collect()
+    hour = lambda s: None if s is None else f"1970-01-01--{s // 3600:02}"
+    want = [(v or "", int(n >= 30), hour(s)) for n, s, v in lines]
+    assert sorted(((r.value, r.batch, r.bucket) for r in found), key=repr) == sorted(want, key=repr)
+    per_file = {}
+    for r in found:
+        per_file.setdefault((r.file, r.batch, r.bucket, r.roll, r.size), []).append(r.value)
+    assert len(per_file) == len({k[0] for k in per_file}) == len({k[1:4] for k in per_file}) > 8
+    assert all(sum(len(v.encode()) + 1 for v in held) == k[4] for k, held in per_file.items())
+
+
 def test_catalogs_are_registered_and_used(spark):
     tables.create_catalog(spark, "shop", "org.example.ShopCatalog", url="mem")
     try:

@@ -776,11 +776,10 @@ def stream_sink_rolled(spark, sf):
     number = F.concat(F.lit("Number:"), F.col("event_id").cast("string")).alias("value")
     lines = _stream(spark, sf, "events", "event_id", slices=2).select("ts", "event_id", number)
     runs.drain(files.rolled_stream(lines, f"{root}/out", f"{root}/checkpoint", "ts", "event_id", size=100, every=None))
-    found = spark.read.schema("value string, batch long, bucket string, roll long").text(f"{root}/out")
-    size = F.col("_metadata.file_size")
-    of_file = found.groupBy("bucket", "_metadata.file_path").agg(
+    found = files.read_rolled(spark, f"{root}/out")
+    of_file = found.groupBy("bucket", "file").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.substring_index("value", ":", -1).cast("bigint")).alias("ids"),
-        F.first(size - F.octet_length("value") - 1).alias("before_last"),
+        F.first(F.col("size") - F.octet_length("value") - 1).alias("before_last"),
     )
     return of_file.groupBy("bucket").agg(F.sum("n").alias("cnt"), F.sum("ids").alias("ids"), F.bool_and(F.col("before_last") < 110).alias("small"))

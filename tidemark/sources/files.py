@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from itertools import chain, groupby
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -11,6 +15,8 @@ from tidemark.operators.scan import running, running_sum
 
 BUCKET_FORMAT = "yyyy-MM-dd--HH"
 ROLL_BYTES = 1 << 20
+# As Spark names the folder of rows without a value.
+NO_BUCKET = "__HIVE_DEFAULT_PARTITION__"
 
 
 def elements(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
@@ -105,20 +111,66 @@ def rolled(df: DataFrame, time: str, order: str, value: str = "value", size: int
     return so_far.select("bucket", roll.cast("bigint").alias("roll"), order, value)
 
 
+def _put_rolls(folder: str) -> Callable[[Iterator], Iterator]:
+    """For ``mapInArrow`` over (bucket, roll, line), sorted: writes each roll as a text file of its folder below ``folder``.
+
+    A file is written aside and then given its name, which an attempt that is repeated gives again. The result is a
+    batch with the number of files.
+    """
+    run, unnamed = uuid.uuid4(), NO_BUCKET
+
+    def put(batches):
+        import pyarrow as pa
+
+        task = TaskContext.get()
+        number, aside = task.partitionId(), f"{folder}/_attempts/{task.taskAttemptId()}"
+
+        def lines(batch):
+            buckets, rolls, values = batch.columns
+            return zip(buckets.to_pylist(), rolls.to_pylist(), values.cast(pa.large_binary()).to_pylist())
+
+        done, made = 0, None
+        for (bucket, roll), held in groupby(chain.from_iterable(map(lines, batches)), key=lambda line: line[:2]):
+            place = f"{folder}/bucket={unnamed if bucket is None else bucket}"
+            if place != made:
+                os.makedirs(place, exist_ok=True)
+                made = place
+            with open(aside, "wb") as out:
+                for *_, value in held:
+                    out.write((value or b"") + b"\n")
+            os.makedirs(f"{place}/roll={roll}", exist_ok=True)
+            os.replace(aside, f"{place}/roll={roll}/part-{number:05d}-{run}.c000.txt")
+            done += 1
+        yield pa.record_batch([pa.array([done], pa.int64())], names=["files"])
+
+    return put
+
+
 def write_rolled(df: DataFrame, path: str, time: str, order: str, value: str = "value", size: int = ROLL_BYTES) -> None:
     """Text files of about ``size`` bytes at most, in a folder per bucket and roll; visible when all are written.
 
     It is the number of files that takes the time, however few bytes they hold: all cores write them, and each task puts
     its own in place, in a folder beside ``path`` that Spark's readers pass over. That folder is then given its name.
+    Files of the local file system (or one mounted by all executors) are written by Python, since Spark would start a
+    process for each file and folder there, to set its mode; they have no checksum files.
     """
     spark = df.sparkSession
     tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rolls = rolled(df, time, order, value, size).repartition(tasks, "bucket", "roll").sortWithinPartitions("bucket", "roll", order)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    staged = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{place.getName()}")
-    writer = rolls.select("bucket", "roll", value).write.mode("overwrite").partitionBy("bucket", "roll")
-    writer.options(**{"compression": "none", "mapreduce.fileoutputcommitter.algorithm.version": "2"}).text(staged.toString())
+    rolls = rolls.select("bucket", "roll", value)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    staged = hadoop.Path(place.getParent(), f".{place.getName()}")
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.getUri().getScheme() == "file" and isinstance(rolls.schema[value].dataType, T.StringType):
+        system.delete(staged, True)
+        system.mkdirs(hadoop.Path(staged, "_attempts"))
+        rolls.mapInArrow(_put_rolls(system.makeQualified(staged).toUri().getPath()), "files bigint").agg(F.sum("files")).collect()
+        system.delete(hadoop.Path(staged, "_attempts"), True)
+        system.create(hadoop.Path(staged, "_SUCCESS")).close()
+    else:
+        writer = rolls.write.mode("overwrite").partitionBy("bucket", "roll")
+        writer.options(**{"compression": "none", "mapreduce.fileoutputcommitter.algorithm.version": "2"}).text(staged.toString())
     system.delete(place, True)
     if not system.rename(staged, place):
         raise OSError(f"{staged.toString()} could not be renamed to {path}")
@@ -139,6 +191,24 @@ def rolled_stream(
     return writer.trigger(processingTime=every) if every else writer
 
 
+def read_rolled(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their ``batch``, ``bucket`` and ``roll``, and the ``file`` that holds them with its ``size``.
+
+    The folders' names are read row by row: as partitions Spark would compare them on the driver, in a time that grows
+    with the square of their number. A file is read at once, which costs less than to read it line by line.
+    """
+    found = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="part-*").load(path)
+    named = lambda part: F.regexp_extract("path", r"batch=(\d+)/bucket=([^/]*)/roll=(\d+)/[^/]*$", part)
+    return found.select(
+        F.explode(F.split(F.expr("substr(content, 1, length - 1)").cast("string"), "\n")).alias("value"),
+        named(1).cast("bigint").alias("batch"),
+        F.nullif(named(2), F.lit(NO_BUCKET)).alias("bucket"),
+        named(3).cast("bigint").alias("roll"),
+        F.col("path").alias("file"),
+        F.col("length").alias("size"),
+    )
+
+
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their bucket."""
     return spark.read.schema("value string, bucket string").text(path)
