@@ -9,7 +9,7 @@ from tests.conftest import rows
 from tidemark.operators import changelog, rolling, state, userwindow
 from tidemark.operators.scan import Fold, first_value, last_known, running, running_max, running_min, running_sum
 from tidemark.sources.keyed_table import KeyedTable
-from tidemark.streaming import folds, keyed, runs, triggers
+from tidemark.streaming import folds, keyed, processors, runs, triggers
 
 SCHEMA = "arr int, id string, vc int"
 
@@ -157,6 +157,103 @@ def test_user_code_sees_event_time_and_its_late_rows(spark, stream_of, tmp_path)
     assert rows(got, "tag", "id", "a", "b") == sorted(want, key=repr)
 
 
+class Calls:
+    """A share's state, and how often it is asked for anything."""
+
+    def __init__(self):
+        self.made, self.lists, self.value, self.timers = 0, [], None, set()
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.made += 1
+            if name == "appendList":
+                self.lists += args[0]
+            elif name == "put":
+                self.lists = list(args[0])
+            elif name == "clear":
+                self.lists = []
+            elif name == "update":
+                self.value = args[0]
+            elif name == "registerTimer":
+                self.timers.add(args[0])
+            return self if name.startswith("get") and name != "get" else None
+
+        return call
+
+
+@pytest.fixture
+def one_share(spark, monkeypatch):
+    """Runs what ``keyed.process`` makes of user code over a share's micro-batches of (id, ms, n), and counts its calls."""
+    import pyarrow as pa
+
+    caught, handle, held, kept = [], Calls(), Calls(), Calls()
+    held.get, kept.get = lambda: iter(held.lists), lambda: kept.value
+    handle.getListState, handle.getValueState = lambda *_: held, lambda *_: kept
+    monkeypatch.setattr(keyed, "_apply", lambda df, keys, processor, schema, mode: caught.append(processor) or spark.createDataFrame([], schema))
+
+    def batch(mark, given):
+        (shares,) = caught
+        shares.init(handle)
+        times = type("Times", (), {"getCurrentWatermarkInMs": lambda self: mark})()
+        columns = [pa.array(c, t) for c, t in zip(zip(*given), (pa.int64(), pa.int64(), pa.int32()))]
+        whole = pa.record_batch([*columns, pa.array([3] * len(given), pa.int32())], names=["id", "ms", "n", "__share"])
+        found = [r for part in processors.packed("__share")(iter([whole.slice(0, 50), whole.slice(50)])) for r in part.to_pylist()]
+        assert [r["share"] for r in found] == [3]
+        out = list(shares.handleInputRows((3,), iter(found), times))
+        for at in sorted(t for t in handle.timers if t < mark):
+            out += shares.handleExpiredTimer((3,), times, None)
+            handle.timers.discard(at)
+        return sorted(tuple(r.values()) for block in out for r in block["rows"].as_py())
+
+    return spark.createDataFrame([], "id bigint, ms bigint, n int"), batch, lambda: handle.made + held.made + kept.made
+
+
+def test_rows_of_many_keys_wait_with_few_calls_to_the_state(one_share):
+    """As many as a share needs, however many keys it has: a call takes longer than a row."""
+    df, batch, calls = one_share
+
+    def on_row(context, state, row):
+        context.register(row["ms"] // 100 * 100 + 100)
+        return ((state or (0,))[0] + row["n"],)
+
+    def on_timer(context, state, at_ms):
+        context.emit("sum", at_ms, state[0])
+        return state
+
+    keyed.process(df, ["id"], ["n"], "total bigint", "at_ms bigint, total bigint", on_row, on_timer, hold="ms")
+    keys = range(2000)
+    assert batch(0, [(k, 10 + k % 50, k) for k in keys]) == []
+    assert batch(60, [(k, 80, 1) for k in keys]) == []
+    assert batch(150, [(k, 220, 7) for k in keys if k % 2]) == [(k, "sum", 100, k + 1) for k in keys]
+    assert batch(301, [(0, 350, 0)]) == [(k, "sum", 300, k + 8) for k in keys if k % 2]
+    assert calls() < 30
+
+
+def test_rows_wait_by_keys_and_columns_of_any_type(stream_of, tmp_path):
+    """Equal keys as Spark has them (null, NaN, -0.0, lists, times), and columns that are structs or maps."""
+    nan, data = float("nan"), []
+    for i, k in enumerate([None, nan, 0.0, 1.5, nan, -0.0, None, 1.5, 0.0]):
+        data.append((i, k, [i % 2], 1_700_000_000 + i))
+    stream = stream_of("arr int, k double, l array<int>, s bigint", data[5:] + data[:2], data[2:5], [(i + 20, k, l, s + 1000) for i, k, l, s in data], [(99, 9.0, [9], 1_700_009_000)])
+    stream = stream.select("arr", "k", "l", F.timestamp_seconds("s").alias("at"), F.struct("arr").alias("t"), F.create_map(F.lit("x"), "arr").alias("m"), F.timestamp_seconds(F.lit(1_700_000_000)).alias("u"))
+    stream = stream.withWatermark("at", "60 seconds").withColumn("ms", F.unix_millis(F.col("at")))
+
+    def on_row(context, held, row):
+        n = held[0] + 1 if held else 1
+        context.emit("row", row["arr"], n, row["t"]["arr"] + dict(row["m"])["x"], row["at"].tzinfo is None and held != (0, None))
+        return n, row["at"]
+
+    out = keyed.process(stream, ["k", "l", "u"], ["arr"], "n int, last timestamp", "arr int, n int, twice int, plain boolean", on_row, hold="ms")
+    got = runs.drain_to_table(out, "x", path=str(tmp_path / "out"))
+    seen, want = {}, []
+    for i, k, l, _ in data + [(i + 20, k, l, s) for i, k, l, s in data]:
+        own = "nan" if k != k else k, *l
+        seen[own] = seen.get(own, 0) + 1
+        want.append((i, seen[own], 2 * i, True))
+    assert rows(got, "arr", "n", "twice", "plain") == sorted(want, key=repr)
+    assert rows(got, "u") == rows(stream.sparkSession.sql("SELECT timestamp_seconds(1700000000) FROM range(18)"))
+
+
 def _sums(held, row):
     return held[0] + 1, held[1] + (row["vc"] or 0)
 

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.operators.scan import check_order
 from tidemark.streaming import processors as P
 
+# Shares of the keys that hold rows back: a stream keeps their number as long as its checkpoint.
+SHARES = 512
+
 
 def _apply(
     df: DataFrame, keys: Sequence[str], processor, schema: T.StructType, time_mode: str = "none", initial: DataFrame | None = None
@@ -86,11 +90,16 @@ def process(
     # A column with a watermark would have its late rows dropped before they come here.
     marked = [f.name for f in df.schema.fields if "spark.watermarkDelayMs" in (f.metadata or {})]
     df = df.withColumns({c: F.timestamp_micros(F.unix_micros(c)) for c in marked})
-    held = [f for f in df.schema.fields if f.name not in keys or f.name in order]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held)
-    user = (state_schema, names, on_row, on_timer)
-    processor = P.ReorderProcessor(order, keys, [f.name for f in held], fields, hold, on_late, *user)
-    return _apply(df, keys, processor, schema, "eventTime")
+    columns = [f.name for f in df.schema.fields if f.name not in keys or f.name in order]
+    fields = [(f"key{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
+    fields += [("due", T.ArrayType(T.LongType())), ("given", T.BooleanType())]
+    fields += [(f"state{i}", f.dataType) for i, f in enumerate(T._parse_datatype_string(state_schema).fields)]
+    kept = pa.schema([(name, to_arrow_type(kind, timestamp_utc=False)) for name, kind in fields])
+    blocks = T.StructType([T.StructField("rows", T.ArrayType(schema, False))])
+    kind = to_arrow_type(blocks).field("rows").type
+    processor = P.ReorderProcessor(order, keys, columns, hold, on_late, kept, kind, state_schema, names, on_row, on_timer)
+    shares = df.withColumn("__share", F.pmod(F.hash(*keys), F.lit(SHARES))).mapInArrow(P.packed("__share"), "share int, rows binary")
+    return _apply(shares, ["share"], processor, blocks, "eventTime").select(F.inline("rows"))
 
 
 def running_count(df, keys, order, name: str = "cnt", initial: DataFrame | None = None) -> DataFrame:

@@ -12,9 +12,12 @@ import heapq
 import pickle
 import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from datetime import timezone
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -26,6 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 RUN_ROWS = 1 << 14
 PIECE_ROWS = 1 << 8
 BLOCK_ROWS = 1 << 10
+# Rows, or bytes, that a task divides among the shares of keys at once.
+PACK_ROWS, PACK_BYTES = 1 << 17, 1 << 26
 
 
 def in_blocks(rows: Iterable[Row], kind: pa.ListType) -> Iterator[Row]:
@@ -181,95 +186,259 @@ class UserProcessor(Ordered):
         yield from self._out(tuple(key), context)
 
 
+def packed(share: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For ``mapInArrow``: the rows of each share, as ``rows``: the bytes of an Arrow batch without the column ``share``."""
+
+    def pack(batches):
+        held, size, nbytes = [], 0, 0
+        for batch in batches:
+            held, size, nbytes = [*held, batch], size + batch.num_rows, nbytes + batch.nbytes
+            if size >= PACK_ROWS or nbytes >= PACK_BYTES:
+                yield _by_share(pa.Table.from_batches(held), share)
+                held, size, nbytes = [], 0, 0
+        if size:
+            yield _by_share(pa.Table.from_batches(held), share)
+
+    return pack
+
+
+def _by_share(table: pa.Table, share: str) -> pa.RecordBatch:
+    numbers = table.column(share).to_numpy()
+    place = np.argsort(numbers, kind="stable")
+    numbers, rows = numbers[place], table.drop_columns([share]).take(place)
+    starts = np.flatnonzero(np.diff(numbers, prepend=numbers[0] - 1))
+    parts = [_bytes(rows.slice(a, b - a)) for a, b in zip(starts, [*starts[1:], len(numbers)])]
+    return pa.record_batch([pa.array(numbers[starts], pa.int32()), pa.array(parts, pa.binary())], names=["share", "rows"])
+
+
+def _bytes(table: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as stream:
+        for batch in table.combine_chunks().to_batches():
+            stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def _table(held: bytes) -> pa.Table:
+    return pa.ipc.open_stream(held).read_all()
+
+
+def _local(value):
+    """A value as state gives it back: times have no time zone, and are those of the local clock."""
+    if isinstance(value, Row):
+        value = value.asDict()
+    if isinstance(value, dict):
+        return {k: _local(v) for k, v in value.items()}
+    if isinstance(value, list | tuple):
+        return type(value)(map(_local, value))
+    return value.astimezone().replace(tzinfo=None) if getattr(value, "tzinfo", None) else value
+
+
+def _timed(kind: pa.DataType) -> bool:
+    return "timestamp" in str(kind)
+
+
+def _one(value):
+    """A part of a key so that equal ones are one in a dict: as Spark groups, a NaN is like another, and -0.0 is 0.0."""
+    if isinstance(value, float):
+        return _NAN if value != value else value + 0.0
+    if isinstance(value, list):
+        return tuple(map(_one, value))
+    if isinstance(value, dict):
+        return tuple((k, _one(v)) for k, v in value.items())
+    return value.astimezone(timezone.utc).replace(tzinfo=None) if getattr(value, "tzinfo", None) else value
+
+
+_NAN = float("nan")
+
+
 class ReorderProcessor(UserProcessor):
     """As ``UserProcessor``, with rows held in state until the watermark passes their time.
 
+    It works on shares of the keys, as ``packed`` gives them: a call to the state, of which there are about ten for a share
+    in a micro-batch, takes longer than a row does. ``held`` has the rows that wait, in Arrow batches with the least and
+    the greatest time in them; ``kept``, an Arrow batch too, the state of each key and the user's timers.
+
     A timer at the earliest time held releases what the watermark has passed, rows and the user's own timers in the order
     of time (a timer after the rows of its time). Rows whose time it had passed already go to ``on_late``.
     """
 
-    def __init__(self, order, keys, columns, held_schema: str, time_ms: str, on_late, *args):
+    def __init__(self, order, keys, columns, time_ms: str, on_late, kept: pa.Schema, kind: pa.ListType, *args):
         super().__init__(order, keys, *args, "eventTime")
+        self.keys = list(keys)
         self.held_columns = list(columns)
-        self.held_schema = held_schema
         self.time_ms = time_ms
         self.on_late = on_late
+        self.kept_schema = kept
+        self.kind = kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.held = handle.getListState("held", self.held_schema)
-        self.due = handle.getListState("due", "at_ms bigint")
-
-    def _get(self, state) -> list[tuple]:
-        return [tuple(t) for t in state.get()]
-
-    def _put(self, state, rows: list[tuple]) -> None:
-        if rows:
-            state.put(rows)
-        else:
-            state.clear()
+        self.handle = handle
+        self.held = handle.getListState("held", "low bigint, high bigint, rows binary")
+        self.kept = handle.getValueState("kept", "kept binary")
+        # Shares whose rows have been released in this micro-batch: of several timers the first has done it all.
+        self.released: set = set()
+
+    def _keys(self, columns: Sequence[pa.ChunkedArray]) -> list[tuple]:
+        plain = [c.to_pylist() for c in columns]
+        for i, c in enumerate(columns):
+            if pa.types.is_floating(c.type) or pa.types.is_nested(c.type) or _timed(c.type):
+                plain[i] = list(map(_one, plain[i]))
+        return list(zip(*plain))
+
+    def _load(self) -> dict[tuple, tuple]:
+        """(state, the user's timers) of each key that has any."""
+        found = self.kept.get()
+        if found is None:
+            return {}
+        table, n = _table(found[0]), len(self.keys)
+        due, given, *parts = (c.combine_chunks() for c in table.columns[n:])
+        times, ends = due.values.to_pylist(), due.offsets.to_pylist()
+        states = zip(*(c.to_pylist() for c in parts))
+        rows = zip(self._keys(table.columns[:n]), given.to_pylist(), states, ends, ends[1:])
+        return {key: (state if there else None, times[a:b]) for key, there, state, a, b in rows}
+
+    def _save(self, kept: dict[tuple, tuple]) -> None:
+        kept = {key: held for key, held in kept.items() if held[0] is not None or held[1]}
+        if not kept:
+            self.kept.clear()
+            return
+        n, none = len(self.keys), (None,) * (len(self.kept_schema) - len(self.keys) - 2)
+        ends = np.cumsum([0, *(len(due) for _, due in kept.values())])
+        due = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array([t for _, due in kept.values() for t in due], pa.int64()), type=self.kept_schema.field("due").type)
+        columns = list(zip(*(none if state is None else state for state, _ in kept.values()), strict=True))
+        kinds = self.kept_schema.types
+        columns = [map(_local, c) if _timed(kind) or pa.types.is_nested(kind) else c for c, kind in zip(columns, kinds[n + 2 :], strict=True)]
+        arrays = [pa.array(list(c), kind) for c, kind in zip(zip(*kept), kinds)]
+        arrays += [due, pa.array([state is not None for state, _ in kept.values()])]
+        arrays += [pa.array(list(c), kind) for c, kind in zip(columns, kinds[n + 2 :])]
+        self.kept.update((_bytes(pa.Table.from_arrays(arrays, schema=self.kept_schema)),))
+
+    def _blocks(self, rows: list[tuple]) -> Iterator[Row]:
+        kinds = list(self.kind.value_type)
+        if any(pa.types.is_nested(f.type) for f in kinds):
+            out = Row(*self.fields)
+            yield from in_blocks((out(*r) for r in rows), self.kind)
+            return
+        block = Row("rows")
+        for k in range(0, len(rows), BLOCK_ROWS):
+            columns = zip(*rows[k : k + BLOCK_ROWS], strict=True)
+            part = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], fields=kinds)
+            yield block(pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part, type=self.kind)[0])
+
+    def _rows(self, table: pa.Table, columns: Sequence[str], times: Callable = lambda value: value) -> Iterator[Row]:
+        """Rows as Spark makes them, their times as ``times`` gives them."""
+        fields, new = list(columns), tuple.__new__
+        plain = [table.column(c).to_pylist() for c in fields]
+        plain = [list(map(times, held)) if _timed(table.schema.field(c).type) else held for c, held in zip(fields, plain)]
+        for values in zip(*plain):
+            row = new(Row, values)
+            row.__fields__ = fields
+            yield row
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        mark, fresh, late = timerValues.getCurrentWatermarkInMs(), [], []
-        for row in rows:
-            time = row[self.time_ms]
-            (late if time is None or time < mark else fresh).append(row)
-        if fresh:
-            self.held.appendList([tuple(row[c] for c in self.held_columns) for row in fresh])
-            self.handle.registerTimer(min(row[self.time_ms] for row in fresh))
-        if late and self.on_late:
-            context = Waiting(self.handle, mark)
-            state = self._held()
-            for row in self.in_order(late):
+        mark = timerValues.getCurrentWatermarkInMs()
+        table = pa.concat_tables([_table(row["rows"]) for row in rows])
+        times = table.column(self.time_ms)
+        late = pc.fill_null(pc.less(times, mark), True)
+        if self.on_late and pc.any(late).as_py():
+            yield from self._late(table.filter(late), mark)
+        fresh = table.filter(pc.invert(late))
+        if fresh.num_rows:
+            self._wait([self._run(fresh)])
+
+    def _run(self, rows: pa.Table) -> tuple:
+        span = pc.min_max(rows.column(self.time_ms)).as_py()
+        return span["min"], span["max"], _bytes(rows)
+
+    def _wait(self, runs: list[tuple]) -> None:
+        self.held.appendList(runs)
+        self.handle.registerTimer(min(low for low, _, _ in runs))
+
+    def _late(self, table: pa.Table, mark: int) -> Iterator[Row]:
+        kept, found, asked = self._load(), {}, set()
+        for key, row in zip(self._keys([table.column(c) for c in self.keys]), self._rows(table, table.column_names)):
+            found.setdefault(key, []).append(row)
+        for key, rows in found.items():
+            context, (state, due) = Waiting(self.handle, mark), kept.get(key, (None, []))
+            for row in self.in_order(rows):
                 state = self.on_late(context, state, row)
-                yield from self._out(tuple(key), context)
-            self._keep(state)
-            self._wait(context.asked, [])
-
-    def _wait(self, asked: set[int], gone: list[int]) -> None:
-        """Keep the user's timers that are due later."""
-        before = {t[0] for t in self._get(self.due)}
-        after = (before | asked) - set(gone)
-        if after != before:
-            self._put(self.due, [(at,) for at in sorted(after)])
-        for at in after - before:
-            self.handle.registerTimer(at)
+            kept[key] = state, sorted({*due, *context.asked})
+            asked |= context.asked
+            yield from self._blocks([(*key, *values) for values in context.rows])
+        self._save(kept)
+        if asked:
+            self.handle.registerTimer(min(asked))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if key in self.released:
+            return
+        self.released.add(key)
         mark = timerValues.getCurrentWatermarkInMs()
-        held = Row(*self.held_columns)
-        rows = [held(*t) for t in self._get(self.held)]
-        ready = [r for r in rows if r[self.time_ms] < mark]
-        rest = [r for r in rows if r[self.time_ms] >= mark]
-        timers = {t[0] for t in self._get(self.due)}
-        events = [(r[self.time_ms], 0, tuple(r[c] for c in self.order), i, r) for i, r in enumerate(ready)]
-        events += [(at, 1, (), 0, None) for at in timers if at < mark]
-        heapq.heapify(events)
-        context, state, gone = Waiting(self.handle, None), self._held(), []
-        while events:
-            at, kind, _, _, row = heapq.heappop(events)
-            if kind and at in context.dropped:
+        ready, rest, due = [], [], {}
+        runs = list(self.held.get())
+        for run in runs:
+            if run[0] >= mark:
+                rest.append(run)
                 continue
-            context.now = at
-            if kind:
-                gone.append(at)
-                timers.discard(at)
-                state = self.on_timer(context, state, at) if self.on_timer else state
+            table = _table(run[2])
+            passed = pc.less(table.column(self.time_ms), mark)
+            ready.append(table.filter(passed))
+            if run[1] >= mark:
+                rest.append(self._run(table.filter(pc.invert(passed))))
+        kept = self._load()
+        if ready:
+            due = self._by_key(pa.concat_tables(ready))
+        for own, (_, timers) in kept.items():
+            if timers and timers[0] < mark:
+                due.setdefault(own, [])
+        out = []
+        for own, rows in due.items():
+            kept[own] = self._release(own, rows, *kept.get(own, (None, [])), mark, out)
+        yield from self._blocks(out)
+        if due:
+            self._save(kept)
+        if ready:
+            self.held.put(rest) if rest else self.held.clear()
+        waiting = [run[0] for run in rest] + [timers[0] for _, timers in kept.values() if timers]
+        if waiting:
+            self.handle.registerTimer(min(waiting))
+
+    def _by_key(self, table: pa.Table) -> dict[tuple, list[Row]]:
+        """The rows of each key, by time, then by the order columns, then as they came."""
+        keys, rows = self._keys([table.column(c) for c in self.keys]), list(self._rows(table, self.held_columns, _local))
+        orders = [table.column(c).to_pylist() for c in (self.time_ms, *self.order)]
+        places, found = list(zip(*orders)), {}
+        for i in sorted(range(len(rows)), key=places.__getitem__):
+            found.setdefault(keys[i], []).append(rows[i])
+        return found
+
+    def _release(self, key: tuple, rows: list[Row], state, due: list[int], mark: int, out: list[tuple]) -> tuple:
+        """Runs the user's code for a key; the state and the timers it leaves."""
+        context, timers = Waiting(self.handle, None), set(due)
+        ahead = [t for t in due if t < mark]
+        heapq.heapify(ahead)
+        at = self.held_columns.index(self.time_ms)
+        rows = iter(rows)
+        row = next(rows, None)
+        while row is not None or ahead:
+            if ahead and (row is None or ahead[0] < row[at]):
+                now = heapq.heappop(ahead)
+                if now in context.dropped:
+                    continue
+                context.now = now
+                timers.discard(now)
+                state = self.on_timer(context, state, now) if self.on_timer else state
             else:
+                context.now = row[at]
                 state = self.on_row(context, state, row)
-            for t in context.take_new():
+                row = next(rows, None)
+            for t in context.take_new() if context.fresh else ():
                 if t < mark and t not in timers:
-                    heapq.heappush(events, (t, 1, (), 0, None))
+                    heapq.heappush(ahead, t)
                 timers.add(t)
-            yield from self._out(tuple(key), context)
-        if ready or gone or context.dropped:
-            self._keep(state)
-            self._put(self.due, [(t,) for t in sorted(timers - context.dropped)])
-        if ready:
-            self._put(self.held, [tuple(r[c] for c in self.held_columns) for r in rest])
-        waiting = [r[self.time_ms] for r in rest] + [t for t in timers - context.dropped]
-        if waiting:
-            self.handle.registerTimer(min(waiting))
+        out += [(*key, *values) for values in context.rows]
+        return state, sorted(timers - context.dropped)
 
 
 class Waiting(Context):
