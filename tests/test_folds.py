@@ -229,6 +229,18 @@ def test_rows_of_many_keys_wait_with_few_calls_to_the_state(one_share):
     assert calls() < 30
 
 
+def test_windows_of_many_keys_fire_with_few_calls_to_the_state(one_share):
+    df, batch, calls = one_share
+    add = lambda held, row: (held[0] + 1, held[1] + row["n"])
+    triggers.trigger_window(df, ["id"], ["n"], triggers.EventTime(100), "cnt bigint, total bigint", lambda: (0, 0), add, time_ms="ms")
+    keys = range(2000)
+    assert batch(0, [(k, 10 + k % 50, k) for k in keys]) == []
+    assert batch(60, [(k, 80, 1) for k in keys]) == []
+    assert batch(150, [(k, 220, 7) for k in keys if k % 2]) == [(k, "fire", 1, 2, k + 1) for k in keys]
+    assert batch(301, [(0, 350, 0)]) == [(k, "fire", 2, 3, k + 8) for k in keys if k % 2]
+    assert calls() < 30
+
+
 def test_rows_wait_by_keys_and_columns_of_any_type(stream_of, tmp_path):
     """Equal keys as Spark has them (null, NaN, -0.0, lists, times), and columns that are structs or maps."""
     nan, data = float("nan"), []
