@@ -241,6 +241,18 @@ def test_windows_of_many_keys_fire_with_few_calls_to_the_state(one_share):
     assert calls() < 30
 
 
+def test_a_drain_keeps_its_state_in_few_partitions(spark, stream_of, tmp_path):
+    """Bounded micro-batches need no more for a larger table; the session's own number is as before."""
+    stream = stream_of("arr int, id string", [(1, "a"), (2, "b"), (3, "a")])
+    spark.conf.set("spark.sql.shuffle.partitions", 5)
+    for most, want in ((2, 2), (9, 5), (None, 5)):
+        path = tmp_path / f"most-{most}"
+        got = runs.drain_to_table(keyed.running_count(stream, ["id"], ["arr"]), "x", path=str(path), partitions=most)
+        assert rows(got) == [(1, "a", 1), (2, "b", 1), (3, "a", 2)]
+        assert len([p for p in (path / "checkpoint" / "state" / "0").iterdir() if p.name.isdigit()]) == want
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "5"
+
+
 def test_rows_wait_by_keys_and_columns_of_any_type(stream_of, tmp_path):
     """Equal keys as Spark has them (null, NaN, -0.0, lists, times), and columns that are structs or maps."""
     nan, data = float("nan"), []

@@ -41,8 +41,8 @@ def _sensor_stream(spark, sf, order="event_id", slices=0):
     return rows
 
 
-def _drained(spark, df, label, *times):
-    out = runs.drain_to_table(df, label)
+def _drained(spark, df, label, *times, partitions=None):
+    out = runs.drain_to_table(df, label, partitions=partitions)
     return out.withColumns({t: F.col(t).cast("timestamp_ntz") for t in times})
 
 
@@ -640,6 +640,11 @@ def stream_cdc_latest(spark, sf):
 HELD_MS = "SELECT *, epoch_us(ts) // 1000 AS ms FROM s WHERE epoch_us(ts) // 1000 < (SELECT max(epoch_us(ts) // 1000) FROM s) - 21600000"
 
 
+def _for_cores(spark):
+    """State partitions for micro-batches of at most a slice: two for each core."""
+    return max(12, 2 * spark.sparkContext.defaultParallelism)
+
+
 def _waiting(spark, sf):
     rows = _disordered(spark, sf).withWatermark("ts", "6 hours")
     # The times go on as numbers, which cost Python less than timestamps.
@@ -671,15 +676,15 @@ def stream_user_process_reordered(spark, sf):
 
     args = (["id"], ["event_id"], "last int, n bigint", "at_ms bigint, n bigint", on_row, on_timer)
     done = keyed.process(_waiting(spark, sf), *args, clock="eventTime", hold="ms")
-    return _drained(spark, done, "waited").select("tag", "id", "at_ms", "n")
+    return _drained(spark, done, "waited", partitions=_for_cores(spark)).select("tag", "id", "at_ms", "n")
 
 
-def _triggered(spark, rows, trigger, label, **options):
+def _triggered(spark, rows, trigger, label, partitions=None, **options):
     def add(held, row):
         return held[0] + 1, held[1] + row["vc"]
 
     fired = triggers.trigger_window(rows, ["id"], ["event_id"], trigger, "cnt bigint, total bigint", lambda: (0, 0), add, **options)
-    return _drained(spark, fired, label)
+    return _drained(spark, fired, label, partitions=partitions)
 
 
 NUMBERED = """, n AS (SELECT id, vc, event_id, row_number() OVER (PARTITION BY id ORDER BY event_id) AS rn FROM s)"""
@@ -718,7 +723,7 @@ FROM b JOIN r ON r.id = b.id AND r.ms <= due WHERE due < (SELECT max(epoch_us(ts
 )
 def stream_trigger_event_time(spark, sf):
     """A window over all rows of a key that fires when the event time passes the end of a day with a row."""
-    return _triggered(spark, _waiting(spark, sf), triggers.EventTime(86_400_000), "days", time_ms="ms")
+    return _triggered(spark, _waiting(spark, sf), triggers.EventTime(86_400_000), "days", _for_cores(spark), time_ms="ms")
 
 
 @query(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -34,6 +35,19 @@ def drain(writer: DataStreamWriter) -> None:
     query.awaitTermination()
 
 
+@contextmanager
+def _fewer_partitions(spark: SparkSession, most: int | None) -> Iterator[None]:
+    """A stream that is started here for the first time keeps its state in ``most`` partitions at most, all its life."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if most and most < int(before):
+        spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _put(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -50,12 +64,19 @@ def _done(spark: SparkSession, root: str, path: str | None) -> None:
         _drop(spark, f"{root}/checkpoint")
 
 
-def drain_to_table(df: DataFrame, label: str, mode: str = "append", path: str | None = None) -> DataFrame:
-    """Run an append-mode stream over what is there now; its output read back as a batch."""
+def drain_to_table(df: DataFrame, label: str, mode: str = "append", path: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Run an append-mode stream over what is there now; its output read back as a batch.
+
+    Each state partition costs a task its time in every micro-batch, rows or none. Where micro-batches are bounded they need
+    no more of them for a larger table: ``partitions`` is the most there are, if the session does not ask for fewer.
+    """
     spark = df.sparkSession
     root = path or scratch_path(spark, label)
     writer = df.writeStream.outputMode(mode).format("parquet")
-    drain(writer.option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint"))
+    writer = writer.option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    with _fewer_partitions(spark, partitions):
+        query = writer.start()
+    query.awaitTermination()
     _done(spark, root, path)
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
