@@ -264,10 +264,11 @@ def test_rows_wait_by_keys_and_columns_of_any_type(stream_of, tmp_path):
 
     def on_row(context, held, row):
         n = held[0] + 1 if held else 1
-        context.emit("row", row["arr"], n, row["t"]["arr"] + dict(row["m"])["x"], row["at"].tzinfo is None and held != (0, None))
-        return n, row["at"]
+        assert held is None or held[2].arr < row["arr"]
+        context.emit("row", row["arr"], n, row["t"].arr + dict(row["m"])["x"], row["at"].tzinfo is None and held != (0, None))
+        return n, row["at"], row["t"]
 
-    out = keyed.process(stream, ["k", "l", "u"], ["arr"], "n int, last timestamp", "arr int, n int, twice int, plain boolean", on_row, hold="ms")
+    out = keyed.process(stream, ["k", "l", "u"], ["arr"], "n int, last timestamp, t struct<arr:int>", "arr int, n int, twice int, plain boolean", on_row, hold="ms")
     got = runs.drain_to_table(out, "x", path=str(tmp_path / "out"))
     seen, want = {}, []
     for i, k, l, _ in data + [(i + 20, k, l, s) for i, k, l, s in data]:

@@ -234,6 +234,19 @@ def _local(value):
     return value.astimezone().replace(tzinfo=None) if getattr(value, "tzinfo", None) else value
 
 
+def _given(value):
+    """A value of an Arrow batch as state gives it back: times as ``_local`` has them, and structs as rows."""
+    return _as_rows(_local(value))
+
+
+def _as_rows(value):
+    if isinstance(value, dict):
+        row = tuple.__new__(Row, map(_as_rows, value.values()))
+        row.__fields__ = list(value)
+        return row
+    return type(value)(map(_as_rows, value)) if isinstance(value, list | tuple) else value
+
+
 def _timed(kind: pa.DataType) -> bool:
     return "timestamp" in str(kind)
 
@@ -294,7 +307,7 @@ class ReorderProcessor(UserProcessor):
         table, n = _table(found[0]), len(self.keys)
         due, given, *parts = (c.combine_chunks() for c in table.columns[n:])
         times, ends = due.values.to_pylist(), due.offsets.to_pylist()
-        states = zip(*(c.to_pylist() for c in parts))
+        states = zip(*(map(_as_rows, c.to_pylist()) if pa.types.is_nested(c.type) else c.to_pylist() for c in parts))
         rows = zip(self._keys(table.columns[:n]), given.to_pylist(), states, ends, ends[1:])
         return {key: (state if there else None, times[a:b]) for key, there, state, a, b in rows}
 
@@ -326,11 +339,12 @@ class ReorderProcessor(UserProcessor):
             part = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], fields=kinds)
             yield block(pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part, type=self.kind)[0])
 
-    def _rows(self, table: pa.Table, columns: Sequence[str], times: Callable = lambda value: value) -> Iterator[Row]:
-        """Rows as Spark makes them, their times as ``times`` gives them."""
+    def _rows(self, table: pa.Table, columns: Sequence[str], given: Callable = lambda value: value) -> Iterator[Row]:
+        """Rows as Spark makes them, their times and what is nested as ``given`` gives it."""
         fields, new = list(columns), tuple.__new__
         plain = [table.column(c).to_pylist() for c in fields]
-        plain = [list(map(times, held)) if _timed(table.schema.field(c).type) else held for c, held in zip(fields, plain)]
+        kinds = [table.schema.field(c).type for c in fields]
+        plain = [list(map(given, held)) if _timed(kind) or pa.types.is_nested(kind) else held for kind, held in zip(kinds, plain)]
         for values in zip(*plain):
             row = new(Row, values)
             row.__fields__ = fields
@@ -406,7 +420,7 @@ class ReorderProcessor(UserProcessor):
 
     def _by_key(self, table: pa.Table) -> dict[tuple, list[Row]]:
         """The rows of each key, by time, then by the order columns, then as they came."""
-        keys, rows = self._keys([table.column(c) for c in self.keys]), list(self._rows(table, self.held_columns, _local))
+        keys, rows = self._keys([table.column(c) for c in self.keys]), list(self._rows(table, self.held_columns, _given))
         orders = [table.column(c).to_pylist() for c in (self.time_ms, *self.order)]
         places, found = list(zip(*orders)), {}
         for i in sorted(range(len(rows)), key=places.__getitem__):
